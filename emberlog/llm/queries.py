@@ -5,19 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emberlog.llm import bpe
-from emberlog.llm.common import table
+from emberlog.llm import bpe, license_scan, quality, simhash, token_files
+from emberlog.llm.common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.license_scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "expressions", "permitted")
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    trees = quality.fit_quality(documents, table(spark, sf_dir, "labels"))
+    return quality.score_documents(documents, trees)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), shared_dir(spark, "tokens"))
+    return token_files.read_token_files(spark, manifest)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_token_files": op5_token_files,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_simhash": op9_simhash,
 }
 
 SQL: dict[str, str] = {}
