@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bpe, license_scan, quality, simhash, token_files
+from emberlog.llm import bpe, license_scan, quality, simhash, token_files, warc
 from emberlog.llm.common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,12 +38,27 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
+    return warc.read_archives(spark, manifest)
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op5_token_files": op5_token_files,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_simhash": op9_simhash,
+    "op10_warc": op10_warc,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS d FROM pages),
+        g AS (SELECT d, min(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY d HAVING count(*) > 1)
+        SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+               CASE WHEN first <> page_id OR (page_id IS NULL AND first IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id OR (page_id IS NULL AND first IS NOT NULL) THEN first END AS refers_to
+        FROM p LEFT JOIN g ON p.d = g.d AND strlen(h) >= 100
+    """,
+}
