@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bpe, license_scan, quality, simhash, token_files, warc
+from emberlog.llm import bpe, license_scan, quality, simhash, token_files, url_filter, warc
 from emberlog.llm.common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -48,11 +52,13 @@ QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
     "op5_token_files": op5_token_files,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
 }
 
 SQL: dict[str, str] = {
+    "op8_url_filter": url_filter.SQL,
     "op10_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS d FROM pages),
         g AS (SELECT d, min(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY d HAVING count(*) > 1)
