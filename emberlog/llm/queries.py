@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bpe, license_scan, quality, simhash, token_files, url_filter, warc
+from emberlog.llm import bpe, decontaminate, license_scan, quality, simhash, token_files, url_filter, warc
 from emberlog.llm.common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op5_token_files": op5_token_files,
+    "op6_decontamination": op6_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
