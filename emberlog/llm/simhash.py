@@ -18,6 +18,8 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))
 GENERATOR = 0b110001110101
 #: Buckets up to this size are compared pair by pair; the members of larger ones meet at shared midpoints instead.
 PAIRWISE = 12
+#: Stands for a null key where rows are told by key and text.
+NO_KEY = -(1 << 63)
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -155,3 +157,34 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = classes.groupBy("component").agg(F.min("first").alias("component_id"))
     ids = common.checkpoint(classes.join(least, "component").select("fp", "component_id"))
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """One row of each class of near-duplicates, with all its columns: that with the least key, of equal keys that with the least hash of its text.
+
+    Rows are told by key and text; rows equal in both are one. A class without any key keeps the row with the least hash.
+    """
+    mark = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    plain = df.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_KEY)), "__mark": mark})
+    prints = common.checkpoint(marked_fingerprints(plain, text_col, shingle))
+    row = F.struct((F.col("doc_id") == NO_KEY).alias("last"), "doc_id", "mark")
+    nodes = prints.groupBy("fp").agg(F.min(row).alias("first"))
+    found = connected_components(links(nodes))
+    classes = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("first", F.coalesce("component", "fp").alias("component"))
+    kept = common.checkpoint(classes.groupBy("component").agg(F.min("first").alias("k")).select(F.col("k.doc_id").alias("__doc"), F.col("k.mark").alias("__mark")))
+    # A kept key and text may stand in several equal rows, of which one stays; that needs no further shuffle.
+    return plain.join(kept, ["__doc", "__mark"], "left_semi").dropDuplicates(["__doc", "__mark"]).drop("__doc", "__mark")
+
+
+def marked_fingerprints(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, mark, fp) of rows with columns __doc and __mark."""
+    common.prepare(df.sparkSession)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            found = np.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "mark", "fp"])
+
+    return df.select("__doc", "__mark", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, "doc_id long, mark long, fp long")
