@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bpe, decontaminate, license_scan, quality, simhash, token_files, url_filter, warc
+from emberlog.llm import bpe, decontaminate, html_extract, license_scan, quality, simhash, token_files, url_filter, warc
 from emberlog.llm.common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "expressions", "permitted")
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     trees = quality.fit_quality(documents, table(spark, sf_dir, "labels"))
@@ -53,6 +57,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op2_html_extract": op2_html_extract,
     "op3_quality_rules": op3_quality_rules,
     "op5_token_files": op5_token_files,
     "op6_decontamination": op6_decontamination,
