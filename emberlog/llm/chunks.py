@@ -11,9 +11,28 @@ import re
 from collections.abc import Callable
 
 CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-#: Characters that Python's ``\s`` and other libraries' ``\s`` take differently, and other white space than space and newline.
-ODD = re.compile("[\x1c-\x1f᠎​⁠﻿]")
-BLANK = re.compile(r"[^\S \n]|\s\s|^\s|\s\Z")
+#: Characters that Python's ``\s`` and other libraries' ``\s`` take differently; a text with one is encoded whole.
+ODD = "\x1c\x1d\x1e\x1f\u180e\u200b\u2060\ufeff"
+#: A comma or stop that isn't a piece of its own.
+JOINED = re.compile(r"[\W_][,.][ \n]")
+#: Stand in a plain text for a comma and a stop before a space; no such text has them of its own.
+COMMA, STOP = "\x1c", "\x1d"
+
+
+def plain_words(text: str) -> list[str] | None:
+    """Chunks of a text whose white space is single spaces and newlines, without the spaces before them; None for others.
+
+    A newline stands together with what follows. A comma or stop after a letter or digit is a piece by itself, so it
+    stands alone, and a word has one entry in the table with and without it.
+    """
+    words = text.split()
+    gaps = len(words) - 1
+    if gaps < 0 or text.count(" ") + text.count("\n") != gaps or len(text) - sum(map(len, words)) != gaps:
+        return None
+    lined = text.replace("\n", " \n")
+    if not JOINED.search(text):
+        lined = lined.replace(", ", f" {COMMA} ").replace(". ", f" {STOP} ")
+    return lined.split(" ")
 
 
 class ChunkEncoder:
@@ -23,7 +42,7 @@ class ChunkEncoder:
     most: entries that are kept; then the table starts anew, which bounds memory and changes no result.
     """
 
-    def __init__(self, whole: Callable[[list[str]], list[bytes]], most: int = 600_000):
+    def __init__(self, whole: Callable[[list[str]], list[bytes]], most: int = 900_000):
         self.whole, self.most = whole, most
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}  # chunks without the space before them; a newline stands together with what follows
@@ -35,13 +54,13 @@ class ChunkEncoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if ODD.search(text):
+            if any(c in text for c in ODD):
                 odd.append(k)
-            elif BLANK.search(text):
+            elif (words := plain_words(text)) is None:
                 other[k] = CHUNK.findall(text)
             else:
-                first, *plain[k] = text.replace("\n", " \n").split(" ")
-                other[k] = [first]
+                other[k] = words[:1]
+                plain[k] = words[1:]
         self._know(self.words, set().union(*plain.values()), True)
         self._know(self.chunks, set().union(*other.values()), False)
         out = [b""] * len(texts)
@@ -63,5 +82,6 @@ class ChunkEncoder:
             known.update(zip(ordered, self.whole(ordered), strict=True))
             return
         line = self.whole(["\n"])[0]
-        ids = self.whole([x[1:] if x[:1] == "\n" else " " + x for x in ordered])
+        signs = {COMMA: ",", STOP: "."}
+        ids = self.whole([x[1:] if x[:1] == "\n" else signs.get(x) or " " + x for x in ordered])
         known.update((x, line + y if x[:1] == "\n" else y) for x, y in zip(ordered, ids, strict=True))

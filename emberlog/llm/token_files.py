@@ -127,7 +127,13 @@ def encoder(path: str) -> ChunkEncoder:
 
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return ChunkEncoder(lambda texts: [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)])
+
+
+    def whole(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() if len(e) > 64 else b"".join(map(packed.__getitem__, e.ids)) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+
+    packed = [i.to_bytes(4, "little") for i in range(max(t.get_vocab().values()) + 1)]
+    return ChunkEncoder(whole)
 
 
 def write_token_files(df: DataFrame, into: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end: int = END, file_tokens: int = FILE_TOKENS) -> DataFrame:
