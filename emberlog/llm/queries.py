@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bpe, decontaminate, html_extract, license_scan, quality, simhash, token_files, url_filter, warc
+from emberlog.llm import bpe, decontaminate, html_extract, license_scan, quality, quote_links, simhash, token_files, url_filter, warc
 from emberlog.llm.common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents, trees)
 
 
+def op4_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), shared_dir(spark, "tokens"))
     return token_files.read_token_files(spark, manifest)
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extract": op2_html_extract,
     "op3_quality_rules": op3_quality_rules,
+    "op4_quote_links": op4_quote_links,
     "op5_token_files": op5_token_files,
     "op6_decontamination": op6_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
