@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Times are UTC instants; adaptive execution splits skewed joins and merges small partitions."""
+    """Times are UTC instants; adaptive execution splits skewed joins; Python workers find this package."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if REPO not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, path) if x)
     return spark
 
 
