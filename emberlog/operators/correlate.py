@@ -55,6 +55,23 @@ def neighbours(parents: dict[str, tuple[str, ...]]) -> dict[str, set[str]]:
     return out
 
 
+def place(open_: list[dict], detection_id: str, t: int, rule: str, severity: str, runnable: str, minutes: int, near: dict[str, set[str]]) -> tuple[list[dict], dict]:
+    """Adds a detection to one of the open incidents (oldest first) or to a new one; returns the open ones and the one it went to."""
+    s = SEVERITIES.get(severity, 0)
+    live = [i for i in reversed(open_) if abs(t - i["updated"]) <= minutes * 60]
+    found = next((i for i in live if runnable in i["runnables"] and (rule in i["rules"] or s >= SIGNIFICANT)), None)
+    if found is None and s >= SIGNIFICANT:
+        found = next((i for i in live if i["severity"] >= SIGNIFICANT and near.get(runnable, set()) & i["runnables"]), None)
+    if found is None:
+        found = {"id": detection_id, "updated": t, "runnables": set(), "rules": set(), "severity": s}
+        open_ = [*live[::-1], found]  # older ones can't be met again: time only grows
+    found["updated"] = max(found["updated"], t)
+    found["runnables"].add(runnable)
+    found["rules"].add(rule)
+    found["severity"] = max(found["severity"], s)
+    return open_, found
+
+
 def assign(detections: DataFrame, minutes: int = WINDOW_MINUTES, parents: dict[str, tuple[str, ...]] = PARENTS) -> DataFrame:
     """Detections (detection_id, epoch, seq, rule_order, rule_id, severity, runnable) with incident_id.
 
@@ -76,18 +93,7 @@ def assign(detections: DataFrame, minutes: int = WINDOW_MINUTES, parents: dict[s
         open_: list[dict] = []
         ids = []
         for d, t, rule, severity, runnable in zip(pdf["detection_id"], pdf["epoch"], pdf["rule_id"], pdf["severity"], pdf["runnable"], strict=True):
-            s = SEVERITIES.get(severity, 0)
-            live = [i for i in reversed(open_) if abs(t - i["updated"]) <= minutes * 60]
-            found = next((i for i in live if runnable in i["runnables"] and (rule in i["rules"] or s >= SIGNIFICANT)), None)
-            if found is None and s >= SIGNIFICANT:
-                found = next((i for i in live if i["severity"] >= SIGNIFICANT and near.get(runnable, set()) & i["runnables"]), None)
-            if found is None:
-                found = {"id": d, "updated": t, "runnables": set(), "rules": set(), "severity": s}
-                open_ = [*live[::-1], found]  # older ones can't be met again: time only grows
-            found["updated"] = max(found["updated"], t)
-            found["runnables"].add(runnable)
-            found["rules"].add(rule)
-            found["severity"] = max(found["severity"], s)
+            open_, found = place(open_, d, t, rule, severity, runnable, minutes, near)
             ids.append(found["id"])
         return pdf.assign(incident_id=ids)[["detection_id", "incident_id"]]
 

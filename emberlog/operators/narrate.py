@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberlog.operators.throttle import throttle
 
@@ -74,7 +75,9 @@ def narrate_external(detections: DataFrame, call: Callable[[str], str | None], s
         for pdf in batches:
             yield pdf.assign(reply=[_safe(call, p) for p in pdf["prompt"]])
 
-    replied = base.withColumn("prompt", prompt).mapInPandas(run, base.withColumn("prompt", prompt).withColumn("reply", F.lit("")).schema)
+    asked = base.withColumn("prompt", prompt)
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in asked.schema] + [T.StructField("reply", T.StringType(), True)])
+    replied = asked.mapInPandas(run, nullable)
     r = replied.withColumn("__r", F.from_json("reply", schema))
     has = F.col("__r.title").isNotNull() & F.col("__r.narrative").isNotNull()
     return r.withColumns({"title": F.when(has, F.col("__r.title")).otherwise(F.col("title")), "narrative": F.when(has, F.col("__r.narrative")).otherwise(F.col("narrative")), "confidence": F.when(has, F.coalesce("__r.confidence", F.lit(0.7))).otherwise(F.col("confidence"))}).drop("__r", "prompt", "reply")
