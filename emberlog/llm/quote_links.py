@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from emberlog.llm.common import checkpoint
 
 SALTS = 16
-#: Quote marks at the start of a line, with spaces between and one space after.
-MARKS = r"(?m)^[ \t]*((?:>[ \t]?)+)"
-#: Maximal runs of lines of one level, once the marks stand without spaces.
-RUN = r"(?m)^(>+)(?!>).*(?:\n\1(?!>).*)*"
 
 
 def levelled(text: Column) -> Column:
@@ -49,9 +46,8 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     """
     text = levelled(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     rows = messages.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), text.alias("full"))
-    runs = F.regexp_extract_all("full", F.lit(RUN), F.lit(0))
     named = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-    quoted = checkpoint(named.where(F.col("full").rlike("(?m)^>")).select("conv_id", "turn", F.explode(runs).alias("run")).select("conv_id", "turn", F.length(F.regexp_extract("run", "^(>+)", 1)).alias("level"), F.xxhash64(normal(F.col("run"))).alias("h"), (normal(F.col("run")) == "").alias("blank")).where("NOT blank").drop("blank").distinct())
+    quoted = checkpoint(_passages(named.where(F.col("full").rlike("(?m)^>")).select("conv_id", "turn", "full").distinct()))
 
     own = own_text(F.col("full"))
     parts = F.array_distinct(F.concat(F.array(own), F.split(own, r"\n[ \t]*\n"), F.split(own, "\n")))
@@ -80,6 +76,17 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     )
 
 
+def _passages(rows: DataFrame) -> DataFrame:
+    """(conv_id, turn, level, h) of the quoted passages of messages: runs of lines of one level. A window holds the lines of one message."""
+    lines = rows.select("conv_id", "turn", F.xxhash64("full").alias("m"), F.posexplode(F.split("full", "\n")).alias("n", "line"))
+    lines = lines.withColumn("level", F.length(F.regexp_extract("line", "^(>*)", 1)))
+    order = W.partitionBy("conv_id", "turn", "m").orderBy("n")
+    starts = (F.col("level") != F.lag("level", 1, -1).over(order)).cast("int")
+    runs = lines.withColumn("s", starts).withColumn("run", F.sum("s").over(order.rowsBetween(W.unboundedPreceding, 0))).where("level > 0")
+    texts = runs.groupBy("conv_id", "turn", "m", "run", "level").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n").alias("text"))
+    return texts.select("conv_id", "turn", "level", normal(F.col("text")).alias("p")).where("p != ''").select("conv_id", "turn", "level", F.xxhash64("p").alias("h")).distinct()
+
+
 def _roots(replies: DataFrame) -> DataFrame:
     """(conv_id, turn, root, depth) of replies, by pointers that double their reach each round. Parents come before replies, so there are no rings."""
     now = checkpoint(replies.select("conv_id", "turn", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")))
