@@ -41,7 +41,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def address(url: Column) -> Column:
     """What two URLs of one page share: host, path and query, without scheme and fragment; null without a host."""
     rest = F.regexp_replace(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1), "^(?!/)", "/")
-    return F.when(url.rlike(r"(?s)^(?:(?!://).)*://[^/?#]"), F.concat(host_of(url), rest))
+    return F.when(host_of(url) != "", F.concat(host_of(url), rest))
 
 
 def resolved(target: Column, url: Column) -> Column:
