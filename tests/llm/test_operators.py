@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 import public_tokenizers
 import xxhash
+from pyspark.sql import functions as F
 
 from emberlog.llm import bpe, components, decontaminate, html_extract, license_scan, quality, quote_links, simhash, token_files, url_filter, warc
 from emberlog.llm.chunks import ChunkEncoder
@@ -362,3 +363,17 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert got == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in rows if k < 40}
+
+
+def test_very_long_texts(spark):
+    """No expression may take stack or time that grows with more than the text's length."""
+    n = 60_000
+    texts = ["1,1." * n, ">" * 200 + " x\n" + "> q\n" * n, "a://" + "b" * n, "b" * n, "-.," * n, "word " * n, "Ab " * n, "<p " + 'a="' * n, "(" * n]
+    df = spark.createDataFrame([(k, k, "user", t, "http://h/" + t[:9000], t) for k, t in enumerate(texts)], "doc_id long, turn long, role string, text string, url string, html string")
+    benchmark = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert decontaminate.contamination(df, benchmark).count() == 0
+    assert quote_links.link_quotes(df.withColumnRenamed("doc_id", "conv_id")).count() == len(texts)
+    longer = df.withColumn("url", F.col("text"))
+    assert url_filter.judge_urls(longer, "doc_id").count() == len(texts)
+    assert html_extract.extract_pages(df, "doc_id").count() == len(texts)
+    assert license_scan.license_scan(df).count() == len(texts) and simhash.near_duplicates(df).count() == len(texts) and bpe.encode_documents(df).count() == len(texts)
