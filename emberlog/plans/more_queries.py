@@ -9,7 +9,7 @@ from emberlog.functions.times import local_to_utc
 from emberlog.operators import correlate, detect, features, iforest, narrate, parse, report, risk
 from emberlog.plans.logview import SQL as LOGS
 from emberlog.plans.logview import log_view, read
-from emberlog.plans.queries import MATCHES, RULES, VECTORS, Query
+from emberlog.plans.queries import MATCHES, RULES, VECTORS, Query, throttle_sql
 
 HOURLY = 3600
 
@@ -264,3 +264,30 @@ ORACLE: dict[str, str] = {
         round(CASE WHEN count(*) FILTER (label = -1 OR fatal_count_1h > 0) > 0 THEN count(*) FILTER (label = -1 AND fatal_count_1h > 0) * 100.0::DOUBLE / count(*) FILTER (label = -1 OR fatal_count_1h > 0) ELSE 0.0 END, 6) AS jaccard_pct FROM labelled GROUP BY runnable""",
     "q_recall_curve": f"{PREFIX}, {STAND_IN}, {NORMAL} SELECT CAST(c * 5 AS INT) AS threshold, round(avg(CAST(risk_score >= c * 5 AS DOUBLE)), 6) AS recall FROM labelled, generate_series(0, 19) AS g(c) GROUP BY c",
 }
+
+DETECTIONS = f"""{LOGS}, {MATCHES}, st AS (SELECT runnable, epoch, seq, state FROM logs WHERE state IS NOT NULL),
+counted AS (
+    SELECT a.rule_id, a.severity, a.runnable, a.epoch, a.seq, CASE WHEN any_value(a.rule_id) IN ('T1', 'T2') THEN count(b.seq) ELSE 1 END AS match_count
+    FROM matches a LEFT JOIN matches b ON a.rule_id = b.rule_id AND a.runnable = b.runnable AND b.epoch >= a.epoch - CASE a.rule_id WHEN 'T1' THEN 86400 ELSE 172800 END AND (b.epoch, b.seq) <= (a.epoch, a.seq)
+    GROUP BY a.rule_id, a.severity, a.runnable, a.epoch, a.seq),
+judged AS (SELECT *, (rule_id = 'T1' AND match_count >= 2) OR (rule_id = 'T2' AND match_count >= 3) AS escalated FROM counted),
+detections AS (
+    SELECT rule_id, CASE WHEN escalated THEN CASE rule_id WHEN 'T1' THEN 'P1' ELSE 'CRITICAL' END ELSE severity END AS severity, runnable, epoch, seq, match_count, escalated FROM judged
+    UNION ALL SELECT 'Q1', 'HIGH', a.runnable, a.epoch, a.seq, 1, false FROM st a JOIN st b ON a.runnable = b.runnable AND b.epoch >= a.epoch - 86400 AND (b.epoch, b.seq) <= (a.epoch, a.seq)
+    GROUP BY a.runnable, a.epoch, a.seq HAVING string_agg('<' || b.state || '>', '' ORDER BY b.epoch, b.seq) LIKE '%<STARTED>%<DOWN>%')"""
+COOLED = f"WITH RECURSIVE {DETECTIONS}, {throttle_sql('detections', ('rule_id', 'runnable'), 'epoch', 'seq', 21600)}"
+NAMED = "CASE w.rule_id " + " ".join(f"WHEN '{r.rule_id}' THEN '{r.name}'" for r in RULES.rules) + " END"
+
+ORACLE |= {
+    "q_detections": f"WITH {DETECTIONS} SELECT * FROM detections",
+    "q_alerts": f"""{COOLED} SELECT w.rule_id, w.runnable, w.epoch, w.seq, d.severity, 'Alert ' || d.severity || ': ' || {NAMED} || ' on ' || w.runnable AS title,
+        CASE WHEN d.severity IN ('P1', 'CRITICAL') THEN 'email,sms,teams' WHEN d.severity = 'HIGH' THEN 'email,teams' WHEN d.severity = 'MEDIUM' THEN 'email' ELSE 'log' END AS channels, 0.9::DOUBLE AS confidence
+        FROM walk w JOIN detections d ON d.rule_id = w.rule_id AND d.runnable = w.runnable AND d.seq = w.seq WHERE kept""",
+    "q_alert_stats": f"""{COOLED} SELECT d.severity, count(*) AS detections, count(*) FILTER (kept) AS alerts, count(*) FILTER (NOT kept) AS suppressed
+        FROM walk w JOIN detections d ON d.rule_id = w.rule_id AND d.runnable = w.runnable AND d.seq = w.seq GROUP BY d.severity""",
+    "q_top_features": f"""{PREFIX}, x AS (SELECT *, {STATE} AS state_risk FROM vectors WHERE error_count_1h > 0),
+        long AS ({" UNION ALL ".join(f"SELECT runnable, t, {i} AS i, '{c}' AS name, CASE WHEN {c} = -1 THEN 0.0 ELSE CAST({c} AS DOUBLE) END AS v FROM x" for i, c in enumerate((*risk.FEATURES, "state_risk")))}),
+        z AS (SELECT *, (v - avg(v) OVER w) / CASE WHEN stddev_pop(v) OVER w = 0 THEN 1 ELSE stddev_pop(v) OVER w END AS z FROM long WINDOW w AS (PARTITION BY i)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY runnable, t ORDER BY abs(z) DESC, i DESC) AS n FROM z)
+        SELECT runnable, t, coalesce(string_agg(name, ',' ORDER BY n) FILTER (n <= 5 AND abs(z) > 0.5), '') AS top FROM r GROUP BY runnable, t""",
+}

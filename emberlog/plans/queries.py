@@ -90,7 +90,7 @@ def q_no_followup(spark: SparkSession, d: str) -> DataFrame:
     return detect.no_followup(states, RULES.rules[-1]).select("rule_id", "runnable", "epoch", "seq", "detected_epoch")
 
 
-def q_throttle_cooldown(spark: SparkSession, d: str) -> DataFrame:
+def qthrottle_sql_cooldown(spark: SparkSession, d: str) -> DataFrame:
     hits = detect.match_rules(log_view(spark, d), RULES).select("rule_id", "runnable", "epoch", "seq")
     return throttle.throttle(hits, ["rule_id", "runnable"], 6 * 3600)
 
@@ -150,7 +150,7 @@ walk AS (
 """
 
 
-def _throttle(rows: str, keys: tuple[str, ...], time: str, seq: str, gap: int) -> str:
+def throttle_sql(rows: str, keys: tuple[str, ...], time: str, seq: str, gap: int) -> str:
     return THROTTLE.format(rows=rows, keys=", ".join(keys), nkeys=", ".join(f"n.{k}" for k in keys), on=" AND ".join(f"n.{k} = w.{k}" for k in keys), time=time, seq=seq, gap=gap)
 
 
@@ -162,7 +162,7 @@ ORACLE: dict[str, str] = {
     "q_feature_vectors": f"WITH {LOGS}, {VECTORS} SELECT * FROM vectors",
     "q_window_counts": f"""WITH {LOGS}, {VECTORS} SELECT runnable, t, error_count_5m AS error_5m, error_count_1h AS error_1h, restarts_24h AS restart_24h FROM vectors
         WHERE error_count_5m > 0 OR error_count_1h > 0 OR restarts_24h > 0""",
-    "q_meaningful_baseline": f"""WITH RECURSIVE {LOGS}, {VECTORS}, quiet AS (SELECT runnable, t FROM vectors WHERE NOT ({MEANINGFUL})), {_throttle("quiet", ("runnable",), "t", "t", 3600).replace("runnable, t, t, i", "runnable, t, i").replace("n.runnable, n.t, n.t,", "n.runnable, n.t,")}
+    "q_meaningful_baseline": f"""WITH RECURSIVE {LOGS}, {VECTORS}, quiet AS (SELECT runnable, t FROM vectors WHERE NOT ({MEANINGFUL})), {throttle_sql("quiet", ("runnable",), "t", "t", 3600).replace("runnable, t, t, i", "runnable, t, i").replace("n.runnable, n.t, n.t,", "n.runnable, n.t,")}
         SELECT v.runnable, v.t, error_count_1h, current_state, coalesce(kept, false) AS baseline FROM vectors v LEFT JOIN walk w ON w.runnable = v.runnable AND w.t = v.t AND kept WHERE ({MEANINGFUL}) OR kept""",
     "q_state_asof": f"""WITH {LOGS}, state_at AS (SELECT runnable, epoch, arg_max(state, seq) AS last_state FROM logs WHERE state IS NOT NULL GROUP BY runnable, epoch)
         SELECT l.runnable, l.epoch, l.seq AS id, s.last_state FROM logs l ASOF LEFT JOIN state_at s ON s.runnable = l.runnable AND s.epoch <= l.epoch WHERE level = 'ERROR'""",
@@ -183,7 +183,7 @@ ORACLE: dict[str, str] = {
         ends AS (SELECT runnable, max(epoch) AS detected_epoch FROM st GROUP BY runnable)
         SELECT 'Q1' AS rule_id, d.runnable, d.epoch, d.seq, detected_epoch FROM last_down d JOIN ends USING (runnable) WHERE detected_epoch - d.epoch >= 86400
         AND NOT EXISTS (SELECT 1 FROM st f WHERE f.runnable = d.runnable AND f.state = 'STARTING' AND (f.epoch, f.seq) > (d.epoch, d.seq))""",
-    "q_throttle_cooldown": f"""WITH RECURSIVE {LOGS}, {MATCHES}, hits AS (SELECT rule_id, runnable, epoch, seq FROM matches), {_throttle("hits", ("rule_id", "runnable"), "epoch", "seq", 21600)} SELECT rule_id, runnable, epoch, seq, kept FROM walk""",
+    "qthrottle_sql_cooldown": f"""WITH RECURSIVE {LOGS}, {MATCHES}, hits AS (SELECT rule_id, runnable, epoch, seq FROM matches), {throttle_sql("hits", ("rule_id", "runnable"), "epoch", "seq", 21600)} SELECT rule_id, runnable, epoch, seq, kept FROM walk""",
     "q_message_groups": f"""WITH {LOGS}, n AS (SELECT substr(sha256(CASE WHEN length(regexp_extract(message, '[0-9]+$')) >= 8 THEN regexp_replace(message, '[0-9]+$', '<HEX>') ELSE regexp_replace(message, ' [0-9]+$', ' <N>') END), 1, 16) AS h, runnable FROM
         (SELECT runnable, replace(message, 'BUS-10507', 'BUS-<N>') AS message FROM logs WHERE level IN ('ERROR', 'FATAL'))) SELECT h AS message_hash, count(*) AS n, count(DISTINCT runnable) AS runnables FROM n GROUP BY h""",
 }
