@@ -24,8 +24,9 @@ class GridWindows:
     """Sums over closed windows [t - length, t] at every grid point, by one shuffle of buckets.
 
     An event at e falls into the bucket that ends at the grid point at or after e. A window that ends at t is the
-    buckets that end in (t - length, t] and the events at exactly t - length, which are kept apart for grid points. So
-    its cost is events plus grid points, never their product, and partial sums go before the shuffle.
+    buckets that end in (t - length, t] and the events at exactly t - length, which are kept apart for grid points.
+    A key's rows are dense on its grid, so a sum over buckets is a running sum less the one some rows before: each
+    window takes the same time whatever its length, and partial sums go before the shuffle.
     """
 
     def __init__(self, events: DataFrame, grid: DataFrame, measures: Mapping[str, Column], key: str = "runnable", epoch: str = "epoch", step: int = 300, state: Mapping[str, Column] | None = None, latest: Mapping[str, Column] | None = None):
@@ -41,18 +42,23 @@ class GridWindows:
         buckets = rows.groupBy(key, "t").agg(*aggs).withColumn("is_grid", F.lit(0))
         both = buckets.unionByName(grid.select(key, "t", F.lit(1).alias("is_grid")), allowMissingColumns=True)
         merge = [F.max(c).alias(c) for c in buckets.columns if c not in (key, "t")]
-        self.rows = both.groupBy(key, "t").agg(*merge)
+        merged = both.groupBy(key, "t").agg(*merge)
         self.order = W.partitionBy(key).orderBy("t")
+        running = self.order.rowsBetween(W.unboundedPreceding, 0)
+        zero = F.lit(0).cast("long")
+        sums = {f"c_{n}": F.sum(F.coalesce(f"b_{n}", zero)).over(running) for n in self.names}
+        self.rows = merged.withColumns(sums | {f"a_{n}": F.coalesce(f"a_{n}", zero) for n in self.names})
+
+    def _before(self, column: str, back: int) -> Column:
+        return F.lag(column, back // self.step, 0).over(self.order) if back else F.col(column)
 
     def count(self, name: str, length: int, back: int = 0) -> Column:
-        """Sum over [t - back - length, t - back]."""
-        buckets = F.sum(f"b_{name}").over(self.order.rangeBetween(-(back + length - self.step), -back))
-        edge = F.sum(f"a_{name}").over(self.order.rangeBetween(-(back + length), -(back + length)))
-        return F.coalesce(buckets, F.lit(0)) + F.coalesce(edge, F.lit(0))
+        """Sum over [t - back - length, t - back]; both are multiples of the step."""
+        return self._before(f"c_{name}", back) - self._before(f"c_{name}", back + length) + self.at(name, back + length)
 
     def at(self, name: str, back: int) -> Column:
         """Sum at exactly t - back, a grid point."""
-        return F.coalesce(F.sum(f"a_{name}").over(self.order.rangeBetween(-back, -back)), F.lit(0))
+        return self._before(f"a_{name}", back)
 
     def state(self, name: str) -> Column:
         """The last value at or before t."""
