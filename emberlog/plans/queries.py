@@ -90,7 +90,7 @@ def q_no_followup(spark: SparkSession, d: str) -> DataFrame:
     return detect.no_followup(states, RULES.rules[-1]).select("rule_id", "runnable", "epoch", "seq", "detected_epoch")
 
 
-def qthrottle_sql_cooldown(spark: SparkSession, d: str) -> DataFrame:
+def q_throttle_cooldown(spark: SparkSession, d: str) -> DataFrame:
     hits = detect.match_rules(log_view(spark, d), RULES).select("rule_id", "runnable", "epoch", "seq")
     return throttle.throttle(hits, ["rule_id", "runnable"], 6 * 3600)
 
@@ -183,7 +183,7 @@ ORACLE: dict[str, str] = {
         ends AS (SELECT runnable, max(epoch) AS detected_epoch FROM st GROUP BY runnable)
         SELECT 'Q1' AS rule_id, d.runnable, d.epoch, d.seq, detected_epoch FROM last_down d JOIN ends USING (runnable) WHERE detected_epoch - d.epoch >= 86400
         AND NOT EXISTS (SELECT 1 FROM st f WHERE f.runnable = d.runnable AND f.state = 'STARTING' AND (f.epoch, f.seq) > (d.epoch, d.seq))""",
-    "qthrottle_sql_cooldown": f"""WITH RECURSIVE {LOGS}, {MATCHES}, hits AS (SELECT rule_id, runnable, epoch, seq FROM matches), {throttle_sql("hits", ("rule_id", "runnable"), "epoch", "seq", 21600)} SELECT rule_id, runnable, epoch, seq, kept FROM walk""",
+    "q_throttle_cooldown": f"""WITH RECURSIVE {LOGS}, {MATCHES}, hits AS (SELECT rule_id, runnable, epoch, seq FROM matches), {throttle_sql("hits", ("rule_id", "runnable"), "epoch", "seq", 21600)} SELECT rule_id, runnable, epoch, seq, kept FROM walk""",
     "q_message_groups": f"""WITH {LOGS}, n AS (SELECT substr(sha256(CASE WHEN length(regexp_extract(message, '[0-9]+$')) >= 8 THEN regexp_replace(message, '[0-9]+$', '<HEX>') ELSE regexp_replace(message, ' [0-9]+$', ' <N>') END), 1, 16) AS h, runnable FROM
         (SELECT runnable, replace(message, 'BUS-10507', 'BUS-<N>') AS message FROM logs WHERE level IN ('ERROR', 'FATAL'))) SELECT h AS message_hash, count(*) AS n, count(DISTINCT runnable) AS runnables FROM n GROUP BY h""",
 }
