@@ -56,6 +56,7 @@ def fit(rows: DataFrame, column: str = "z", id_columns: tuple[str, ...] = ("runn
     mark = F.xxhash64(*id_columns, F.lit(seed))
     n = rows.count()
     size = max(1, min(sample, n))
+    # Top rows of each partition first, then of these; no full sort.
     drawn = rows.select(F.col(column).alias("x"), mark.alias("h")).orderBy("h", "x").limit(trees * size)
     numbered = drawn.withColumn("i", F.row_number().over(W.orderBy("h", "x")) - 1)  # bounded by trees * size
     if n >= trees * size:

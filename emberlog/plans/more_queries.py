@@ -133,9 +133,10 @@ def q_top_features(spark: SparkSession, d: str) -> DataFrame:
 
 def q_iforest_score(spark: SparkSession, d: str) -> DataFrame:
     names = (*risk.FEATURES, "state_risk")
-    x = risk.matrix(_vectors(spark, d).where("error_count_1h > 0"))
+    # Read by the scaler, the sample and the scores; lost blocks are computed anew.
+    x = risk.matrix(_vectors(spark, d).where("error_count_1h > 0")).select("runnable", "t", "x").persist()
     z = risk.zscores(x, risk.scaler(x, names))
-    scored = iforest.labels(iforest.score(z, iforest.forest(iforest.fit(z))), 0.02)
+    scored = iforest.labels(iforest.score(z, iforest.forest(iforest.fit(z))).select("runnable", "t", "score").persist(), 0.02)
     return risk.normalised(scored).select("runnable", "t", "score", "label", "risk_score", "risk_level")
 
 

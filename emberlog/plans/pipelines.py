@@ -39,7 +39,7 @@ def records_to_alerts(records: DataFrame, catalogue: Catalogue = DEFAULT, minute
 
 def train(vectors: DataFrame, names: tuple[str, ...] = risk.FEATURES, trees: int = iforest.TREES, seed: int = iforest.SEED) -> tuple[DataFrame, DataFrame]:
     """(trees, scaler) of feature vectors."""
-    x = risk.matrix(vectors, names)
+    x = risk.matrix(vectors, names).select("runnable", "t", "x").persist()  # for scaler, count and sample
     fitted = risk.scaler(x, (*names, "state_risk"))
     return iforest.fit(risk.zscores(x, fitted), trees=trees, seed=seed), fitted
 
