@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from emberlog.operators.risk import exact_percentiles
+
 EULER = 0.5772156649015329
 SAMPLE, TREES, SEED = 256, 200, 42
 TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
@@ -120,8 +122,10 @@ def score(rows: DataFrame, model: Forest, column: str = "z") -> DataFrame:
 
 def labels(rows: DataFrame, contamination: float = 0.03, by: list[str] | None = None) -> DataFrame:
     """Adds offset (the contamination's percentile of score), decision (score less offset) and label (-1 below it, else 1)."""
-    cut = (rows.groupBy(*by) if by else rows.groupBy()).agg(F.percentile("score", F.lit(contamination)).alias("offset"))
-    out = rows.join(cut, by) if by else rows.crossJoin(F.broadcast(cut))
+    if by:
+        out = rows.join(rows.groupBy(*by).agg(F.percentile("score", F.lit(contamination)).alias("offset")), by)
+    else:
+        out = rows.withColumn("offset", F.lit(exact_percentiles(rows, F.col("score"), (contamination,))[0]).cast("double"))
     return out.withColumns({"decision": F.col("score") - F.col("offset"), "label": F.when(F.col("score") < F.col("offset"), -1).otherwise(1)})
 
 

@@ -46,11 +46,46 @@ def zscores(rows: DataFrame, fitted: DataFrame) -> DataFrame:
     return out.withColumn("z", F.zip_with("x", "__p", lambda x, p: (x - p["mean"]) / p["std"])).drop("__p")
 
 
+def exact_percentiles(rows: DataFrame, value: Column, shares: tuple[float, ...], buckets: int = 4096) -> list[float | None]:
+    """Percentiles with linear interpolation, over all rows and exact, without gathering them.
+
+    Buckets of equal width are counted; only the few that hold a wanted rank are looked into, value by value, so the last
+    step sees about one of `buckets` parts of the values. Null and not-a-number are left out; without values: None.
+    """
+    v = rows.select(value.cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)").persist()
+    n, lo, hi = v.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    if not n or lo == hi:
+        v.unpersist()
+        return [lo] * len(shares)
+    place = F.least(F.floor((F.col("v") - lo) / ((hi - lo) / buckets)), F.lit(buckets - 1)).cast("int").alias("b")
+    counts = sorted((r["b"], r["count"]) for r in v.groupBy(place).count().collect())  # at most `buckets` rows
+    starts, total = {}, 0
+    for b, c in counts:
+        starts[b] = total
+        total += c
+    ranks = sorted({r for p in shares for h in [p * (n - 1)] for r in (int(h), min(int(h) + 1, n - 1))})
+    inside = {r: max((b for b in starts if starts[b] <= r), key=lambda b: starts[b]) for r in ranks}
+    some = v.select("v", place).where(F.col("b").isin(sorted(set(inside.values())))).groupBy("b", "v").count()
+    before = F.sum("count").over(W.partitionBy("b").orderBy("v")) - F.col("count")
+    met = some.select("b", "v", "count", before.alias("before"))
+    hit = F.lit(False)
+    for r, b in inside.items():
+        hit = hit | ((F.col("b") == b) & (F.col("before") + starts[b] <= r) & (F.lit(r) < F.col("before") + starts[b] + F.col("count")))
+    found = met.where(hit).collect()
+    v.unpersist()
+    at = {r: next(x["v"] for x in found if x["b"] == b and x["before"] + starts[b] <= r < x["before"] + starts[b] + x["count"]) for r, b in inside.items()}
+    return [at[int(h)] + (at[min(int(h) + 1, n - 1)] - at[int(h)]) * (h - int(h)) for h in (p * (n - 1) for p in shares)]
+
+
 def normalised(rows: DataFrame, score: str = "score", by: list[str] | None = None) -> DataFrame:
-    """Adds risk_score, 0 to 100, between the 1st and 99th percentile of -score in the batch; 0 for all if these are equal."""
+    """Adds risk_score, 0 to 100, between the 1st and 99th percentile of -score in the batch (or key); 0 for all if these are equal."""
     neg = -F.col(score)
-    bounds = (rows.groupBy(*by) if by else rows.groupBy()).agg(F.percentile(neg, F.lit(0.01)).alias("__lo"), F.percentile(neg, F.lit(0.99)).alias("__hi"))
-    joined = rows.join(bounds, by) if by else rows.crossJoin(F.broadcast(bounds))
+    if by:
+        bounds = rows.groupBy(*by).agg(F.percentile(neg, F.lit(0.01)).alias("__lo"), F.percentile(neg, F.lit(0.99)).alias("__hi"))
+        joined = rows.join(bounds, by)
+    else:
+        lo, hi = exact_percentiles(rows, neg, (0.01, 0.99))
+        joined = rows.withColumns({"__lo": F.lit(lo).cast("double"), "__hi": F.lit(hi).cast("double")})
     spread = F.col("__hi") - F.col("__lo")
     value = F.when(spread < 1e-10, 0.0).otherwise(F.least(F.greatest((neg - F.col("__lo")) / F.when(spread < 1e-10, 1.0).otherwise(spread) * 100, F.lit(0.0)), F.lit(100.0)))
     return joined.withColumn("risk_score", value).withColumn("risk_level", level(F.col("risk_score"))).drop("__lo", "__hi")

@@ -241,3 +241,13 @@ def test_reports(spark):
     v = features.log_vectors(records(spark, random_records(200, 5)))
     assert report.by_hour(v, "error_count_5m").count() == 24
     assert report.recall_curve(v.withColumn("risk_score", F.lit(50.0))).where("recall = 1").count() == 11
+
+
+def test_percentiles_are_exact(spark):
+    rng = np.random.default_rng(0)
+    for values in ([1.0], [2.0, 2.0, 2.0], [1.0, 2.0], rng.normal(size=500).tolist() + [3.0] * 100, (rng.pareto(0.3, 300)).tolist()):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+        for buckets in (3, 4096):
+            got = risk.exact_percentiles(df, F.col("v"), (0.0, 0.01, 0.5, 0.97, 1.0), buckets)
+            assert np.allclose(got, np.quantile(values, [0.0, 0.01, 0.5, 0.97, 1.0]))
+    assert risk.exact_percentiles(df.where("false"), F.col("v"), (0.5,)) == [None]
