@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from emberlog.llm import common
 from emberlog.llm.components import connected_components
+from emberlog.llm.similar import band_keys, merge_similar, shingle_set
 
 #: Segments of a 64-bit fingerprint: first bit and width; the last is padded to the code's 23 bits.
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -159,32 +160,58 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, similarity: float | None = 0.8, similar_shingle: int = 5) -> DataFrame:
     """One row of each class of near-duplicates, with all its columns: that with the least key, of equal keys that with the least hash of its text.
 
-    Rows are told by key and text; rows equal in both are one. A class without any key keeps the row with the least hash.
+    Fingerprints link at two or fewer differing bits. Near copies mostly differ in more bits than the code can bridge, so
+    texts whose sets of similar_shingle-word shingles have at least that Jaccard similarity are linked too (None: they
+    aren't). Rows are told by key and text; rows equal in both are one. A class without any key keeps the row with the
+    least hash; empty and null texts are one class.
     """
     mark = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     plain = df.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_KEY)), "__mark": mark})
-    prints = common.checkpoint(marked_fingerprints(plain, text_col, shingle))
+    prints = common.checkpoint(marked_fingerprints(plain, text_col, shingle, similar_shingle if similarity else 0))
     row = F.struct((F.col("doc_id") == NO_KEY).alias("last"), "doc_id", "mark")
     nodes = prints.groupBy("fp").agg(F.min(row).alias("first"))
     found = connected_components(links(nodes))
-    classes = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("first", F.coalesce("component", "fp").alias("component"))
+    classes = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    if similarity:
+        classes = common.checkpoint(classes)
+        known = prints.where("size > 0").join(classes.select("fp", F.col("component").alias("c")), "fp")
+        items = known.groupBy("item").agg(F.min("c").alias("c"), F.min(F.struct("doc_id", "mark", "size", "bands")).alias("r"))
+        items = common.checkpoint(items.select("item", "c", "r.*"))
+        equal = known.select("item", F.col("c").alias("a")).distinct().join(items.select("item", F.col("c").alias("b")), "item").where("a <> b").select("a", "b")
+        texts = plain.select(F.col("__doc").alias("doc_id"), F.col("__mark").alias("mark"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+        found = connected_components(equal.union(merge_similar(items, texts, similarity, similar_shingle)))
+        found = found.select(F.col("node").alias("component"), F.col("component").alias("wider"))
+        classes = classes.join(found, "component", "left").withColumn("component", F.coalesce("wider", "component"))
     kept = common.checkpoint(classes.groupBy("component").agg(F.min("first").alias("k")).select(F.col("k.doc_id").alias("__doc"), F.col("k.mark").alias("__mark")))
     # A kept key and text may stand in several equal rows, of which one stays; that needs no further shuffle.
     return plain.join(kept, ["__doc", "__mark"], "left_semi").dropDuplicates(["__doc", "__mark"]).drop("__doc", "__mark")
 
 
-def marked_fingerprints(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, mark, fp) of rows with columns __doc and __mark."""
+def marked_fingerprints(df: DataFrame, text_col: str, shingle: int, similar_shingle: int) -> DataFrame:
+    """(doc_id, mark, fp) of rows with columns __doc and __mark; with similar_shingle the digest (item), size and bands of the set of its shingles too."""
     common.prepare(df.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import xxhash
 
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "mark", "fp"])
-
-    return df.select("__doc", "__mark", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, "doc_id long, mark long, fp long")
+            texts = batch.column(2).to_pylist()
+            columns = [batch.column(0), batch.column(1), pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))]
+            names = ["doc_id", "mark", "fp"]
+            if similar_shingle:
+                digests, sizes, bands = [], [], []
+                for text in texts:
+                    hashes = shingle_set(text, similar_shingle)
+                    digests.append(xxhash.xxh128_digest(hashes.tobytes()))
+                    sizes.append(len(hashes))
+                    bands.append(band_keys(hashes))
+                columns += [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+                names += ["item", "size", "bands"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "doc_id long, mark long, fp long" + (", item binary, size long, bands array<long>" if similar_shingle else "")
+    return df.select("__doc", "__mark", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, schema)

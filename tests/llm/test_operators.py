@@ -15,7 +15,7 @@ import public_tokenizers
 import xxhash
 from pyspark.sql import functions as F
 
-from emberlog.llm import bpe, components, decontaminate, html_extract, license_scan, quality, quote_links, simhash, token_files, url_filter, warc
+from emberlog.llm import bpe, components, decontaminate, html_extract, license_scan, quality, quote_links, similar, simhash, token_files, url_filter, warc
 from emberlog.llm.chunks import ChunkEncoder
 from emberlog.llm.common import shared_dir
 
@@ -238,6 +238,39 @@ def test_near_duplicates(docs):
     assert simhash.near_duplicates(empty(docs)).count() == 0 and simhash.keep_first(empty(docs)).count() == 0
 
 
+def test_similar_texts_against_brute_force(spark, monkeypatch):
+    """Chains and clouds of near copies, texts around a shared passage, and the cases of TEXTS."""
+    monkeypatch.setattr(similar, "PAIRWISE", 16)
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(900)]
+    text = lambda n: [rng.choice(words) for _ in range(n)]
+    texts = list(TEXTS)
+    base, passage, chain = text(150), text(80), text(120)
+    for _ in range(40):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 6)):
+            copy[rng.randrange(150)] = rng.choice(words)
+        texts += [" ".join(copy), " ".join(text(30) + passage + text(30))]
+    for k in range(12):
+        chain = chain[6:] + text(6)
+        texts.append("  ".join(chain).title() if k % 2 else " ".join(chain))
+    rng.shuffle(texts)
+    df = spark.createDataFrame([(k, t, "x", "y") for k, t in enumerate(texts)], "doc_id long, text string, item string, c string")
+    sets = [similar.shingle_set(t or "") for t in texts]
+    prints = [simhash.fingerprint(t or "") for t in texts]
+    plain = [set(zip(*(w[k:] for k in range(5)), strict=False)) or {tuple(w)} - {()} for w in (WORDS.findall((t or "").translate(LOWER)) for t in texts)]
+    assert [len(s) for s in sets] == [len(p) for p in plain]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(plain[a] & plain[b])
+            if (prints[a] ^ prints[b]).bit_count() <= 2 or both and both >= 0.8 * (len(plain[a]) + len(plain[b]) - both):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (100, 100), (200, 7)] + [(300, k) for k in range(301, 330)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame([*edges, (None, 5)], "a long, b long")).collect()}
