@@ -16,6 +16,8 @@ from emberlog.llm.components import connected_components
 BANDS, ROWS = 20, 5
 #: Buckets up to this size are compared pair by pair where one comparison with their leader isn't enough; larger ones are split.
 PAIRWISE = 48
+#: Comparisons of a bucket's members with one leader after another, before pairs or a split: most members find their class there.
+TURNS = 4
 #: Shingles whose min-hashes are computed at a time, so that very long texts take no more memory.
 CHUNK = 2048
 PRIME = np.uint64(0x9E3779B185EBCA87)
@@ -116,9 +118,9 @@ def _refreshed(rows: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.join(found, "c", "left").withColumn("c", F.coalesce("now", "c")).drop("now")
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of buckets (k) with more than one class, with the bucket's size n and leader, its member with the least hash."""
-    leader = F.min(F.struct(F.xxhash64("k", "item").alias("h"), "item", "c", "size")).alias("leader")
+def _mixed(rows: DataFrame, turn: int = 0) -> DataFrame:
+    """Rows of buckets (k) with more than one class, with the bucket's size n and leader, the member with the least hash of that turn."""
+    leader = F.min(F.struct(F.xxhash64("k", "item", F.lit(turn)).alias("h"), "item", "c", "size")).alias("leader")
     buckets = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high"), leader).where("low < high")
     return rows.join(buckets.select("k", "n", "leader"), "k")
 
@@ -128,7 +130,7 @@ def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, s
 
     items has a row per different set of shingles: item (its digest), c (its class, long), size, bands, and doc_id and
     mark, which tell a row of texts (doc_id, mark, text) with it. Members of a bucket are compared with its leader, which
-    changes from bucket to bucket; where that leaves more than one class, small buckets are compared across classes pair by
+    changes from bucket to bucket and turn to turn; where that leaves more than one class, small buckets are compared across classes pair by
     pair and large ones are split by bands of their own until they are small, so that no pair of a bucket is dropped and
     rows stay in proportion to members. The loop ends where no bucket is left; each level keeps under a third of the
     members that aren't similar together.
@@ -140,20 +142,23 @@ def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, s
     edges = None
     level = 0
     while True:
-        stars = shared.where("c <> leader.c").where(_near_in_size("size", "leader.size", similarity))
-        stars = stars.select(F.col("item").alias("x"), F.col("leader.item").alias("y"), F.col("c").alias("a"), F.col("leader.c").alias("b")).dropDuplicates(["x", "y"])
-        found = common.checkpoint(_verified(stars, sets, similarity))
-        edges = found if edges is None else edges.union(found)
-        left = shared.where("n > 2").select("item", "c", "size", "k")
-        if left.isEmpty():
-            return edges
-        left = common.checkpoint(_mixed(_refreshed(left, edges)))
-        small = left.where(F.col("n") <= PAIRWISE)
-        one, two = (small.select("k", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias(s), F.col("leader.item").alias("l" + i)) for i, c, s in (("x", "a", "sx"), ("y", "b", "sy")))
-        pairs = one.join(two, "k").where("x > y AND a <> b AND x <> lx AND y <> lx").where(_near_in_size("sx", "sy", similarity))
-        edges = edges.union(common.checkpoint(_verified(pairs.dropDuplicates(["x", "y"]).select("x", "y", "a", "b"), sets, similarity)))
-        rest = left.where(F.col("n") > PAIRWISE)
+        for turn in range(1, TURNS + 1):
+            stars = shared.where("c <> leader.c").where(_near_in_size("size", "leader.size", similarity))
+            stars = stars.select(F.col("item").alias("x"), F.col("leader.item").alias("y"), F.col("c").alias("a"), F.col("leader.c").alias("b")).dropDuplicates(["x", "y"])
+            found = common.checkpoint(_verified(stars, sets, similarity))
+            edges = found if edges is None else edges.union(found)
+            left = shared.where("n > 2").select("item", "c", "size", "k")
+            shared = common.checkpoint(_mixed(_refreshed(left, edges), turn))
+            if shared.isEmpty():
+                return edges
+        small = shared.where(F.col("n") <= PAIRWISE)
+        one, two = (small.select("k", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias(s)) for i, c, s in (("x", "a", "sx"), ("y", "b", "sy")))
+        pairs = one.join(two, "k").where("x > y AND a <> b").where(_near_in_size("sx", "sy", similarity))
+        edges = edges.union(common.checkpoint(_verified(pairs.select("x", "y", "a", "b").dropDuplicates(["x", "y"]), sets, similarity)))
+        rest = shared.where(F.col("n") > PAIRWISE)
         if rest.isEmpty():
             return edges
         level += 1
         shared = common.checkpoint(_mixed(_split(_refreshed(rest.select("item", "c", "size", "k"), edges), sets, level)))
+        if shared.isEmpty():
+            return edges
