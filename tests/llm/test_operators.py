@@ -314,6 +314,19 @@ def test_quotes(spark):
     assert quote_links.link_quotes(empty(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).count() == 0
 
 
+def test_quotes_of_parts(spark):
+    """Paragraphs, lines and sentences of a longer message, also with others left out or lines broken anew."""
+    long = "Alpha one two.\n\nBeta three four.\nBeta five six.\nBeta seven.\n\nGamma says this. Then it says more of it here. End.\n\nDelta nine."
+    quotes = [
+        "> Beta three four.\n> Beta five six.\n> Beta seven.\n>\n> Gamma says this. Then it says more of it here. End.", "> beta three four.\n> Beta five six.", "> Then it says\n> more of it here.", "> Alpha one two.\n>\n> Delta nine.",
+        "> Beta three four.\n> Beta seven.", "> Gamma says that.", "> eta three four.",
+    ]
+    rows = [(1, 0, "user", long)] + [(1, k + 1, "a", q + "\nOwn words number " + "x" * k) for k, q in enumerate(quotes)] + [(2, 0, "a", "> says more of it here."), (2, 1, "a", "> says more")]
+    got = {(r.conv_id, r.turn): r for r in quote_links.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert {k for k, r in got.items() if r.n_linked == 1 and (r.parent_conv, r.parent_turn, r.depth) == (1, 0, 1)} == {*((1, k) for k in range(1, 6)), (2, 0)}
+    assert all(got[k].n_linked == 0 and got[k].parent_turn is None and got[k].n_quotes == 1 for k in ((1, 6), (1, 7), (2, 1)))
+
+
 def test_url_rules_and_aliases(spark):
     link = '<link rel="canonical" href="{}">'
     rows = [
