@@ -28,7 +28,7 @@ NOTICES = {
     "all rights reserved": "proprietary",
 }
 TAG = "spdx license identifier"
-TAG_LINE = re.compile(r"spdx-license-identifier[ \t]*:[ \t]*([^\r\n]{1,2000})", re.I)
+TAG_LINE = re.compile(r"spdx-license-identifier[ \t]*:[ \t]*([^\r\n]+)", re.I)
 #: Prefixes of licence identifiers, lower case, longest first where one begins another, with label and restrictiveness.
 FAMILIES = (
     ("agpl", "agpl", 4),

@@ -58,6 +58,12 @@ def test_license_expressions():
             license_scan.postfix(bad)
 
 
+def test_long_license_expressions_are_read_whole():
+    line = "SPDX-License-Identifier: (" + " OR ".join(["MIT"] * 500) + ") AND GPL-3.0-only"
+    got = license_scan.scan(line)
+    assert got[5] == "gpl,mit" and got[8] is False and len(got[7]) == 1
+
+
 def test_quality_statistics():
     rng = random.Random(1)
     for _ in range(200):
