@@ -9,7 +9,7 @@ from emberlog.llm.common import checkpoint
 
 WINDOW = 5
 SIMILARITY = 0.8
-#: A window must have so many words that aren't placeholders.
+#: A window of a template must have so many words that aren't placeholders.
 LITERALS = 2
 #: Up to so many different windows of the benchmark are compared with inside the scan; more are joined by a shuffle.
 IN_SCAN = 50_000
@@ -49,6 +49,18 @@ def windows(words: Column) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(i.alias("i"), hash_at(words, i).alias("h")))).otherwise(F.array().cast("array<struct<i:int,h:bigint>>"))
 
 
+def short_hash(words: Column) -> Column:
+    """Hash of a whole sequence of fewer words than a window has."""
+    return F.xxhash64(F.array_join(words, " "))
+
+
+def short_windows(words: Column, sizes: list[int]) -> Column:
+    """(i, h) of all sequences of so many words; of one word, only if it's the whole text."""
+    none = F.array().cast("array<struct<i:int,h:bigint>>")
+    at = lambda k: F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0))), lambda i: F.struct(i.alias("i"), short_hash(F.slice(words, i + 1, k)).alias("h")))
+    return F.concat(none, *[F.when(F.size(words) == k if k == 1 else F.size(words) >= k, at(k)).otherwise(none) for k in sizes])
+
+
 def slots(words: Column, raw: Column, i: Column) -> Column:
     """(place, word) of a window's placeholders."""
     at = F.filter(F.sequence(F.lit(0), F.lit(WINDOW - 1)), lambda k: F.get(words, i + k).rlike(f"[{NUMBER}{NAME}{UNIT}]"))
@@ -56,60 +68,82 @@ def slots(words: Column, raw: Column, i: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(h, item, j, need, slots): windows of each different template; item is its least id, need how many must be found."""
+    """(h, item, j, lit, n, need, n_all, need_all, slots): windows of each different template; item is its least id.
+
+    Windows of the template with enough literals (lit), of which need of n must be found, and beside them windows of plain
+    words at the same places, whatever their case, of which need_all of n_all must be. An item of fewer words is one window.
+    """
     text = F.col(text_col).cast("string")
     rows = benchmark.select(F.col(id_col).cast("long").alias("item"), template(text).alias("t"), plain(text).alias("p")).where("t != ''")
-    one = rows.groupBy("t").agg(F.min(F.struct("item", "p")).alias("x")).select(F.col("x.item").alias("item"), F.split("t", " ").alias("w"), F.split("x.p", " ").alias("r"))
+    one = rows.groupBy("t").agg(F.min(F.struct("item", "p")).alias("x")).select("t", F.col("x.item").alias("item"), F.split("t", " ").alias("w"), F.split("x.p", " ").alias("r"))
     w, r = F.col("w"), F.col("r")
     literal = lambda i: F.size(F.filter(F.slice(w, i + 1, WINDOW), lambda x: ~x.rlike(f"[{NUMBER}{NAME}{UNIT}]")))
+    # A window of plain words must hold a letter.
     cut = F.filter(windows(w), lambda x: literal(x["i"]) >= LITERALS)
-    kept = checkpoint(checkpoint(one).select("item", "w", "r", cut.alias("x")))
-    each = kept.select("item", "w", "r", F.ceil(F.size("x") * F.lit(SIMILARITY) - 1e-9).alias("need"), F.size("x").alias("n"), F.explode("x").alias("x"))
-    first = each.select("item", "n", "need", F.col("x.i").alias("j"), F.col("x.h").alias("h"), slots(w, r, F.col("x.i")).alias("b"))
+    words = F.filter(windows(r), lambda x: F.exists(F.slice(r, x["i"] + 1, WINDOW), lambda y: y.rlike(r"\p{L}")))
+    few = F.when((F.size(r) < WINDOW) & F.exists(r, lambda y: y.rlike(r"\p{L}")), F.array(F.struct(F.lit(0).alias("i"), short_hash(r).alias("h")))).otherwise(F.array().cast("array<struct<i:int,h:bigint>>"))
+    own = F.concat(words, few)
+    kept = checkpoint(checkpoint(one).select("t", "item", "w", "r", cut.alias("x"), own.alias("y")))
+    places = F.transform("x", lambda x: x["i"])
+    n_all = F.size(F.array_union(places, F.transform("y", lambda x: x["i"])))
+    need = lambda n: F.ceil(n * F.lit(SIMILARITY) - 1e-9)
+    kept = kept.select("t", "w", "r", "item", "x", places.alias("places"), F.size("x").alias("n"), need(F.size("x")).alias("need"), n_all.alias("n_all"), need(n_all).alias("need_all"))
+    told = ("item", "n", "need", "n_all", "need_all")
+    each = kept.select("w", "r", *told, F.explode("x").alias("x"))
+    first = each.select(*told, F.lit(True).alias("lit"), F.col("x.i").alias("j"), F.col("x.h").alias("h"), slots(w, r, F.col("x.i")).alias("b"))
     # In a text the first word may follow a word without a stop, and then looks like a name.
-    named = each.where("x.i = 0").select("item", "n", "need", F.lit(0).alias("j"), hash_at(w, F.lit(0), F.lit(NAME)).alias("h"), F.filter(slots(w, r, F.lit(0)), lambda s: s["k"] > 0).alias("b"))
-    return checkpoint(first.union(named).dropDuplicates(["h", "item", "j"]))
+    named = each.where("x.i = 0").select(*told, F.lit(True).alias("lit"), F.lit(0).alias("j"), hash_at(w, F.lit(0), F.lit(NAME)).alias("h"), F.filter(slots(w, r, F.lit(0)), lambda s: s["k"] > 0).alias("b"))
+    # Items that share a template have plain words of their own.
+    variants = rows.select("t", F.split("p", " ").alias("r")).distinct().join(kept.select("t", "places", *told), "t")
+    same = variants.select(*told, "places", own.alias("y")).select(*told, "places", F.explode("y").alias("y")).select(*told, F.array_contains("places", F.col("y.i")).alias("lit"), F.col("y.i").alias("j"), F.col("y.h").alias("h"), F.array().cast("array<struct<k:int,v:string>>").alias("b"))
+    return checkpoint(first.union(named).union(same).dropDuplicates(["h", "item", "j"]))
 
 
 def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", in_scan: int = IN_SCAN) -> DataFrame:
     """(doc_id, mark, item, n, found, changed): documents that hold a benchmark item, also with other numbers, names or units.
 
-    An item is found if at least SIMILARITY of its windows of five words are, in windows whose slots are consistent: along
+    An item is found if at least SIMILARITY of its windows of five words are, as the same words whatever their case and
+    white space, or in windows whose slots are consistent: along
     one alignment, each word that stands in slots of the item has always the same counterpart. changed says whether some
     counterpart differs: a re-parameterised question. mark is a hash of the text; with doc_id it names the row.
     """
     known = benchmark_windows(benchmark, item_col, item_text_col)
     hashes = [x[0] for x in known.select("h").distinct().limit(in_scan + 1).collect()]  # bounded
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).select("doc_id", "text", F.split(template(F.col("text")), " ").alias("w"))
-    cut = windows(F.col("w"))
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).select("doc_id", "text", F.split(template(F.col("text")), " ").alias("w"), F.split(plain(F.col("text")), " ").alias("r"))
+    sizes = sorted(x[0] for x in benchmark.select(F.size(F.split(plain(F.col(item_text_col).cast("string")), " ")).alias("n")).where(F.col("n").between(1, WINDOW - 1)).distinct().collect())
+    # No array_distinct: on structs its time is quadratic. A window met twice counts once below.
+    cut = F.concat(windows(F.col("w")), windows(F.col("r")), *([short_windows(F.col("r"), sizes)] if sizes else []))
     if len(hashes) <= in_scan:
         # The windows' hash table is bounded, so it goes to the scan; only windows that are in it become rows.
         cut = F.filter(cut, lambda x: x["h"].isin(hashes)) if hashes else F.array().cast("array<struct<i:int,h:bigint>>")
     # Rows without windows go at the explode; a filter would be pushed below and repeat these expressions.
-    hit = rows.select("doc_id", "text", "w", cut.alias("x"))
-    hit = hit.select("doc_id", F.xxhash64("text").alias("mark"), "w", "x", F.when(F.size("x") > 0, F.split(plain(F.col("text")), " ")).alias("r"))
+    hit = rows.select("doc_id", F.xxhash64("text").alias("mark"), "w", "r", cut.alias("x"))
     found = hit.select("doc_id", "mark", F.explode(F.transform("x", lambda x: F.struct(x["i"].alias("i"), x["h"].alias("h"), slots(F.col("w"), F.col("r"), x["i"]).alias("d")))).alias("x"))
     table = F.broadcast(known) if len(hashes) <= in_scan else known
     met = found.select("doc_id", "mark", "x.i", "x.h", "x.d").join(table, "h")
     pair = F.filter(F.transform("b", lambda s: F.struct(s["v"].alias("b"), F.filter("d", lambda t: t["k"] == s["k"])[0]["v"].alias("d"))), lambda p: p["d"].isNotNull())
-    met = met.select("doc_id", "mark", "item", "n", "need", (F.col("i") - F.col("j")).alias("shift"), "j", pair.alias("pairs"))
-    # Along one alignment an item's window is met once, so what is gathered is bounded by the item's length.
-    lines = met.groupBy("doc_id", "mark", "item", "n", "need", "shift").agg(F.collect_list(F.struct("j", "pairs")).alias("x"))
+    told = ("doc_id", "mark", "item", "n", "need", "n_all", "need_all")
+    met = met.select(*told, (F.col("i") - F.col("j")).alias("shift"), "j", "lit", pair.alias("pairs"))
+    # Along one alignment an item's window is met at most twice, so what is gathered is bounded by the item's length.
+    lines = met.groupBy(*told, "shift").agg(F.collect_list(F.struct("j", "lit", "pairs")).alias("x"))
     seen = F.array_distinct(F.flatten(F.transform("x", lambda x: x["pairs"])))
     lines = lines.withColumn("seen", seen).withColumn("bad", F.filter(F.transform("seen", lambda p: p["b"]), lambda b: F.size(F.filter("seen", lambda q: q["b"] == b)) > 1))
     good = F.filter("x", lambda x: ~F.exists(x["pairs"], lambda p: F.array_contains("bad", p["b"])))
-    good = F.transform(good, lambda x: F.struct(x["j"].alias("j"), F.exists(x["pairs"], lambda p: p["b"] != p["d"]).alias("other")))
-    each = lines.select("doc_id", "mark", "item", "n", "need", F.explode(good).alias("g")).groupBy("doc_id", "mark", "item", "n", "need", F.col("g.j").alias("j")).agg(F.min("g.other").alias("other"))
-    return each.groupBy("doc_id", "mark", "item", "n", "need").agg(F.count("*").alias("found"), F.max("other").alias("changed")).where("found >= need").select("doc_id", "mark", "item", "n", "found", "changed")
+    good = F.transform(good, lambda x: F.struct(x["j"].alias("j"), x["lit"].alias("lit"), F.exists(x["pairs"], lambda p: p["b"] != p["d"]).alias("other")))
+    each = lines.select(*told, F.explode(good).alias("g")).groupBy(*told, F.col("g.j").alias("j")).agg(F.max("g.lit").alias("lit"), F.min("g.other").alias("other"))
+    sums = each.groupBy(*told).agg(F.count_if("lit").alias("found_lit"), F.count("*").alias("found"), F.max(F.when(F.col("lit"), F.col("other"))).alias("changed_lit"), F.max("other").alias("changed"))
+    by_template, by_all = (F.col("n") > 0) & (F.col("found_lit") >= F.col("need")), (F.col("n_all") > 0) & (F.col("found") >= F.col("need_all"))
+    of = lambda a, b: F.when(by_template, F.col(a)).otherwise(F.col(b))
+    return sums.where(by_template | by_all).select("doc_id", "mark", "item", of("n", "n_all").alias("n"), of("found_lit", "found").alias("found"), of("changed_lit", "changed").alias("changed"))
 
 
 def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Contaminated documents with the items they hold: doc_id, item_id, n_windows, n_found, share, reparameterised.
 
-    item_id is the least id of the items with the same template. Null and empty texts hold nothing; items with fewer than
-    five words, or none but placeholders, have no window and aren't found; a null key stays null; repeated rows count
-    once; an empty table on either side gives no rows; other columns are left out.
+    item_id is the least id of the items with the same template. Null and empty texts hold nothing; an item of two to four
+    words is found by its whole sequence, one of a single word only as a whole text; items without a letter have no window
+    and aren't found; a null key stays null; repeated rows count once; an empty table on either side gives no rows; other columns are left out.
     """
     found = matches(df, benchmark, id_col, text_col, item_col, item_text_col)
     return found.select("doc_id", F.col("item").alias("item_id"), F.col("n").cast("long").alias("n_windows"), F.col("found").alias("n_found"), (F.col("found") / F.col("n")).alias("share"), F.col("changed").alias("reparameterised"))

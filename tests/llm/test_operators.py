@@ -300,6 +300,19 @@ def test_decontamination(spark):
     assert decontaminate.contamination(df, benchmark.where("false")).count() == 0 and decontaminate.contamination(empty(df), benchmark).count() == 0
 
 
+def test_copies_in_other_case_or_lines_are_found(spark):
+    """Also copies whose names don't look like names, items heavy with numbers, and short items."""
+    item = "One day Anna and Otto took the old road from Bremen to Hamburg, where Maria sold 3 maps of the whole coast to Karl and his friends."
+    heavy = "Set 1 2 3 4 5 6 then add 7 8 9 10 11 12 once"
+    benchmark = spark.createDataFrame([(1, item), (2, heavy), (3, "Blue whales sing"), (4, "Maps"), (5, "1 2 3 4 5 6 7"), (6, item.replace("Anna", "Ida").replace("Otto", "Jan").replace("Bremen", "Rome").replace("Maria", "Zoe"))], "item_id long, text string")
+    texts = [item.lower(), item.upper(), item.title(), item.replace(" ", "\n"), item.replace(" ", "  "), "x " + heavy + " y", "Do BLUE whales\nsing?", "maps", "1 2 3 4 5 6 7", "blue whales can sing of maps", " ".join(item.lower().split()[:14])]
+    texts.append(item.replace("Anna", "Ida").replace("Otto", "Jan").replace("Bremen", "Rome").replace("Maria", "Zoe").upper())
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for bound in (decontaminate.IN_SCAN, 3):
+        got = {(r.doc_id, r.item, r.changed) for r in decontaminate.matches(df, benchmark, in_scan=bound).collect()}
+        assert got == {*((k, 1, False) for k in range(5)), (5, 2, False), (6, 3, False), (7, 4, False), (11, 1, False)}
+
+
 def test_slots_must_be_consistent(spark):
     item = "Anna has 3 pens. " * 4
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
