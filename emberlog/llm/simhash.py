@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from emberlog.llm import common
 from emberlog.llm.components import connected_components
-from emberlog.llm.similar import band_keys, merge_similar, shingle_set
+from emberlog.llm.similar import merge_similar, shingle_set, sketch
 
 #: Segments of a 64-bit fingerprint: first bit and width; the last is padded to the code's 23 bits.
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -19,8 +19,6 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))
 GENERATOR = 0b110001110101
 #: Buckets up to this size are compared pair by pair; the members of larger ones meet at shared midpoints instead.
 PAIRWISE = 12
-#: Stands for a null key where rows are told by key and text.
-NO_KEY = -(1 << 63)
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -168,30 +166,30 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     aren't). Rows are told by key and text; rows equal in both are one. A class without any key keeps the row with the
     least hash; empty and null texts are one class.
     """
-    mark = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    plain = df.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_KEY)), "__mark": mark})
-    prints = common.checkpoint(marked_fingerprints(plain, text_col, shingle, similar_shingle if similarity else 0))
-    row = F.struct((F.col("doc_id") == NO_KEY).alias("last"), "doc_id", "mark")
-    nodes = prints.groupBy("fp").agg(F.min(row).alias("first"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = F.col(id_col).cast("long")
+    # The row's own columns stand in one, so that no name of theirs meets one of ours. Rows without a key have marks of their own.
+    plain = df.select(F.coalesce(key, F.lit(0).cast("long")).alias("doc_id"), F.xxhash64(text, key.isNull()).alias("mark"), key.isNull().alias("last"), text.alias("text"), F.struct("*").alias("row"))
+    prints = common.checkpoint(marked_fingerprints(plain, shingle, similar_shingle if similarity else 0))
+    nodes = prints.groupBy("fp").agg(F.min(F.struct("last", "doc_id", "mark")).alias("first"))
     found = connected_components(links(nodes))
     classes = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     if similarity:
         classes = common.checkpoint(classes)
         known = prints.where("size > 0").join(classes.select("fp", F.col("component").alias("c")), "fp")
-        items = known.groupBy("item").agg(F.min("c").alias("c"), F.min(F.struct("doc_id", "mark", "size", "bands")).alias("r"))
+        items = known.groupBy("item").agg(F.min("c").alias("c"), F.min(F.struct("doc_id", "mark", "size", "sketch")).alias("r"))
         items = common.checkpoint(items.select("item", "c", "r.*"))
         equal = known.select("item", F.col("c").alias("a")).distinct().join(items.select("item", F.col("c").alias("b")), "item").where("a <> b").select("a", "b")
-        texts = plain.select(F.col("__doc").alias("doc_id"), F.col("__mark").alias("mark"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-        found = connected_components(equal.union(merge_similar(items, texts, similarity, similar_shingle)))
+        found = connected_components(equal.union(merge_similar(items, plain.select("doc_id", "mark", "text"), similarity, similar_shingle)))
         found = found.select(F.col("node").alias("component"), F.col("component").alias("wider"))
         classes = classes.join(found, "component", "left").withColumn("component", F.coalesce("wider", "component"))
-    kept = common.checkpoint(classes.groupBy("component").agg(F.min("first").alias("k")).select(F.col("k.doc_id").alias("__doc"), F.col("k.mark").alias("__mark")))
+    kept = common.checkpoint(classes.groupBy("component").agg(F.min("first").alias("k")).select("k.doc_id", "k.mark"))
     # A kept key and text may stand in several equal rows, of which one stays; that needs no further shuffle.
-    return plain.join(kept, ["__doc", "__mark"], "left_semi").dropDuplicates(["__doc", "__mark"]).drop("__doc", "__mark")
+    return plain.select("doc_id", "mark", "row").join(kept, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"]).select("row.*")
 
 
-def marked_fingerprints(df: DataFrame, text_col: str, shingle: int, similar_shingle: int) -> DataFrame:
-    """(doc_id, mark, fp) of rows with columns __doc and __mark; with similar_shingle the digest (item), size and bands of the set of its shingles too."""
+def marked_fingerprints(df: DataFrame, shingle: int, similar_shingle: int) -> DataFrame:
+    """(doc_id, mark, last, fp) of rows (doc_id, mark, last, text); with similar_shingle the digest (item), size and sketch of the set of its shingles too."""
     common.prepare(df.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
@@ -199,19 +197,19 @@ def marked_fingerprints(df: DataFrame, text_col: str, shingle: int, similar_shin
         import xxhash
 
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            columns = [batch.column(0), batch.column(1), pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))]
-            names = ["doc_id", "mark", "fp"]
+            texts = batch.column(3).to_pylist()
+            columns = [*batch.columns[:3], pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))]
+            names = ["doc_id", "mark", "last", "fp"]
             if similar_shingle:
-                digests, sizes, bands = [], [], []
+                digests, sizes, sketches = [], [], []
                 for text in texts:
                     hashes = shingle_set(text, similar_shingle)
                     digests.append(xxhash.xxh128_digest(hashes.tobytes()))
                     sizes.append(len(hashes))
-                    bands.append(band_keys(hashes))
-                columns += [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-                names += ["item", "size", "bands"]
+                    sketches.append(sketch(hashes))
+                columns += [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
+                names += ["item", "size", "sketch"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, mark long, fp long" + (", item binary, size long, bands array<long>" if similar_shingle else "")
-    return df.select("__doc", "__mark", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, schema)
+    schema = "doc_id long, mark long, last boolean, fp long" + (", item binary, size long, sketch binary" if similar_shingle else "")
+    return df.select("doc_id", "mark", "last", "text").mapInArrow(run, schema)

@@ -1,7 +1,8 @@
-"""Links between texts with similar word shingles: min-hash bands give candidates, exact comparison decides."""
+"""Links between texts with similar word shingles: min-hash bands give candidates, sketches sift them, exact comparison decides."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -10,12 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm import common
-from emberlog.llm.components import connected_components
 
 #: Bands and min-hashes a band. Texts at a similarity of 0.8 share a band with a probability of 0.9996, closer ones with more.
 BANDS, ROWS = 20, 5
-#: Buckets up to this size are compared pair by pair where one comparison with their leader isn't enough; larger ones are split.
+#: Buckets up to this size are compared pair by pair where one comparison with their leader isn't enough; members of larger ones get bands of more min-hashes.
 PAIRWISE = 48
+#: Min-hashes that a deeper level adds to a band, and the probability that a pair may miss all bands of a deeper level.
+DEEPER, MISSED = 5, 0.002
+#: Standard errors by which a sketch's estimate may fall short of the similarity before a pair goes unverified (2 of 10,000 pairs just at it).
+ERRORS = 3.5
+#: Tables of up to so many keys (some 40 bytes each) are sent to all executors; larger ones are joined by a shuffle.
+SMALL_TABLE = 500_000
 #: Shingles whose min-hashes are computed at a time, so that very long texts take no more memory.
 CHUNK = 2048
 PRIME = np.uint64(0x9E3779B185EBCA87)
@@ -38,20 +44,41 @@ def shingle_set(text: str, shingle: int = 5) -> np.ndarray:
     return np.unique(found)
 
 
-@lru_cache(maxsize=64)
-def _factors(level: int) -> np.ndarray:
-    return np.random.default_rng([42, level]).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+@lru_cache(maxsize=16)
+def _factors(level: int, n: int) -> np.ndarray:
+    return np.random.default_rng([42, level]).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def band_keys(hashes: np.ndarray, level: int = 0) -> np.ndarray:
-    """One 64-bit key a band of a set's min-hashes; each level has its own. An empty set has none."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(hashes), CHUNK):
-        least = np.minimum(least, (hashes[k : k + CHUNK, None] * _factors(level)).min(axis=0))
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for column in least.reshape(BANDS, ROWS).T:
+def min_hashes(hashes: np.ndarray, level: int, n: int) -> np.ndarray:
+    """n min-hashes of a set that isn't empty; each level has its own."""
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, n, 512):  # bounds memory where a level has very many
+        factors = _factors(level, n)[at : at + 512]
+        for k in range(0, len(hashes), CHUNK):
+            least[at : at + 512] = np.minimum(least[at : at + 512], (hashes[k : k + CHUNK, None] * factors).min(axis=0))
+    return least
+
+
+def sketch(hashes: np.ndarray) -> bytes | None:
+    """The first 16 bits of each min-hash of level 0, band by band. An empty set has none."""
+    return (min_hashes(hashes, 0, BANDS * ROWS) >> np.uint64(48)).astype("<u2").tobytes() if len(hashes) else None
+
+
+def sketch_bands(column: str = "sketch") -> Column:
+    """The bands' keys of a sketch."""
+    wide = 2 * ROWS
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda t: F.xxhash64(t, F.substring(F.col(column), t * wide + 1, F.lit(wide))))
+
+
+def deep_bands(level: int, similarity: float) -> int:
+    """Bands of a deeper level: so many that a pair just at the similarity misses all of them with a probability of MISSED."""
+    return math.ceil(math.log(MISSED) / math.log1p(-(similarity ** (ROWS + DEEPER * level))))
+
+
+def deep_keys(hashes: np.ndarray, level: int, bands: int) -> np.ndarray:
+    """One 64-bit key a band of a deeper level, whose bands have DEEPER min-hashes more at each level."""
+    keys = np.arange(bands, dtype=np.uint64)
+    for column in min_hashes(hashes, level, bands * (ROWS + DEEPER * level)).reshape(bands, -1).T:
         keys = (keys ^ column) * PRIME
         keys ^= keys >> np.uint64(29)
     return keys.view(np.int64)
@@ -63,6 +90,12 @@ def shares(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both + 1e-9 >= similarity * (len(a) + len(b) - both)
 
 
+def _joined(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """big.join(small); small (a checkpointed table of keys) is counted, and sent to all executors only if it's within SMALL_TABLE."""
+    few = small.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE
+    return big.join(F.broadcast(small) if few else small, on, how)
+
+
 def _hashes(items: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """(item, hashes): the shingle hashes of items (item, doc_id, mark) from texts (doc_id, mark, text)."""
 
@@ -72,10 +105,27 @@ def _hashes(items: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, shingle).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["item", "hashes"])
 
-    found = texts.join(items, ["doc_id", "mark"]).select("item", "text").mapInArrow(run, "item binary, hashes binary")
+    found = _joined(texts, items, ["doc_id", "mark"]).select("item", "text").mapInArrow(run, "item binary, hashes binary")
     return found.dropDuplicates(["item"])
 
 
+def _sifted(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Different (x, y, a, b) of pairs (with sketches sx, sy) whose estimated similarity isn't clearly too small."""
+    n = BANDS * ROWS
+    least = n * similarity - ERRORS * math.sqrt(n * similarity * (1 - similarity))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sx, sy = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, n) for k in (4, 5))
+            yield batch.select([0, 1, 2, 3]).filter(pa.array((sx == sy).sum(axis=1) >= least))
+
+    return pairs.select("x", "y", "a", "b", "sx", "sy").mapInArrow(run, "x binary, y binary, a long, b long").dropDuplicates(["x", "y"])
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Edges (a, b) of classes whose items (x, y) have at least that similarity."""
 
@@ -88,72 +138,76 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(near)
 
     first, second = sets.select(F.col("item").alias("x"), F.col("hashes").alias("hx")), sets.select(F.col("item").alias("y"), F.col("hashes").alias("hy"))
-    return pairs.join(first, "x").join(second, "y").select("a", "b", "hx", "hy").mapInArrow(run, "a long, b long").distinct()
+    return common.checkpoint(pairs.join(first, "x").join(second, "y").select("a", "b", "hx", "hy").mapInArrow(run, "a long, b long").distinct())
 
 
 def _near_in_size(x: str, y: str, similarity: float) -> Column:
     return F.least(x, y) + F.lit(1e-9) >= similarity * F.greatest(x, y)
 
 
-def _split(rest: DataFrame, sets: DataFrame, level: int) -> DataFrame:
-    """Members of buckets, dealt into buckets of their own by the bands of another level."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            keys = [band_keys(np.frombuffer(v, np.uint64), level) for v in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.tolist() for k in keys], pa.list_(pa.int64()))], ["item", "bands"])
-
-    members = rest.select("item").distinct()
-    bands = sets.join(members, "item", "left_semi").mapInArrow(run, "item binary, bands array<long>")
-    return rest.join(bands, "item").select("item", "c", "size", "k", F.explode("bands").alias("band")).withColumn("k", F.xxhash64("k", "band")).drop("band")
-
-
-def _refreshed(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows with the class (c) that edges give them."""
-    found = connected_components(edges).withColumnsRenamed({"node": "c", "component": "now"})
-    return rows.join(found, "c", "left").withColumn("c", F.coalesce("now", "c")).drop("now")
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of buckets (k) with more than one class, with the bucket's size n."""
+    buckets = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    return _joined(rows, common.checkpoint(buckets.select("k", "n")), ["k"])
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of buckets (k) with more than one class, with the bucket's size n and leader, its member with the least hash."""
-    leader = F.min(F.struct(F.xxhash64("k", "item").alias("h"), "item", "c", "size")).alias("leader")
-    buckets = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high"), leader).where("low < high")
-    return rows.join(buckets.select("k", "n", "leader"), "k")
+def _relabelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows with the class (c) that edges (a, b), of members' classes a and leaders' classes b, give them in two steps. Rows of one class stay linked to each other."""
+    least = edges.groupBy("a").agg(F.min("b").alias("b")).where("b < a")
+    ahead = least.select(F.col("a").alias("b"), F.col("b").alias("further"))
+    now = common.checkpoint(least.join(ahead, "b", "left").select(F.col("a").alias("c"), F.coalesce("further", "b").alias("now")))
+    return _joined(rows, now, ["c"], "left").withColumn("c", F.coalesce("now", "c")).drop("now")
 
 
 def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
     """Edges (a, b) between classes that hold texts with at least that Jaccard similarity of word shingles.
 
-    items has a row per different set of shingles: item (its digest), c (its class, long), size, bands, and doc_id and
-    mark, which tell a row of texts (doc_id, mark, text) with it. Members of a bucket are compared with its leader, which
-    changes from bucket to bucket; where that leaves more than one class, small buckets are compared across classes pair by
-    pair and large ones are split by bands of their own until they are small, so that no pair of a bucket is dropped and
-    rows stay in proportion to members. The loop ends where no bucket is left; each level keeps under a third of the
-    members that aren't similar together.
+    items has a row per different set of shingles: item (its digest), c (its class, long), size, sketch, and doc_id and
+    mark, which tell a row of texts (doc_id, mark, text) with it. Members of a bucket with more than one class are
+    compared with its leader, the member that has most company over all its buckets, which in a group of copies is their
+    common original. Then small buckets that still have more than one class are compared across classes pair by pair.
+    Members of larger ones get bands anew, of more min-hashes and so many more bands that a pair just at the similarity
+    still meets with a probability of 1 - MISSED; so on until no large bucket is left. Rows of a level are members times
+    its bands, pairs at most PAIRWISE / 2 a row. A pair goes by sketches first, which are part of the rows; whole sets
+    are fetched only for pairs that these don't rule out.
     """
-    rows = items.select("item", "c", "size", F.explode("bands").alias("k"))
+    rows = items.select("item", "c", "size", "sketch", F.explode(sketch_bands()).alias("k"))
     shared = common.checkpoint(_mixed(rows))
-    needed = items.join(shared.select("item").distinct(), "item", "left_semi").select("item", "doc_id", "mark")
+    needed = common.checkpoint(_joined(items.select("item", "doc_id", "mark"), common.checkpoint(shared.select("item").distinct()), ["item"], "left_semi"))
     sets = common.checkpoint(_hashes(needed, texts, shingle))
     edges = None
     level = 0
     while True:
-        stars = shared.where("c <> leader.c").where(_near_in_size("size", "leader.size", similarity))
-        stars = stars.select(F.col("item").alias("x"), F.col("leader.item").alias("y"), F.col("c").alias("a"), F.col("leader.c").alias("b")).dropDuplicates(["x", "y"])
-        found = common.checkpoint(_verified(stars, sets, similarity))
-        edges = found if edges is None else edges.union(found)
-        left = shared.where("n > 2").select("item", "c", "size", "k")
-        if left.isEmpty():
-            return edges
-        left = common.checkpoint(_mixed(_refreshed(left, edges)))
+        company = shared.groupBy("item").agg(F.sum("n").alias("company"))
+        met = shared.join(company, "item")
+        leaders = met.groupBy("k").agg(F.max(F.struct("company", "item", "c", "size", "sketch")).alias("leader"))
+        stars = met.join(leaders, "k").where("c <> leader.c").where(_near_in_size("size", "leader.size", similarity))
+        stars = stars.select(F.col("item").alias("x"), F.col("leader.item").alias("y"), F.col("c").alias("a"), F.col("leader.c").alias("b"), F.col("sketch").alias("sx"), F.col("leader.sketch").alias("sy"))
+        star_edges = _verified(_sifted(stars, similarity), sets, similarity)
+        edges = star_edges if edges is None else edges.union(star_edges)
+        left = common.checkpoint(_mixed(_relabelled(shared.where("n > 2").drop("n"), star_edges)))
         small = left.where(F.col("n") <= PAIRWISE)
-        one, two = (small.select("k", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias(s), F.col("leader.item").alias("l" + i)) for i, c, s in (("x", "a", "sx"), ("y", "b", "sy")))
-        pairs = one.join(two, "k").where("x > y AND a <> b AND x <> lx AND y <> lx").where(_near_in_size("sx", "sy", similarity))
-        edges = edges.union(common.checkpoint(_verified(pairs.dropDuplicates(["x", "y"]).select("x", "y", "a", "b"), sets, similarity)))
-        rest = left.where(F.col("n") > PAIRWISE)
-        if rest.isEmpty():
+        one, two = (small.select("k", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias("n" + i), F.col("sketch").alias("s" + i)) for i, c in (("x", "a"), ("y", "b")))
+        pairs = one.join(two, "k").where("x > y AND a <> b").where(_near_in_size("nx", "ny", similarity))
+        edges = edges.union(_verified(_sifted(pairs, similarity), sets, similarity))
+        deep = left.where(F.col("n") > PAIRWISE).groupBy("item").agg(F.first(F.struct("c", "size", "sketch")).alias("r")).select("item", "r.*")
+        deep = common.checkpoint(deep)
+        if deep.isEmpty():
             return edges
         level += 1
-        shared = common.checkpoint(_mixed(_split(_refreshed(rest.select("item", "c", "size", "k"), edges), sets, level)))
+        shared = common.checkpoint(_mixed(_rebanded(deep, sets, level, similarity)))
+
+
+def _rebanded(members: DataFrame, sets: DataFrame, level: int, similarity: float) -> DataFrame:
+    """Members (item, c, size, sketch) with the keys (k) of a deeper level's bands."""
+    bands = deep_bands(level, similarity)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            keys = [deep_keys(np.frombuffer(v, np.uint64), level, bands) for v in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["item", "ks"])
+
+    keys = sets.join(members.select("item"), "item", "left_semi").mapInArrow(run, "item binary, ks array<long>")
+    return members.join(keys, "item").select("item", "c", "size", "sketch", F.explode("ks").alias("k"))
