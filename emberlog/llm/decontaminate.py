@@ -11,6 +11,8 @@ WINDOW = 5
 SIMILARITY = 0.8
 #: A window of a template must have so many words that aren't placeholders.
 LITERALS = 2
+#: Words of an item, placeholders aside, that outweigh one name exchanged for another.
+LITERALS_A_NAME = 6
 #: Up to so many different windows of the benchmark are compared with inside the scan; more are joined by a shuffle.
 IN_SCAN = 50_000
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
@@ -39,63 +41,71 @@ def plain(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(t), SEPARATORS, " "), " {2,}", " "))
 
 
-def hash_at(words: Column, i: Column, first: Column | None = None) -> Column:
-    return F.xxhash64(first if first is not None else F.get(words, i), *[F.get(words, i + k) for k in range(1, WINDOW)])
+def hashed(words: Column) -> Column:
+    """Hash of each word, taken once; windows hash these."""
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def windows(words: Column) -> Column:
-    """(i, h) of all windows; none if there are fewer words."""
-    last = F.size(words) - WINDOW
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(i.alias("i"), hash_at(words, i).alias("h")))).otherwise(F.array().cast("array<struct<i:int,h:bigint>>"))
+def hash_at(h: Column, i: Column, first: Column | None = None) -> Column:
+    return F.xxhash64(first if first is not None else F.get(h, i), *[F.get(h, i + k) for k in range(1, WINDOW)])
 
 
-def short_hash(words: Column) -> Column:
-    """Hash of a whole sequence of fewer words than a window has."""
-    return F.xxhash64(F.array_join(words, " "))
+def starts(h: Column, wide: int = WINDOW) -> Column:
+    """Places of all windows; none if there are fewer words."""
+    return F.when(F.size(h) >= wide, F.sequence(F.lit(0), F.greatest(F.size(h) - wide, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
 
-def short_windows(words: Column, sizes: list[int]) -> Column:
-    """(i, h) of all sequences of so many words; of one word, only if it's the whole text."""
-    none = F.array().cast("array<struct<i:int,h:bigint>>")
-    at = lambda k: F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0))), lambda i: F.struct(i.alias("i"), short_hash(F.slice(words, i + 1, k)).alias("h")))
-    return F.concat(none, *[F.when(F.size(words) == k if k == 1 else F.size(words) >= k, at(k)).otherwise(none) for k in sizes])
+def short_hash(h: Column, i: Column, wide: int) -> Column:
+    """Hash of a sequence of fewer words than a window has."""
+    return F.xxhash64(F.lit(wide), *[F.get(h, i + k) for k in range(wide)])
 
 
-def slots(words: Column, raw: Column, i: Column) -> Column:
-    """(place, word) of a window's placeholders."""
+def mark_slots(words: Column, raw: Column, i: Column) -> Column:
+    """(place, word, whether it's a name) of a window's placeholders."""
     at = F.filter(F.sequence(F.lit(0), F.lit(WINDOW - 1)), lambda k: F.get(words, i + k).rlike(f"[{NUMBER}{NAME}{UNIT}]"))
-    return F.transform(at, lambda k: F.struct(k.alias("k"), F.coalesce(F.get(raw, i + k), F.lit("")).alias("v")))
+    return F.transform(at, lambda k: F.struct(k.alias("k"), F.coalesce(F.get(raw, i + k), F.lit("")).alias("v"), (F.get(words, i + k) == NAME).alias("name")))
+
+
+PLACED = "array<struct<i:int,h:bigint>>"
+
+
+def placed(at: Column, h) -> Column:
+    """(i, h) of places; h gives the hash at one."""
+    return F.transform(at, lambda i: F.struct(i.alias("i"), h(i).alias("h")))
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(h, item, j, lit, n, need, n_all, need_all, slots): windows of each different template; item is its least id.
+    """(h, item, j, lit, n, need, n_all, need_all, words, slots): windows of each different template; item is its least id.
 
     Windows of the template with enough literals (lit), of which need of n must be found, and beside them windows of plain
-    words at the same places, whatever their case, of which need_all of n_all must be. An item of fewer words is one window.
+    words at the same places, whatever their case, of which need_all of n_all must be. An item of fewer words is one
+    window. words is the number of the item's words that aren't placeholders.
     """
     text = F.col(text_col).cast("string")
     rows = benchmark.select(F.col(id_col).cast("long").alias("item"), template(text).alias("t"), plain(text).alias("p")).where("t != ''")
     one = rows.groupBy("t").agg(F.min(F.struct("item", "p")).alias("x")).select("t", F.col("x.item").alias("item"), F.split("t", " ").alias("w"), F.split("x.p", " ").alias("r"))
-    w, r = F.col("w"), F.col("r")
-    literal = lambda i: F.size(F.filter(F.slice(w, i + 1, WINDOW), lambda x: ~x.rlike(f"[{NUMBER}{NAME}{UNIT}]")))
+    one = checkpoint(one.withColumns({"hw": hashed(F.col("w")), "hr": hashed(F.col("r"))}))
+    literal = lambda w: F.size(F.filter(w, lambda x: ~x.rlike(f"[{NUMBER}{NAME}{UNIT}]")))
+    lettered = lambda x: x.rlike(r"\p{L}")
     # A window of plain words must hold a letter.
-    cut = F.filter(windows(w), lambda x: literal(x["i"]) >= LITERALS)
-    words = F.filter(windows(r), lambda x: F.exists(F.slice(r, x["i"] + 1, WINDOW), lambda y: y.rlike(r"\p{L}")))
-    few = F.when((F.size(r) < WINDOW) & F.exists(r, lambda y: y.rlike(r"\p{L}")), F.array(F.struct(F.lit(0).alias("i"), short_hash(r).alias("h")))).otherwise(F.array().cast("array<struct<i:int,h:bigint>>"))
-    own = F.concat(words, few)
-    kept = checkpoint(checkpoint(one).select("t", "item", "w", "r", cut.alias("x"), own.alias("y")))
+    cut = placed(F.filter(starts(F.col("hw")), lambda i: literal(F.slice("w", i + 1, WINDOW)) >= LITERALS), lambda i: hash_at(F.col("hw"), i))
+    words = placed(F.filter(starts(F.col("hr")), lambda i: F.exists(F.slice("r", i + 1, WINDOW), lettered)), lambda i: hash_at(F.col("hr"), i))
+    few = [F.when((F.size("r") == k) & F.exists("r", lettered), F.array(F.struct(F.lit(0).alias("i"), short_hash(F.col("hr"), F.lit(0), k).alias("h")))).otherwise(F.array().cast(PLACED)) for k in range(1, WINDOW)]
+    own = F.concat(words, *few)
+    kept = checkpoint(one.select("t", "item", "w", "r", "hw", cut.alias("x"), own.alias("y"), literal(F.col("w")).alias("words")))
     places = F.transform("x", lambda x: x["i"])
     n_all = F.size(F.array_union(places, F.transform("y", lambda x: x["i"])))
     need = lambda n: F.ceil(n * F.lit(SIMILARITY) - 1e-9)
-    kept = kept.select("t", "w", "r", "item", "x", places.alias("places"), F.size("x").alias("n"), need(F.size("x")).alias("need"), n_all.alias("n_all"), need(n_all).alias("need_all"))
-    told = ("item", "n", "need", "n_all", "need_all")
-    each = kept.select("w", "r", *told, F.explode("x").alias("x"))
-    first = each.select(*told, F.lit(True).alias("lit"), F.col("x.i").alias("j"), F.col("x.h").alias("h"), slots(w, r, F.col("x.i")).alias("b"))
+    kept = kept.select("t", "w", "r", "hw", "item", "x", places.alias("places"), F.size("x").alias("n"), need(F.size("x")).alias("need"), n_all.alias("n_all"), need(n_all).alias("need_all"), "words")
+    told = ("item", "n", "need", "n_all", "need_all", "words")
+    each = kept.select("w", "r", "hw", *told, F.explode("x").alias("x"))
+    first = each.select(*told, F.lit(True).alias("lit"), F.col("x.i").alias("j"), F.col("x.h").alias("h"), mark_slots(F.col("w"), F.col("r"), F.col("x.i")).alias("b"))
     # In a text the first word may follow a word without a stop, and then looks like a name.
-    named = each.where("x.i = 0").select(*told, F.lit(True).alias("lit"), F.lit(0).alias("j"), hash_at(w, F.lit(0), F.lit(NAME)).alias("h"), F.filter(slots(w, r, F.lit(0)), lambda s: s["k"] > 0).alias("b"))
+    named = each.where("x.i = 0").select(*told, F.lit(True).alias("lit"), F.lit(0).alias("j"), hash_at(F.col("hw"), F.lit(0), F.xxhash64(F.lit(NAME))).alias("h"), F.filter(mark_slots(F.col("w"), F.col("r"), F.lit(0)), lambda s: s["k"] > 0).alias("b"))
     # Items that share a template have plain words of their own.
-    variants = rows.select("t", F.split("p", " ").alias("r")).distinct().join(kept.select("t", "places", *told), "t")
-    same = variants.select(*told, "places", own.alias("y")).select(*told, "places", F.explode("y").alias("y")).select(*told, F.array_contains("places", F.col("y.i")).alias("lit"), F.col("y.i").alias("j"), F.col("y.h").alias("h"), F.array().cast("array<struct<k:int,v:string>>").alias("b"))
+    variants = rows.select("t", F.split("p", " ").alias("r")).distinct().withColumn("hr", hashed(F.col("r"))).join(kept.select("t", "places", *told), "t")
+    same = variants.select(*told, "places", own.alias("y")).select(*told, "places", F.explode("y").alias("y"))
+    same = same.select(*told, F.array_contains("places", F.col("y.i")).alias("lit"), F.col("y.i").alias("j"), F.col("y.h").alias("h"), F.array().cast("array<struct<k:int,v:string,name:boolean>>").alias("b"))
     return checkpoint(first.union(named).union(same).dropDuplicates(["h", "item", "j"]))
 
 
@@ -104,32 +114,42 @@ def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     An item is found if at least SIMILARITY of its windows of five words are, as the same words whatever their case and
     white space, or in windows whose slots are consistent: along
-    one alignment, each word that stands in slots of the item has always the same counterpart. changed says whether some
+    one alignment, each word that stands in slots of the item has always the same counterpart. Each name with another
+    counterpart must be outweighed by LITERALS_A_NAME words of the item that aren't placeholders: capitals don't make a
+    name, least of all in German, and a sentence with most nouns exchanged is another sentence. changed says whether some
     counterpart differs: a re-parameterised question. mark is a hash of the text; with doc_id it names the row.
     """
     known = benchmark_windows(benchmark, item_col, item_text_col)
     hashes = [x[0] for x in known.select("h").distinct().limit(in_scan + 1).collect()]  # bounded
+    # A window may be of many items, so the rows that would be sent to all executors are counted as well.
+    few = len(hashes) <= in_scan and known.limit(2 * in_scan + 1).count() <= 2 * in_scan
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).select("doc_id", "text", F.split(template(F.col("text")), " ").alias("w"), F.split(plain(F.col("text")), " ").alias("r"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("mark"), "w", "r", hashed(F.col("w")).alias("hw"), hashed(F.col("r")).alias("hr"))
     sizes = sorted(x[0] for x in benchmark.select(F.size(F.split(plain(F.col(item_text_col).cast("string")), " ")).alias("n")).where(F.col("n").between(1, WINDOW - 1)).distinct().collect())
-    # No array_distinct: on structs its time is quadratic. A window met twice counts once below.
-    cut = F.concat(windows(F.col("w")), windows(F.col("r")), *([short_windows(F.col("r"), sizes)] if sizes else []))
-    if len(hashes) <= in_scan:
-        # The windows' hash table is bounded, so it goes to the scan; only windows that are in it become rows.
-        cut = F.filter(cut, lambda x: x["h"].isin(hashes)) if hashes else F.array().cast("array<struct<i:int,h:bigint>>")
+    hw, hr = F.col("hw"), F.col("hr")
+    # The windows' hash table is bounded, so it goes to the scan; only windows that are in it become rows.
+    wanted = (lambda h: h.isin(hashes) if hashes else F.lit(False)) if few else (lambda h: F.lit(True))
+    by_template, by_words = F.filter(starts(hw), lambda i: wanted(hash_at(hw, i))), F.filter(starts(hr), lambda i: wanted(hash_at(hr, i)))
+    whole = F.when(F.size(hr) == 1, starts(hr, 1)).otherwise(F.array().cast("array<int>"))
+    few_words = lambda k: lambda i: short_hash(hr, i, k)
+    short = [F.filter(whole if k == 1 else starts(hr, k), (lambda at: lambda i: wanted(at(i)))(few_words(k))) for k in sizes]
+    hit = rows.select("doc_id", "mark", "w", "r", "hw", "hr", by_template.alias("at"), by_words.alias("own"), F.array(*short).cast("array<array<int>>").alias("short"))
     # Rows without windows go at the explode; a filter would be pushed below and repeat these expressions.
-    hit = rows.select("doc_id", F.xxhash64("text").alias("mark"), "w", "r", cut.alias("x"))
-    found = hit.select("doc_id", "mark", F.explode(F.transform("x", lambda x: F.struct(x["i"].alias("i"), x["h"].alias("h"), slots(F.col("w"), F.col("r"), x["i"]).alias("d")))).alias("x"))
-    table = F.broadcast(known) if len(hashes) <= in_scan else known
-    met = found.select("doc_id", "mark", "x.i", "x.h", "x.d").join(table, "h")
-    pair = F.filter(F.transform("b", lambda s: F.struct(s["v"].alias("b"), F.filter("d", lambda t: t["k"] == s["k"])[0]["v"].alias("d"))), lambda p: p["d"].isNotNull())
-    told = ("doc_id", "mark", "item", "n", "need", "n_all", "need_all")
+    hits = F.concat(placed(F.col("at"), lambda i: hash_at(hw, i)), placed(F.col("own"), lambda i: hash_at(hr, i)), *[placed(F.get("short", F.lit(n)), few_words(k)) for n, k in enumerate(sizes)])
+    slots = lambda i: F.transform(F.sequence(F.lit(0), F.lit(WINDOW - 1)), lambda k: F.coalesce(F.get("r", i + k), F.lit("")))
+    found = hit.select("doc_id", "mark", F.explode(F.transform(hits, lambda x: F.struct(x["i"].alias("i"), x["h"].alias("h"), slots(x["i"]).alias("d")))).alias("x"))
+    met = found.select("doc_id", "mark", "x.i", "x.h", "x.d").join(F.broadcast(known) if few else known, "h")
+    pair = F.transform("b", lambda s: F.struct(s["v"].alias("b"), F.get("d", s["k"]).alias("d"), s["name"].alias("name")))
+    told = ("doc_id", "mark", "item", "n", "need", "n_all", "need_all", "words")
     met = met.select(*told, (F.col("i") - F.col("j")).alias("shift"), "j", "lit", pair.alias("pairs"))
     # Along one alignment an item's window is met at most twice, so what is gathered is bounded by the item's length.
     lines = met.groupBy(*told, "shift").agg(F.collect_list(F.struct("j", "lit", "pairs")).alias("x"))
     seen = F.array_distinct(F.flatten(F.transform("x", lambda x: x["pairs"])))
     lines = lines.withColumn("seen", seen).withColumn("bad", F.filter(F.transform("seen", lambda p: p["b"]), lambda b: F.size(F.filter("seen", lambda q: q["b"] == b)) > 1))
-    good = F.filter("x", lambda x: ~F.exists(x["pairs"], lambda p: F.array_contains("bad", p["b"])))
+    names = F.size(F.array_distinct(F.transform(F.filter("seen", lambda p: p["name"] & (p["b"] != p["d"])), lambda p: p["b"])))
+    lines = lines.withColumn("heavy", names * LITERALS_A_NAME > F.col("words"))
+    good = F.filter("x", lambda x: ~F.exists(x["pairs"], lambda p: F.array_contains("bad", p["b"]) | (F.col("heavy") & p["name"] & (p["b"] != p["d"]))))
     good = F.transform(good, lambda x: F.struct(x["j"].alias("j"), x["lit"].alias("lit"), F.exists(x["pairs"], lambda p: p["b"] != p["d"]).alias("other")))
     each = lines.select(*told, F.explode(good).alias("g")).groupBy(*told, F.col("g.j").alias("j")).agg(F.max("g.lit").alias("lit"), F.min("g.other").alias("other"))
     sums = each.groupBy(*told).agg(F.count_if("lit").alias("found_lit"), F.count("*").alias("found"), F.max(F.when(F.col("lit"), F.col("other"))).alias("changed_lit"), F.max("other").alias("changed"))
@@ -151,6 +171,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
 
 def keep_clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that hold no item, with all their columns. Rows are told by key and text, also those with a null key."""
-    found = matches(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark")).distinct()
-    mark = F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit("")))
-    return df.join(found, df[id_col].cast("long").eqNullSafe(F.col("__doc")) & (mark == F.col("__mark")), "left_anti")
+    found = matches(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("id"), "mark").distinct()
+    # The row's own columns stand in one, so that no name of theirs meets one of ours.
+    rows = df.select(F.col(id_col).cast("long").alias("key"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("hash"), F.struct("*").alias("row"))
+    return rows.join(found, F.col("key").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("mark")), "left_anti").select("row.*")

@@ -442,3 +442,14 @@ def test_very_long_texts(spark):
     assert url_filter.judge_urls(longer, "doc_id").count() == len(texts)
     assert html_extract.extract_pages(df, "doc_id").count() == len(texts)
     assert license_scan.license_scan(df).count() == len(texts) and simhash.near_duplicates(df).count() == len(texts) and bpe.encode_documents(df).count() == len(texts)
+
+
+def test_other_nouns_are_other_sentences(spark):
+    items = ["Wer hat die Relativitätstheorie im Jahr 1905 veröffentlicht und wo?", "Der Hund frisst den Knochen im Garten von Herrn Maier", "What is photosynthesis exactly?", ITEM]
+    texts = ["Wer hat die Katze im Haus 77 veröffentlicht und wo?", "Der Baum frisst den Vogel im Wasser von Frau Schmidt", "He asked: What is photosynthesis exactly? Nobody knew.", items[0], "x " + items[1].upper(), ITEM.replace("Anna", "Maria"), items[0].replace("1905", "1955")]
+    df = spark.createDataFrame([(k, t, 1, 2) for k, t in enumerate(texts)], "doc_id long, text string, __doc int, __mark int")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item, r.changed) for r in decontaminate.matches(df, benchmark).collect()}
+    assert got == {(2, 2, False), (3, 0, False), (4, 1, False), (5, 3, True), (6, 0, True)}
+    kept = decontaminate.keep_clean(df, benchmark)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {0, 1}
