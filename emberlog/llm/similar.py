@@ -11,17 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm import common
+from emberlog.llm.components import connected_components
 
 #: Bands and min-hashes a band. Texts at a similarity of 0.8 share a band with a probability of 0.9996, closer ones with more.
 BANDS, ROWS = 20, 5
-#: Buckets up to this size are compared pair by pair where one comparison with their leader isn't enough; members of larger ones get bands of more min-hashes.
-PAIRWISE = 48
+#: Buckets with up to so many pairs of different classes a row are compared pair by pair where one comparison with their leader isn't enough; members of others get bands of more min-hashes.
+PAIRS_A_ROW = 64
 #: Min-hashes that a deeper level adds to a band, and the probability that a pair may miss all bands of a deeper level.
 DEEPER, MISSED = 5, 0.002
 #: Standard errors by which a sketch's estimate may fall short of the similarity before a pair goes unverified (2 of 10,000 pairs just at it).
 ERRORS = 3.5
 #: Tables of up to so many keys (some 40 bytes each) are sent to all executors; larger ones are joined by a shuffle.
-SMALL_TABLE = 500_000
+SMALL_TABLE = 200_000
 #: Shingles whose min-hashes are computed at a time, so that very long texts take no more memory.
 CHUNK = 2048
 PRIME = np.uint64(0x9E3779B185EBCA87)
@@ -146,17 +147,18 @@ def _near_in_size(x: str, y: str, similarity: float) -> Column:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of buckets (k) with more than one class, with the bucket's size n."""
-    buckets = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    return _joined(rows, common.checkpoint(buckets.select("k", "n")), ["k"])
+    """Rows of buckets (k) with more than one class, with the bucket's size (n), its largest class (most) and the pairs of different classes a row."""
+    classes = rows.groupBy("k", "c").agg(F.count("*").alias("m"))
+    buckets = classes.groupBy("k").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("squares"), F.max(F.struct("m", "c")).alias("most"), F.count("*").alias("classes")).where("classes > 1")
+    buckets = buckets.select("k", "n", F.col("most.c").alias("most"), ((F.col("n") * F.col("n") - F.col("squares")) / (2 * F.col("n"))).alias("pairs"))
+    return _joined(rows, common.checkpoint(buckets), ["k"])
 
 
-def _relabelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows with the class (c) that edges (a, b), of members' classes a and leaders' classes b, give them in two steps. Rows of one class stay linked to each other."""
-    least = edges.groupBy("a").agg(F.min("b").alias("b")).where("b < a")
-    ahead = least.select(F.col("a").alias("b"), F.col("b").alias("further"))
-    now = common.checkpoint(least.join(ahead, "b", "left").select(F.col("a").alias("c"), F.coalesce("further", "b").alias("now")))
-    return _joined(rows, now, ["c"], "left").withColumn("c", F.coalesce("now", "c")).drop("now")
+def _crossed(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Verified edges between the classes of each bucket; members of its largest class aren't compared with each other."""
+    one, two = (rows.select("k", "most", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias("n" + i), F.col("sketch").alias("s" + i)) for i, c in (("x", "a"), ("y", "b")))
+    pairs = one.where("a <> most").join(two.drop("most"), "k").where("a <> b AND (b = most OR x > y)").where(_near_in_size("nx", "ny", similarity))
+    return _verified(_sifted(pairs, similarity), sets, similarity)
 
 
 def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
@@ -165,41 +167,50 @@ def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, s
     items has a row per different set of shingles: item (its digest), c (its class, long), size, sketch, and doc_id and
     mark, which tell a row of texts (doc_id, mark, text) with it. Members of a bucket with more than one class are
     compared with its leader, the member that has most company over all its buckets, which in a group of copies is their
-    common original. Then small buckets that still have more than one class are compared across classes pair by pair.
-    Members of larger ones get bands anew, of more min-hashes and so many more bands that a pair just at the similarity
-    still meets with a probability of 1 - MISSED; so on until no large bucket is left. Rows of a level are members times
-    its bands, pairs at most PAIRWISE / 2 a row. A pair goes by sketches first, which are part of the rows; whole sets
-    are fetched only for pairs that these don't rule out.
+    common original. Then buckets that still have more than one class are compared across classes pair by pair, if that
+    takes at most PAIRS_A_ROW pairs a row. Members of others get bands anew, of more min-hashes and so many more bands
+    that a pair just at the similarity still meets with a probability of 1 - MISSED; so on until none is left. Rows of a
+    level are members times its bands. A pair goes by sketches first; whole sets are fetched only for pairs that these
+    don't rule out.
     """
-    rows = items.select("item", "c", "size", "sketch", F.explode(sketch_bands()).alias("k"))
+    rows = items.select("item", "c", "size", F.explode(sketch_bands()).alias("k"))
     shared = common.checkpoint(_mixed(rows))
     needed = common.checkpoint(_joined(items.select("item", "doc_id", "mark"), common.checkpoint(shared.select("item").distinct()), ["item"], "left_semi"))
     sets = common.checkpoint(_hashes(needed, texts, shingle))
     edges = None
     level = 0
+    sketches = common.checkpoint(_joined(items.select("item", "sketch"), needed.select("item"), ["item"]))
     while True:
+        shared = _joined(shared.select("item", "c", "size", "k", "n"), sketches, ["item"])
         company = shared.groupBy("item").agg(F.sum("n").alias("company"))
-        met = shared.join(company, "item")
+        met = common.checkpoint(shared.join(company, "item"))
         leaders = met.groupBy("k").agg(F.max(F.struct("company", "item", "c", "size", "sketch")).alias("leader"))
         stars = met.join(leaders, "k").where("c <> leader.c").where(_near_in_size("size", "leader.size", similarity))
         stars = stars.select(F.col("item").alias("x"), F.col("leader.item").alias("y"), F.col("c").alias("a"), F.col("leader.c").alias("b"), F.col("sketch").alias("sx"), F.col("leader.sketch").alias("sy"))
         star_edges = _verified(_sifted(stars, similarity), sets, similarity)
         edges = star_edges if edges is None else edges.union(star_edges)
-        left = common.checkpoint(_mixed(_relabelled(shared.where("n > 2").drop("n"), star_edges)))
-        small = left.where(F.col("n") <= PAIRWISE)
-        one, two = (small.select("k", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias("n" + i), F.col("sketch").alias("s" + i)) for i, c in (("x", "a"), ("y", "b")))
-        pairs = one.join(two, "k").where("x > y AND a <> b").where(_near_in_size("nx", "ny", similarity))
-        edges = edges.union(_verified(_sifted(pairs, similarity), sets, similarity))
-        deep = left.where(F.col("n") > PAIRWISE).groupBy("item").agg(F.first(F.struct("c", "size", "sketch")).alias("r")).select("item", "r.*")
-        deep = common.checkpoint(deep)
-        if deep.isEmpty():
-            return edges
+        left = met.where("n > 2").select("item", "c", "size", "sketch", "k")
+        for labels in (_two_steps, connected_components):  # what small buckets link thins out the large ones
+            now = common.checkpoint(labels(edges).select(F.col("node").alias("c"), F.col("component").alias("now")))
+            left = common.checkpoint(_mixed(_joined(left, now, ["c"], "left").withColumn("c", F.coalesce("now", "c")).drop("now")))
+            edges = edges.union(_crossed(left.where(F.col("pairs") <= PAIRS_A_ROW), sets, similarity))
+            left = left.where(F.col("pairs") > PAIRS_A_ROW).select("item", "c", "size", "sketch", "k")
+            if left.isEmpty():
+                return edges
+        deep = common.checkpoint(left.groupBy("item").agg(F.min(F.struct("c", "size")).alias("r")).select("item", "r.*"))
         level += 1
         shared = common.checkpoint(_mixed(_rebanded(deep, sets, level, similarity)))
 
 
+def _two_steps(edges: DataFrame) -> DataFrame:
+    """(node, component) of members' classes a by their leaders' classes b, followed for two steps. Nodes of one component are linked, though not all linked ones share one."""
+    least = edges.groupBy("a").agg(F.min("b").alias("b")).where("b < a")
+    ahead = least.select(F.col("a").alias("b"), F.col("b").alias("further"))
+    return least.join(ahead, "b", "left").select(F.col("a").alias("node"), F.coalesce("further", "b").alias("component"))
+
+
 def _rebanded(members: DataFrame, sets: DataFrame, level: int, similarity: float) -> DataFrame:
-    """Members (item, c, size, sketch) with the keys (k) of a deeper level's bands."""
+    """Members (item, c, size) with the keys (k) of a deeper level's bands."""
     bands = deep_bands(level, similarity)
 
     def run(batches: Iterator) -> Iterator:
@@ -210,4 +221,4 @@ def _rebanded(members: DataFrame, sets: DataFrame, level: int, similarity: float
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["item", "ks"])
 
     keys = sets.join(members.select("item"), "item", "left_semi").mapInArrow(run, "item binary, ks array<long>")
-    return members.join(keys, "item").select("item", "c", "size", "sketch", F.explode("ks").alias("k"))
+    return members.join(keys, "item").select("item", "c", "size", F.explode("ks").alias("k"))
