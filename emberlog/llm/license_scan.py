@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from emberlog.llm import common
@@ -28,24 +29,28 @@ NOTICES = {
     "all rights reserved": "proprietary",
 }
 TAG = "spdx license identifier"
-TAG_LINE = re.compile(r"spdx-license-identifier[ \t]*:[ \t]*([^\r\n]+)", re.I)
-#: Prefixes of licence identifiers, lower case, longest first where one begins another, with label and restrictiveness.
-FAMILIES = (
-    ("agpl", "agpl", 4),
-    ("lgpl", "lgpl", 2),
-    ("gpl", "gpl", 3),
-    ("apache", "apache", 1),
-    ("mit", "mit", 1),
-    ("bsd", "bsd", 1),
-    ("0bsd", "bsd", 0),
-    ("isc", "isc", 1),
-    ("mpl", "mpl", 2),
-    ("epl", "epl", 2),
-    ("cc0", "cc0", 0),
-    ("cc-by", "cc-by", 1),
-    ("unlicense", "public-domain", 0),
-    ("licenseref", "proprietary", 5),
-    ("proprietary", "proprietary", 5),
+TAG_SIGN = "spdx-license-identifier"
+AFTER_TAG = re.compile(r"[ \t]*:[ \t]*([^\r\n]+)")
+VERSION, LATER = r"(?:-v?\d+(?:\.\d+)*)?", r"(?:-only|-or-later)?\+?"
+#: Whole licence identifiers, lower case, with label and restrictiveness.
+FAMILIES = tuple(
+    (re.compile(pattern), label, level)
+    for pattern, label, level in (
+        (rf"agpl{VERSION}{LATER}", "agpl", 4),
+        (rf"lgpl{VERSION}{LATER}", "lgpl", 2),
+        (rf"gpl{VERSION}{LATER}", "gpl", 3),
+        (rf"apache{VERSION}\+?", "apache", 1),
+        (r"mit(?:-0|-cmu|-modern-variant|-open-group)?", "mit", 1),
+        (r"bsd(?:-[1-4]-clause(?:-[a-z0-9-]+)?)?", "bsd", 1),
+        (r"0bsd", "bsd", 0),
+        (r"isc", "isc", 1),
+        (rf"mpl{VERSION}(?:-no-copyleft-exception)?\+?", "mpl", 2),
+        (rf"epl{VERSION}\+?", "epl", 2),
+        (rf"cc0{VERSION}", "cc0", 0),
+        (rf"cc-by(?:-nc)?(?:-sa|-nd)?{VERSION}(?:-[a-z]+)?", "cc-by", 1),
+        (r"unlicense", "public-domain", 0),
+        (r"licenseref-.+|proprietary", "proprietary", 5),
+    )
 )
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:\-]*")
@@ -55,6 +60,8 @@ WEIGHTS = {"tag": 0.9, "phrase": 0.6, "notice": 0.5}
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
+ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
 
 class Expression(ValueError):
     """Text that isn't a licence expression."""
@@ -97,8 +104,9 @@ def postfix(text: str) -> list[str]:
 
 
 def family(identifier: str) -> tuple[str, int]:
+    """Label and restrictiveness of an identifier; one that isn't known is unknown and restrictive."""
     low = identifier.lower()
-    return next(((label, level) for prefix, label, level in FAMILIES if low.startswith(prefix)), ("unknown", 5))
+    return next(((label, level) for pattern, label, level in FAMILIES if pattern.fullmatch(low)), ("unknown", 5))
 
 
 def evaluate(text: str) -> tuple[list[str], int]:
@@ -129,30 +137,51 @@ def automaton():
     return found
 
 
+@lru_cache(maxsize=1)
+def tag_automaton():
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    found.add_word(TAG_SIGN, len(TAG_SIGN))
+    found.make_automaton()
+    return found
+
+
+def tagged(raw: bytes) -> list[str]:
+    """Expressions behind identifier tags, each up to the end of its line."""
+    signs = raw.translate(ASCII_LOWER).decode("latin-1")
+    found = (AFTER_TAG.match(signs, end + 1) for end, _ in tag_automaton().iter(signs))
+    return [raw[m.start(1) : m.end(1)].decode("utf-8", "replace") for m in found if m]
+
+
 def scan(text: str) -> tuple:
     """n_words, n_base, first_word, last_word, base_labels, labels, score, expressions, permitted, places of one text."""
-    words = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
+    raw = text.encode("utf-8", "surrogatepass")
+    words = raw.translate(LOWER).split()
     line = b" " + b" ".join(words) + b" "
     hits = [(end - size + 1, kind, label) for end, (kind, label, size) in automaton().iter(line.decode("latin-1"))]
-    base = sorted(start for start, kind, _ in hits if kind == "phrase")
-    place = lambda start: line.count(b" ", 0, start)  # noqa: E731  the words before it
+    hits.sort()
+    # A hit begins at the space before its first word, so its place is the number of spaces before.
+    spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32) if hits else None
+    at = np.searchsorted(spaces, [start for start, _, _ in hits]).tolist() if hits else []
+    base = [place for place, (_, kind, _) in zip(at, hits, strict=True) if kind == "phrase"]
     base_labels = sorted({label for _, kind, label in hits if kind == "phrase"})
     labels, kinds, expressions, levels = {label for _, _, label in hits if label}, {(kind, label) for _, kind, label in hits}, [], []
     if any(kind == "tag" for _, kind, _ in hits):
-        for m in TAG_LINE.finditer(text):
+        for expression in tagged(raw):
             try:
-                found, level = evaluate(m[1])
+                found, level = evaluate(expression)
             except Expression:
                 continue
-            expressions.append(" ".join(postfix(m[1])))
+            expressions.append(" ".join(postfix(expression)))
             labels.update(found)
             levels.append(level)
     missing = 1.0
     for kind, _ in kinds:
         missing *= 1 - (WEIGHTS[kind] if kind != "tag" or expressions else 0)
     return (
-        len(words), len(base), place(base[0]) if base else None, place(base[-1]) if base else None, ",".join(base_labels), ",".join(sorted(labels)),
-        round(1 - missing, 6), expressions, max(levels) <= PERMITTED if levels else None, [(place(s), kind, label) for s, kind, label in sorted(hits)],
+        len(words), len(base), base[0] if base else None, base[-1] if base else None, ",".join(base_labels), ",".join(sorted(labels)),
+        round(1 - missing, 6), expressions, max(levels) <= PERMITTED if levels else None, [(place, kind, label) for place, (_, kind, label) in zip(at, hits, strict=True)],
     )
 
 
