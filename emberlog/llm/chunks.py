@@ -40,10 +40,11 @@ class ChunkEncoder:
 
     whole: gives the ids of strings, each by itself; it gets those of a batch that aren't known yet, together.
     most: entries that are kept; then the table starts anew, which bounds memory and changes no result.
+    special: strings that the library takes out of a text before it cuts it; a text with one is encoded whole.
     """
 
-    def __init__(self, whole: Callable[[list[str]], list[bytes]], most: int = 900_000):
-        self.whole, self.most = whole, most
+    def __init__(self, whole: Callable[[list[str]], list[bytes]], most: int = 900_000, special: tuple[str, ...] = ()):
+        self.whole, self.most, self.odd = whole, most, (*ODD, *special)
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}  # chunks without the space before them; a newline stands together with what follows
 
@@ -54,7 +55,7 @@ class ChunkEncoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if any(c in text for c in ODD):
+            if any(c in text for c in self.odd):
                 odd.append(k)
             elif (words := plain_words(text)) is None:
                 other[k] = CHUNK.findall(text)

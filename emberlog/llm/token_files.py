@@ -126,14 +126,12 @@ def encoder(path: str) -> ChunkEncoder:
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-
 
     def whole(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() if len(e) > 64 else b"".join(map(packed.__getitem__, e.ids)) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
     packed = [i.to_bytes(4, "little") for i in range(max(t.get_vocab().values()) + 1)]
-    return ChunkEncoder(whole)
+    return ChunkEncoder(whole, special=tuple(x.content for x in t.get_added_tokens_decoder().values()))
 
 
 def write_token_files(df: DataFrame, into: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end: int = END, file_tokens: int = FILE_TOKENS) -> DataFrame:
@@ -142,7 +140,7 @@ def write_token_files(df: DataFrame, into: str, id_col: str = "doc_id", text_col
     One shuffle: rows are dealt out by ranges of the key and sorted within; each task encodes its rows and writes files of
     about file_tokens ids to the shared folder `into`, under the same names if it's tried again. Manifest: part, seq, path,
     documents, tokens, start (ids of all files before). Null keys come first; null and empty texts are the end id alone;
-    rows with equal keys stand together, ordered by text; an empty table writes no file.
+    rows with equal keys stand together, ordered by a hash of the text; strings of special tokens in a text give these, as in the library; an empty table writes no file.
     """
     import public_tokenizers
 
@@ -181,8 +179,9 @@ def write_token_files(df: DataFrame, into: str, id_col: str = "doc_id", text_col
             yield flush()
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Sorted by the key alone at the least cost; the text only orders rows of equal keys.
-    rows = common.keyed(df, id_col, text_col).repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    # The text orders rows of equal keys, so that very many of them, null keys too, are dealt out as well.
+    order = (F.col("doc_id").asc_nulls_first(), F.col("h"))
+    rows = common.keyed(df, id_col, text_col).withColumn("h", F.xxhash64("text")).repartitionByRange(n, *order).sortWithinPartitions(*order)
     listed = common.checkpoint(rows.mapInArrow(run, "part long, seq long, path string, documents long, tokens long"))
     parts = listed.groupBy("part").agg(F.sum("tokens").alias("t")).select("part", (F.sum("t").over(W.orderBy("part")) - F.col("t")).alias("before"))  # a row per task
     inner = F.sum("tokens").over(W.partitionBy("part").orderBy("seq")) - F.col("tokens")

@@ -149,7 +149,6 @@ def test_token_files(spark, docs):
     import tokenizers
 
     lib = tokenizers.Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
-    lib.encode_special_tokens = True
     manifest = token_files.write_token_files(docs, shared_dir(spark, "t"), file_tokens=1000)
     got = sorted(((r.doc_id is not None, r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_files.read_token_files(spark, manifest).collect()), key=lambda r: r[2])
     assert [r[1] for r in got] == sorted((r[1] for r in got), key=lambda k: (k is not None, k or 0))
@@ -246,7 +245,7 @@ def test_near_duplicates(docs):
 
 def test_similar_texts_against_brute_force(spark, monkeypatch):
     """Chains and clouds of near copies, texts around a shared passage, and the cases of TEXTS."""
-    monkeypatch.setattr(similar, "PAIRWISE", 16)
+    monkeypatch.setattr(similar, "PAIRS_A_ROW", 3)
     rng = random.Random(6)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(900)]
     text = lambda n: [rng.choice(words) for _ in range(n)]
@@ -453,3 +452,40 @@ def test_other_nouns_are_other_sentences(spark):
     assert got == {(2, 2, False), (3, 0, False), (4, 1, False), (5, 3, True), (6, 0, True)}
     kept = decontaminate.keep_clean(df, benchmark)
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {0, 1}
+
+
+def test_license_identifiers_are_whole():
+    assert license_scan.scan("SPDX-License-Identifier: mitigated")[5:9] == ("unknown", license_scan.scan("SPDX-License-Identifier: mitigated")[6], ["mitigated"], False)
+    for name, label in (("MIT", "mit"), ("GPL-2.0-or-later", "gpl"), ("LGPL-2.1+", "lgpl"), ("BSD-3-Clause", "bsd"), ("CC-BY-SA-4.0", "cc-by"), ("0BSD", "bsd"), ("LicenseRef-own", "proprietary"), ("isclose", "unknown"), ("Apache-2.0", "apache")):
+        assert license_scan.family(name)[0] == label
+    got = license_scan.scan("Straße é SPDX-License-Identifier:MIT OR Apache-2.0\r\n# spdx-LICENSE-identifier : (GPL-3.0 AND ISC)\nSPDX-License-Identifier MIT")
+    assert got[7] == ["MIT Apache-2.0 or", "GPL-3.0 ISC and"] and got[8] is False
+
+
+def test_license_scan_is_linear():
+    import time
+
+    began = time.monotonic()
+    got = license_scan.scan("cc by " * 800_000)
+    assert got[:4] == (1_600_000, 800_000, 0, 1_599_998) and time.monotonic() - began < 30
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_license_places_against_brute_force(seed):
+    rng = random.Random(seed)
+    pieces = [w for p in license_scan.BASE for w in p.split()] + ["MIT", "License", "x", "Ä", "cc-by", "apache\nLicense", ",", "  "]
+    for _ in range(200):
+        text = rng.choice([" ", "\t", "-"]).join(rng.choice(pieces) for _ in range(rng.randrange(30)))
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
+        at = sorted((k, label) for p, label in license_scan.BASE.items() for k in range(len(words)) if words[k : k + len(p.split())] == p.split())
+        got = license_scan.scan(text)
+        assert got[:5] == (len(words), len(at), at[0][0] if at else None, at[-1][0] if at else None, ",".join(sorted({x for _, x in at})))
+
+
+def test_special_tokens_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(token_files.VOCABULARY)
+    library = Tokenizer.from_file(path)
+    texts = ["hello <|endoftext|> world", "x  <|endoftext|>\n\n y", "<|endoftext|><|endoftext|>", "<|endoftext", "a<|endoftext|>b, c"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in token_files.encoder(path).encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
