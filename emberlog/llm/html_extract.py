@@ -1,12 +1,14 @@
 """HTML extraction by deduction of host templates: tokens with equal occurrence vectors make classes, classes nest into a template.
 
-A page's tokens are its elements, told apart by their path of names and classes. The occurrence vector of a token over
-the pages of a host says how often each page has it. Tokens with equal vectors form a class; those that every page of
-the host has once make the template's skeleton, in which other classes nest by their paths. What stands between the
-skeleton's tokens are slots. The slot with the article is the innermost one that holds the host's text.
-
-No host's pages are gathered anywhere. A vector is known by a sum of hashes of (page, count), which tasks add up before
-the shuffle; a template, a bounded list of tokens, goes back to its pages by (host, salt) if the host is a large one.
+A page's tokens are its elements, told apart by their path of names and classes, and its runs of text, told apart by path
+and words. The occurrence vector of a token over the pages of a host says how often each page has it. Tokens with equal
+vectors form a class; the class that every page has once is the template's skeleton, nested by paths. Runs of text in it
+are the template's own words. What is left between is the pages' own text, in slots. The main slot is the innermost
+element of the skeleton that holds most of it; of an article around it the whole is taken. Word lists only tell what stands
+apart inside the slot, such as comments and adverts, and what a single page without a template of its host holds.
+
+No host's pages are gathered anywhere. A vector is known by sums of hashes of (page, count), which tasks add up before
+the shuffle; a template's slot is a short row, which goes to the pages, so that large hosts' pages aren't shuffled.
 """
 
 from __future__ import annotations
@@ -22,14 +24,18 @@ from pyspark.sql import functions as F
 from emberlog.llm import common
 from emberlog.llm.url_filter import host_of
 
-#: A host with more than this share of all pages is dealt out by salts; there can only be so many such hosts.
-LARGE_SHARE = 0.002
-SALTS = 32
+#: A host with more than this share of all pages is a large one; there can only be so many such hosts.
+LARGE_SHARE = 0.0002
+#: Up to so many hosts' slots (some 200 bytes each) are sent to all executors; beyond, only those of large hosts.
+SMALL_TABLE = 50_000
 #: A token is of the template if this share of the host's pages has it.
 SUPPORT = 0.5
 #: The article's slot is the innermost that holds this share of the text that all pages of the host have outside links.
 HOLDS = 0.6
-DEEPEST = 24
+#: Runs of text are the template's own only if a host has so many pages, and if they are less than half of its text: else its pages are copies.
+LEAST_PAGES = 3
+#: Elements deeper than this have a path of bounded length, with a hash of the whole one, and names longer than this too.
+DEEPEST, LONGEST = 24, 40
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*)(?:>|\Z)", re.S)
 HINT = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -55,10 +61,18 @@ FENCE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table
 
 
 class Element:
-    __slots__ = ("apart", "name", "path")
+    """An open element; inside says whether it stands in the slot, size counts the letters that it holds."""
+
+    __slots__ = ("apart", "depth", "inside", "name", "path", "size")
+
+    def __init__(self, name: str, path: str, apart: bool, depth: int, inside: bool):
+        self.name, self.path, self.apart, self.depth, self.inside, self.size = name, path, apart, depth, inside, 0
+
 
-    def __init__(self, name: str, path: str, apart: bool):
-        self.name, self.path, self.apart = name, path, apart
+def short(text: str) -> str:
+    import xxhash
+
+    return xxhash.xxh64_hexdigest(text.encode("utf-8", "surrogatepass"))
 
 
 def hints(attributes: str) -> tuple[str, bool]:
@@ -71,21 +85,39 @@ def hints(attributes: str) -> tuple[str, bool]:
             continue
         words = value.lower().split()
         if words and not first and kind in ("class", "id"):
-            first = ("." if kind == "class" else "#") + re.sub(r"\d+", "0", words[0])[:40]
+            name = re.sub(r"\d+", "0", words[0]).replace("/", ":").replace("~", "-")
+            first = ("." if kind == "class" else "#") + (name if len(name) <= LONGEST else name[:LONGEST] + short(name))
         parts = {w for x in words for w in re.split(r"[-_]+", x)}
         apart = apart or bool(parts & APART_WORDS and not parts & CONTENT_WORDS)
     return first, apart
 
 
-def walk(page: str) -> Iterator[tuple[str, Element | None, str]]:
-    """(kind, element, text) in page order: open and close of elements, text with the element it stands in, break for blocks' ends."""
-    root = Element("", "", False)
+def walk(page: str, slot: str | None = None) -> Iterator[tuple[str, Element | None, str]]:
+    """(kind, element, text) in page order: open and close of elements, text with the element it stands in, void for elements without content.
+
+    Time is linear in the page whatever its nesting: where names and blocks are open is kept beside the stack.
+    """
+    root = Element("", "", False, 0, slot is None)
     stack = [root]
+    where: dict[str, list[int]] = {}
+    blocks = [0]
+    articles = 0
     at, n = 0, len(page)
 
+    def last(name: str) -> int:
+        found = where.get(name)
+        return found[-1] if found else 0
+
     def close(k: int) -> Iterator[tuple[str, Element | None, str]]:
+        nonlocal articles
         while len(stack) > k:
-            yield "close", stack.pop(), ""
+            element = stack.pop()
+            where[element.name].pop()
+            if blocks[-1] == len(stack):
+                blocks.pop()
+            articles -= element.name == "article"
+            yield "close", element, ""
+            stack[-1].size += element.size
 
     while at < n:
         m = MARKUP.search(page, at)
@@ -103,25 +135,27 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, str]]:
         if m[2]:
             if name in VOID:
                 continue
-            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
-            if k and (name in BLOCKS or not any(stack[i].name in BLOCKS for i in range(k + 1, len(stack)))):
+            k = last(name)
+            if k and (name in BLOCKS or blocks[-1] <= k):
                 yield from close(k)
             continue
         if name in VOID:
             yield "void", stack[-1], name
             continue
-        if name in CLOSES_P:
-            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == "p"), 0)
-            if k and not any(stack[i].name in BLOCKS for i in range(k + 1, len(stack))):
-                yield from close(k)
+        if name in CLOSES_P and (k := last("p")) and blocks[-1] <= k:
+            yield from close(k)
         if name in SAME:
-            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name in SAME[name] + FENCE[name]), 0)
+            k = max(last(x) for x in SAME[name] + FENCE[name])
             if k and stack[k].name in SAME[name]:
                 yield from close(k)
         first, apart = hints(m[4])
         parent = stack[-1]
-        path = f"{parent.path}/{name}{first}" if len(stack) <= DEEPEST else parent.path
-        element = Element(name, path, parent.apart or (apart and name not in WHOLE) or name in APART)
+        path = f"{parent.path}/{name}{first}"
+        if parent.depth >= DEEPEST:
+            path = f"{'/'.join(parent.path.split('/')[: DEEPEST + 1])}/{name}~{parent.depth + 1}~{short(path)}"
+        # An article's own header holds its title; others are the site's.
+        apart = parent.apart or (apart and name not in WHOLE) or name in APART or (name == "header" and not articles)
+        element = Element(name, path, apart, parent.depth + 1, parent.inside or path == slot)
         yield "open", element, ""
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
@@ -130,40 +164,85 @@ def walk(page: str) -> Iterator[tuple[str, Element | None, str]]:
             continue
         if m[0].endswith("/>") and name not in BLOCKS:
             continue
+        where.setdefault(name, []).append(len(stack))
+        if name in BLOCKS:
+            blocks.append(len(stack))
+        articles += name == "article"
         stack.append(element)
     yield from close(1)
 
 
-def tokens(page: str) -> tuple[Counter, Counter]:
-    """How often each path opens, and the letters of text, outside links and what is apart, that it holds."""
+def run_token(element: Element, words: str) -> int:
+    """Hash of a run of text at its path."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(f"{element.path} {words}".encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def tokens(page: str) -> tuple[Counter, Counter, Counter, dict[int, tuple[str, int]]]:
+    """How often each path opens; the letters of text, outside what is apart, that it holds; how often each run of text occurs, and its path and letters."""
     opened: Counter = Counter()
     held: Counter = Counter()
+    runs: Counter = Counter()
+    known: dict[int, tuple[str, int]] = {}
     for kind, element, text in walk(page):
         if kind == "open":
             opened[element.path] += 1
-        elif kind == "text" and not element.apart and (size := len("".join(text.split()))):
-            path = element.path
-            while path:
-                held[path] += size
-                path = path[: path.rindex("/")]
-            held[""] += size
-    return opened, held
-
-
-def article_of(template: list[tuple[str, bool, float]], total: float) -> str | None:
-    """Path of the article's slot. template: (path, whether it's of the skeleton, letters it holds)."""
-    named = [t for t in template if t[2] > 0 and re.search(r"/(article|main)[^/]*$", t[0])]
-    articles = [t for t in named if "/article" in t[0]] or named
-    if articles:
-        return max(articles, key=lambda t: (t[2], -t[0].count("/"), t[0]))[0]
-    fit = [t for t in template if t[1] and t[2] >= HOLDS * total and re.search(r"/(div|section|td|body|center)[^/]*$", t[0])]
-    return max(fit, key=lambda t: (t[0].count("/"), t[2], t[0]), default=(None,))[0]
-
-
-def extract(page: str, slot: str | None) -> tuple[str, bool]:
-    """The blocks of a page's article, one a line, and whether the page has the slot: the article's path by the host's template, None for the whole page."""
+        elif kind == "close":
+            held[element.path] += element.size
+            if element.depth == 1:
+                held[""] += element.size
+        elif kind == "text" and not element.apart and (words := text.split()):
+            size = sum(map(len, words))
+            element.size += size
+            if not element.depth:
+                held[""] += size
+            token = run_token(element, " ".join(words))
+            runs[token] += 1
+            known[token] = (element.path, size)
+    return opened, held, runs, known
+
+
+def depth_of(path: str) -> int:
+    _, *deep = path.rsplit("/", 1)[-1].split("~")
+    return int(deep[0]) if len(deep) == 2 else path.count("/")
+
+
+def ancestors(path: str) -> Iterator[str]:
+    """A path and those above it, the page's own '' too."""
+    while path:
+        yield path
+        path = path[: path.rindex("/")]
+    yield ""
+
+
+def article_of(template: list[tuple[str, int | None, bool, float]], total: float, pages: int) -> tuple[str | None, list[int]]:
+    """The main slot's path, and the template's own runs of text in it. template: (path, run of text or null, whether it's of the skeleton, letters)."""
+    words = [t for t in template if t[1] is not None and t[2]]
+    if pages < LEAST_PAGES or 2 * sum(t[3] for t in words) >= total:
+        words = []
+    own: Counter = Counter()
+    for path, _, _, size in words:
+        for above in ancestors(path):
+            own[above] += size
+    elements = [(path, once, size - own[path]) for path, run, once, size in template if run is None]
+    left = total - own[""]
+    fit = [t for t in elements if t[1] and t[2] > 0 and t[2] >= HOLDS * left and re.search(r"/(article|main|div|section|td|body|center)(?![a-z0-9])[^/]*$", t[0])]
+    slot = max(fit, key=lambda t: (depth_of(t[0]), t[2], t[0]), default=(None,))[0]
+    # The whole article around the slot; without one around it, the article that holds most.
+    for name in ("article", "main"):
+        around = [x for x in ancestors(slot or "") if re.search(rf"/{name}[^/]*$", x)]
+        named = [t for t in elements if t[2] > 0 and re.search(rf"/{name}[^/]*$", t[0])]
+        if around:
+            return around[-1], []
+        if named:
+            return max(named, key=lambda t: (t[2], -t[0].count("/"), t[0]))[0], []
+    return slot, [run for path, run, _, _ in words if slot is not None and (path == slot or path.startswith(slot + "/"))]
+
+
+def extract(page: str, slot: str | None, words: frozenset[int] = frozenset()) -> tuple[str, bool]:
+    """The blocks of a page's slot, one a line, and whether the page has the slot: its path by the host's template, None for the whole page. words: the template's own runs."""
     seen = slot is None
-    within = lambda e: slot is None or e.path == slot or e.path.startswith(slot + "/")
     blocks: list[str] = []
     held: list[str] = []
 
@@ -172,9 +251,9 @@ def extract(page: str, slot: str | None) -> tuple[str, bool]:
             blocks.append(text)
         held.clear()
 
-    for kind, element, text in walk(page):
+    for kind, element, text in walk(page, slot):
         if kind == "text":
-            if not element.apart and within(element):
+            if element.inside and not element.apart and not (words and run_token(element, " ".join(text.split())) in words):
                 held.append(text)
         elif kind == "void":
             if text == "hr":
@@ -189,44 +268,50 @@ def extract(page: str, slot: str | None) -> tuple[str, bool]:
     return "\n".join(blocks), seen
 
 
-def main_text(page: str, slot: str | None) -> str:
+def main_text(page: str, slot: str | None, words: list[int] | None = None) -> str:
     """extract() by the template's slot; a page without that slot is its own template."""
     if not page:
         return ""
     if slot is not None:
-        text, seen = extract(page, slot)
+        text, seen = extract(page, slot, frozenset(words or ()))
         if seen:
             return text
-    opened, held = tokens(page)
-    return extract(page, article_of([(p, n == 1, held.get(p, 0)) for p, n in opened.items()], held.get("", 0)))[0]
+    opened, held, _, _ = tokens(page)
+    return extract(page, article_of([(p, None, n == 1, held.get(p, 0)) for p, n in opened.items()], held.get("", 0), 1)[0])[0]
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, pages, slot) of pages with columns host, page, html: the article's slot by each host's template.
+    """(host, pages, slot, words) of pages with columns host, page, html: the main slot and the template's own runs in it.
 
-    For each (host, path) the occurrence vector is summed up as a hash; a path's class is the vector. Paths with enough
-    support stay, at most the tokens of one page divided by SUPPORT; so a host's template is small whatever the host's size.
+    For each token of a host the occurrence vector is summed up as hashes; a token's class is the vector. Tokens with enough
+    support stay, at most those of one page divided by SUPPORT; so a host's template is small whatever the host's size.
     """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
         for batch in batches:
-            out = ([], [], [], [], [])
+            out = ([], [], [], [], [], [])
             for host, page, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                opened, held = tokens(text)
-                for path, n in [*opened.items(), ("", 1)]:
-                    for column, value in zip(out, (host, path, page, n, held.get(path, 0)), strict=True):
+                opened, held, runs, known = tokens(text)
+                rows = [(path, None, n, held.get(path, 0)) for path, n in [*opened.items(), ("", 1)]]
+                rows += [(known[token][0], token, n, n * known[token][1]) for token, n in runs.items()]
+                for path, token, n, size in rows:
+                    for column, value in zip(out, (host, path, token, page, n, size), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), *(pa.array(x, pa.int64()) for x in out[2:])], ["host", "path", "page", "n", "held"])
-
-    seen = pages.select("host", "page", "html").mapInArrow(run, "host string, path string, page long, n long, held long")
-    # The vector's hash: exclusive or of hashes of (page, count), in any order and with partial sums.
-    vectors = seen.groupBy("host", "path").agg(F.count("*").alias("support"), F.sum("n").alias("times"), F.sum("held").alias("held"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"))
-    roots = vectors.where("path = ''").select("host", F.col("support").alias("pages"), F.col("held").alias("total"), F.col("vector").alias("every"))
-    kept = vectors.where("path != ''").join(roots, "host").where(F.col("support") >= F.col("pages") * SUPPORT)
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)], ["host", "path", "run", "page", "n", "held"])
+
+    seen = pages.select("host", "page", "html").mapInArrow(run, "host string, path string, run long, page long, n long, held long")
+    # The vector's hash: sums of both halves of a hash of (page, count), in any order, with partial sums, whatever repeats.
+    h = F.xxhash64("page", "n")
+    vector = (F.sum(F.shiftrightunsigned(h, 32)).alias("high"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"))
+    vectors = seen.groupBy("host", "path", "run").agg(F.count("*").alias("support"), F.sum("held").alias("held"), *vector)
+    vectors = vectors.select("host", "path", "run", "support", "held", F.struct("high", "low").alias("vector"))
+    roots = vectors.where("path = '' AND run IS NULL").select("host", F.col("support").alias("pages"), F.col("held").alias("total"), F.col("vector").alias("every"))
+    kept = vectors.where("path <> '' OR run IS NOT NULL").join(roots, "host").where(F.col("support") >= F.col("pages") * SUPPORT)
     # The skeleton is the class of the tokens that every page has once: their vector is the root's.
-    token = F.struct("path", (F.col("vector") == F.col("every")).alias("once"), F.col("held").cast("double").alias("held"))
+    token = F.struct("path", "run", (F.col("vector") == F.col("every")).alias("once"), F.col("held").cast("double").alias("held"))
     templates = kept.groupBy("host").agg(F.max("pages").alias("pages"), F.max("total").cast("double").alias("total"), F.collect_list(token).alias("template"))
 
     def choose(batches: Iterator) -> Iterator:
@@ -234,10 +319,11 @@ def host_templates(pages: DataFrame) -> DataFrame:
 
         for batch in batches:
             host, count, total, template = (c.to_pylist() for c in batch.columns)
-            slots = [article_of([(t["path"], t["once"], t["held"]) for t in x], z) for x, z in zip(template, total, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(count, pa.int64()), pa.array(slots, pa.string())], ["host", "pages", "slot"])
+            found = [article_of([(t["path"], t["run"], t["once"], t["held"]) for t in x], z, n) for x, z, n in zip(template, total, count, strict=True)]
+            columns = [pa.array(host, pa.string()), pa.array(count, pa.int64()), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["host", "pages", "slot", "words"])
 
-    return templates.mapInArrow(choose, "host string, pages long, slot string")
+    return templates.mapInArrow(choose, "host string, pages long, slot string, words array<long>")
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -246,24 +332,26 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     Character references are decoded, white space within a block is one space, blocks are joined by newlines in page
     order. Null or empty html gives an empty text; a page whose host's template fits it badly, and the only page of a
     host, is its own template; unclosed elements end where the next one of their kind or their parent does. Pages with
-    a null URL share the host ''. Repeated rows give a row each; an empty table gives none; other columns are left out.
+    a null URL share the host ''. Time is linear in a page's length, whatever its nesting. Repeated rows give a row each; an empty table gives none; other columns are left out.
     """
     common.prepare(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     rows = rows.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     templates = common.checkpoint(host_templates(rows.withColumn("page", F.xxhash64("page_id", "url"))))
-    total = templates.agg(F.sum("pages")).first()[0] or 0
-    # At most 1 / LARGE_SHARE hosts hold more than LARGE_SHARE of all pages, so this list is bounded.
-    large = templates.where(F.col("pages") > F.lit(LARGE_SHARE * total)).select("host", F.lit(SALTS).alias("salts"))
-    salted = templates.join(F.broadcast(large), "host", "left").select("host", "pages", "slot", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
-    dealt = rows.join(F.broadcast(large), "host", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("salts")).cast("int"), F.lit(0)))
-    met = dealt.join(salted, ["host", "salt"], "left").select("page_id", "url", "html", "host", "slot", "pages")
+    if templates.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
+        met = rows.join(F.broadcast(templates), "host", "left")
+    else:
+        # At most 1 / LARGE_SHARE hosts hold more than LARGE_SHARE of all pages; their slots are sent, the pages of others meet theirs by host.
+        least = F.lit(LARGE_SHARE * (templates.agg(F.sum("pages")).first()[0] or 0))
+        large = templates.where(F.col("pages") > least)
+        met = rows.join(F.broadcast(large), "host").unionByName(rows.join(F.broadcast(large.select("host")), "host", "left_anti").join(templates.where(F.col("pages") <= least), "host", "left"))
+    met = met.select("page_id", "url", "html", "host", "slot", "pages", "words")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            texts = [main_text(page, slot) for page, slot in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True)]
+            texts = [main_text(*x) for x in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), batch.column(6).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), batch.column(3), batch.column(5)], ["page_id", "url", "text", "n_chars", "host", "host_pages"])
 
     kind = dict(rows.dtypes)["page_id"]

@@ -489,3 +489,63 @@ def test_special_tokens_are_the_librarys():
     library = Tokenizer.from_file(path)
     texts = ["hello <|endoftext|> world", "x  <|endoftext|>\n\n y", "<|endoftext|><|endoftext|>", "<|endoftext", "a<|endoftext|>b, c"]
     assert [np.frombuffer(x, "<u4").tolist() for x in token_files.encoder(path).encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def brute_templates(rows):
+    """Slot and own words per host from whole lists of vectors instead of their hashes. rows: (page, host, html)."""
+    hosts: dict = {}
+    for page, host, text in rows:
+        hosts.setdefault(host, []).append((page, text))
+    out = {}
+    for host, pages in hosts.items():
+        vectors, held, total = {}, Counter(), 0
+        for page, text in pages:
+            opened, sizes, runs, known = html_extract.tokens(text)
+            total += sizes[""]
+            for key, n, size in [*(((p, None), n, sizes[p]) for p, n in opened.items()), *(((known[r][0], r), n, n * known[r][1]) for r, n in runs.items())]:
+                vectors.setdefault(key, []).append((page, n))
+                held[key] += size
+        every = sorted((page, 1) for page, _ in pages)
+        template = [(*key, sorted(v) == every, held[key]) for key, v in vectors.items() if len(v) >= html_extract.SUPPORT * len(pages)]
+        out[host] = html_extract.article_of(template, total, len(pages))
+    return out
+
+
+def test_html_templates_against_brute_force(spark):
+    """Pages without articles; repeated rows change nothing; the template's own words, other headers and deep nests."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for host in ("a", "b", "c"):
+        for k in range(5):
+            body = "".join(f"<p>{' '.join(word() for _ in range(20))}</p>" for _ in range(rng.randrange(1, 6)))
+            rows.append((f"http://{host}/{k}", f"<div class='top'><b>{host} site</b></div><div class='wrap'><div class='story'>{body}</div><div class='legal'>All rights reserved by {host}</div></div><ul>{'<li>x</li>' * k}</ul>"))
+    for k in range(4):
+        rows.append((f"http://flat/{k}", f"<body>Own {word()} {word()} {word()} here<div>Read on at flat</div></body>"))
+        rows.append((f"http://header/{k}", f"<header>Site header</header><p>short {k}</p>"))
+        rows.append((f"http://deep/{k}", "<div>" * 40 + f"<div class='menu{'x' * 50}'>m</div><section>{' '.join(word() for _ in range(30))}</section>" + "</div>" * 40))
+    for copies in (1, 2):
+        df = spark.createDataFrame([(k, u, h) for k, (u, h) in enumerate(rows)] * copies, "page_id long, url string, html string")
+        got = html_extract.extract_pages(df).collect()
+        want = brute_templates([(k, u.split("/")[2], h) for k, (u, h) in enumerate(rows)])
+        assert len(got) == len(rows) * copies
+        for r in got:
+            host = r.url.split("/")[2]
+            assert r.text == html_extract.main_text(rows[r.page_id][1], *want[host])
+            if host in "abc":
+                assert "rights" not in r.text and "site" not in r.text and r.text.count("\n") == rows[r.page_id][1].count("<p>") - 1
+            if host == "flat":
+                assert r.text.startswith("Own") and "Read" not in r.text
+            if host == "header":
+                assert r.text == f"short {r.url[-1]}"
+            if host == "deep":
+                assert len(r.text.split()) == 30
+
+
+def test_html_walk_is_linear():
+    import time
+
+    began = time.monotonic()
+    for text in ("<div>" * 60_000 + "x" + "</div>" * 60_000, "<i>" * 60_000 + "<p>" * 60_000 + "x", "<ul><li>" * 30_000 + "x"):
+        assert html_extract.main_text(text, None) == "x"
+    assert time.monotonic() - began < 60
