@@ -308,11 +308,16 @@ def host_templates(pages: DataFrame) -> DataFrame:
     vector = (F.sum(F.shiftrightunsigned(h, 32)).alias("high"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"))
     vectors = seen.groupBy("host", "path", "run").agg(F.count("*").alias("support"), F.sum("held").alias("held"), *vector)
     vectors = vectors.select("host", "path", "run", "support", "held", F.struct("high", "low").alias("vector"))
-    roots = vectors.where("path = '' AND run IS NULL").select("host", F.col("support").alias("pages"), F.col("held").alias("total"), F.col("vector").alias("every"))
-    kept = vectors.where("path <> '' OR run IS NOT NULL").join(roots, "host").where(F.col("support") >= F.col("pages") * SUPPORT)
+    # Each page has its root once. Hosts' roots come from a scan of the keys alone; where they are few, tokens meet them before any further shuffle.
+    one = F.xxhash64("page", F.lit(1).cast("long"))
+    roots = pages.groupBy("host").agg(F.count("*").alias("pages"), F.sum(F.shiftrightunsigned(one, 32)).alias("high"), F.sum(one.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"))
+    roots = common.checkpoint(roots.select("host", "pages", F.struct("high", "low").alias("every")))
+    few = roots.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE
+    kept = vectors.join(F.broadcast(roots) if few else roots, "host").where(F.col("support") >= F.col("pages") * SUPPORT)
     # The skeleton is the class of the tokens that every page has once: their vector is the root's.
     token = F.struct("path", "run", (F.col("vector") == F.col("every")).alias("once"), F.col("held").cast("double").alias("held"))
-    templates = kept.groupBy("host").agg(F.max("pages").alias("pages"), F.max("total").cast("double").alias("total"), F.collect_list(token).alias("template"))
+    total = F.max(F.when((F.col("path") == "") & F.col("run").isNull(), F.col("held")).otherwise(F.lit(0))).cast("double")
+    templates = kept.groupBy("host").agg(F.max("pages").alias("pages"), total.alias("total"), F.collect_list(token).alias("template"))
 
     def choose(batches: Iterator) -> Iterator:
         import pyarrow as pa
