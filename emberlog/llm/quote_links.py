@@ -19,14 +19,15 @@ ANCHORS = (1, 2, 4, 8, ANCHOR)
 
 def levelled(text: Column) -> Column:
     """The text with each quoted line's marks as >>> and nothing between."""
-    bare = F.regexp_replace(F.regexp_replace(text, "\r\n?", "\n"), r"(?m)^[ \t]+(?=>)", "")
-    # A space between two marks belongs to them; lookbehind keeps to the marks at the start of the line.
-    return F.regexp_replace(F.regexp_replace(bare, r"(?m)(?<=^>{1,64})[ \t](?=>)", ""), r"(?m)(?<=^>[> \t]{0,64})[ \t](?=>)", "")
+    lines = F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
+    bare = F.regexp_replace(lines, r"(?md)^[ \t]+(?=>)", "")
+    # A blank between two marks belongs to them; marks are followed from the line's start, one by one, however many there are.
+    return F.when(F.contains(text, F.lit(">")), F.regexp_replace(bare, r"(?md)(?:^|\G(?!^))>[ \t]?(?=>)", ">")).otherwise(lines)
 
 
 def normal(passage: Column) -> Column:
     """Lower-case words of a passage without quote marks."""
-    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(passage, r"(?m)^>+", " ")), r"[\s>]+", " "))
+    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(passage, r"(?md)^>+", " ")), r"[\s>]+", " "))
 
 
 def word_hashes(p: Column) -> Column:
@@ -35,7 +36,7 @@ def word_hashes(p: Column) -> Column:
 
 def own_text(text: Column) -> Column:
     """The text without quoted lines and the empty lines they leave around."""
-    bare = F.regexp_replace(text, r"(?m)^>.*(?:\n|\z)", "")
+    bare = F.when(F.contains(text, F.lit(">")), F.regexp_replace(text, r"(?md)^>.*(?:\n|\z)", "")).otherwise(text)
     return F.regexp_replace(F.regexp_replace(bare, r"\n{3,}", "\n\n"), r"^\s+|\s+\z", "")
 
 
@@ -59,7 +60,7 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     text = levelled(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     rows = messages.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), text.alias("full"))
     named = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-    quoted = checkpoint(_passages(named.where(F.col("full").rlike("(?m)^>")).select("conv_id", "turn", "full").distinct()))
+    quoted = checkpoint(_passages(named.where(F.col("full").rlike("(?md)^>")).select("conv_id", "turn", "full").distinct()))
 
     own = own_text(F.col("full"))
     parts = F.array_distinct(F.concat(F.array(own), F.split(own, r"\n[ \t]*\n"), F.split(own, "\n")))
@@ -103,7 +104,7 @@ def _passages(rows: DataFrame) -> DataFrame:
     texts = texts.select("conv_id", "turn", "level", "text", normal(F.col("text")).alias("p")).where("p != ''")
     texts = texts.groupBy("conv_id", "turn", "level", F.xxhash64("p").alias("q")).agg(F.min("text").alias("text"))
     units = lambda pattern: F.array_distinct(F.filter(F.transform(F.split("text", pattern), normal), lambda p: p != ""))
-    kinds = F.array(F.array(normal(F.col("text"))), units(r"(?m)^>+[ \t]*$"), units("\n"))
+    kinds = F.array(F.array(normal(F.col("text"))), units(r"(?md)^>+[ \t]*$"), units("\n"))
     each = texts.select("conv_id", "turn", "level", "q", F.posexplode(kinds).alias("kind", "ps")).where("kind = 0 OR size(ps) > 1").select("conv_id", "turn", "level", "q", "kind", F.explode("ps").alias("p"))
     w = word_hashes(F.col("p"))
     each = each.select("conv_id", "turn", "level", "q", "kind", F.xxhash64("p").alias("h"), w.alias("w")).withColumn("n", F.size("w"))

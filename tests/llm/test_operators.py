@@ -549,3 +549,11 @@ def test_html_walk_is_linear():
     for text in ("<div>" * 60_000 + "x" + "</div>" * 60_000, "<i>" * 60_000 + "<p>" * 60_000 + "x", "<ul><li>" * 30_000 + "x"):
         assert html_extract.main_text(text, None) == "x"
     assert time.monotonic() - began < 60
+
+
+def test_quote_marks(spark):
+    """Other line separators, very many marks, carriage returns and marks with blanks."""
+    rows = [(1, 0, "u", "Alpha beta gamma delta epsilon"), (1, 1, "u", "> Alpha beta\u2028gamma delta epsilon\nOwn"), (1, 2, "u", "> " * 200 + "deep\r\n>\t>one\rafter > this"), (1, 3, "u", "a > b\n  >> Own")]
+    got = {r.turn: r for r in quote_links.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[1].text == "Own" and got[1].n_quotes == 1 and got[2].max_level == 200 and got[2].n_quotes == 2 and got[2].text == "after > this"
+    assert got[3].text == "a > b" and got[3].max_level == 2 and got[3].n_linked == 1
