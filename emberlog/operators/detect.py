@@ -124,33 +124,43 @@ def state_sequences(states: DataFrame, rule: Rule) -> DataFrame:
     return some.withColumn("__line", line).where(F.col("__line").like(like)).drop("__line").withColumns({"rule_id": F.lit(rule.rule_id), "severity": F.lit(rule.severity)})
 
 
-def no_followup(states: DataFrame, rule: Rule, mode: str = "intended") -> DataFrame:
+def no_followup(records: DataFrame, rule: Rule, mode: str = "intended") -> DataFrame:
     """Per runnable the last change to the rule's last state that no later change to no_followup_state follows, at the end of the stream.
 
-    intended: the window has passed by the runnable's last change; strict: it ends exactly there.
+    The end is the time of the last of all records (runnable, epoch, seq, state or null), whatever its runnable.
+    intended: the window has passed by then; strict: it ends exactly there. Rules with fewer than two states give none.
     """
-    some = states.where(F.col("runnable").isin(*rule.runnable_filter)) if rule.runnable_filter else states
-    target = rule.state_sequence[-1]
-    order = F.struct("epoch", "seq")
-    ends = some.groupBy("runnable").agg(
-        F.max(F.when(F.col("state") == target, order)).alias("target"),
-        F.max(F.when(F.col("state") == rule.no_followup_state, order)).alias("follow"),
-        F.max("epoch").alias("end"),
+    target = rule.state_sequence[-1] if rule.state_sequence else None
+    ends = records.groupBy("runnable").agg(
+        F.max(F.when(F.col("state") == target, F.struct("epoch", "seq"))).alias("target"),
+        F.max(F.when(F.col("state") == rule.no_followup_state, F.col("epoch"))).alias("follow"),
+        F.max("epoch").alias("last"),
     )
+    ends = ends.withColumn("end", F.max("last").over(W.partitionBy()))  # a row per runnable
+    if rule.runnable_filter:
+        ends = ends.where(F.col("runnable").isin(*rule.runnable_filter))
     age = F.col("end") - F.col("target.epoch")
     late = age == rule.window_minutes * 60 if mode == "strict" else age >= rule.window_minutes * 60
-    open_end = F.col("follow").isNull() | (F.col("follow") < F.col("target"))
-    return ends.where(F.col("target").isNotNull() & open_end & late).select("runnable", F.col("target.epoch").alias("epoch"), F.col("target.seq").alias("seq"), F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.severity).alias("severity"), F.col("end").alias("detected_epoch"))
+    open_end = F.col("follow").isNull() | (F.col("follow") <= F.col("target.epoch"))
+    found = ends.where(F.col("target").isNotNull() & open_end & late & F.lit(len(rule.state_sequence) > 1))
+    return found.select("runnable", F.col("target.epoch").alias("epoch"), F.col("target.seq").alias("seq"), F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.severity).alias("severity"), F.col("end").alias("detected_epoch"))
 
 
 def detect(records: DataFrame, catalogue: Catalogue) -> DataFrame:
-    """All detections of records (runnable, level, message, stack_trace, state, epoch, seq): detection_id, epoch, seq, rule_order, rule_id, severity, runnable, summary, match_count, escalated, original_severity, suggested_action."""
+    """All detections of records (runnable, level, message, stack_trace, state, epoch, seq): detection_id, epoch, seq, rule_order, rule_id, severity, runnable, summary, match_count, escalated, original_severity, suggested_action.
+
+    A state that nothing followed by the end of the stream is detected at its own time, with -1 - seq of its record, so
+    that it's told from a sequence that ends there.
+    """
     common = ["epoch", "seq", "runnable", "rule_order", "rule_id", "rule_name", "severity", "summary", "match_count", "escalated", "original_severity", "suggested_action"]
     hit = escalate(match_rules(records, catalogue), catalogue)
     summary = F.concat(F.substring("message", 1, 80), F.when(F.col("escalated"), F.concat(F.lit(" [x"), F.col("match_count").cast("string"), F.lit("]"))).otherwise(F.lit("")))
     out = hit.withColumn("summary", summary).select(*common)
     states = records.where("state IS NOT NULL").select("runnable", "epoch", "seq", "state")
     for k, r in catalogue.of("STATE_SEQUENCE"):
-        found = state_sequences(states, r).withColumns({"rule_order": F.lit(k), "rule_name": F.lit(r.name), "summary": F.lit(" > ".join(r.state_sequence)), "match_count": F.lit(1).cast("long"), "escalated": F.lit(False), "original_severity": F.lit(""), "suggested_action": F.lit(r.suggested_action)})
-        out = out.unionByName(found.select(*common))
+        told = {"rule_order": F.lit(k), "rule_name": F.lit(r.name), "match_count": F.lit(1).cast("long"), "escalated": F.lit(False), "original_severity": F.lit(""), "suggested_action": F.lit(r.suggested_action)}
+        out = out.unionByName(state_sequences(states, r).withColumns(told | {"summary": F.lit(" > ".join(r.state_sequence))}).select(*common))
+        if r.no_followup_state:
+            found = no_followup(records.select("runnable", "epoch", "seq", "state"), r).withColumns(told | {"summary": F.lit(f"{r.state_sequence[-1]} without {r.no_followup_state}"), "seq": -1 - F.col("seq")})
+            out = out.unionByName(found.select(*common))
     return out.withColumn("detection_id", detection_id(F.col("rule_id"), F.col("runnable"), F.col("epoch"), F.col("seq")))

@@ -96,9 +96,9 @@ def level(score: Column) -> Column:
 
 
 def top_features(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """Adds top_features: of the five largest |z| those over 0.5, largest first, of equals the later feature first."""
+    """Adds top_features: of the five largest |z| those over 0.5, largest first, of those equal to nine digits the later feature first."""
     label = F.array(*[F.lit(n) for n in names])
-    each = F.transform("z", lambda z, i: F.struct(F.abs(z).alias("d"), i.alias("i")))
+    each = F.transform("z", lambda z, i: F.struct(F.round(F.abs(z), 9).alias("d"), i.alias("i")))
     ordered = F.slice(F.reverse(F.array_sort(each)), 1, TOP)
     out = F.transform(F.filter(ordered, lambda e: e["d"] > EXPLAINED), lambda e: F.struct(F.element_at(label, e["i"] + 1).alias("feature"), F.element_at("x", e["i"] + 1).alias("value"), F.element_at("z", e["i"] + 1).alias("deviation_std")))
     return rows.withColumn("top_features", out)

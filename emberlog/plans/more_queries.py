@@ -9,7 +9,7 @@ from emberlog.functions.times import local_to_utc
 from emberlog.operators import correlate, detect, features, iforest, narrate, parse, report, risk
 from emberlog.plans.logview import SQL as LOGS
 from emberlog.plans.logview import log_view, read
-from emberlog.plans.queries import MATCHES, RULES, VECTORS, Query, throttle_sql
+from emberlog.plans.queries import FLUSHED, MATCHES, RULES, VECTORS, Query, throttle_sql
 
 HOURLY = 3600
 
@@ -105,14 +105,14 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_zscore(spark: SparkSession, d: str) -> DataFrame:
-    x = risk.matrix(_vectors(spark, d).where("error_count_1h > 0"))
+    x = risk.matrix(_vectors(spark, d))
     z = risk.zscores(x, risk.scaler(x, (*risk.FEATURES, "state_risk")))
     return z.select("runnable", "t", F.round(F.col("z")[1], 6).alias("z_error_1h"), F.round(F.col("z")[11], 6).alias("z_state"))
 
 
 def _stand_in(spark: SparkSession, d: str) -> DataFrame:
     """Vectors with a plain score instead of the forest's."""
-    return _vectors(spark, d).where("error_count_1h > 0").withColumn("score", -(F.col("error_count_1h") + F.col("distinct_errors_5m") * 2 + F.col("t") % 1000 / 1000.0))
+    return _vectors(spark, d).withColumn("score", -(F.col("error_count_1h") + F.col("distinct_errors_5m") * 2 + F.col("t") % 1000 / 1000.0))
 
 
 def q_risk_normalise(spark: SparkSession, d: str) -> DataFrame:
@@ -126,7 +126,7 @@ def q_risk_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def q_top_features(spark: SparkSession, d: str) -> DataFrame:
     names = (*risk.FEATURES, "state_risk")
-    x = risk.matrix(_vectors(spark, d).where("error_count_1h > 0"))
+    x = risk.matrix(_vectors(spark, d))
     got = risk.top_features(risk.zscores(x, risk.scaler(x, names)), names)
     return got.select("runnable", "t", F.array_join(F.transform("top_features", lambda f: f["feature"]), ",").alias("top"))
 
@@ -134,7 +134,7 @@ def q_top_features(spark: SparkSession, d: str) -> DataFrame:
 def q_iforest_score(spark: SparkSession, d: str) -> DataFrame:
     names = (*risk.FEATURES, "state_risk")
     # Read by the scaler, the sample and the scores; lost blocks are computed anew.
-    x = risk.matrix(_vectors(spark, d).where("error_count_1h > 0")).select("runnable", "t", "x").persist()
+    x = risk.matrix(_vectors(spark, d)).select("runnable", "t", "x").persist()
     z = risk.zscores(x, risk.scaler(x, names))
     scored = iforest.labels(iforest.score(z, iforest.forest(iforest.fit(z))).select("runnable", "t", "score").persist(), 0.02)
     return risk.normalised(scored).select("runnable", "t", "score", "label", "risk_score", "risk_level")
@@ -151,7 +151,7 @@ def q_recon_threshold(spark: SparkSession, d: str) -> DataFrame:
 
 def q_reconstruction(spark: SparkSession, d: str) -> DataFrame:
     names = (*risk.PER_RUNNABLE_FEATURES, "state_risk")
-    x = risk.matrix(_vectors(spark, d).where("error_count_1h > 0"), risk.PER_RUNNABLE_FEATURES, risk.STATE_RISK_PER_RUNNABLE, False)
+    x = risk.matrix(_vectors(spark, d), risk.PER_RUNNABLE_FEATURES, risk.STATE_RISK_PER_RUNNABLE, False)
     z = risk.zscores(x, risk.scaler(x, names))
     return risk.over_percentile(risk.reconstruction(z)).select("runnable", "t", "error", "label", "score")
 
@@ -210,7 +210,7 @@ QUERIES: dict[str, Query] = {k: v for k, v in list(globals().items()) if k.start
 
 LINES = r"lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS n FROM documents)"
 PREFIX = f"WITH {LOGS}, {VECTORS}"
-STAND_IN = "stand_in AS (SELECT *, -(error_count_1h + distinct_errors_5m * 2 + (t % 1000) / 1000.0::DOUBLE) AS score FROM vectors WHERE error_count_1h > 0)"
+STAND_IN = "stand_in AS (SELECT *, -(error_count_1h + distinct_errors_5m * 2 + (t % 1000) / 1000.0::DOUBLE) AS score FROM vectors)"
 NORMAL = """bounds AS (SELECT quantile_cont(-score, 0.01) AS lo, quantile_cont(-score, 0.99) AS hi FROM stand_in),
 normal AS (SELECT stand_in.*, CASE WHEN hi - lo < 1e-10 THEN 0.0 ELSE least(greatest((-score - lo) / (hi - lo) * 100, 0.0), 100.0) END AS risk_score FROM stand_in, bounds),
 labelled AS (SELECT *, CASE WHEN risk_score >= 70 THEN 'RED' WHEN risk_score >= 30 THEN 'YELLOW' ELSE 'GREEN' END AS risk_level, CASE WHEN risk_score >= 70 THEN -1 ELSE 1 END AS label FROM normal)"""
@@ -242,7 +242,7 @@ ORACLE: dict[str, str] = {
     "q_incidents_low": f"""WITH {LOGS}, {MATCHES}, low AS (SELECT *, coalesce(epoch - lag(epoch) OVER (PARTITION BY runnable, rule_id ORDER BY epoch, seq) > 216000, true) AS s FROM matches WHERE severity IN ('MEDIUM', 'LOW')),
         g AS (SELECT *, sum(CAST(s AS INT)) OVER (PARTITION BY runnable, rule_id ORDER BY epoch, seq) AS i FROM low)
         SELECT rule_id AS rules, runnable AS runnables, min(epoch) AS created, max(epoch) AS updated, count(*) AS detection_count FROM g GROUP BY rule_id, runnable, i""",
-    "q_zscore": f"""{PREFIX}, x AS (SELECT runnable, t, CAST(error_count_1h AS DOUBLE) AS e, CAST({STATE} AS DOUBLE) AS s FROM vectors WHERE error_count_1h > 0), m AS (SELECT avg(e) AS me, stddev_pop(e) AS de, avg(s) AS ms, stddev_pop(s) AS ds FROM x)
+    "q_zscore": f"""{PREFIX}, x AS (SELECT runnable, t, CAST(error_count_1h AS DOUBLE) AS e, CAST({STATE} AS DOUBLE) AS s FROM vectors), m AS (SELECT avg(e) AS me, stddev_pop(e) AS de, avg(s) AS ms, stddev_pop(s) AS ds FROM x)
         SELECT runnable, t, round((e - me) / CASE WHEN de = 0 THEN 1 ELSE de END, 6) AS z_error_1h, round((s - ms) / CASE WHEN ds = 0 THEN 1 ELSE ds END, 6) AS z_state FROM x, m""",
     "q_risk_normalise": f"{PREFIX}, {STAND_IN}, {NORMAL} SELECT runnable, t, round(risk_score, 6) AS risk_score, risk_level FROM labelled",
     "q_risk_stats": f"""{PREFIX}, {STAND_IN}, {NORMAL} SELECT count(*) AS n, round(avg(risk_score), 4) AS mean_score, round(max(risk_score), 4) AS max_score, count(*) FILTER (risk_level = 'RED') AS red,
@@ -266,7 +266,7 @@ ORACLE: dict[str, str] = {
     "q_recall_curve": f"{PREFIX}, {STAND_IN}, {NORMAL} SELECT CAST(c * 5 AS INT) AS threshold, round(avg(CAST(risk_score >= c * 5 AS DOUBLE)), 6) AS recall FROM labelled, generate_series(0, 19) AS g(c) GROUP BY c",
 }
 
-DETECTIONS = f"""{LOGS}, {MATCHES}, st AS (SELECT runnable, epoch, seq, state FROM logs WHERE state IS NOT NULL),
+DETECTIONS = f"""{LOGS}, {MATCHES}, {FLUSHED}, st AS (SELECT runnable, epoch, seq, state FROM logs WHERE state IS NOT NULL),
 counted AS (
     SELECT a.rule_id, a.severity, a.runnable, a.epoch, a.seq, CASE WHEN any_value(a.rule_id) IN ('T1', 'T2') THEN count(b.seq) ELSE 1 END AS match_count
     FROM matches a LEFT JOIN matches b ON a.rule_id = b.rule_id AND a.runnable = b.runnable AND b.epoch >= a.epoch - CASE a.rule_id WHEN 'T1' THEN 86400 ELSE 172800 END AND (b.epoch, b.seq) <= (a.epoch, a.seq)
@@ -275,7 +275,8 @@ judged AS (SELECT *, (rule_id = 'T1' AND match_count >= 2) OR (rule_id = 'T2' AN
 detections AS (
     SELECT rule_id, CASE WHEN escalated THEN CASE rule_id WHEN 'T1' THEN 'P1' ELSE 'CRITICAL' END ELSE severity END AS severity, runnable, epoch, seq, match_count, escalated FROM judged
     UNION ALL SELECT 'Q1', 'HIGH', a.runnable, a.epoch, a.seq, 1, false FROM st a JOIN st b ON a.runnable = b.runnable AND b.epoch >= a.epoch - 86400 AND (b.epoch, b.seq) <= (a.epoch, a.seq)
-    GROUP BY a.runnable, a.epoch, a.seq HAVING string_agg('<' || b.state || '>', '' ORDER BY b.epoch, b.seq) LIKE '%<STARTED>%<DOWN>%')"""
+    GROUP BY a.runnable, a.epoch, a.seq HAVING string_agg('<' || b.state || '>', '' ORDER BY b.epoch, b.seq) LIKE '%<STARTED>%<DOWN>%'
+    UNION ALL SELECT 'Q1', 'HIGH', runnable, epoch, -1 - seq, 1, false FROM flushed)"""
 COOLED = f"WITH RECURSIVE {DETECTIONS}, {throttle_sql('detections', ('rule_id', 'runnable'), 'epoch', 'seq', 21600)}"
 NAMED = "CASE w.rule_id " + " ".join(f"WHEN '{r.rule_id}' THEN '{r.name}'" for r in RULES.rules) + " END"
 
@@ -286,9 +287,9 @@ ORACLE |= {
         FROM walk w JOIN detections d ON d.rule_id = w.rule_id AND d.runnable = w.runnable AND d.seq = w.seq WHERE kept""",
     "q_alert_stats": f"""{COOLED} SELECT d.severity, count(*) AS detections, count(*) FILTER (kept) AS alerts, count(*) FILTER (NOT kept) AS suppressed
         FROM walk w JOIN detections d ON d.rule_id = w.rule_id AND d.runnable = w.runnable AND d.seq = w.seq GROUP BY d.severity""",
-    "q_top_features": f"""{PREFIX}, x AS (SELECT *, {STATE} AS state_risk FROM vectors WHERE error_count_1h > 0),
+    "q_top_features": f"""{PREFIX}, x AS (SELECT *, {STATE} AS state_risk FROM vectors),
         long AS ({" UNION ALL ".join(f"SELECT runnable, t, {i} AS i, '{c}' AS name, CASE WHEN {c} = -1 THEN 0.0 ELSE CAST({c} AS DOUBLE) END AS v FROM x" for i, c in enumerate((*risk.FEATURES, "state_risk")))}),
         z AS (SELECT *, (v - avg(v) OVER w) / CASE WHEN stddev_pop(v) OVER w = 0 THEN 1 ELSE stddev_pop(v) OVER w END AS z FROM long WINDOW w AS (PARTITION BY i)),
-        r AS (SELECT *, row_number() OVER (PARTITION BY runnable, t ORDER BY abs(z) DESC, i DESC) AS n FROM z)
-        SELECT runnable, t, coalesce(string_agg(name, ',' ORDER BY n) FILTER (n <= 5 AND abs(z) > 0.5), '') AS top FROM r GROUP BY runnable, t""",
+        r AS (SELECT *, row_number() OVER (PARTITION BY runnable, t ORDER BY round(abs(z), 9) DESC, i DESC) AS n FROM z)
+        SELECT runnable, t, coalesce(string_agg(name, ',' ORDER BY n) FILTER (n <= 5 AND round(abs(z), 9) > 0.5), '') AS top FROM r GROUP BY runnable, t""",
 }

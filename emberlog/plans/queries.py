@@ -86,8 +86,7 @@ def q_state_sequence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_no_followup(spark: SparkSession, d: str) -> DataFrame:
-    states = log_view(spark, d).where("state IS NOT NULL")
-    return detect.no_followup(states, RULES.rules[-1]).select("rule_id", "runnable", "epoch", "seq", "detected_epoch")
+    return detect.no_followup(log_view(spark, d), RULES.rules[-1]).select("rule_id", "runnable", "epoch", "seq", "detected_epoch")
 
 
 def q_throttle_cooldown(spark: SparkSession, d: str) -> DataFrame:
@@ -156,6 +155,10 @@ def throttle_sql(rows: str, keys: tuple[str, ...], time: str, seq: str, gap: int
 
 MEANINGFUL = "error_count_5m > 0 OR error_count_1h > 0 OR fatal_count_1h > 0 OR state_transitions_1h > 0 OR restarts_24h > 0 OR pool_exhaustion_count_5m > 0 OR current_state NOT IN ('STARTED', 'UNKNOWN')"
 
+FLUSHED = """downs AS (SELECT * FROM logs WHERE state = 'DOWN' QUALIFY row_number() OVER (PARTITION BY runnable ORDER BY epoch DESC, seq DESC) = 1),
+flushed AS (SELECT d.runnable, d.epoch, d.seq, e.detected_epoch FROM downs d, (SELECT max(epoch) AS detected_epoch FROM logs) e WHERE e.detected_epoch - d.epoch >= 86400
+    AND NOT EXISTS (SELECT 1 FROM logs f WHERE f.runnable = d.runnable AND f.state = 'STARTING' AND f.epoch > d.epoch))"""
+
 ORACLE: dict[str, str] = {
     "q_log_view": f"WITH {LOGS} SELECT * FROM logs",
     "q_time_grid": f"WITH {LOGS}, {VECTORS} SELECT runnable, count(*) AS points, min(t) AS first, max(t) AS last FROM grid GROUP BY runnable",
@@ -179,10 +182,7 @@ ORACLE: dict[str, str] = {
     "q_state_sequence": f"""WITH {LOGS}, st AS (SELECT runnable, epoch, seq, state FROM logs WHERE state IS NOT NULL)
         SELECT 'Q1' AS rule_id, a.runnable, a.epoch, a.seq FROM st a JOIN st b ON a.runnable = b.runnable AND b.epoch >= a.epoch - 86400 AND (b.epoch, b.seq) <= (a.epoch, a.seq)
         GROUP BY a.runnable, a.epoch, a.seq HAVING string_agg('<' || b.state || '>', '' ORDER BY b.epoch, b.seq) LIKE '%<STARTED>%<DOWN>%'""",
-    "q_no_followup": f"""WITH {LOGS}, st AS (SELECT runnable, epoch, seq, state FROM logs WHERE state IS NOT NULL), last_down AS (SELECT * FROM st WHERE state = 'DOWN' QUALIFY row_number() OVER (PARTITION BY runnable ORDER BY epoch DESC, seq DESC) = 1),
-        ends AS (SELECT runnable, max(epoch) AS detected_epoch FROM st GROUP BY runnable)
-        SELECT 'Q1' AS rule_id, d.runnable, d.epoch, d.seq, detected_epoch FROM last_down d JOIN ends USING (runnable) WHERE detected_epoch - d.epoch >= 86400
-        AND NOT EXISTS (SELECT 1 FROM st f WHERE f.runnable = d.runnable AND f.state = 'STARTING' AND (f.epoch, f.seq) > (d.epoch, d.seq))""",
+    "q_no_followup": f"""WITH {LOGS}, {FLUSHED} SELECT 'Q1' AS rule_id, runnable, epoch, seq, detected_epoch FROM flushed""",
     "q_throttle_cooldown": f"""WITH RECURSIVE {LOGS}, {MATCHES}, hits AS (SELECT rule_id, runnable, epoch, seq FROM matches), {throttle_sql("hits", ("rule_id", "runnable"), "epoch", "seq", 21600)} SELECT rule_id, runnable, epoch, seq, kept FROM walk""",
     "q_message_groups": f"""WITH {LOGS}, n AS (SELECT substr(sha256(CASE WHEN length(regexp_extract(message, '[0-9]+$')) >= 8 THEN regexp_replace(message, '[0-9]+$', '<HEX>') ELSE regexp_replace(message, ' [0-9]+$', ' <N>') END), 1, 16) AS h, runnable FROM
         (SELECT runnable, replace(message, 'BUS-10507', 'BUS-<N>') AS message FROM logs WHERE level IN ('ERROR', 'FATAL'))) SELECT h AS message_hash, count(*) AS n, count(DISTINCT runnable) AS runnables FROM n GROUP BY h""",

@@ -251,3 +251,16 @@ def test_percentiles_are_exact(spark):
             got = risk.exact_percentiles(df, F.col("v"), (0.0, 0.01, 0.5, 0.97, 1.0), buckets)
             assert np.allclose(got, np.quantile(values, [0.0, 0.01, 0.5, 0.97, 1.0]))
     assert risk.exact_percentiles(df.where("false"), F.col("v"), (0.5,)) == [None]
+
+
+def test_states_without_followup_at_the_end_of_the_stream(spark):
+    """A runnable that goes down and stays silent, told by the last record of any runnable."""
+    from emberlog.operators import catalogue, detect
+
+    rule = next(r for r in catalogue.DEFAULT.rules if r.rule_id == "S02")
+    rows = [("a", 0, 0, "STARTED"), ("a", 60, 1, "DOWN"), ("b", 10, 2, "DOWN"), ("b", 20, 3, "STARTING"), ("c", 99_900, 4, "DOWN"), ("d", 100_000, 5, None)]
+    df = spark.createDataFrame(rows, "runnable string, epoch long, seq long, state string")
+    assert [(r.runnable, r.epoch, r.seq, r.detected_epoch) for r in detect.no_followup(df, rule).collect()] == [("a", 60, 1, 100_000)]
+    whole = df.selectExpr("*", "'INFO' AS level", "'m' AS message", "CAST(null AS STRING) AS stack_trace")
+    got = {(r.rule_id, r.runnable, r.epoch, r.seq) for r in detect.detect(whole, detect.Catalogue((rule,))).collect()}
+    assert got == {("S02", "a", 60, 1), ("S02", "a", 60, -2)}
