@@ -130,7 +130,11 @@ def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     hw, hr = F.col("hw"), F.col("hr")
     # The windows' hash table is bounded, so it goes to the scan; only windows that are in it become rows.
     wanted = (lambda h: h.isin(hashes) if hashes else F.lit(False)) if few else (lambda h: F.lit(True))
-    by_template, by_words = F.filter(starts(hw), lambda i: wanted(hash_at(hw, i))), F.filter(starts(hr), lambda i: wanted(hash_at(hr, i)))
+    by_words = F.filter(starts(hr), lambda i: wanted(hash_at(hr, i)))
+    # Windows without a placeholder are those of plain words; only the others are hashed by the template.
+    placeholders = F.filter(F.sequence(F.lit(0), F.greatest(F.size(hw) - 1, F.lit(0))), lambda i: ~F.get(hw, i).eqNullSafe(F.get(hr, i)))
+    near = F.array_distinct(F.flatten(F.transform(placeholders, lambda i: F.sequence(F.greatest(i - (WINDOW - 1), F.lit(0)), i))))
+    by_template = F.filter(near, lambda i: (i <= F.size(hw) - WINDOW) & wanted(hash_at(hw, i)))
     whole = F.when(F.size(hr) == 1, starts(hr, 1)).otherwise(F.array().cast("array<int>"))
     few_words = lambda k: lambda i: short_hash(hr, i, k)
     short = [F.filter(whole if k == 1 else starts(hr, k), (lambda at: lambda i: wanted(at(i)))(few_words(k))) for k in sizes]
