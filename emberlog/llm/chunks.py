@@ -44,7 +44,8 @@ class ChunkEncoder:
     """
 
     def __init__(self, whole: Callable[[list[str]], list[bytes]], most: int = 900_000, special: tuple[str, ...] = ()):
-        self.whole, self.most, self.odd = whole, most, (*ODD, *special)
+        self.whole, self.most, self.special = whole, most, special
+        self.odd = (*ODD, *sorted({x[0] for x in special}))  # texts without any of these characters are cut
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}  # chunks without the space before them; a newline stands together with what follows
 
@@ -55,7 +56,7 @@ class ChunkEncoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if any(c in text for c in self.odd):
+            if any(c in text for c in self.odd) and (any(c in text for c in ODD) or any(x in text for x in self.special)):
                 odd.append(k)
             elif (words := plain_words(text)) is None:
                 other[k] = CHUNK.findall(text)
