@@ -28,16 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; in tests, where it is unset, a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where it is unset and all runs on one machine.
+
+    A path without a scheme is one of the default file system.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if set_dir.isDefined():
             root = set_dir.get()
+        elif not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         else:
             root = "file://" + tempfile.mkdtemp(prefix="emberlog-")
             spark.sparkContext.setCheckpointDir(root)
-    return root if "://" in root or root.startswith("file:") else "file://" + os.path.abspath(root)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

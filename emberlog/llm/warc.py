@@ -10,7 +10,6 @@ from __future__ import annotations
 import hashlib
 import io
 import re
-import tempfile
 import zlib
 from collections.abc import Callable, Iterator
 from typing import BinaryIO
@@ -159,7 +158,7 @@ def write_archives(pages: DataFrame, into: str, id_col: str = "page_id", url_col
         part, seq = TaskContext.get().partitionId(), 0
 
         def open_stream() -> tuple[BinaryIO, Callable]:
-            return tempfile.SpooledTemporaryFile(max_size=8 << 20), zlib.compressobj(1, zlib.DEFLATED, 31)
+            return io.BytesIO(), zlib.compressobj(1, zlib.DEFLATED, 31)
 
         def finish(stream: BinaryIO, z) -> pa.RecordBatch:
             nonlocal seq
