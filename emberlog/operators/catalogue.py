@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from emberlog.operators.detect import Catalogue, Escalation, Rule
 
 ERR, ERR_FATAL = ("ERROR",), ("ERROR", "FATAL")
@@ -35,3 +37,9 @@ DEFAULT = Catalogue(
         Rule("S03", "Slow shutdown", "STATE_SEQUENCE", "MEDIUM", state_sequence=("STARTED", "STOPPING"), window_minutes=3, no_followup_state="STOPPED", tags=("lifecycle", "shutdown")),
     )
 )
+
+
+def default(database: str = "") -> Catalogue:
+    """The catalogue for a deployment whose main database has a name (C02); without one, any database counts."""
+    pattern = f"Cannot open database.*{database}.*login failed" if database else "Cannot open database.*login failed"
+    return Catalogue(tuple(replace(r, pattern=pattern) if r.rule_id == "C02" else r for r in DEFAULT.rules))

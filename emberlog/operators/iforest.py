@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from emberlog.operators.risk import exact_percentiles
+from emberlog.operators.risk import exact_percentiles, percentiles_by
 
 EULER = 0.5772156649015329
 SAMPLE, TREES, SEED = 256, 200, 42
@@ -101,7 +101,12 @@ class Forest:
 
 def forest(trees: DataFrame) -> Forest:
     """The trees in flat arrays; they are at most some hundred thousand nodes, bounded by trees and sample."""
-    pdf = trees.orderBy("tree", "node").toPandas()
+    return flat(trees.orderBy("tree", "node").toPandas())
+
+
+def flat(pdf: pd.DataFrame) -> Forest:
+    """Flat arrays of trees in order of tree and node."""
+    pdf = pdf.reset_index(drop=True)
     starts = pdf.groupby("tree", sort=True).size().cumsum().shift(fill_value=0)
     offset = pdf["tree"].map(starts).to_numpy(np.int64)
     path = pdf["depth"].to_numpy(float) + np.array([mean_path(s) for s in pdf["size"]])
@@ -120,10 +125,55 @@ def score(rows: DataFrame, model: Forest, column: str = "z") -> DataFrame:
     return rows.withColumn("score", of(F.col(column)))
 
 
+def fit_by(rows: DataFrame, by: str = "runnable", column: str = "z", id_columns: tuple[str, ...] = ("runnable", "t"), trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
+    """Trees of each key (by, TREE_SCHEMA), each on at most `sample` of its key's rows.
+
+    A hash of the ids thins large keys to about twice what they need before they are ordered, so no key is sorted whole.
+    Every tree draws by a hash of its own; trees share rows where a key has fewer than trees * sample.
+    """
+    h = F.pmod(F.xxhash64(*id_columns, F.lit(seed)), F.lit(1 << 30))
+    n = rows.groupBy(by).agg(F.count("*").alias("n"))
+    marked = rows.select(by, F.col(column).alias("x"), h.alias("h")).join(n, by)
+    need = F.lit(2.0 * trees * sample + 1000)
+    some = marked.where(F.col("h") < need / F.col("n") * (1 << 30)).withColumn("i", F.row_number().over(W.partitionBy(by).orderBy("h", "x")) - 1).where(F.col("i") < trees * sample)
+    own = F.array((F.col("i") % trees).cast("int"))
+    dealt = some.select(by, "x", "h", "n", F.explode(F.when(F.col("n") >= trees * sample, own).otherwise(F.sequence(F.lit(0), F.lit(trees - 1)))).alias("tree"))
+    dealt = dealt.withColumn("i", F.row_number().over(W.partitionBy(by, "tree").orderBy(F.xxhash64("h", "tree"), "x"))).where(F.col("i") <= F.least(F.lit(sample), F.col("n")))
+
+    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.array(sorted(map(tuple, pdf["x"].tolist())), float)
+        found = grow(x, np.random.default_rng([seed, int(key[1])]))
+        return pd.DataFrame([(key[0], int(key[1]), *r) for r in found], columns=[by, "tree", "node", "feature", "threshold", "left", "right", "size", "depth"])
+
+    return dealt.groupBy(by, "tree").applyInPandas(build, f"{by} string, {TREE_SCHEMA}")
+
+
+def score_by(rows: DataFrame, trees: DataFrame, by: str = "runnable", column: str = "z", at_once: int = 200_000) -> DataFrame:
+    """(by, id columns, score) of rows by their key's own trees; large keys are dealt out in parts of about at_once rows.
+
+    rows: by, the columns to keep and `column`. Rows of a key without trees have no score and are left out.
+    """
+    keep = [c for c in rows.columns if c != column]
+    parts = rows.groupBy(by).agg(F.ceil(F.count("*") / F.lit(at_once)).cast("int").alias("__parts"))
+    dealt = rows.join(parts, by).withColumn("__part", F.pmod(F.xxhash64(*keep), F.col("__parts")).cast("int")).drop("__parts")
+    models = trees.join(parts, by).select(*trees.columns, F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part"))
+
+    def of(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: [] for c in (*keep, "score")})
+        model = flat(right.sort_values(["tree", "node"], kind="stable"))
+        x = np.array(left[column].tolist(), float)
+        found = np.concatenate([model.score(x[k : k + 2048]) for k in range(0, len(x), 2048)])
+        return left[keep].assign(score=found)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != column)
+    return dealt.groupBy(by, "__part").cogroup(models.groupBy(by, "__part")).applyInPandas(of, f"{kinds}, score double")
+
+
 def labels(rows: DataFrame, contamination: float = 0.03, by: list[str] | None = None) -> DataFrame:
     """Adds offset (the contamination's percentile of score), decision (score less offset) and label (-1 below it, else 1)."""
     if by:
-        out = rows.join(rows.groupBy(*by).agg(F.percentile("score", F.lit(contamination)).alias("offset")), by)
+        out = rows.join(percentiles_by(rows, F.col("score"), (contamination,), by).withColumnRenamed("p0", "offset"), by)
     else:
         out = rows.withColumn("offset", F.lit(exact_percentiles(rows, F.col("score"), (contamination,))[0]).cast("double"))
     return out.withColumns({"decision": F.col("score") - F.col("offset"), "label": F.when(F.col("score") < F.col("offset"), -1).otherwise(1)})

@@ -28,7 +28,9 @@ NOISE = r"Reusing existing ZKC instance|Accepted login for user Clous"
 CONTINUATION = r"(?U)^\s*$|^\s+(?:at\s|\.\.\.)|^\s*Caused by:\s|^[A-Za-z][\w.]*(?:Exception|Error|Throwable)[\s:]"
 SMTP = ("DEBUG", "EHLO", "250", "220", "STARTTLS", "RCPT", "AUTH", "MAIL FROM", "354", "DATA")
 EMAIL = ("Date:", "From:", "Reply-To:", "To:", "Message-ID:", "Subject:", "MIME-", "Content-", "---")
-BANNER = r"(?U)^[\s_/\\|()U\"'>*=]+$|^[A-Z]{4} version|^Spring boot"
+BANNER = r"(?U)^[\s_/\\|()U\"'>*=]+$|^Spring boot"
+#: Stands for the name of a product where none is given: a word of four capitals before its version.
+ANY_PRODUCT = r"[A-Z]{4}"
 STATE_CHANGE = r"(?U)State change:\s*\w+\s*->\s*(\w+)"
 #: Runnables whose instances carry their name without the suffix as prefix.
 INSTANCES = ("arcm", "abs", "copernicus", "umcadmin", "adsadmin", "ces", "ecp", "dashboarding", "octopus", "simulation", "cloudsearch", "elastic", "zoo", "cdf", "apg", "loadbalancer")
@@ -43,18 +45,22 @@ def is_continuation(line: Column) -> Column:
     return line.rlike(CONTINUATION)
 
 
-def unstructured_kind(line: Column) -> Column:
-    """BUS, SMTP, EMAIL, BANNER or OTHER of a line that is no record; the first that fits."""
+def unstructured_kind(line: Column, product: str | None = None) -> Column:
+    """BUS, SMTP, EMAIL, BANNER or OTHER of a line that is no record; the first that fits.
+
+    product: the name of the logged product, whose banner is a line that begins with it and "version".
+    """
+    named = F.startswith(strip(line), F.lit(f"{product} version")) if product else strip(line).rlike(f"^{ANY_PRODUCT} version")
     s = strip(line)
     starts = lambda ps: F.reduce(F.array(*[F.startswith(s, F.lit(p)) for p in ps]), F.lit(False), lambda a, x: a | x)
-    return F.when(F.startswith(s, F.lit("BUS-")), "BUS").when(starts(SMTP), "SMTP").when(starts(EMAIL), "EMAIL").when(s.rlike(BANNER), "BANNER").otherwise("OTHER")
+    return F.when(F.startswith(s, F.lit("BUS-")), "BUS").when(starts(SMTP), "SMTP").when(starts(EMAIL), "EMAIL").when(s.rlike(BANNER) | named, "BANNER").otherwise("OTHER")
 
 
-def log_family(name: Column) -> Column:
-    """Family of a log file by its name."""
+def log_family(name: Column, wrapper_file: str | None = None) -> Column:
+    """Family of a log file by its name. wrapper_file: the exact name, in lower case, of the wrapper's own log; None takes any cloud agent's."""
     n = F.lower(name)
     return (
-        F.when(F.endswith(n, F.lit("cloudagent.log")) | F.contains(n, F.lit("wrapperlog")), "WRAPPER_LOG")
+        F.when((n == wrapper_file if wrapper_file else F.endswith(n, F.lit("cloudagent.log"))) | F.contains(n, F.lit("wrapperlog")), "WRAPPER_LOG")
         .when(n == "runnable_history.log", "RUNNABLE_HISTORY")
         .when(n == "agent_rest_operations.log", "REST_OPS")
         .when(n == "agent_login.log", "AGENT_LOGIN")
@@ -83,7 +89,8 @@ def new_state(message: Column, format_type: Column) -> Column:
 def parse_lines(lines: DataFrame, line: str = "line", tz_mode: str = "approx") -> DataFrame:
     """Adds parsed columns to lines: format_type (null for no record), ts, level, instance_id, tenant, session_id, request_id, thread, logger, message, content_runnable, duration_ms, end_ts, bad_time.
 
-    The format is one ladder of tests; a format's fields come out of one replacement each. A line whose time can't be
+    The format is one ladder of tests; a format's fields come out of one replacement each, group by group in lines that
+    hold the mark between fields themselves. A line whose time can't be
     read, a 13th month say, has bad_time and counts as no record.
     """
     raw = F.regexp_replace(F.coalesce(F.col(line), F.lit("")), r"[\r\n]+$", "")
@@ -95,7 +102,9 @@ def parse_lines(lines: DataFrame, line: str = "line", tz_mode: str = "approx") -
     base = base.withColumn("__f", ladder)
     fields = F.array().cast("array<string>")
     for name, pattern in FORMATS.items():
-        fields = F.when(F.col("__f") == name, F.split(F.regexp_replace("__in", pattern, MARK.join(f"${k}" for k in range(1, FIELDS[name] + 1))), MARK)).otherwise(fields)
+        at_once = F.split(F.regexp_replace("__in", pattern, MARK.join(f"${k}" for k in range(1, FIELDS[name] + 1))), MARK)
+        one_by_one = F.array(*[F.regexp_extract("__in", pattern, k) for k in range(1, FIELDS[name] + 1)])
+        fields = F.when(F.col("__f") == name, F.when(F.contains(F.col("__in"), F.lit(MARK)), one_by_one).otherwise(at_once)).otherwise(fields)
     base = base.withColumn("__x", fields)
     x = lambda k: F.get("__x", F.lit(k))
     f = F.col("__f")
@@ -140,7 +149,7 @@ def parse_lines(lines: DataFrame, line: str = "line", tz_mode: str = "approx") -
     return out.withColumn("format_type", kind).drop("__raw", "__in", "__wrapped", "__f", "__x", "__local", "__end")
 
 
-def fold_lines(parsed: DataFrame, file: str = "source_file", number: str = "line_number", line: str = "line") -> DataFrame:
+def fold_lines(parsed: DataFrame, file: str = "source_file", number: str = "line_number", line: str = "line", product: str | None = None) -> DataFrame:
     """Records with the lines that follow them: continuation lines make the stack trace, other unstructured ones lengthen the message.
 
     Lines before a file's first record are dropped, as are mail traffic and banners. stack_trace keeps lines as they are,
@@ -150,7 +159,7 @@ def fold_lines(parsed: DataFrame, file: str = "source_file", number: str = "line
     order = W.partitionBy(file).orderBy(number).rowsBetween(W.unboundedPreceding, 0)
     rows = parsed.withColumn("__rid", F.sum(is_record.cast("long")).over(order)).where("__rid > 0")
     text = F.regexp_replace(F.coalesce(F.col(line), F.lit("")), r"[\r\n]+$", "")
-    kind = F.when(is_record, "record").when(is_continuation(text), "stack").otherwise(unstructured_kind(text))
+    kind = F.when(is_record, "record").when(is_continuation(text), "stack").otherwise(unstructured_kind(text, product))
     rows = rows.withColumns({"__kind": kind, "__text": text})
     at = lambda k, c: F.array_sort(F.collect_list(F.when(k, F.struct(F.col(number).alias("n"), c.alias("t")))))
     added = F.col("__kind").isin("BUS", "OTHER") & (strip(F.col("__text")) != "")
@@ -164,10 +173,10 @@ def fold_lines(parsed: DataFrame, file: str = "source_file", number: str = "line
     return out.withColumns({"has_stack_trace": F.coalesce(F.col("stack_trace") != "", F.lit(False)), "message_hash": message_hash(F.col("message"))}).drop("__rid", "__stack", "__more", "bad_time")
 
 
-def records(lines: DataFrame, tz_mode: str = "approx") -> DataFrame:
+def records(lines: DataFrame, tz_mode: str = "approx", product: str | None = None) -> DataFrame:
     """Records of lines (source_file, source_path, runnable_hint, line_number, line): noise goes after numbering, before parsing."""
     parsed = parse_lines(lines.where(~is_noise(F.coalesce(F.col("line"), F.lit("")))), "line", tz_mode)
-    out = fold_lines(parsed)
+    out = fold_lines(parsed, product=product)
     hint = F.col("runnable_hint") if "runnable_hint" in lines.columns else F.lit(None).cast("string")
     runnable = F.coalesce(F.nullif(hint, F.lit("")), "content_runnable", runnable_of(F.coalesce("source_path", "source_file"), F.col("instance_id"), F.col("thread")))
     return out.withColumns({"runnable": runnable, "state": new_state(F.col("message"), F.col("format_type")), "epoch": epoch(F.col("ts"))})

@@ -77,11 +77,36 @@ def exact_percentiles(rows: DataFrame, value: Column, shares: tuple[float, ...],
     return [at[int(h)] + (at[min(int(h) + 1, n - 1)] - at[int(h)]) * (h - int(h)) for h in (p * (n - 1) for p in shares)]
 
 
+def percentiles_by(rows: DataFrame, value: Column, shares: tuple[float, ...], by: list[str], buckets: int = 4096) -> DataFrame:
+    """(by..., p0, p1, ...): percentiles of each key with linear interpolation, exact, without holding a key's values.
+
+    As exact_percentiles, with each key's own buckets. Null and not-a-number are left out; a key without values has no row.
+    """
+    key = F.struct(*by).alias("k")
+    v = rows.select(key, value.cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+    ends = v.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    width = (F.col("hi") - F.col("lo")) / buckets
+    bucket = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.least(F.floor((F.col("v") - F.col("lo")) / F.when(width == 0, 1.0).otherwise(width)), F.lit(buckets - 1))).cast("int")
+    # Equal values are counted before they are shuffled by key.
+    placed = v.groupBy("k", "v").agg(F.count("*").alias("c")).join(ends, "k").withColumn("b", bucket)
+    counted = placed.groupBy("k", "b", "n").agg(F.sum("c").alias("c"))
+    counted = counted.withColumn("start", F.sum("c").over(W.partitionBy("k").orderBy("b")) - F.col("c"))
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(up).alias("up"), F.least(F.floor(p * (F.col("n") - 1)) + int(up), F.col("n") - 1).alias("r")) for i, p in enumerate(shares) for up in (False, True)])
+    wanted = counted.select("k", "b", "start", "c", F.explode(ranks).alias("w")).where("w.r >= start AND w.r < start + c").select("k", "b", "start", "w.*")
+    some = placed.select("k", "b", "v", "c", "n").join(wanted.select("k", "b").distinct(), ["k", "b"], "left_semi")
+    some = some.withColumn("before", F.sum("c").over(W.partitionBy("k", "b").orderBy("v")) - F.col("c"))
+    hit = some.join(wanted, ["k", "b"]).where("r >= start + before AND r < start + before + c")
+    at = lambda i, up: F.max(F.when((F.col("i") == i) & (F.col("up") == up), F.col("v")))
+    part = lambda p: p * (F.col("n") - 1) - F.floor(p * (F.col("n") - 1))
+    out = hit.groupBy("k", "n").agg(*[at(i, up).alias(f"v{i}_{int(up)}") for i in range(len(shares)) for up in (False, True)])
+    return out.select("k.*", *[(F.col(f"v{i}_0") + (F.col(f"v{i}_1") - F.col(f"v{i}_0")) * part(p)).alias(f"p{i}") for i, p in enumerate(shares)])
+
+
 def normalised(rows: DataFrame, score: str = "score", by: list[str] | None = None) -> DataFrame:
     """Adds risk_score, 0 to 100, between the 1st and 99th percentile of -score in the batch (or key); 0 for all if these are equal."""
     neg = -F.col(score)
     if by:
-        bounds = rows.groupBy(*by).agg(F.percentile(neg, F.lit(0.01)).alias("__lo"), F.percentile(neg, F.lit(0.99)).alias("__hi"))
+        bounds = percentiles_by(rows, neg, (0.01, 0.99), by).withColumnsRenamed({"p0": "__lo", "p1": "__hi"})
         joined = rows.join(bounds, by)
     else:
         lo, hi = exact_percentiles(rows, neg, (0.01, 0.99))
@@ -157,6 +182,6 @@ def reconstruction(rows: DataFrame, k: int = 6, by: str = "runnable", names: int
 
 def over_percentile(rows: DataFrame, value: str = "error", q: float = 0.97, by: str = "runnable") -> DataFrame:
     """Adds threshold, label (-1 over the key's percentile, else 1) and score (0 to 100 between least and greatest)."""
-    cut = rows.groupBy(by).agg(F.percentile(value, F.lit(q)).alias("threshold"))
+    cut = percentiles_by(rows, F.col(value), (q,), [by]).withColumnRenamed("p0", "threshold")
     out = rows.join(cut, by)
     return out.withColumns({"label": F.when(F.col(value) > F.col("threshold"), -1).otherwise(1), "score": min_max(value, [by])})

@@ -6,22 +6,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from emberlog.session import cut
+
 
 def throttle(df: DataFrame, keys: list[str], gap: int, time: str = "epoch", seq: str = "seq", force: str | None = None) -> DataFrame:
     """df with a column kept. Suppressed rows don't move the clock; rows with a true column `force` are kept always and move it.
 
-    A row at least a gap after the row before it is kept whatever came before, so each key splits there into runs that
-    are independent. Only a run's times are folded at once, without other columns.
+    Works on the distinct times of each key, which are few however many rows there are. Each time has one successor, the
+    first at least a gap later; it stands in the next bucket of a gap's length or is the first of a later one, so windows
+    run within buckets. A time at least a gap after the one before it is a root, as is a forced one; what is reachable from
+    roots is found by pointer doubling. Of equal times the row with the least seq is kept. Rows without a time never are.
     """
-    order = W.partitionBy(*keys).orderBy(time, seq)
-    before = F.lag(time).over(order)
-    starts = (before.isNull() | (F.col(time) - before >= gap)).cast("long")
-    rows = df.withColumn("__start", starts).withColumn("__run", F.sum("__start").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    if gap <= 0:
+        return df.withColumn("kept", F.lit(True))
     forced = F.coalesce(F.col(force), F.lit(False)) if force else F.lit(False)
-    item = F.struct(F.col(time).alias("t"), F.col(seq).alias("s"), forced.alias("f"))
-    kind = f"struct<last:bigint,kept:array<bigint>>"
-    folded = rows.where("true").groupBy(*keys, "__run").agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    nothing = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept")).cast(kind)
-    step = lambda a, x: F.when(x["f"] | a["last"].isNull() | (x["t"] - a["last"] >= gap), F.struct(x["t"].cast("bigint").alias("last"), F.concat(a["kept"], F.array(x["s"].cast("bigint"))).alias("kept"))).otherwise(a)
-    kept = folded.select(*keys, F.explode(F.aggregate("__items", nothing, step)["kept"]).alias(seq)).withColumn("kept", F.lit(True))
-    return df.join(kept, [*keys, seq], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    t = F.col(time).cast("long")
+    rows = df.where(F.col(time).isNotNull()).groupBy(F.struct(*keys).alias("k"), t.alias("t")).agg(F.min(seq).alias("s"), F.bool_or(forced).alias("f"))
+    nodes = cut(rows.withColumn("b", F.floor(F.col("t") / gap)))
+    edges, roots = _edges(nodes, gap, bool(force))
+    # Edges to roots reach nothing new.
+    starts = roots.select("k", "t")
+    hops = edges.join(starts.select("k", F.col("t").alias("to")), ["k", "to"], "left_anti").select("k", "t", "to")
+    followed = edges.join(_reachable(hops, starts), ["k", "t"]).select("k", F.col("to").alias("t"))
+    reached = roots.where("own").select("k", "t").union(followed)
+    kept = nodes.join(reached, ["k", "t"], "left_semi").select(F.col("k").alias("__k"), F.col("t").alias("__t"), F.col("s").alias("__s"))
+    met = df.join(kept, (F.struct(*[F.col(c) for c in keys]) == F.col("__k")) & (t == F.col("__t")) & (F.col(seq) == F.col("__s")), "left")
+    return met.withColumn("kept", F.col("__k").isNotNull() | forced).drop("__k", "__t", "__s")
+
+
+def _edges(nodes: DataFrame, gap: int, force: bool) -> tuple[DataFrame, DataFrame]:
+    """Edges (k, t, to) to each time's successor and roots (k, t, own); own tells those that the gap makes, not force alone."""
+    by_bucket, line = W.partitionBy("k").orderBy("b"), W.partitionBy("k", "b")
+    buckets = nodes.groupBy("k", "b").agg(F.min("t").alias("first"), F.max("t").alias("last"))
+    near = F.lead("b").over(by_bucket) == F.col("b") + 1
+    later = F.when(near, F.lead("first", 2).over(by_bucket)).otherwise(F.lead("first").over(by_bucket))
+    buckets = buckets.select("k", "b", F.lag("last").over(by_bucket).alias("previous"), later.alias("later"))
+    known = nodes.join(buckets, ["k", "b"])
+    before = F.coalesce(F.lag("t").over(line.orderBy("t")), "previous")
+    known = known.withColumn("root", before.isNull() | (F.col("t") - before >= gap))
+    if force:
+        known = known.withColumn("broken", F.coalesce(F.max(F.col("f").cast("int")).over(W.partitionBy("k").orderBy("t").rangeBetween(1, gap - 1)) == 1, F.lit(False)))
+    else:
+        known = known.withColumn("broken", F.lit(False))
+    asked = known.select("k", (F.col("b") + 1).alias("b"), (F.col("t") + gap).alias("at"), F.lit(1).alias("kind"), "t", "later", "broken")
+    stand = nodes.select("k", "b", F.col("t").alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("t"), F.lit(None).cast("long").alias("later"), F.lit(False).alias("broken"))
+    met = F.min(F.when(F.col("kind") == 0, F.col("at"))).over(line.orderBy(F.col("at").desc(), "kind").rowsBetween(W.unboundedPreceding, 0))
+    edges = asked.unionByName(stand).withColumn("to", F.coalesce(met, "later")).where("kind = 1 AND to IS NOT NULL AND NOT broken").select("k", "t", "to")
+    return cut(edges), cut(known.where(F.col("root") | F.col("f")).select("k", "t", F.col("root").alias("own")))
+
+
+def _reachable(hops: DataFrame, starts: DataFrame) -> DataFrame:
+    """(k, t) of starts and all times that hops lead to from them; the hops are doubled until none is left."""
+    found, hops = starts, cut(hops)
+    while not hops.isEmpty():
+        found = cut(found.union(hops.join(found, ["k", "t"]).select("k", F.col("to").alias("t"))).distinct())
+        then = hops.select("k", F.col("t").alias("to"), F.col("to").alias("after"))
+        hops = cut(hops.join(then, ["k", "to"]).select("k", "t", F.col("after").alias("to")))
+    return found
