@@ -73,3 +73,37 @@ def recall_curve(scored: DataFrame, score: str = "risk_score") -> DataFrame:
 
 def shape(vectors: DataFrame, t: str = "t") -> DataFrame:
     return vectors.groupBy("runnable").agg(F.count("*").alias("vectors"), F.count_distinct("current_state").alias("states"), F.min(t).alias("first"), F.max(t).alias("last"))
+
+
+def value_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
+def largest_incidents(found: DataFrame, n: int = 10) -> DataFrame:
+    """The n incidents with most detections; of equal ones the earliest, then by rules and root cause."""
+    return found.orderBy(F.desc("detection_count"), "created", F.array_join("rules_involved", ","), "root_cause_runnable", "incident_id").limit(n)
+
+
+def first_levels(scored: DataFrame, key: str = "runnable", t: str = "t") -> DataFrame:
+    """(key, first_red, first_yellow, lead_minutes): the first vector of each level; null for a level that a key never has."""
+    first = lambda name: F.min(F.when(F.col("risk_level") == name, F.col(t)))
+    out = scored.groupBy(key).agg(first("RED").alias("first_red"), first("YELLOW").alias("first_yellow"))
+    return out.withColumn("lead_minutes", (F.col("first_red") - F.col("first_yellow")) / 60.0)
+
+
+def scores_around(scored: DataFrame, moments: DataFrame, seconds: int, key: str = "runnable", t: str = "t") -> DataFrame:
+    """Scored rows at most so many seconds from a moment (key, at), with their offset to it; a join on key and time bucket."""
+    bucket = lambda c: F.floor(c / seconds)
+    near = moments.select(key, "at", F.explode(F.sequence(bucket(F.col("at")) - 1, bucket(F.col("at")) + 1)).alias("__b"))
+    met = scored.withColumn("__b", bucket(F.col(t))).join(near, [key, "__b"])
+    return met.withColumn("offset", F.col(t) - F.col("at")).where(F.abs("offset") <= seconds).drop("__b", "at")
+
+
+def files_by_runnable(discovered: DataFrame) -> DataFrame:
+    """(runnable, files, size_mb) of discovered log files."""
+    return discovered.groupBy(F.coalesce("runnable_hint", F.lit("unknown")).alias("runnable")).agg(F.count("*").alias("files"), F.sum("size_mb").alias("size_mb"))
+
+
+def index_stats(records: DataFrame) -> DataFrame:
+    """Per runnable: records, errors, state changes, restarts, first and last time."""
+    return records.groupBy("runnable").agg(F.count("*").alias("records"), F.count_if(F.col("level").isin("ERROR", "FATAL")).alias("errors"), F.count("state").alias("states"), F.count_if(F.col("state") == "STARTING").alias("restarts"), F.min("epoch").alias("first"), F.max("epoch").alias("last"))
