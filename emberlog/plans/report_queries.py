@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.operators import catalogue, correlate, detect, features, iforest, parse, report, risk
+from emberlog.operators import catalogue, correlate, detect, iforest, parse, report, risk
 from emberlog.plans.logview import SQL as LOGS
 from emberlog.plans.logview import log_view, quoted
 from emberlog.plans.more_queries import HOURLY, LINES, PREFIX, STAND_IN, _event_lines, _lines, _stand_in, _vectors
@@ -86,7 +86,7 @@ def q_first_alerts(spark: SparkSession, d: str) -> DataFrame:
 def q_scores_around(spark: SparkSession, d: str) -> DataFrame:
     """Scores within half an hour of each runnable's last restart."""
     at = log_view(spark, d).where("state = 'STARTING'").groupBy("runnable").agg(F.max("epoch").alias("at"))
-    return report.scores_around(_stand_in(spark, d), at, 1800).select("runnable", "t", "offset", F.round("score", 6).alias("score"))
+    return report.scores_around(_stand_in(spark, d), at, 1800).select("runnable", "t", "offset", (F.round("score", 6) + F.lit(0.0)).alias("score"))
 
 
 def q_keyed_percentiles(spark: SparkSession, d: str) -> DataFrame:
@@ -97,7 +97,7 @@ def q_keyed_percentiles(spark: SparkSession, d: str) -> DataFrame:
 def q_iforest_by_runnable(spark: SparkSession, d: str) -> DataFrame:
     """A forest for each runnable, with its own offset and labels."""
     names = (*risk.PER_RUNNABLE_FEATURES, "state_risk")
-    x = risk.matrix(features.thinned(_vectors(spark, d)), risk.PER_RUNNABLE_FEATURES, risk.STATE_RISK_PER_RUNNABLE, False).select("runnable", "t", "x").persist()
+    x = risk.matrix(_vectors(spark, d), risk.PER_RUNNABLE_FEATURES, risk.STATE_RISK_PER_RUNNABLE, False).select("runnable", "t", "x").persist()
     z = risk.zscores(x, risk.scaler(x, names)).select("runnable", "t", "z")
     scored = iforest.score_by(z, iforest.fit_by(z)).persist()
     return iforest.labels(scored, 0.03, ["runnable"]).select("runnable", "t", "score", "offset", "label")
@@ -149,6 +149,6 @@ ORACLE: dict[str, str] = {
     "q_distinct_epochs": f"WITH {LOGS} SELECT DISTINCT epoch FROM logs WHERE level = 'ERROR' OR state IS NOT NULL",
     "q_first_alerts": f"""{PREFIX}, {STAND_IN}, {BOUNDS} SELECT runnable, min(t) FILTER (r >= 70) AS first_red, min(t) FILTER (r >= 30 AND r < 70) AS first_yellow,
         round((min(t) FILTER (r >= 70) - min(t) FILTER (r >= 30 AND r < 70)) / 60.0::DOUBLE, 6) AS lead_minutes FROM risky GROUP BY runnable""",
-    "q_scores_around": f"""{PREFIX}, {STAND_IN}, a AS (SELECT runnable, max(epoch) AS moment FROM logs WHERE state = 'STARTING' GROUP BY 1) SELECT s.runnable, t, t - moment AS "offset", round(score, 6) AS score FROM stand_in s JOIN a ON a.runnable = s.runnable AND abs(t - moment) <= 1800""",
+    "q_scores_around": f"""{PREFIX}, {STAND_IN}, a AS (SELECT runnable, max(epoch) AS moment FROM logs WHERE state = 'STARTING' GROUP BY 1) SELECT s.runnable, t, t - moment AS "offset", round(score, 6) + 0.0 AS score FROM stand_in s JOIN a ON a.runnable = s.runnable AND abs(t - moment) <= 1800""",
     "q_keyed_percentiles": f"{PREFIX}, {STAND_IN} SELECT runnable, round(quantile_cont(score, 0.01), 6) + 0.0 AS p0, round(quantile_cont(score, 0.5), 6) + 0.0 AS p1, round(quantile_cont(score, 0.97), 6) + 0.0 AS p2 FROM stand_in GROUP BY runnable",
 }
