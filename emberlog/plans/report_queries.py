@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.operators import catalogue, correlate, detect, iforest, parse, report, risk
+from emberlog.operators import catalogue, correlate, detect, parse, report, risk
 from emberlog.plans.logview import SQL as LOGS
 from emberlog.plans.logview import log_view, quoted
 from emberlog.plans.more_queries import HOURLY, LINES, PREFIX, STAND_IN, _event_lines, _lines, _stand_in, _vectors
@@ -94,15 +94,6 @@ def q_keyed_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return got.select("runnable", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("p0", "p1", "p2")])
 
 
-def q_iforest_by_runnable(spark: SparkSession, d: str) -> DataFrame:
-    """A forest for each runnable, with its own offset and labels."""
-    names = (*risk.PER_RUNNABLE_FEATURES, "state_risk")
-    x = risk.matrix(_vectors(spark, d), risk.PER_RUNNABLE_FEATURES, risk.STATE_RISK_PER_RUNNABLE, False).select("runnable", "t", "x").persist()
-    z = risk.zscores(x, risk.scaler(x, names)).select("runnable", "t", "z")
-    scored = iforest.score_by(z, iforest.fit_by(z)).persist()
-    return iforest.labels(scored, 0.03, ["runnable"]).select("runnable", "t", "score", "offset", "label")
-
-
 QUERIES: dict[str, Query] = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 
 E, EF = "level = 'ERROR'", "level IN ('ERROR', 'FATAL')"

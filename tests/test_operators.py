@@ -264,3 +264,25 @@ def test_states_without_followup_at_the_end_of_the_stream(spark):
     whole = df.selectExpr("*", "'INFO' AS level", "'m' AS message", "CAST(null AS STRING) AS stack_trace")
     got = {(r.rule_id, r.runnable, r.epoch, r.seq) for r in detect.detect(whole, detect.Catalogue((rule,))).collect()}
     assert got == {("S02", "a", 60, 1), ("S02", "a", 60, -2)}
+
+
+def test_throttle_forced_against_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", None]), rng.randrange(900), i, rng.random() < 0.05) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, epoch long, seq long, force boolean")
+    got = {r.seq for r in throttle.throttle(df, ["k"], 7, force="force").where("kept").collect()}
+    want, last = set(), {}
+    for k, t, i, f in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        if f or k not in last or t - last[k] >= 7:
+            want.add(i)
+            last[k] = t
+    assert got == want
+
+
+def test_forest_by_key(spark):
+    rows = [(k, i, [float(i % 7) + (100.0 if i == 3 else 0.0), float(i % 5)]) for k in "ab" for i in range(40)]
+    df = spark.createDataFrame(rows, "runnable string, t long, z array<double>")
+    trees = iforest.fit_by(df, trees=4, sample=16)
+    assert {r.runnable for r in trees.select("runnable").distinct().collect()} == {"a", "b"}
+    got = iforest.score_by(df, trees).collect()
+    assert len(got) == 80 and all(-1 <= r.score <= 0 for r in got)
