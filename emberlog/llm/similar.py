@@ -110,25 +110,16 @@ def _hashes(items: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return found.dropDuplicates(["item"])
 
 
-def _sifted(pairs: DataFrame, similarity: float) -> DataFrame:
-    """Different (x, y, a, b) of pairs (with sketches sx, sy) whose estimated similarity isn't clearly too small."""
+def _likely(similarity: float) -> Column:
+    """Whether the similarity that sketches sx and sy estimate isn't clearly too small; as a join's condition, so that no other pair leaves the join."""
     n = BANDS * ROWS
     least = n * similarity - ERRORS * math.sqrt(n * similarity * (1 - similarity))
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sx, sy = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, n) for k in (4, 5))
-            yield batch.select([0, 1, 2, 3]).filter(pa.array((sx == sy).sum(axis=1) >= least))
-
-    return pairs.select("x", "y", "a", "b", "sx", "sy").mapInArrow(run, "x binary, y binary, a long, b long").dropDuplicates(["x", "y"])
+    equal = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.substring("sx", 2 * k + 1, F.lit(2)) == F.substring("sy", 2 * k + 1, F.lit(2)))
+    return F.size(equal) >= F.lit(least)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) of classes whose items (x, y) have at least that similarity."""
+    """Edges (a, b) of classes whose items (x, y) have at least that similarity; pairs may be repeated."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -139,6 +130,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(near)
 
     first, second = sets.select(F.col("item").alias("x"), F.col("hashes").alias("hx")), sets.select(F.col("item").alias("y"), F.col("hashes").alias("hy"))
+    pairs = pairs.select("x", "y", "a", "b").dropDuplicates(["x", "y"])
     return common.checkpoint(pairs.join(first, "x").join(second, "y").select("a", "b", "hx", "hy").mapInArrow(run, "a long, b long").distinct())
 
 
@@ -157,8 +149,8 @@ def _mixed(rows: DataFrame) -> DataFrame:
 def _crossed(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Verified edges between the classes of each bucket; members of its largest class aren't compared with each other."""
     one, two = (rows.select("k", "most", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias("n" + i), F.col("sketch").alias("s" + i)) for i, c in (("x", "a"), ("y", "b")))
-    pairs = one.where("a <> most").join(two.drop("most"), "k").where("a <> b AND (b = most OR x > y)").where(_near_in_size("nx", "ny", similarity))
-    return _verified(_sifted(pairs, similarity), sets, similarity)
+    pairs = one.where("a <> most").join(two.drop("most"), "k").where("a <> b AND (b = most OR x > y)").where(_near_in_size("nx", "ny", similarity)).where(_likely(similarity))
+    return _verified(pairs, sets, similarity)
 
 
 def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
@@ -187,7 +179,7 @@ def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, s
         leaders = met.groupBy("k").agg(F.max(F.struct("company", "item", "c", "size", "sketch")).alias("leader"))
         stars = met.join(leaders, "k").where("c <> leader.c").where(_near_in_size("size", "leader.size", similarity))
         stars = stars.select(F.col("item").alias("x"), F.col("leader.item").alias("y"), F.col("c").alias("a"), F.col("leader.c").alias("b"), F.col("sketch").alias("sx"), F.col("leader.sketch").alias("sy"))
-        star_edges = _verified(_sifted(stars, similarity), sets, similarity)
+        star_edges = _verified(stars.where(_likely(similarity)), sets, similarity)
         edges = star_edges if edges is None else edges.union(star_edges)
         left = met.where("n > 2").select("item", "c", "size", "sketch", "k")
         for labels in (_two_steps, connected_components):  # what small buckets link thins out the large ones
