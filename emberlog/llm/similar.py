@@ -1,4 +1,4 @@
-"""Links between texts with similar word shingles: min-hash bands give candidates, sketches sift them, exact comparison decides."""
+"""Links between texts with similar word shingles: min-hash bands give candidates, bits of min-hashes sift them, exact comparison decides."""
 
 from __future__ import annotations
 
@@ -19,7 +19,9 @@ BANDS, ROWS = 20, 5
 PAIRS_A_ROW = 64
 #: Min-hashes that a deeper level adds to a band, and the probability that a pair may miss all bands of a deeper level.
 DEEPER, MISSED = 5, 0.002
-#: Standard errors by which a sketch's estimate may fall short of the similarity before a pair goes unverified (2 of 10,000 pairs just at it).
+#: Min-hashes of level 0 and of deeper levels whose last two bits stand in the marks that sift pairs.
+MARKS = (256, 512)
+#: Standard errors by which the marks' estimate may fall short of the similarity before a pair goes unverified (2 of 10,000 pairs just at it).
 ERRORS = 3.5
 #: Tables of up to so many keys (some 40 bytes each) are sent to all executors; larger ones are joined by a shuffle.
 SMALL_TABLE = 200_000
@@ -61,8 +63,14 @@ def min_hashes(hashes: np.ndarray, level: int, n: int) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray) -> bytes | None:
-    """The first 16 bits of each min-hash of level 0, band by band. An empty set has none."""
-    return (min_hashes(hashes, 0, BANDS * ROWS) >> np.uint64(48)).astype("<u2").tobytes() if len(hashes) else None
+    """The last 16 bits of each min-hash of level 0, band by band. An empty set has none."""
+    return min_hashes(hashes, 0, BANDS * ROWS).astype("<u2").tobytes() if len(hashes) else None
+
+
+def marks_of(least: np.ndarray) -> list[int]:
+    """The last two bits of each min-hash, 32 to a long."""
+    places = np.arange(0, 64, 2, dtype=np.uint64)
+    return np.bitwise_or.reduce((least & np.uint64(3)).reshape(-1, 32) << places, axis=1).view(np.int64).tolist()
 
 
 def sketch_bands(column: str = "sketch") -> Column:
@@ -110,12 +118,31 @@ def _hashes(items: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return found.dropDuplicates(["item"])
 
 
-def _likely(similarity: float) -> Column:
-    """Whether the similarity that sketches sx and sy estimate isn't clearly too small; as a join's condition, so that no other pair leaves the join."""
-    n = BANDS * ROWS
-    least = n * similarity - ERRORS * math.sqrt(n * similarity * (1 - similarity))
-    equal = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.substring("sx", 2 * k + 1, F.lit(2)) == F.substring("sy", 2 * k + 1, F.lit(2)))
-    return F.size(equal) >= F.lit(least)
+def _likely(level: int, similarity: float) -> Column:
+    """Whether the similarity that marks sx and sy estimate isn't clearly too small; as a join's condition, so that no other pair leaves the join."""
+    n = MARKS[min(level, 1)]
+    equal = similarity + (1 - similarity) / 4
+    most = n * (1 - equal) + ERRORS * math.sqrt(n * equal * (1 - equal))
+
+    def differing(x: Column, y: Column) -> Column:
+        found = x.bitwiseXOR(y)
+        return F.bit_count(found.bitwiseOR(F.shiftrightunsigned(found, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+    return F.aggregate(F.zip_with("sx", "sy", differing), F.lit(0), lambda found, k: found + k) <= F.lit(int(most))
+
+
+def _marks(sets: DataFrame, level: int) -> DataFrame:
+    """(item, marks) of sets at a level; none of the sets is empty."""
+    n = MARKS[min(level, 1)]
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            marks = [marks_of(min_hashes(np.frombuffer(v, np.uint64), level, n)) for v in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.list_(pa.int64()))], ["item", "marks"])
+
+    return sets.select("item", "hashes").mapInArrow(run, "item binary, marks array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -146,10 +173,10 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return _joined(rows, common.checkpoint(buckets), ["k"])
 
 
-def _crossed(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _crossed(rows: DataFrame, sets: DataFrame, level: int, similarity: float) -> DataFrame:
     """Verified edges between the classes of each bucket; members of its largest class aren't compared with each other."""
-    one, two = (rows.select("k", "most", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias("n" + i), F.col("sketch").alias("s" + i)) for i, c in (("x", "a"), ("y", "b")))
-    pairs = one.where("a <> most").join(two.drop("most"), "k").where("a <> b AND (b = most OR x > y)").where(_near_in_size("nx", "ny", similarity)).where(_likely(similarity))
+    one, two = (rows.select("k", "most", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias("n" + i), F.col("marks").alias("s" + i)) for i, c in (("x", "a"), ("y", "b")))
+    pairs = one.where("a <> most").join(two.drop("most"), "k").where("a <> b AND (b = most OR x > y)").where(_near_in_size("nx", "ny", similarity)).where(_likely(level, similarity))
     return _verified(pairs, sets, similarity)
 
 
@@ -162,8 +189,8 @@ def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, s
     common original. Then buckets that still have more than one class are compared across classes pair by pair, if that
     takes at most PAIRS_A_ROW pairs a row. Members of others get bands anew, of more min-hashes and so many more bands
     that a pair just at the similarity still meets with a probability of 1 - MISSED; so on until none is left. Rows of a
-    level are members times its bands. A pair goes by sketches first; whole sets are fetched only for pairs that these
-    don't rule out.
+    level are members times its bands. A pair goes by marks, bits of its min-hashes, within the join; whole sets are fetched only for
+    pairs that these don't rule out.
     """
     rows = items.select("item", "c", "size", F.explode(sketch_bands()).alias("k"))
     shared = common.checkpoint(_mixed(rows))
@@ -171,27 +198,28 @@ def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, s
     sets = common.checkpoint(_hashes(needed, texts, shingle))
     edges = None
     level = 0
-    sketches = common.checkpoint(_joined(items.select("item", "sketch"), needed.select("item"), ["item"]))
+    marks = common.checkpoint(_marks(sets, level))
     while True:
-        shared = _joined(shared.select("item", "c", "size", "k", "n"), sketches, ["item"])
+        shared = _joined(shared.select("item", "c", "size", "k", "n"), marks, ["item"])
         company = shared.groupBy("item").agg(F.sum("n").alias("company"))
         met = common.checkpoint(shared.join(company, "item"))
-        leaders = met.groupBy("k").agg(F.max(F.struct("company", "item", "c", "size", "sketch")).alias("leader"))
+        leaders = met.groupBy("k").agg(F.max(F.struct("company", "item", "c", "size", "marks")).alias("leader"))
         stars = met.join(leaders, "k").where("c <> leader.c").where(_near_in_size("size", "leader.size", similarity))
-        stars = stars.select(F.col("item").alias("x"), F.col("leader.item").alias("y"), F.col("c").alias("a"), F.col("leader.c").alias("b"), F.col("sketch").alias("sx"), F.col("leader.sketch").alias("sy"))
-        star_edges = _verified(stars.where(_likely(similarity)), sets, similarity)
+        stars = stars.select(F.col("item").alias("x"), F.col("leader.item").alias("y"), F.col("c").alias("a"), F.col("leader.c").alias("b"), F.col("marks").alias("sx"), F.col("leader.marks").alias("sy"))
+        star_edges = _verified(stars.where(_likely(level, similarity)), sets, similarity)
         edges = star_edges if edges is None else edges.union(star_edges)
-        left = met.where("n > 2").select("item", "c", "size", "sketch", "k")
+        left = met.where("n > 2").select("item", "c", "size", "marks", "k")
         for labels in (_two_steps, connected_components):  # what small buckets link thins out the large ones
             now = common.checkpoint(labels(edges).select(F.col("node").alias("c"), F.col("component").alias("now")))
             left = common.checkpoint(_mixed(_joined(left, now, ["c"], "left").withColumn("c", F.coalesce("now", "c")).drop("now")))
-            edges = edges.union(_crossed(left.where(F.col("pairs") <= PAIRS_A_ROW), sets, similarity))
-            left = left.where(F.col("pairs") > PAIRS_A_ROW).select("item", "c", "size", "sketch", "k")
+            edges = edges.union(_crossed(left.where(F.col("pairs") <= PAIRS_A_ROW), sets, level, similarity))
+            left = left.where(F.col("pairs") > PAIRS_A_ROW).select("item", "c", "size", "marks", "k")
             if left.isEmpty():
                 return edges
         deep = common.checkpoint(left.groupBy("item").agg(F.min(F.struct("c", "size")).alias("r")).select("item", "r.*"))
         level += 1
         shared = common.checkpoint(_mixed(_rebanded(deep, sets, level, similarity)))
+        marks = common.checkpoint(_marks(_joined(sets, common.checkpoint(shared.select("item").distinct()), ["item"], "left_semi"), level))
 
 
 def _two_steps(edges: DataFrame) -> DataFrame:
