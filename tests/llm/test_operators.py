@@ -276,7 +276,9 @@ def test_similar_texts_against_brute_force(spark, monkeypatch):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_components(spark, monkeypatch, small):
+    monkeypatch.setattr(components, "SMALL_GRAPH", small)
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (100, 100), (200, 7)] + [(300, k) for k in range(301, 330)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame([*edges, (None, 5)], "a long, b long")).collect()}
     assert {got[k] for k in [*range(41), 200]} == {0} and got[101] == 100 and {got[k] for k in range(300, 330)} == {300} and len(got) == 74
