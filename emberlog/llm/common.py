@@ -57,6 +57,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Tables of up to so many keys (some 40 bytes each) are sent to all executors; larger ones are joined by a shuffle.
+SMALL_TABLE = 200_000
+
+
+def joined(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """big.join(small); small (a checkpointed table of short rows) is counted, and sent to all executors only if it's within SMALL_TABLE."""
+    few = small.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE
+    return big.join(F.broadcast(small) if few else small, on, how)
+
+
 def file_system(uri: str):
     """(file system, path) of a URI, on a worker."""
     from pyarrow import fs

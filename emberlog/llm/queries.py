@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bpe, decontaminate, html_extract, license_scan, quality, quote_links, simhash, token_files, url_filter, warc
-from emberlog.llm.common import shared_dir, table
+from emberlog.llm import bpe, decontaminate, html_extract, license_scan, mixing, prefix_trie, quality, quote_links, simhash, token_files, url_filter, vector_codes, warc
+from emberlog.llm.common import checkpoint, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, manifest)
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = checkpoint(prefix_trie.turns_of(table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extract": op2_html_extract,
@@ -70,6 +83,9 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
+    "op11_mixing": op11_mixing,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
