@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from emberlog.functions.times import local_to_utc
 from emberlog.operators import correlate, detect, features, iforest, narrate, parse, report, risk
 from emberlog.plans.logview import SQL as LOGS
-from emberlog.plans.logview import log_view, read
+from emberlog.plans.logview import log_view, quoted, read
 from emberlog.plans.queries import FLUSHED, MATCHES, RULES, VECTORS, Query, throttle_sql
 
 HOURLY = 3600
@@ -91,6 +91,21 @@ def q_incident_stats(spark: SparkSession, d: str) -> DataFrame:
     return correlate.incident_stats(correlate.incidents(correlate.assign(_detections(spark, d), 720)))
 
 
+def q_incident_members(spark: SparkSession, d: str) -> DataFrame:
+    """Every detection with its incident, as a timeline."""
+    return correlate.timeline(correlate.assign(_detections(spark, d).drop("summary"), 720))
+
+
+def q_open_incidents(spark: SparkSession, d: str) -> DataFrame:
+    """Incidents that are open after everyone that has an INFO record of its root cause's runnable an hour after it was closed."""
+    found = correlate.incidents(correlate.assign(_detections(spark, d), 720))
+    quiet = log_view(spark, d).where("level = 'INFO'").select(F.col("runnable").alias("root_cause_runnable"), F.col("epoch").alias("at"))
+    hour = F.floor(F.col("updated") / HOURLY)
+    changes = found.withColumn("b", F.explode(F.array(hour, hour + 1))).join(quiet.withColumn("b", F.floor(F.col("at") / HOURLY)), ["root_cause_runnable", "b"]).where((F.col("at") > F.col("updated")) & (F.col("at") <= F.col("updated") + HOURLY))
+    closed = changes.select("incident_id", F.col("at").alias("epoch"), F.lit("CLOSED").alias("status"))
+    return correlate.open_incidents(correlate.with_status(found, closed)).select("incident_id", "severity", "updated", "root_cause_runnable")
+
+
 def q_alerts(spark: SparkSession, d: str) -> DataFrame:
     got = narrate.alerts(_detections(spark, d), 360)
     return got.select("rule_id", "runnable", "epoch", "seq", "severity", "title", F.array_join("channels", ",").alias("channels"), "confidence")
@@ -280,7 +295,34 @@ detections AS (
 COOLED = f"WITH RECURSIVE {DETECTIONS}, {throttle_sql('detections', ('rule_id', 'runnable'), 'epoch', 'seq', 21600)}"
 NAMED = "CASE w.rule_id " + " ".join(f"WHEN '{r.rule_id}' THEN '{r.name}'" for r in RULES.rules) + " END"
 
+#: The fold of incidents, one detection a step; a component of the dependency graph never meets another, so one list holds all.
+NEAR = {n: sorted({*correlate.PARENTS.get(n, ()), *(c for c, ps in correlate.PARENTS.items() if n in ps)}) for n in correlate.LAYERS}
+FOLD = f"""{DETECTIONS}, near(runnable, layer, parents, near) AS (VALUES {", ".join(f"('{n}', {k}, {quoted(correlate.PARENTS.get(n, ()))}::VARCHAR[], {quoted(tuple(NEAR[n]))}::VARCHAR[])" for n, k in correlate.LAYERS.items())}),
+ranks(severity, rank) AS (VALUES ('P1', 5), ('CRITICAL', 4), ('HIGH', 3), ('MEDIUM', 2), ('LOW', 1)),
+ordered AS (SELECT row_number() OVER (ORDER BY epoch, seq, coalesce(o.ord, 1)) AS i, substr(sha256(d.rule_id || '|' || d.runnable || '|' || epoch || '|' || seq), 1, 12) AS id, epoch, seq, coalesce(o.ord, 1) AS ord, d.rule_id, d.severity, rank, d.runnable, layer, near
+    FROM detections d LEFT JOIN rules o ON o.rule_id = d.rule_id JOIN ranks r ON r.severity = d.severity JOIN near n ON n.runnable = d.runnable),
+fold AS (
+    SELECT CAST(0 AS BIGINT) AS i, CAST([] AS STRUCT(id VARCHAR, updated BIGINT, runnables VARCHAR[], rules VARCHAR[], rank INTEGER)[]) AS open, CAST(NULL AS VARCHAR) AS incident_id
+    UNION ALL
+    SELECT i, CASE WHEN pick IS NULL THEN list_append(live, {{'id': id, 'updated': epoch, 'runnables': [runnable], 'rules': [rule_id], 'rank': rank}})
+        ELSE list_transform(live, lambda x: CASE WHEN x.id = pick THEN {{'id': x.id, 'updated': epoch, 'runnables': list_distinct(list_append(x.runnables, runnable)), 'rules': list_distinct(list_append(x.rules, rule_id)), 'rank': greatest(x.rank, rank)}} ELSE x END) END, coalesce(pick, id)
+    FROM (SELECT *, coalesce(list_filter(live, lambda x: list_contains(x.runnables, runnable) AND (list_contains(x.rules, rule_id) OR rank >= 3))[-1].id,
+            CASE WHEN rank >= 3 THEN list_filter(live, lambda x: x.rank >= 3 AND list_has_any(x.runnables, near))[-1].id END) AS pick
+        FROM (SELECT o.*, list_filter(f.open, lambda x: o.epoch - x.updated <= 43200) AS live FROM fold f JOIN ordered o ON o.i = f.i + 1))),
+placed AS (SELECT o.*, incident_id FROM ordered o JOIN fold USING (i))"""
+INCIDENTS = f"""{FOLD}, firsts AS (SELECT incident_id, runnable, min(i) AS i FROM placed GROUP BY 1, 2), listed AS (SELECT incident_id, list(runnable ORDER BY i) AS names FROM firsts GROUP BY 1),
+roots AS (SELECT incident_id, arg_min(runnable, (layer, i)) AS root, arg_min(rule_id, (layer, i)) AS root_rule, min(layer) AS root_layer, arg_min(severity, (-rank, i)) AS severity, min(epoch) AS created, max(epoch) AS updated, count(*) AS detection_count FROM placed GROUP BY 1),
+cascades AS (SELECT l.incident_id, names, coalesce((SELECT list(f.runnable ORDER BY f.i) FROM firsts f JOIN near n ON n.runnable = f.runnable WHERE f.incident_id = l.incident_id AND list_contains(n.parents, r.root)), []) AS cascade FROM listed l JOIN roots r USING (incident_id)),
+incidents AS (SELECT incident_id, severity, created, updated, detection_count, array_to_string(names, ',') AS runnables, root AS root_cause_runnable, root_rule AS root_cause_rule,
+    CASE WHEN len(names) = 1 THEN 'Isolated problem (isolato) on ' || root || '.' WHEN len(cascade) > 0 THEN 'Probable root cause: ' || root || ' (layer ' || root_layer || '). Cascade (cascata) to ' || array_to_string(cascade, ', ') || '.'
+        ELSE 'Affected: ' || array_to_string(names, ', ') || '. Lowest layer: ' || root || ' (layer ' || root_layer || '). Check whether they belong together.' END AS root_cause_estimate FROM roots JOIN cascades USING (incident_id))"""
+
 ORACLE |= {
+    "q_incidents": f"WITH RECURSIVE {INCIDENTS} SELECT * FROM incidents",
+    "q_incident_stats": f"WITH RECURSIVE {INCIDENTS} SELECT severity, CASE WHEN detection_count = 1 THEN '1' WHEN detection_count <= 5 THEN '2-5' WHEN detection_count <= 20 THEN '6-20' ELSE '20+' END AS size, count(*) AS n FROM incidents GROUP BY 1, 2",
+    "q_incident_members": f"WITH RECURSIVE {FOLD} SELECT incident_id, epoch, seq, CAST(ord - 1 AS INT) AS rule_order, runnable, rule_id || ': ' AS event FROM placed",
+    "q_open_incidents": f"""WITH RECURSIVE {INCIDENTS} SELECT incident_id, severity, updated, root_cause_runnable FROM incidents i
+        WHERE NOT EXISTS (SELECT 1 FROM logs l WHERE l.level = 'INFO' AND l.runnable = i.root_cause_runnable AND l.epoch > i.updated AND l.epoch <= i.updated + 3600)""",
     "q_detections": f"WITH {DETECTIONS} SELECT * FROM detections",
     "q_alerts": f"""{COOLED} SELECT w.rule_id, w.runnable, w.epoch, w.seq, d.severity, 'Alert ' || d.severity || ': ' || {NAMED} || ' on ' || w.runnable AS title,
         CASE WHEN d.severity IN ('P1', 'CRITICAL') THEN 'email,sms,teams' WHEN d.severity = 'HIGH' THEN 'email,teams' WHEN d.severity = 'MEDIUM' THEN 'email' ELSE 'log' END AS channels, 0.9::DOUBLE AS confidence

@@ -116,19 +116,59 @@ def fold(rows, minutes, near):
     return {d: i["id"] for i in found for d in i["members"]}
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_incidents_against_one_fold(spark, seed):
+SEVERE = ["P1", "CRITICAL", "HIGH", "MEDIUM", "LOW", "?"]
+DETECTED = "detection_id string, epoch long, seq long, rule_order int, rule_id string, severity string, runnable string"
+
+
+@pytest.mark.parametrize("seed, span, chunks", [(0, 6000, 1), (1, 6000, 7), (2, 1500, 9), (3, 60_000, 5), (4, 300, 12)])
+def test_incidents_against_one_fold(spark, seed, span, chunks):
     rng = random.Random(seed)
-    rows = sorted((rng.randrange(6000), k) for k in range(150))
-    rows = [(f"d{k}", t, k, 0, rng.choice("ABC"), rng.choice(["P1", "CRITICAL", "HIGH", "MEDIUM", "LOW"]), rng.choice([*correlate.LAYERS, "other"])) for t, k in rows]
-    df = spark.createDataFrame(rows, "detection_id string, epoch long, seq long, rule_order int, rule_id string, severity string, runnable string")
-    assigned = correlate.assign(df)
+    rows = sorted((rng.randrange(span), k) for k in range(150))
+    kinds = [(rng.choice("ABC"), rng.choice(SEVERE), rng.choice([*correlate.LAYERS, "other"])) for _ in range(20 if seed % 2 else 150)]
+    rows = [(f"d{k}", t, k, 0, *rng.choice(kinds)) for t, k in rows]
+    df = spark.createDataFrame(rows, DETECTED)
+    assigned = correlate.assign(df, chunks=chunks)
     got = {r.detection_id: r.incident_id for r in assigned.collect()}
     assert got == fold([(r[0], r[1], r[4], r[5], r[6]) for r in rows], 5, correlate.neighbours(correlate.PARENTS))
     found = correlate.incidents(assigned).collect()
     assert sum(r.detection_count for r in found) == len(rows)
+    members = {}
+    for r in rows:
+        members.setdefault(got[r[0]], []).append(r)
     for r in found:
+        mine = members[r.incident_id]
         assert correlate.LAYERS.get(r.root_cause_runnable, 99) == min(correlate.LAYERS.get(x, 99) for x in r.affected_runnables)
+        assert (r.created, r.updated, r.detection_count) == (mine[0][1], mine[-1][1], len(mine))
+        assert r.affected_runnables == list(dict.fromkeys(x[6] for x in mine)) and r.rules_involved == list(dict.fromkeys(x[4] for x in mine))
+        assert r.severity == max(mine, key=lambda x: correlate.SEVERITIES.get(x[5], 0))[5]
+        assert r.root_cause_rule == next(x[4] for x in mine if x[6] == r.root_cause_runnable)
+    stats = correlate.run_stats(correlate.incidents(assigned)).collect()[0]
+    assert tuple(stats) == (len(rows), len(members), len(rows) - len(members), sum(len({x[6] for x in m}) > 1 for m in members.values()))
+    assert correlate.timeline(assigned).count() == len(rows)
+
+
+def test_a_component_without_gaps(spark):
+    """A long chain of detections in one component: as one fold says, over chunks, with incidents that last over many of them."""
+    n = 60_000
+    kind = F.pmod(F.xxhash64("id"), F.lit(11))
+    df = spark.range(n).select(
+        F.concat(F.lit("d"), F.col("id").cast("string")).alias("detection_id"), (F.col("id") * 20).alias("epoch"), F.col("id").alias("seq"), F.lit(0).alias("rule_order"),
+        F.element_at(F.array(*map(F.lit, "ABC")), (kind % 3 + 1).cast("int")).alias("rule_id"), F.element_at(F.array(*map(F.lit, SEVERE)), (F.floor(F.col("id") / 500) % 6 + 1).cast("int")).alias("severity"),
+        F.element_at(F.array(*map(F.lit, ["zoo_s", "ces_s", "abs_s", "ecp_s"])), (kind % 4 + 1).cast("int")).alias("runnable"),
+    )
+    rows = [tuple(r) for r in df.orderBy("seq").collect()]
+    near, open_, want = correlate.neighbours(correlate.PARENTS), [], {}
+    for r in rows:
+        open_, found = correlate.place(open_, r[0], r[1], r[4], r[5], r[6], 5, near)
+        want[r[0]] = found["id"]
+    assert {r.detection_id: r.incident_id for r in correlate.assign(df, chunks=16).collect()} == want
+
+
+def test_status_of_incidents(spark):
+    found = correlate.incidents(spark.createDataFrame([("d1", "i1", 1, 1, 0, "R", "HIGH", "zoo_s"), ("d2", "i2", 2, 2, 0, "R", "LOW", "ces_s")], DETECTED.replace("epoch", "incident_id string, epoch")))
+    assert correlate.open_incidents(found).count() == 2
+    changes = spark.createDataFrame([("i1", 5, "CLOSED"), ("i1", 9, "OPEN"), ("i2", 3, "CLOSED")], "incident_id string, epoch long, status string")
+    assert [r.incident_id for r in correlate.open_incidents(correlate.with_status(found, changes)).collect()] == ["i1"]
 
 
 def test_root_causes(spark):
