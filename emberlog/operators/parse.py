@@ -35,6 +35,8 @@ STATE_CHANGE = r"(?U)State change:\s*\w+\s*->\s*(\w+)"
 #: Runnables whose instances carry their name without the suffix as prefix.
 INSTANCES = ("arcm", "abs", "copernicus", "umcadmin", "adsadmin", "ces", "ecp", "dashboarding", "octopus", "simulation", "cloudsearch", "elastic", "zoo", "cdf", "apg", "loadbalancer")
 MARK = "\u0001"
+#: Lines of a file that are folded in one task.
+PIECE = 1 << 16
 
 
 def is_noise(line: Column) -> Column:
@@ -149,39 +151,60 @@ def parse_lines(lines: DataFrame, line: str = "line", tz_mode: str = "approx") -
     return out.withColumn("format_type", kind).drop("__raw", "__in", "__wrapped", "__f", "__x", "__local", "__end")
 
 
-def fold_lines(parsed: DataFrame, file: str = "source_file", number: str = "line_number", line: str = "line", product: str | None = None) -> DataFrame:
+def line_kind(parsed: DataFrame, line: str = "line", product: str | None = None) -> tuple[Column, Column]:
+    """(kind, text) of parsed lines: record; stack, a line of its stack trace; more, one that lengthens its message; drop."""
+    text = F.regexp_replace(F.coalesce(F.col(line), F.lit("")), r"[\r\n]+$", "")
+    added = unstructured_kind(text, product).isin("BUS", "OTHER") & (strip(text) != "")
+    kind = F.when(F.col("format_type").isNotNull(), "record").when(is_continuation(text), "stack").when(added, "more").otherwise("drop")
+    return kind, F.when(kind == "more", strip(text)).otherwise(text)
+
+
+def finished(out: DataFrame) -> DataFrame:
+    """Records with stack trace and message made of __stack and __more, the joined lines (null for none)."""
+    message = F.concat_ws("\n", "message", "__more")
+    out = out.withColumns({"stack_trace": F.col("__stack"), "message": F.when(F.col("__more").isNotNull(), message).otherwise(F.col("message"))})
+    return out.withColumns({"has_stack_trace": F.coalesce(F.col("stack_trace") != "", F.lit(False)), "message_hash": message_hash(F.col("message"))}).drop("__stack", "__more")
+
+
+def fold_lines(parsed: DataFrame, file: str = "source_file", number: str = "line_number", line: str = "line", product: str | None = None, piece: int = PIECE) -> DataFrame:
     """Records with the lines that follow them: continuation lines make the stack trace, other unstructured ones lengthen the message.
 
     Lines before a file's first record are dropped, as are mail traffic and banners. stack_trace keeps lines as they are,
-    blank ones too; so one blank line gives an empty one, which counts as none.
+    blank ones too; so one blank line gives an empty one, which counts as none. A file is dealt out by pieces of so many
+    line numbers; where a piece begins within a record, that is the last one of the pieces before.
     """
     is_record = F.col("format_type").isNotNull()
-    order = W.partitionBy(file).orderBy(number).rowsBetween(W.unboundedPreceding, 0)
-    rows = parsed.withColumn("__rid", F.sum(is_record.cast("long")).over(order)).where("__rid > 0")
-    text = F.regexp_replace(F.coalesce(F.col(line), F.lit("")), r"[\r\n]+$", "")
-    kind = F.when(is_record, "record").when(is_continuation(text), "stack").otherwise(unstructured_kind(text, product))
-    rows = rows.withColumns({"__kind": kind, "__text": text})
-    at = lambda k, c: F.array_sort(F.collect_list(F.when(k, F.struct(F.col(number).alias("n"), c.alias("t")))))
-    added = F.col("__kind").isin("BUS", "OTHER") & (strip(F.col("__text")) != "")
+    begun = F.when(is_record, F.col(number))
+    pieces = parsed.select(file, F.floor(F.col(number) / piece).alias("__p"), begun.alias("__start")).groupBy(file, "__p").agg(F.max("__start").alias("__start"))
+    before = F.max("__start").over(W.partitionBy(file).orderBy("__p").rowsBetween(W.unboundedPreceding, -1))  # a row a piece
+    pieces = pieces.select(F.col(file).alias("__file"), "__p", before.alias("__before"))
+    kind, text = line_kind(parsed, line, product)
+    rows = parsed.withColumns({"__p": F.floor(F.col(number) / piece), "__kind": kind, "__text": text})
+    within = W.partitionBy(file, "__p").orderBy(number).rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("__own", F.max(begun).over(within))
+    rows = rows.join(pieces, F.col(file).eqNullSafe(F.col("__file")) & (rows["__p"] == pieces["__p"]), "left").withColumn("__rid", F.coalesce("__own", "__before")).where("__rid IS NOT NULL AND __kind <> 'drop'")
+    at = lambda k: F.array_sort(F.collect_list(F.when(F.col("__kind") == k, F.struct(F.col(number).alias("n"), F.col("__text").alias("t")))))
     fixed = [c for c in parsed.columns if c not in (file, line)]
-    first = [F.max(F.when(is_record, F.col(c))).alias(c) if dict(parsed.dtypes)[c] != "boolean" else F.bool_or(F.when(is_record, F.col(c))).alias(c) for c in fixed]
-    out = rows.groupBy(file, "__rid").agg(*first, at(F.col("__kind") == "stack", F.col("__text")).alias("__stack"), at(added, strip(F.col("__text"))).alias("__more"))
-    join = lambda c: F.array_join(F.transform(c, lambda s: s["t"]), "\n")
-    stack = F.when(F.size("__stack") > 0, join("__stack"))
-    message = F.when(F.size("__more") > 0, F.concat_ws("\n", "message", join("__more"))).otherwise(F.col("message"))
-    out = out.withColumns({"stack_trace": stack, "message": message})
-    return out.withColumns({"has_stack_trace": F.coalesce(F.col("stack_trace") != "", F.lit(False)), "message_hash": message_hash(F.col("message"))}).drop("__rid", "__stack", "__more", "bad_time")
+    booleans = {c for c, kind in parsed.dtypes if kind == "boolean"}
+    first = [(F.bool_or if c in booleans else F.max)(F.when(is_record, F.col(c))).alias(c) for c in fixed]
+    out = rows.groupBy(file, "__rid").agg(*first, at("stack").alias("__s"), at("more").alias("__m"))
+    joined = lambda c: F.when(F.size(c) > 0, F.array_join(F.transform(c, lambda s: s["t"]), "\n"))
+    return finished(out.withColumns({"__stack": joined("__s"), "__more": joined("__m")}).drop("__s", "__m")).drop("__rid", "bad_time")
 
 
-def records(lines: DataFrame, tz_mode: str = "approx", product: str | None = None) -> DataFrame:
-    """Records of lines (source_file, source_path, runnable_hint, line_number, line): noise goes after numbering, before parsing."""
-    parsed = parse_lines(lines.where(~is_noise(F.coalesce(F.col("line"), F.lit("")))), "line", tz_mode)
-    out = fold_lines(parsed, product=product)
-    hint = F.col("runnable_hint") if "runnable_hint" in lines.columns else F.lit(None).cast("string")
+def placed(out: DataFrame) -> DataFrame:
+    """Records with their runnable (by hint, content, path), state and epoch."""
+    hint = F.col("runnable_hint") if "runnable_hint" in out.columns else F.lit(None).cast("string")
     runnable = F.coalesce(F.nullif(hint, F.lit("")), "content_runnable", runnable_of(F.coalesce("source_path", "source_file"), F.col("instance_id"), F.col("thread")))
     return out.withColumns({"runnable": runnable, "state": new_state(F.col("message"), F.col("format_type")), "epoch": epoch(F.col("ts"))})
 
 
+def records(lines: DataFrame, tz_mode: str = "approx", product: str | None = None, piece: int = PIECE) -> DataFrame:
+    """Records of lines (source_file, source_path, runnable_hint, line_number, line): noise goes after numbering, before parsing."""
+    parsed = parse_lines(lines.where(~is_noise(F.coalesce(F.col("line"), F.lit("")))), "line", tz_mode)
+    return placed(fold_lines(parsed, product=product, piece=piece))
+
+
 def parse_stats(lines: DataFrame, found: DataFrame) -> DataFrame:
     """One row: lines, noise, records, by format and level as maps, errors, records with stack traces."""
     a = lines.agg(F.count("*").alias("total_lines"), F.count_if(is_noise(F.coalesce(F.col("line"), F.lit("")))).alias("noise_lines"))

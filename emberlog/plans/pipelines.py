@@ -19,12 +19,15 @@ def with_seq(records: DataFrame) -> DataFrame:
     return records.withColumn("seq", file * F.lit(1 << 31) + F.col("line_number"))
 
 
-def build_features(spark: SparkSession, base: str, out: str | None = None, step: int = features.STEP, metrics: str | None = None, kind: str = "parquet") -> DataFrame:
-    """Log files (and metric files) to thinned feature vectors, written if out is given."""
-    records = with_seq(parse.records(logs.read_lines(configure(spark), base)))
+def build_features(
+    spark: SparkSession, base: str, out: str | None = None, step: int = features.STEP, metrics: str | dict[str, tuple[str, str]] | None = None, kind: str = "parquet", product: str | None = None, wrapper_file: str | None = None
+) -> DataFrame:
+    """Log files (and metric files: a folder of them, or {metric: (path, kind)}) to thinned feature vectors, written if out is given."""
+    records = with_seq(parse.records(logs.read_lines(configure(spark), base, wrapper_file=wrapper_file), product=product))
     vectors = features.log_vectors(records, step)
     if metrics:
-        vectors = features.with_infra(vectors, logs.gauges(spark, metrics), logs.timers(spark, metrics))
+        gauges, timers = logs.metrics(spark, metrics) if isinstance(metrics, dict) else (logs.gauges(spark, metrics), logs.timers(spark, metrics))
+        vectors = features.with_infra(vectors, gauges, timers)
     kept = features.thinned(vectors)
     if out:
         sinks.write_features(kept, out, kind)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -9,9 +11,12 @@ from pyspark.sql import functions as F
 
 from emberlog.operators.detect import Catalogue, Escalation, Rule
 from emberlog.operators.parse import log_family
+from emberlog.session import cut
 
 #: File name endings that are taken.
 LOG_FILE = r"(?i)\.(?:log|log1[0-9]|log[1-9]|1[0-9]|[1-9])$"
+#: Blocks of files (a row each, some 150 bytes) that are sent to all tasks; more are joined by a shuffle.
+BLOCKS = 500_000
 TIMER_FIELDS = ("max", "mean", "min", "stddev", "p50", "p75", "p95", "p99", "mean_rate", "m1_rate", "m5_rate")
 
 
@@ -21,24 +26,64 @@ def runnable_hint(path: Column) -> Column:
     return F.coalesce(part, F.when(F.contains(F.lower(path), F.lit("agent")), "agent"))
 
 
-def discover(spark: SparkSession, base: str) -> DataFrame:
+def discover(spark: SparkSession, base: str, wrapper_file: str | None = None) -> DataFrame:
     """Log files below a folder: path, runnable_hint, log_family, size_mb; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path", "length")
     name = F.element_at(F.split("path", "/"), -1)
-    return files.where(name.rlike(LOG_FILE)).select("path", runnable_hint(F.col("path")).alias("runnable_hint"), log_family(name).alias("log_family"), (F.col("length") / F.lit(2**20)).alias("size_mb"))
+    return files.where(name.rlike(LOG_FILE)).select("path", runnable_hint(F.col("path")).alias("runnable_hint"), log_family(name, wrapper_file).alias("log_family"), (F.col("length") / F.lit(2**20)).alias("size_mb"))
+
 
+def numbered(text: DataFrame) -> DataFrame:
+    """text (value, p, b: file and the start of its block) with line_number, in as many tasks as files have blocks.
 
-def read_lines(spark: SparkSession, base: str, hint: bool = True) -> DataFrame:
+    A first pass counts the lines of each block, which is a row a block; a line's number is that of the lines in the
+    blocks before it and its place within its own, which the scan's row ids give. Blocks have to be cut the same way in both
+    passes, so the number of partitions that decides it is held; a block that the first pass didn't see is an error.
+    """
+    spark = text.sparkSession
+    if not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    rows = text.withColumn("i", F.monotonically_increasing_id())
+    blocks = cut(rows.groupBy("p", "b").agg(F.min("i").alias("__first"), F.count("*").alias("__n")))
+    before = F.sum("__n").over(W.partitionBy("p").orderBy("b")) - F.col("__n")
+    starts = blocks.select("p", "b", "__first", before.alias("__before"))
+    few = blocks.limit(BLOCKS + 1).count() <= BLOCKS
+    met = rows.join(F.broadcast(starts) if few else starts, ["p", "b"], "left")
+    number = F.when(F.col("__first").isNull(), F.raise_error(F.concat(F.lit("cut anew while it was read: "), "p")).cast("long")).otherwise(F.col("i") - F.col("__first") + F.col("__before") + 1)
+    return met.withColumn("line_number", number).drop("i", "__first", "__before")
+
+
+def read_lines(spark: SparkSession, base: str, hint: bool = True, wrapper_file: str | None = None) -> DataFrame:
     """Lines of all log files below a folder: source_file, source_path, runnable_hint, line_number, line.
 
-    Every physical line counts, noise too, so numbers are given before anything is filtered: by the position of the
-    file's block and the order within it.
+    Every physical line counts, noise too, so numbers are given before anything is filtered.
     """
-    text = spark.read.option("recursiveFileLookup", "true").text(base).select("value", F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    text = spark.read.option("recursiveFileLookup", "true").text(base).select("value", F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("b"))
     name = F.element_at(F.split("p", "/"), -1)
-    order = W.partitionBy("p").orderBy("b", "i")
-    rows = text.where(name.rlike(LOG_FILE)).withColumn("line_number", F.row_number().over(order).cast("long"))
-    return rows.select(name.alias("name"), F.col("p").alias("source_file"), F.col("p").alias("source_path"), (runnable_hint(F.col("p")) if hint else F.lit(None).cast("string")).alias("runnable_hint"), log_family(name).alias("log_family"), "line_number", F.col("value").alias("line")).drop("name")
+    rows = numbered(text).where(name.rlike(LOG_FILE))
+    return rows.select(F.col("p").alias("source_file"), F.col("p").alias("source_path"), (runnable_hint(F.col("p")) if hint else F.lit(None).cast("string")).alias("runnable_hint"), log_family(name, wrapper_file).alias("log_family"), "line_number", F.col("value").alias("line"))
+
+
+def metrics(spark: SparkSession, files: dict[str, tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
+    """(gauges, timers) of named files: {metric: (path, kind)}, kind gauge or timer, each under the name it's given here."""
+    odd = sorted({k for _, k in files.values()} - {"gauge", "timer"})
+    if odd:
+        raise ValueError(f"kinds of metrics are gauge and timer, not {', '.join(odd)}")
+
+    def of(kind: str) -> DataFrame | None:
+        paths = {name: path for name, (path, k) in files.items() if k == kind}
+        if not paths:
+            return None
+        plain = lambda path: re.sub("^[a-z]+:/*", "/", path)
+        rows = spark.read.text(sorted({plain(p): p for p in paths.values()}.values())).select("value", F.regexp_replace("_metadata.file_path", "^[a-z]+:/*", "/").alias("path"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+        head = rows.groupBy("path").agg(F.min_by("value", F.struct("b", "i")).alias("header"))
+        # The names are the caller's own list, one a file.
+        names = spark.createDataFrame([(plain(p), n) for n, p in paths.items()], "path string, metric string")
+        return rows.join(head, "path").join(F.broadcast(names), "path")
+
+    gauge, timer = of("gauge"), of("timer")
+    none = spark.createDataFrame([], "metric string, value string, b long, i long, header string")
+    return _gauges(none if gauge is None else gauge), _timers(none if timer is None else timer)
 
 
 def _csv_lines(spark: SparkSession, base: str) -> DataFrame:
@@ -53,14 +98,22 @@ def _csv_lines(spark: SparkSession, base: str) -> DataFrame:
 
 def gauges(spark: SparkSession, base: str) -> DataFrame:
     """(metric, t, value) of the gauge files below a folder: those whose header is t,value. Bad rows are left out; of equal times the last row counts."""
-    rows = _csv_lines(spark, base).where(F.trim("header") == "t,value").where("value != header")
+    return _gauges(_csv_lines(spark, base))
+
+
+def _gauges(lines: DataFrame) -> DataFrame:
+    rows = lines.where(F.trim("header") == "t,value").where("value != header")
     typed = rows.select("metric", "b", "i", F.expr("try_cast(trim(get(split(value, ','), 0)) AS BIGINT)").alias("t"), F.expr("try_cast(trim(get(split(value, ','), 1)) AS DOUBLE)").alias("v")).where("t IS NOT NULL AND v IS NOT NULL")
     return typed.groupBy("metric", "t").agg(F.max_by("v", F.struct("b", "i")).alias("value"))
 
 
 def timers(spark: SparkSession, base: str) -> DataFrame:
     """(metric, t, count, max, ... m5_rate) of the timer files: those whose header has count and mean. A missing column is 0; a row that is short or has a bad number is left out."""
-    rows = _csv_lines(spark, base).where(F.array_contains(F.split("header", ","), "count") & F.array_contains(F.split("header", ","), "mean")).where("value != header")
+    return _timers(_csv_lines(spark, base))
+
+
+def _timers(lines: DataFrame) -> DataFrame:
+    rows = lines.where(F.array_contains(F.split("header", ","), "count") & F.array_contains(F.split("header", ","), "mean")).where("value != header")
     x = rows.withColumns({"h": F.split(F.trim("header"), ","), "x": F.split("value", ",")}).where("size(x) >= size(h)")
     at = lambda n, kind: F.expr(f"CASE WHEN array_position(h, '{n}') > 0 THEN try_cast(trim(get(x, cast(array_position(h, '{n}') AS INT) - 1)) AS {kind}) ELSE 0 END")
     typed = x.select("metric", "b", "i", at("t", "BIGINT").alias("t"), at("count", "BIGINT").alias("count"), *[at(n, "DOUBLE").alias(n) for n in TIMER_FIELDS]).dropna()

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from emberlog.operators import parse
@@ -90,3 +91,68 @@ def test_files(spark, tmp_path):
 def test_rules_from_yaml():
     text = "rules:\n- {rule_id: A, name: a, pattern_type: KEYWORD, severity: LOW, pattern: x}\n- {rule_id: B, name: b, pattern_type: REGEX, severity: LOW, enabled: false}\n"
     assert [r.rule_id for r in logs.rules(text).rules] == ["A"]
+
+
+def folded(lines):
+    """One file's lines by a plain loop: (line_number, message, stack_trace) of each record."""
+    out = []
+    for n, line in enumerate(lines, 1):
+        if line.startswith("2024"):
+            out.append([n, line.split("] - ", 1)[1], None])
+        elif out and (line.startswith("\tat ") or not line.strip()):
+            out[-1][2] = line if out[-1][2] is None else out[-1][2] + "\n" + line
+        elif out and not line.startswith("EHLO"):
+            out[-1][1] += "\n" + line.strip()
+    return [tuple(r) for r in out]
+
+
+def long_file(seed, n):
+    import random
+
+    rng = random.Random(seed)
+    head = lambda k: f"2024-01-02T03:{k // 60 % 60:02d}:{k % 60:02d},000 - ERROR [t:App] - m {k}"
+    return [head(k) if rng.random() < 0.2 else rng.choice(["\tat a.b(C.java:1)", "BUS-1 more", "EHLO x", "", "some words"]) for k in range(n)]
+
+
+def test_a_file_of_many_blocks_and_pieces(spark, tmp_path):
+    files = {f"arcm.log{k}": long_file(k, n) for k, n in ((1, 900), (2, 7), (3, 60))}
+    files["arcm.log3"][1:] = ["\tat a.b(C.java:1)"] * 59  # a record longer than several pieces
+    files["arcm.log3"][0] = "2024-01-02T03:04:05,000 - ERROR [t:App] - first"
+    for name, lines in files.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        lines = logs.read_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 20
+        got = lines.collect()
+        for name, want in files.items():
+            mine = sorted((r.line_number, r.line) for r in got if r.source_file.endswith("/" + name))
+            assert mine == list(enumerate(want, 1))
+        for piece in (5, 1 << 16):
+            found = parse.records(lines, piece=piece).collect()
+            for name, want in files.items():
+                mine = sorted((r.line_number, r.message, r.stack_trace) for r in found if r.source_file.endswith("/" + name))
+                assert mine == folded(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_named_metrics(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("t,value\n1,2\n1,3\nx,4\n")
+    (tmp_path / "b.csv").write_text("t,count,max,mean\n5,2,1.5,1.0\n")
+    gauges, timers = logs.metrics(spark, {"heap": (str(tmp_path / "a.csv"), "gauge"), "login": (str(tmp_path / "b.csv"), "timer"), "twin": (f"file://{tmp_path}/a.csv", "gauge")})
+    assert sorted(map(tuple, gauges.collect())) == [("heap", 1, 3.0), ("twin", 1, 3.0)]
+    assert [(r.metric, r.t, r["count"], r.mean) for r in timers.collect()] == [("login", 5, 2, 1.0)]
+    assert logs.metrics(spark, {"heap": (str(tmp_path / "a.csv"), "gauge")})[1].count() == 0
+    with pytest.raises(ValueError, match="gauge and timer"):
+        logs.metrics(spark, {"heap": ("x", "histogram")})
+
+
+def test_names_of_product_and_wrapper_reach_the_reader(spark, tmp_path):
+    (tmp_path / "cloudagent.log").write_text("2024-01-02T03:04:05,000 - ERROR [t:App] - m\nABCD version 7\nWXYZ version 7\n")
+    family = lambda **o: logs.read_lines(spark, str(tmp_path), **o).first().log_family
+    assert family() == "WRAPPER_LOG" and family(wrapper_file="other.log") == "UNKNOWN" and family(wrapper_file="cloudagent.log") == "WRAPPER_LOG"
+    assert logs.discover(spark, str(tmp_path), "other.log").first().log_family == "UNKNOWN"
+    lines = logs.read_lines(spark, str(tmp_path))
+    assert parse.records(lines).first().message == "m" and parse.records(lines, product="ABCD").first().message == "m\nWXYZ version 7"

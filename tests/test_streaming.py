@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from emberlog.operators import correlate, detect
 from emberlog.operators import throttle as batch_throttle
 from emberlog.operators.detect import Catalogue, Escalation, Rule
+from emberlog.operators import parse
+from emberlog.operators.catalogue import DEFAULT
 from emberlog.streaming import operators as streaming
+from emberlog.streaming import stateful
 
 RULES = Catalogue((Rule("a", "a", "KEYWORD", "HIGH", "x", frequency_escalation=Escalation(3, 5, "P1")), Rule("b", "b", "REGEX", "LOW", "y+")))
 SCHEMA = "runnable string, level string, message string, stack_trace string, has_stack_trace boolean, state string, epoch long, seq long, ts timestamp"
@@ -72,3 +75,82 @@ def test_windows(spark, source, tmp_path):
     for r in got:
         end = int(r.window_end.timestamp())
         assert r.error == sum(n == r.runnable and end - 3600 <= t < end for n, t in times)
+
+
+def in_parts(spark, rows, schema, path, cuts):
+    """Rows as files that a stream reads one a micro-batch, in order."""
+    import os
+    import time
+
+    for k, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(rows)], strict=True)):
+        spark.createDataFrame(rows[a:b], schema).coalesce(1).write.parquet(f"{path}/p{k}")
+        for name in os.listdir(f"{path}/p{k}"):
+            if name.endswith(".parquet"):
+                os.utime(f"{path}/p{k}/{name}", (time.time() - 1000 + k,) * 2)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+
+
+LINE = "source_file string, source_path string, line_number long, line string, arrived timestamp"
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_records_of_several_lines(spark, tmp_path, seed):
+    """However the lines are split into micro-batches, the records are the batch's; the last ones come by a timer."""
+    from datetime import datetime, timedelta
+
+    rng = random.Random(seed)
+    rows = []
+    for k in range(150):
+        name = rng.choice(["runnable_arcm_s/a.log", "agent/b.log"])
+        n = sum(r[0] == name for r in rows) + 1
+        line = rng.choice([f"2024-01-02T03:04:05,{k:03d}|ERROR|arcm0|d|||t|Pool - m {k}", "\tat a.b(C.java:1)", "", "BUS-1 more", "EHLO x", "words", "Reusing existing ZKC instance", "2024-13-02T03:04:05,006 - bad"])
+        rows.append((name, "/x/" + name, n, line, datetime(2024, 1, 2) + timedelta(seconds=k)))
+    df = spark.createDataFrame(rows, LINE)
+    want = parse.records(df.drop("arrived"))
+    # A line of another file, a day later, moves the watermark.
+    rows.append(("z.log", "z.log", 1, "nothing", datetime(2024, 1, 3)))
+    cuts = sorted(rng.sample(range(1, len(rows)), 4))
+    stream = stateful.records(in_parts(spark, rows, LINE, str(tmp_path / "in"), cuts))
+    columns = sorted(set(want.columns) - {"log_family"})
+    assert set(stream.columns) >= set(columns)
+    got = drained(spark, stream.select(*columns), tmp_path)
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, want.select(*columns).collect())))
+
+
+STATE = "runnable string, level string, message string, stack_trace string, state string, epoch long, seq long, ts timestamp"
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_sequences_and_missing_followups(spark, tmp_path, seed):
+    """S01-S03 on a stream in any order within the watermark: the batch's sequences, and what the batch would have told of missing follow-ups had it ended at any time."""
+    from datetime import datetime, timedelta
+
+    rng = random.Random(seed)
+    rules = Catalogue(tuple(r for r in DEFAULT.rules if r.rule_id.startswith("S0")))
+    assert len(rules.rules) == 3
+    rows, t = [], 0
+    for k in range(120):
+        t += rng.choice([0, 5, 30, 100, 100, 400])
+        state = rng.choice(["STARTING", "DOWN", "STARTED", "STOPPING", "STOPPED", None])
+        rows.append((rng.choice(["zoo_s", "ces_s"]), "INFO", "m", None, state, t, k, datetime(1970, 1, 1) + timedelta(seconds=t)))
+    df = spark.createDataFrame(rows, STATE)
+    ordered = [r for r in sorted(rows, key=lambda r: (r[5], r[6])) if r[4]]
+    want = set()
+    for k, rule in rules.of("STATE_SEQUENCE"):
+        want |= {(rule.rule_id, r.runnable, r.epoch, r.seq) for r in detect.state_sequences(df.where("state IS NOT NULL"), rule).collect()}
+        for name in ("zoo_s", "ces_s") if rule.no_followup_state else ():
+            mine = [r for r in ordered if r[0] == name]
+            for i, r in enumerate(mine):
+                if r[4] == rule.state_sequence[-1]:
+                    late = r[5] + rule.window_minutes * 60
+                    rest = [x for x in mine[i + 1 :] if x[5] < late]
+                    if not any(x[4] == rule.state_sequence[-1] or (x[4] == rule.no_followup_state and x[5] > r[5]) for x in rest):
+                        want.add((rule.rule_id, name, r[5], -1 - r[6]))
+    moved = [rows[i] for i in sorted(range(len(rows)), key=lambda i: rows[i][5] + rng.randrange(300))]
+    moved.append(("agent", "INFO", "m", None, "STARTED", 10**6, 999, datetime(1970, 1, 1) + timedelta(seconds=10**6)))
+    cuts = sorted(rng.sample(range(1, len(moved)), 5))
+    got = drained(spark, stateful.sequences(in_parts(spark, moved, STATE, str(tmp_path / "in"), cuts), rules), tmp_path)
+    assert sorted((r.rule_id, r.runnable, r.epoch, r.seq) for r in got) == sorted(want)
+    # What the batch tells at the end of the stream is among it.
+    ends = {(r.rule_id, r.runnable, r.epoch, r.seq) for r in detect.detect(spark.createDataFrame(moved, STATE), rules).collect() if r.runnable != "agent"}
+    assert ends <= {(r.rule_id, r.runnable, r.epoch, r.seq) for r in got}
