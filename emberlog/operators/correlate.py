@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from emberlog.session import cut
+from emberlog.operators.chunks import dealt
 
 WINDOW_MINUTES = 5
 #: Severities in order, unknown ones are 0.
@@ -117,8 +117,7 @@ def assign(detections: DataFrame, minutes: int = WINDOW_MINUTES, parents: dict[s
     keys = F.create_map(*[x for k, v in component.items() for x in (F.lit(k), F.lit(v))]) if component else F.create_map()
     rows = detections.withColumn("__c", F.coalesce(keys[F.col("runnable")], F.concat(F.lit("~"), F.coalesce("runnable", F.lit("")))))
     order = ["__c", "epoch", "seq", "rule_order", "detection_id"]
-    dealt = rows.repartitionByRange(chunks, *order) if chunks else rows.repartitionByRange(*order)
-    sorted_ = cut(dealt.sortWithinPartitions(*order).withColumn("__pid", F.spark_partition_id()))
+    sorted_ = dealt(rows, order, chunks)
     at = [sorted_.columns.index(c) for c in ("__c", "detection_id", "epoch", "rule_id", "severity", "runnable")]
     columns = detections.columns
 

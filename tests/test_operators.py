@@ -306,19 +306,35 @@ def test_states_without_followup_at_the_end_of_the_stream(spark):
     assert got == {("S02", "a", 60, 1), ("S02", "a", 60, -2)}
 
 
-def test_throttle_forced_against_brute_force(spark):
-    rng = random.Random(5)
-    rows = [(rng.choice(["a", None]), rng.randrange(900), i, rng.random() < 0.05) for i in range(500)]
+@pytest.mark.parametrize("seed, span, gap, share, chunks", [(5, 900, 7, 0.05, 1), (6, 900, 7, 0.05, 9), (7, 300, 40, 0.0, 12), (8, 5000, 40, 0.01, 12), (9, 60, 100, 0.02, 6)])
+def test_throttle_forced_against_brute_force(spark, seed, span, gap, share, chunks):
+    """Few keys over many ranges, with equal times on both sides of a range's end."""
+    rng = random.Random(seed)
+    rows = [(rng.choice(["a", "a", "a", None]), rng.randrange(span), i, rng.random() < share) for i in range(500)]
+    rows += [("z", None, 1000, False), ("z", None, 1001, True), ("z", 5, 1002, False)]
     df = spark.createDataFrame(rows, "k string, epoch long, seq long, force boolean")
-    got = {r.seq for r in throttle.throttle(df, ["k"], 7, force="force").where("kept").collect()}
-    want, last = set(), {}
-    for k, t, i, f in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
-        if f or k not in last or t - last[k] >= 7:
+    got = {r.seq for r in throttle.throttle(df, ["k"], gap, force="force", chunks=chunks).where("kept").collect()}
+    want, last = {1001}, {}
+    for k, t, i, f in sorted((r for r in rows if r[1] is not None), key=lambda r: (str(r[0]), r[1], r[2])):
+        if f or k not in last or t - last[k] >= gap:
             want.add(i)
             last[k] = t
     assert got == want
 
 
+def test_throttle_of_one_busy_key(spark):
+    """A row a second: no two phases ever meet, so each range depends on all before it."""
+    n, gap = 300_000, 77
+    df = spark.range(n).select(F.lit("k").alias("k"), (F.col("id") + F.floor(F.col("id") / 1000) * 3).alias("epoch"), F.col("id").alias("seq"))
+    got = [r.epoch for r in throttle.throttle(df, ["k"], gap, chunks=16).where("kept").orderBy("epoch").collect()]
+    want = []
+    for k in range(n):
+        t = k + k // 1000 * 3
+        if not want or t - want[-1] >= gap:
+            want.append(t)
+    assert got == want
+
+
 def test_forest_by_key(spark):
     rows = [(k, i, [float(i % 7) + (100.0 if i == 3 else 0.0), float(i % 5)]) for k in "ab" for i in range(40)]
     df = spark.createDataFrame(rows, "runnable string, t long, z array<double>")
