@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from emberlog.operators.windows import trailing_count
+from emberlog.operators.windows import in_order, trailing_counts
 
 
 @dataclass(frozen=True)
@@ -94,34 +94,31 @@ def match_rules(records: DataFrame, catalogue: Catalogue) -> DataFrame:
 def escalate(matches: DataFrame, catalogue: Catalogue) -> DataFrame:
     """Adds match_count, escalated, original_severity and the raised severity, by the trailing count of each (rule, runnable).
 
-    Rules that share a window length share one sort; others keep a count of one.
+    Rules that share a window length are counted together; others keep a count of one.
     """
     groups: dict[int, list[Rule]] = {}
     for _, r in catalogue.of("KEYWORD", "REGEX"):
         if r.frequency_escalation:
             groups.setdefault(r.frequency_escalation.window_minutes, []).append(r)
-    count, limit, to = F.lit(1).cast("long"), F.lit(None).cast("long"), F.lit(None).cast("string")
+    limit, to = F.lit(None).cast("long"), F.lit(None).cast("string")
+    counted_ids = [r.rule_id for rules in groups.values() for r in rules]
+    out = matches.where(~F.col("rule_id").isin(counted_ids) if counted_ids else F.lit(True)).withColumn("match_count", F.lit(1).cast("long"))
     for minutes, rules in groups.items():
-        mine = F.col("rule_id").isin([r.rule_id for r in rules])
-        count = F.when(mine, trailing_count(["rule_id", "runnable"], "epoch", "seq", minutes * 60)).otherwise(count)
+        mine = matches.where(F.col("rule_id").isin([r.rule_id for r in rules]))
+        out = out.unionByName(trailing_counts(mine, ["rule_id", "runnable"], "epoch", "seq", minutes * 60, "match_count"))
         for r in rules:
             limit = F.when(F.col("rule_id") == r.rule_id, F.lit(r.frequency_escalation.threshold).cast("long")).otherwise(limit)
             to = F.when(F.col("rule_id") == r.rule_id, F.lit(r.frequency_escalation.escalate_to)).otherwise(to)
-    out = matches.withColumns({"match_count": count, "__limit": limit, "__to": to})
+    out = out.withColumns({"__limit": limit, "__to": to})
     up = F.coalesce(F.col("match_count") >= F.col("__limit"), F.lit(False))
     return out.withColumns({"escalated": up, "original_severity": F.when(up, F.col("severity")).otherwise(F.lit("")), "severity": F.when(up, F.col("__to")).otherwise(F.col("severity"))}).drop("__limit", "__to")
 
 
 def state_sequences(states: DataFrame, rule: Rule) -> DataFrame:
-    """State changes (runnable, epoch, seq, state) at which the rule's states stand in order within the window up to them."""
+    """State changes (runnable, epoch, seq, state) at which the rule's states stand in order within the window up to them; a rule without states has none."""
     some = states.where(F.col("runnable").isin(*rule.runnable_filter)) if rule.runnable_filter else states
-    part = W.partitionBy("runnable").orderBy("epoch")
-    seen = F.collect_list(F.struct("epoch", "seq", "state")).over(part.rangeBetween(-rule.window_minutes * 60, 0))
-    # A range frame also holds later rows of the same time; those are taken out.
-    past = F.filter(seen, lambda x: (x["epoch"] < F.col("epoch")) | (x["seq"] <= F.col("seq")))
-    line = F.array_join(F.transform(F.array_sort(past), lambda x: F.concat(F.lit("<"), x["state"], F.lit(">"))), "")
-    like = "%" + "%".join(f"<{s}>" for s in rule.state_sequence) + "%"
-    return some.withColumn("__line", line).where(F.col("__line").like(like)).drop("__line").withColumns({"rule_id": F.lit(rule.rule_id), "severity": F.lit(rule.severity)})
+    found = in_order(some, ["runnable"], "epoch", "seq", [F.col("state") == s for s in rule.state_sequence], rule.window_minutes * 60)
+    return found.withColumns({"rule_id": F.lit(rule.rule_id), "severity": F.lit(rule.severity)})
 
 
 def no_followup(records: DataFrame, rule: Rule, mode: str = "intended") -> DataFrame:

@@ -46,6 +46,19 @@ def zscores(rows: DataFrame, fitted: DataFrame) -> DataFrame:
     return out.withColumn("z", F.zip_with("x", "__p", lambda x, p: (x - p["mean"]) / p["std"])).drop("__p")
 
 
+def scaler_by(rows: DataFrame, names: tuple[str, ...], by: str = "runnable") -> DataFrame:
+    """(by, mean, std), arrays over the features of x, of each key: the population's; a constant feature has std 1."""
+    std = lambda i: F.stddev_pop(F.col("x")[i])
+    means, stds = ([f(i) for i in range(len(names))] for f in (lambda i: F.avg(F.col("x")[i]), std))
+    return rows.groupBy(by).agg(F.array(*means).alias("mean"), F.transform(F.array(*stds), lambda s: F.when(s == 0, 1.0).otherwise(s)).alias("std"))
+
+
+def zscores_by(rows: DataFrame, fitted: DataFrame, by: str = "runnable") -> DataFrame:
+    """rows with z, by the scaler of each key."""
+    met = rows.join(fitted, by)
+    return met.withColumn("z", F.transform("x", lambda x, i: (x - F.col("mean")[i]) / F.col("std")[i])).drop("mean", "std")
+
+
 def exact_percentiles(rows: DataFrame, value: Column, shares: tuple[float, ...], buckets: int = 4096) -> list[float | None]:
     """Percentiles with linear interpolation, over all rows and exact, without gathering them.
 
@@ -134,19 +147,32 @@ def risk_stats(scored: DataFrame) -> DataFrame:
     return scored.agg(F.count("*").alias("n"), F.avg("risk_score").alias("mean_score"), F.max("risk_score").alias("max_score"), share("RED").alias("red"), share("YELLOW").alias("yellow"), share("GREEN").alias("green"), (share("RED") * 100.0 / F.count("*")).alias("red_pct"))
 
 
-def percent_rank_score(score: str, by: list[str]) -> Column:
-    """100 less the mean percentage of values below and at or below, over the values of the key."""
-    order = W.partitionBy(*by).orderBy(score)
-    n = F.count("*").over(W.partitionBy(*by))
-    below, upto = F.rank().over(order) - 1, F.count("*").over(order.rangeBetween(W.unboundedPreceding, 0))
-    return F.lit(100.0) - (below + upto + 1) * 50.0 / n
+def percent_ranks(rows: DataFrame, score: str, by: list[str], name: str = "score", buckets: int = 4096) -> DataFrame:
+    """rows with 100 less the mean percentage of values below and at or below, over the values of the key; null for a null score.
+
+    Equal values are counted first. Each key's values are dealt out by buckets of equal width: a value's rank is the number
+    of values in the buckets before it and its place among its bucket's, so no key is sorted whole.
+    """
+    v = rows.where(F.col(score).isNotNull()).groupBy(F.struct(*by).alias("__k"), F.col(score).cast("double").alias("__v")).agg(F.count("*").alias("c"))
+    ends = v.groupBy("__k").agg(F.sum("c").alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi"))
+    width = (F.col("hi") - F.col("lo")) / buckets
+    bucket = F.when(width > 0, F.least(F.floor((F.col("__v") - F.col("lo")) / F.when(width > 0, width).otherwise(1.0)), F.lit(buckets - 1))).otherwise(0).cast("int")
+    placed = v.join(ends, "__k").withColumn("b", bucket)
+    starts = placed.groupBy("__k", "b").agg(F.sum("c").alias("m")).withColumn("start", F.sum("m").over(W.partitionBy("__k").orderBy("b")) - F.col("m")).drop("m")
+    upto = F.sum("c").over(W.partitionBy("__k", "b").orderBy("__v"))
+    ranks = placed.withColumn("upto", upto).join(starts, ["__k", "b"]).withColumn("upto", F.col("upto") + F.col("start"))
+    value = F.lit(100.0) - (2 * F.col("upto") - F.col("c") + 1) * 50.0 / F.col("n")
+    ranks = ranks.select("__k", "__v", value.alias("__rank"))
+    keyed = rows.withColumns({"__k": F.struct(*by), "__v": F.col(score).cast("double")})
+    return keyed.join(ranks, keyed["__k"].eqNullSafe(ranks["__k"]) & (keyed["__v"] == ranks["__v"]), "left").drop(ranks["__k"]).drop(ranks["__v"]).withColumn(name, F.col("__rank")).drop("__k", "__v", "__rank")
 
 
-def min_max(value: str, by: list[str]) -> Column:
-    """0 to 100 between least and greatest of the key; 0 for all if these are equal."""
-    part = W.partitionBy(*by)
-    lo, hi = F.min(value).over(part), F.max(value).over(part)
-    return F.when(hi - lo < 1e-10, 0.0).otherwise((F.col(value) - lo) / F.when(hi - lo < 1e-10, 1.0).otherwise(hi - lo) * 100)
+def min_max(rows: DataFrame, value: str, by: list[str], name: str = "score") -> DataFrame:
+    """rows with 0 to 100 between least and greatest of the key; 0 for all if these are equal."""
+    ends = rows.groupBy(*by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    wide = F.col("__hi") - F.col("__lo")
+    share = F.when(wide < 1e-10, 0.0).otherwise((F.col(value) - F.col("__lo")) / F.when(wide < 1e-10, 1.0).otherwise(wide) * 100)
+    return rows.join(ends, by).withColumn(name, share).drop("__lo", "__hi")
 
 
 def reconstruction(rows: DataFrame, k: int = 6, by: str = "runnable", names: int = len(PER_RUNNABLE_FEATURES) + 1) -> DataFrame:
@@ -183,5 +209,5 @@ def reconstruction(rows: DataFrame, k: int = 6, by: str = "runnable", names: int
 def over_percentile(rows: DataFrame, value: str = "error", q: float = 0.97, by: str = "runnable") -> DataFrame:
     """Adds threshold, label (-1 over the key's percentile, else 1) and score (0 to 100 between least and greatest)."""
     cut = percentiles_by(rows, F.col(value), (q,), [by]).withColumnRenamed("p0", "threshold")
-    out = rows.join(cut, by)
-    return out.withColumns({"label": F.when(F.col(value) > F.col("threshold"), -1).otherwise(1), "score": min_max(value, [by])})
+    out = min_max(rows, value, [by]).join(cut, by)
+    return out.withColumn("label", F.when(F.col(value) > F.col("threshold"), -1).otherwise(1))

@@ -80,22 +80,63 @@ def distinct_in_windows(events: DataFrame, value: Column, length: int = 300, key
     return spread.groupBy(key, "t").agg(F.count_distinct("v").alias(name))
 
 
-def trailing_count(keys: list[str], epoch: str, seq: str, seconds: int) -> Column:
-    """Rows of the key in [now - seconds, now] up to this one: a range frame also takes later rows of the same time, which are taken off."""
-    part = W.partitionBy(*keys)
-    frame = F.count("*").over(part.orderBy(epoch).rangeBetween(-seconds, 0))
-    peers = W.partitionBy(*keys, epoch)
-    later = F.count("*").over(peers) - F.row_number().over(peers.orderBy(seq))
-    return frame - later
+#: Seconds of a key that one task orders, where a value from any time before may be asked for.
+SPAN = 86_400
 
 
-def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str, seq: str = "seq") -> DataFrame:
-    """left with the last value of right at or before its time (ties: the greatest seq), by one union and one sort."""
+def with_context(rows: DataFrame, time: str, seconds: int) -> DataFrame:
+    """rows with __b and __own: each in the bucket of its time, and once more, not its own, in the next one.
+
+    So a bucket holds all that a window of so many seconds before any of its own rows holds, and a busy key is dealt out by
+    buckets.
+    """
+    bucket = F.floor(F.col(time) / seconds)
+    places = F.array(F.struct(bucket.alias("b"), F.lit(True).alias("own")), F.struct((bucket + 1).alias("b"), F.lit(False).alias("own")))
+    return rows.select("*", F.explode(places).alias("__x")).withColumns({"__b": F.col("__x.b"), "__own": F.col("__x.own")}).drop("__x")
+
+
+def trailing_counts(rows: DataFrame, keys: list[str], epoch: str, seq: str, seconds: int, name: str = "n") -> DataFrame:
+    """rows with the number of the key's rows in [now - seconds, now] up to each one; of equal times those of a lesser or equal seq."""
+    part = W.partitionBy(*keys, "__b")
+    sofar = F.row_number().over(part.orderBy(epoch, seq))
+    gone = F.count("*").over(part.orderBy(epoch).rangeBetween(W.unboundedPreceding, -seconds - 1))
+    return with_context(rows, epoch, seconds).withColumn(name, (sofar - gone).cast("long")).where("__own").drop("__b", "__own")
+
+
+def in_order(rows: DataFrame, keys: list[str], time: str, seq: str, steps: list[Column], seconds: int) -> DataFrame:
+    """rows at which conditions have held one after the other, each at a later row, within [now - seconds, now].
+
+    For each beginning of the steps the latest time at which it can have started is a running maximum, made of that of the
+    beginning before, so a row takes the same time however many rows its window has.
+    """
+    if not steps:
+        return rows.where("false")
+    line = W.partitionBy(*keys, "__b").orderBy(time, seq)
+    upto, before = line.rowsBetween(W.unboundedPreceding, 0), line.rowsBetween(W.unboundedPreceding, -1)
+    out = with_context(rows, time, seconds).withColumn("__m0", F.when(steps[0], F.col(time)))
+    for k, step in enumerate(steps[1:], 1):
+        out = out.withColumn(f"__m{k}", F.when(step, F.max(f"__m{k - 1}").over(before)))
+    started = F.max(f"__m{len(steps) - 1}").over(upto)
+    return out.withColumn("__started", started).where(F.col("__own") & (F.col("__started") >= F.col(time) - seconds)).select(*rows.columns)
+
+
+def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str, seq: str = "seq", span: int = SPAN) -> DataFrame:
+    """left with the last value of right (not null) at or before its time (ties: the greatest seq).
+
+    Both are dealt out by key and span of time; each span begins with the last value of the spans before it, which is a
+    row a span.
+    """
     columns = left.columns
-    r = right.select(*keys, F.col(time), F.col(seq).cast("long").alias("__seq"), F.col(value).alias("__value"), F.lit(0).alias("__kind"))
-    rows = left.withColumns({"__seq": F.lit(None).cast("long"), "__kind": F.lit(1)}).unionByName(r, allowMissingColumns=True)
-    order = W.partitionBy(*keys).orderBy(time, "__kind", "__seq").rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn(value, F.last("__value", ignorenulls=True).over(order)).where("__kind = 1").select(*columns, value)
+    bucket = F.floor(F.col(time) / span).alias("__b")
+    r = right.where(F.col(value).isNotNull()).select(*keys, F.col(time), bucket, F.col(seq).cast("long").alias("__seq"), F.col(value).alias("__value"), F.lit(1).alias("__kind"))
+    ends = r.groupBy(*keys, "__b").agg(F.max_by("__value", F.struct(time, "__seq")).alias("__value"))
+    spans = ends.unionByName(left.select(*keys, bucket).distinct(), allowMissingColumns=True).groupBy(*keys, "__b").agg(F.max("__value").alias("__value"))
+    before = W.partitionBy(*keys).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
+    handed = spans.withColumn("__value", F.last("__value", ignorenulls=True).over(before)).where("__b IS NOT NULL").withColumn("__kind", F.lit(0))
+    rows = left.withColumns({"__b": bucket, "__kind": F.lit(2)}).unionByName(r, allowMissingColumns=True).unionByName(handed, allowMissingColumns=True)
+    # What is handed on has no time and so comes first.
+    order = W.partitionBy(*keys, "__b").orderBy(time, "__kind", "__seq").rowsBetween(W.unboundedPreceding, 0)
+    return rows.withColumn(value, F.last("__value", ignorenulls=True).over(order)).where("__kind = 2").select(*columns, value)
 
 
 def within_tolerance(probes: DataFrame, values: DataFrame, keys: list[str], time: str, value: str, seconds: int = 30) -> DataFrame:

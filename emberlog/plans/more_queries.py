@@ -156,7 +156,7 @@ def q_iforest_score(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_pct_rank(spark: SparkSession, d: str) -> DataFrame:
-    return _stand_in(spark, d).select("runnable", "t", F.round(risk.percent_rank_score("score", ["runnable"]), 6).alias("score"))
+    return risk.percent_ranks(_stand_in(spark, d).select("runnable", "t", "score"), "score", ["runnable"]).select("runnable", "t", F.round("score", 6).alias("score"))
 
 
 def q_recon_threshold(spark: SparkSession, d: str) -> DataFrame:

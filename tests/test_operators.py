@@ -342,3 +342,41 @@ def test_forest_by_key(spark):
     assert {r.runnable for r in trees.select("runnable").distinct().collect()} == {"a", "b"}
     got = iforest.score_by(df, trees).collect()
     assert len(got) == 80 and all(-1 <= r.score <= 0 for r in got)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_windows_of_a_busy_key(spark, seed):
+    """Counts, sequences and values as of a time, dealt out by buckets, against loops over one key."""
+    rng = random.Random(seed)
+    wide = rng.choice([1, 7, 60])
+    rows = sorted((rng.choice("aab"), rng.randrange(400), k, rng.choice(["x", "y", "z", None])) for k in range(400))
+    df = spark.createDataFrame(rows, "k string, t long, s long, state string")
+    got = {r.s: r.n for r in windows.trailing_counts(df, ["k"], "t", "s", wide).collect()}
+    assert got == {s: sum(k2 == k and t - wide <= t2 and (t2, s2) <= (t, s) for k2, t2, s2, _ in rows) for k, t, s, _ in rows}
+    for steps in (["x"], ["x", "y"], ["x", "x", "z"], []):
+        want = set()
+        for k, t, s, _ in rows:
+            left = list(steps)
+            for k2, t2, s2, state in rows:
+                if k2 == k and t - wide <= t2 and (t2, s2) <= (t, s) and left and state == left[0]:
+                    left.pop(0)
+            if steps and not left:
+                want.add(s)
+        assert {r.s for r in windows.in_order(df, ["k"], "t", "s", [F.col("state") == x for x in steps], wide).collect()} == want
+    probes = spark.createDataFrame([(rng.choice("abc"), rng.randrange(-50, 500), k) for k in range(200)] + [("a", None, 999)], "k string, t long, id long")
+    found = windows.as_of(probes, df.withColumnRenamed("s", "seq"), ["k"], "t", "state", span=rng.choice([10, 100_000])).collect()
+    assert len(found) == 201
+    for r in found:
+        past = [state for k, t, _, state in rows if k == r.k and r.t is not None and t <= r.t and state]
+        assert r.state == (past[-1] if past else None)
+
+
+@pytest.mark.parametrize("buckets", [3, 4096])
+def test_percent_ranks(spark, buckets):
+    rng = random.Random(buckets)
+    rows = [(rng.choice(["a", "b", None]), i, rng.choice([0.0, 0.0, rng.gauss(0, 1), rng.paretovariate(0.5)])) for i in range(300)] + [("a", 900, None), ("one", 901, 5.0)]
+    got = {r.i: r.rank for r in risk.percent_ranks(spark.createDataFrame(rows, "k string, i long, v double"), "v", ["k"], "rank", buckets).collect()}
+    for k, i, v in rows:
+        mine = [w for k2, _, w in rows if k2 == k and w is not None]
+        want = None if v is None else 100 - (sum(w < v for w in mine) + sum(w <= v for w in mine) + 1) * 50 / len(mine)
+        assert got[i] == (want if want is None else pytest.approx(want))
