@@ -26,26 +26,36 @@ def mean_path(n: float) -> float:
 
 
 def grow(x: np.ndarray, rng: np.random.Generator) -> list[tuple[int, int, float, int, int, int, int]]:
-    """(node, feature, threshold, left, right, size, depth); a leaf has feature -1."""
+    """(node, feature, threshold, left, right, size, depth), the root first, level by level; a leaf has feature -1.
+
+    All nodes of a level are split at once: rows stand node by node, so each node's ranges are one reduction.
+    """
     limit = math.ceil(math.log2(max(len(x), 2)))
     out: list = []
-
-    def build(rows: np.ndarray, depth: int) -> int:
-        me = len(out)
-        out.append(None)
-        lo, hi = x[rows].min(0), x[rows].max(0)
-        free = np.flatnonzero(hi > lo)
-        if depth >= limit or len(rows) <= 1 or not len(free):
-            out[me] = (me, -1, 0.0, me, me, len(rows), depth)
-            return me
-        f = int(rng.choice(free))
-        t = float(rng.uniform(lo[f], hi[f]))
-        goes = x[rows, f] <= t
-        left, right = build(rows[goes], depth + 1), build(rows[~goes], depth + 1)
-        out[me] = (me, f, t, left, right, len(rows), depth)
-        return me
-
-    build(np.arange(len(x)), 0)
+    rows, starts, first = np.arange(len(x)), np.zeros(1, np.int64), 0
+    for depth in range(limit + 1):
+        sizes = np.diff(np.append(starts, len(rows)))
+        lo, hi = np.minimum.reduceat(x[rows], starts), np.maximum.reduceat(x[rows], starts)
+        free = hi > lo
+        n = free.sum(1)
+        split = (n > 0) & (depth < limit)
+        feature = (free.cumsum(1) > (rng.random(len(n)) * n).astype(np.int64)[:, None]).argmax(1)
+        at = np.arange(len(n))
+        low, high = lo[at, feature], hi[at, feature]
+        threshold = np.minimum(low + rng.random(len(n)) * (high - low), np.nextafter(high, low))
+        left = first + len(n) + 2 * (np.cumsum(split) - 1)
+        for k in range(len(n)):
+            me = first + k
+            out.append((me, int(feature[k]), float(threshold[k]), int(left[k]), int(left[k]) + 1, int(sizes[k]), depth) if split[k] else (me, -1, 0.0, me, me, int(sizes[k]), depth))
+        if not split.any():
+            break
+        node = np.repeat(at, sizes)
+        rows, node = rows[split[node]], node[split[node]]
+        side = 2 * (np.cumsum(split) - 1)[node] + (x[rows, feature[node]] > threshold[node])
+        order = np.argsort(side, kind="stable")
+        rows = rows[order]
+        first += len(n)
+        starts = np.searchsorted(side[order], np.arange(2 * int(split.sum())))
     return out
 
 
@@ -125,20 +135,41 @@ def score(rows: DataFrame, model: Forest, column: str = "z") -> DataFrame:
     return rows.withColumn("score", of(F.col(column)))
 
 
-def fit_by(rows: DataFrame, by: str = "runnable", column: str = "z", id_columns: tuple[str, ...] = ("runnable", "t"), trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """Trees of each key (by, TREE_SCHEMA), each on at most `sample` of its key's rows.
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows dealt out by keys to as many tasks as the session has shuffle partitions, however small they are."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+#: How many more rows than a sample each tree draws at first, so that few trees get less than a sample.
+SPARE = 1.25
 
-    A hash of the ids thins large keys to about twice what they need before they are ordered, so no key is sorted whole.
-    Every tree draws by a hash of its own; trees share rows where a key has fewer than trees * sample.
+
+def drawn(rows: DataFrame, by: str, id_columns: tuple[str, ...], trees: int, sample: int, seed: int) -> DataFrame:
+    """rows with tree and h, a row for each tree that draws it: about `sample` times SPARE a tree.
+
+    A key with n rows has room for m = n / (sample * SPARE) trees that share no row. So many are dealt out at once by a hash
+    of the ids, in as many rounds, each with its own hash, as the trees take; a row is tested once a round and only copied
+    for a tree that draws it. A key with less than twice that many rows gives all its rows to every tree. So a key makes about
+    trees * sample rows, however many it has.
     """
-    h = F.pmod(F.xxhash64(*id_columns, F.lit(seed)), F.lit(1 << 30))
-    n = rows.groupBy(by).agg(F.count("*").alias("n"))
-    marked = rows.select(by, F.col(column).alias("x"), h.alias("h")).join(n, by)
-    need = F.lit(2.0 * trees * sample + 1000)
-    some = marked.where(F.col("h") < need / F.col("n") * (1 << 30)).withColumn("i", F.row_number().over(W.partitionBy(by).orderBy("h", "x")) - 1).where(F.col("i") < trees * sample)
-    own = F.array((F.col("i") % trees).cast("int"))
-    dealt = some.select(by, "x", "h", "n", F.explode(F.when(F.col("n") >= trees * sample, own).otherwise(F.sequence(F.lit(0), F.lit(trees - 1)))).alias("tree"))
-    dealt = dealt.withColumn("i", F.row_number().over(W.partitionBy(by, "tree").orderBy(F.xxhash64("h", "tree"), "x"))).where(F.col("i") <= F.least(F.lit(sample), F.col("n")))
+    n = rows.groupBy(by).agg(F.count("*").alias("__n"))
+    wide = sample * SPARE
+    met = rows.join(n, by)
+    room = F.floor(F.col("__n") / wide)
+    u = lambda g: F.pmod(F.xxhash64(*id_columns, F.lit(seed), g), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rounds = F.sequence(F.lit(0).cast("long"), F.ceil(trees / F.greatest(room, F.lit(1))) - 1)
+    dealt = F.filter(F.transform(rounds, lambda g: g * room + F.when(F.floor(u(g) * F.col("__n") / wide) < room, F.floor(u(g) * F.col("__n") / wide)).otherwise(F.lit(trees))), lambda t: t < trees)
+    every = F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))
+    out = met.withColumn("tree", F.explode(F.when(room < 2, every).otherwise(dealt))).withColumn("tree", F.col("tree").cast("int"))
+    return out.withColumn("h", F.xxhash64(*id_columns, F.lit(seed), F.lit("order"), "tree")).drop("__n")
+
+
+def fit_by(rows: DataFrame, by: str = "runnable", column: str = "z", id_columns: tuple[str, ...] = ("runnable", "t"), trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
+    """Trees of each key (by, TREE_SCHEMA), each on at most `sample` of its key's rows, those with the least hashes of what it draws."""
+    # Growing takes time by the tree, not by the byte, so small tables aren't put together into few tasks.
+    some = drawn(rows.select(by, *[c for c in id_columns if c != by], F.col(column).alias("x")), by, id_columns, trees, sample, seed)
+    some = spread(some, by, "tree")
+    dealt = some.withColumn("i", F.row_number().over(W.partitionBy(by, "tree").orderBy("h", "x"))).where(F.col("i") <= sample).select(by, "tree", "x")
 
     def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.array(sorted(map(tuple, pdf["x"].tolist())), float)
@@ -148,7 +179,7 @@ def fit_by(rows: DataFrame, by: str = "runnable", column: str = "z", id_columns:
     return dealt.groupBy(by, "tree").applyInPandas(build, f"{by} string, {TREE_SCHEMA}")
 
 
-def score_by(rows: DataFrame, trees: DataFrame, by: str = "runnable", column: str = "z", at_once: int = 200_000) -> DataFrame:
+def score_by(rows: DataFrame, trees: DataFrame, by: str = "runnable", column: str = "z", at_once: int = 20_000) -> DataFrame:
     """(by, id columns, score) of rows by their key's own trees; large keys are dealt out in parts of about at_once rows.
 
     rows: by, the columns to keep and `column`. Rows of a key without trees have no score and are left out.
@@ -167,7 +198,7 @@ def score_by(rows: DataFrame, trees: DataFrame, by: str = "runnable", column: st
         return left[keep].assign(score=found)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != column)
-    return dealt.groupBy(by, "__part").cogroup(models.groupBy(by, "__part")).applyInPandas(of, f"{kinds}, score double")
+    return spread(dealt, by, "__part").groupBy(by, "__part").cogroup(spread(models, by, "__part").groupBy(by, "__part")).applyInPandas(of, f"{kinds}, score double")
 
 
 def labels(rows: DataFrame, contamination: float = 0.03, by: list[str] | None = None) -> DataFrame:

@@ -104,6 +104,18 @@ def files_by_runnable(discovered: DataFrame) -> DataFrame:
     return discovered.groupBy(F.coalesce("runnable_hint", F.lit("unknown")).alias("runnable")).agg(F.count("*").alias("files"), F.sum("size_mb").alias("size_mb"))
 
 
-def index_stats(records: DataFrame) -> DataFrame:
-    """Per runnable: records, errors, state changes, restarts, first and last time."""
-    return records.groupBy("runnable").agg(F.count("*").alias("records"), F.count_if(F.col("level").isin("ERROR", "FATAL")).alias("errors"), F.count("state").alias("states"), F.count_if(F.col("state") == "STARTING").alias("restarts"), F.min("epoch").alias("first"), F.max("epoch").alias("last"))
+def index_by_runnable(records: DataFrame) -> DataFrame:
+    """Per runnable: records, errors, state changes, restarts, distinct times, first and last time."""
+    return records.groupBy("runnable").agg(
+        F.count("*").alias("records"), F.count_if(F.col("level").isin("ERROR", "FATAL")).alias("errors"), F.count("state").alias("states"), F.count_if(F.col("state") == "STARTING").alias("restarts"),
+        F.count_distinct("epoch").alias("distinct_epochs"), F.min("epoch").alias("first"), F.max("epoch").alias("last"),
+    )
+
+
+def index_stats(records: DataFrame, gauges: DataFrame, timers: DataFrame) -> DataFrame:
+    """One row: runnables, records, metrics, their datapoints, distinct times of records, state changes, first and last time."""
+    logs = records.agg(
+        F.count_distinct("runnable").alias("runnables"), F.count("*").alias("records"), F.count_distinct("epoch").alias("distinct_epochs"), F.count("state").alias("state_changes"), F.min("epoch").alias("first"), F.max("epoch").alias("last"),
+    )
+    points = gauges.select("metric", "t").unionByName(timers.select("metric", "t")).agg(F.count_distinct("metric").alias("metrics"), F.count("*").alias("datapoints"))
+    return logs.crossJoin(points)  # a row each

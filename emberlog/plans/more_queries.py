@@ -257,8 +257,8 @@ ORACLE: dict[str, str] = {
     "q_incidents_low": f"""WITH {LOGS}, {MATCHES}, low AS (SELECT *, coalesce(epoch - lag(epoch) OVER (PARTITION BY runnable, rule_id ORDER BY epoch, seq) > 216000, true) AS s FROM matches WHERE severity IN ('MEDIUM', 'LOW')),
         g AS (SELECT *, sum(CAST(s AS INT)) OVER (PARTITION BY runnable, rule_id ORDER BY epoch, seq) AS i FROM low)
         SELECT rule_id AS rules, runnable AS runnables, min(epoch) AS created, max(epoch) AS updated, count(*) AS detection_count FROM g GROUP BY rule_id, runnable, i""",
-    "q_zscore": f"""{PREFIX}, x AS (SELECT runnable, t, CAST(error_count_1h AS DOUBLE) AS e, CAST({STATE} AS DOUBLE) AS s FROM vectors), m AS (SELECT avg(e) AS me, stddev_pop(e) AS de, avg(s) AS ms, stddev_pop(s) AS ds FROM x)
-        SELECT runnable, t, round((e - me) / CASE WHEN de = 0 THEN 1 ELSE de END, 6) AS z_error_1h, round((s - ms) / CASE WHEN ds = 0 THEN 1 ELSE ds END, 6) AS z_state FROM x, m""",
+    "q_zscore": f"""{PREFIX}, x AS (SELECT runnable, t, CAST(error_count_1h AS DOUBLE) AS e, CAST({STATE} AS DOUBLE) AS s FROM vectors)
+        SELECT runnable, t, round((e - avg(e) OVER ()) / CASE WHEN stddev_pop(e) OVER () = 0 THEN 1 ELSE stddev_pop(e) OVER () END, 6) AS z_error_1h, round((s - avg(s) OVER ()) / CASE WHEN stddev_pop(s) OVER () = 0 THEN 1 ELSE stddev_pop(s) OVER () END, 6) AS z_state FROM x""",
     "q_risk_normalise": f"{PREFIX}, {STAND_IN}, {NORMAL} SELECT runnable, t, round(risk_score, 6) AS risk_score, risk_level FROM labelled",
     "q_risk_stats": f"""{PREFIX}, {STAND_IN}, {NORMAL} SELECT count(*) AS n, round(avg(risk_score), 4) AS mean_score, round(max(risk_score), 4) AS max_score, count(*) FILTER (risk_level = 'RED') AS red,
         count(*) FILTER (risk_level = 'YELLOW') AS yellow, count(*) FILTER (risk_level = 'GREEN') AS green FROM labelled""",

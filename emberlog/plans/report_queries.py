@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.operators import catalogue, correlate, detect, parse, report, risk
+from emberlog.operators import autoencoder, catalogue, correlate, detect, iforest, parse, report, risk
 from emberlog.plans.logview import SQL as LOGS
 from emberlog.plans.logview import log_view, quoted
 from emberlog.plans.more_queries import HOURLY, LINES, PREFIX, STAND_IN, _event_lines, _lines, _stand_in, _vectors
 from emberlog.plans.queries import MATCHES, RULES, VECTORS, Query
+from emberlog.session import cut
+from emberlog.sources.logs import runnable_hint
 
 #: A message for each rule of the catalogue, and some that miss one by a little.
 SAMPLES = (
@@ -94,6 +96,65 @@ def q_keyed_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return got.select("runnable", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("p0", "p1", "p2")])
 
 
+def _scaled_by_runnable(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors with z, scaled by their own runnable's mean and deviation. Read several times; lost blocks are computed anew."""
+    x = risk.matrix(_vectors(spark, d), risk.PER_RUNNABLE_FEATURES, risk.STATE_RISK_PER_RUNNABLE, False).select("runnable", "t", "x").persist()
+    return risk.zscores_by(x, risk.scaler_by(x, (*risk.PER_RUNNABLE_FEATURES, "state_risk"))).select("runnable", "t", "z")
+
+
+def q_scaled_by_runnable(spark: SparkSession, d: str) -> DataFrame:
+    got = _scaled_by_runnable(spark, d)
+    return got.select("runnable", "t", *[(F.round(F.col("z")[i], 6) + F.lit(0.0)).alias(n) for i, n in ((1, "z_error_1h"), (8, "z_restarts"), (12, "z_state"))])
+
+
+def q_forest_by_runnable(spark: SparkSession, d: str) -> DataFrame:
+    """A forest of 200 trees per runnable, its scores over all vectors, labels at 3 % and percent ranks."""
+    z = _scaled_by_runnable(spark, d)
+    labelled = cut(iforest.labels(cut(iforest.score_by(z, iforest.fit_by(z))), 0.03, ["runnable"]))  # each is read several times
+    return risk.percent_ranks(labelled, "score", ["runnable"], "if_score").select("runnable", "t", "score", "label", "if_score")
+
+
+def q_autoencoder(spark: SparkSession, d: str) -> DataFrame:
+    """A net per runnable, its errors over all vectors, labels over the 97th percentile."""
+    z = _scaled_by_runnable(spark, d)
+    found = cut(autoencoder.errors_by(z, autoencoder.fit_by(z)))
+    return risk.over_percentile(found).select("runnable", "t", "error", "label", "score")
+
+
+def q_sequence_rules(spark: SparkSession, d: str) -> DataFrame:
+    """The built-in catalogue's S01 to S03 over states whose times are a hundredth, so that windows of minutes hold some."""
+    logs = log_view(spark, d).withColumn("epoch", F.floor(F.col("epoch") / 100).cast("long"))
+    sequences = detect.Catalogue(tuple(r for r in catalogue.DEFAULT.rules if r.pattern_type == "STATE_SEQUENCE"))
+    return detect.detect(logs, sequences).select("rule_id", "severity", "runnable", "epoch", "seq", "summary")
+
+
+def q_parse_totals(spark: SparkSession, d: str) -> DataFrame:
+    """The parse statistics of all lines, folded into records: noise, records by format and level, errors, stack traces."""
+    lines = _event_lines(spark, d).select("source_file", F.col("source_file").alias("source_path"), F.col("seq").alias("line_number"), F.when(F.col("seq") % 9 == 0, F.concat("line", F.lit(" Accepted login for user Clous"))).otherwise(F.col("line")).alias("line"))
+    got = parse.parse_stats(lines, parse.records(lines))
+    text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias(c)
+    return got.select("total_lines", "noise_lines", "records", "errors", "with_stack_trace", text("by_format_type"), text("by_level"))
+
+
+def q_files_by_runnable(spark: SparkSession, d: str) -> DataFrame:
+    """Files and their sizes by runnable, of events as if each user's were a file."""
+    logs = log_view(spark, d)
+    path = F.when(F.col("seq") % 3 == 0, F.concat(F.lit("/var/runnable_"), "runnable", F.lit("/base/"), (F.col("seq") % 40).cast("string"), F.lit(".log"))).otherwise(F.concat(F.lit("/var/"), F.when(F.col("seq") % 3 == 1, F.lit("agent")).otherwise(F.lit("x")), F.lit("/a.log")))
+    files = logs.groupBy(path.alias("path")).agg(F.sum(F.length("message")).cast("double").alias("size_mb")).withColumn("runnable_hint", runnable_hint(F.col("path")))
+    return report.files_by_runnable(files)
+
+
+def q_index_stats(spark: SparkSession, d: str) -> DataFrame:
+    logs = log_view(spark, d)
+    gauge = logs.where("level = 'INFO'").select(F.concat(F.lit("g"), (F.col("seq") % 5).cast("string")).alias("metric"), F.col("epoch").alias("t"))
+    timer = logs.where("level = 'WARN'").select(F.lit("t0").alias("metric"), F.col("epoch").alias("t"))
+    return report.index_stats(logs, gauge, timer)
+
+
+def q_index_by_runnable(spark: SparkSession, d: str) -> DataFrame:
+    return report.index_by_runnable(log_view(spark, d))
+
+
 QUERIES: dict[str, Query] = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 
 E, EF = "level = 'ERROR'", "level IN ('ERROR', 'FATAL')"
@@ -124,7 +185,41 @@ LOW = f"""{LOGS}, {MATCHES}, low AS (SELECT *, coalesce(epoch - lag(epoch) OVER
 g AS (SELECT *, sum(CAST(s AS INT)) OVER (PARTITION BY runnable, rule_id ORDER BY epoch, seq) AS i FROM low)"""
 BOUNDS = "bounds AS (SELECT quantile_cont(-score, 0.01) AS lo, quantile_cont(-score, 0.99) AS hi FROM stand_in), risky AS (SELECT runnable, t, CASE WHEN hi - lo < 1e-10 THEN 0.0 ELSE least(greatest((-score - lo) / (hi - lo) * 100, 0.0), 100.0) END AS r FROM stand_in, bounds)"
 
+STATE_BY_RUNNABLE = "CASE current_state " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in risk.STATE_RISK_PER_RUNNABLE.items()) + " ELSE 1 END"
+
+
+def _z(c: str) -> str:
+    return f"round(({c} - avg({c}) OVER w) / CASE WHEN stddev_pop({c}) OVER w = 0 THEN 1 ELSE stddev_pop({c}) OVER w END, 6) + 0.0"
+
+
+#: Rule, window, severity, states, state that has to follow: as the catalogue describes them.
+SEQUENCES = (("S01", 600, "CRITICAL", ("STARTING", "DOWN", "STARTING", "DOWN", "STARTING"), None), ("S02", 300, "HIGH", ("STARTED", "DOWN"), "STARTING"), ("S03", 180, "MEDIUM", ("STARTED", "STOPPING"), "STOPPED"))
+
+
+def _sequence_sql(rule: str, wide: int, severity: str, states: tuple[str, ...], follow: str | None) -> str:
+    text = f"""SELECT '{rule}' AS rule_id, '{severity}' AS severity, a.runnable, a.epoch, a.seq, '{" > ".join(states)}' AS summary FROM st a JOIN st b ON a.runnable = b.runnable AND b.epoch BETWEEN a.epoch - {wide} AND a.epoch AND (b.epoch, b.seq) <= (a.epoch, a.seq)
+        GROUP BY a.runnable, a.epoch, a.seq HAVING string_agg('<' || b.state || '>', '' ORDER BY b.epoch, b.seq) LIKE '%{"%".join(f"<{s}>" for s in states)}%'"""
+    if follow:
+        text += f""" UNION ALL SELECT '{rule}', '{severity}', runnable, epoch, -1 - seq, '{states[-1]} without {follow}' FROM
+            (SELECT * FROM st WHERE state = '{states[-1]}' QUALIFY row_number() OVER (PARTITION BY runnable ORDER BY epoch DESC, seq DESC) = 1) x, (SELECT max(epoch) AS stop FROM sampled) e
+            WHERE stop - epoch >= {wide} AND NOT EXISTS (SELECT 1 FROM st f WHERE f.runnable = x.runnable AND f.state = '{follow}' AND f.epoch > x.epoch)"""
+    return text
+
+
 ORACLE: dict[str, str] = {
+    "q_scaled_by_runnable": f"{PREFIX}, x AS (SELECT runnable, t, CAST(error_count_1h AS DOUBLE) AS e, CAST(restarts_24h AS DOUBLE) AS r, CAST({STATE_BY_RUNNABLE} AS DOUBLE) AS s FROM vectors) SELECT runnable, t, {_z('e')} AS z_error_1h, {_z('r')} AS z_restarts, {_z('s')} AS z_state FROM x WINDOW w AS (PARTITION BY runnable)",
+    "q_sequence_rules": f"WITH {LOGS}, sampled AS (SELECT * REPLACE (epoch // 100 AS epoch) FROM logs), st AS (SELECT runnable, epoch, seq, state FROM sampled WHERE state IS NOT NULL) " + " UNION ALL ".join(_sequence_sql(*x) for x in SEQUENCES),
+    "q_files_by_runnable": f"""WITH {LOGS}, f AS (SELECT CASE seq % 3 WHEN 0 THEN '/var/runnable_' || runnable || '/base/' || seq % 40 || '.log' WHEN 1 THEN '/var/agent/a.log' ELSE '/var/x/a.log' END AS path, CAST(sum(length(message)) AS DOUBLE) AS size_mb FROM logs GROUP BY 1)
+        SELECT coalesce(nullif(regexp_extract(path, '/runnable_([a-z]+_s)/', 1), ''), CASE WHEN contains(path, 'agent') THEN 'agent' ELSE 'unknown' END) AS runnable, count(*) AS files, sum(size_mb) AS size_mb FROM f GROUP BY 1""",
+    "q_index_stats": f"""WITH {LOGS}, p AS (SELECT 'g' || seq % 5 AS metric, epoch AS t FROM logs WHERE level = 'INFO' UNION ALL SELECT 't0', epoch FROM logs WHERE level = 'WARN')
+        SELECT (SELECT count(DISTINCT runnable) FROM logs) AS runnables, (SELECT count(*) FROM logs) AS records, (SELECT count(DISTINCT metric) FROM p) AS metrics, (SELECT count(*) FROM p) AS datapoints, (SELECT count(DISTINCT epoch) FROM logs) AS distinct_epochs,
+            (SELECT count(*) FROM logs WHERE state IS NOT NULL) AS state_changes, (SELECT min(epoch) FROM logs) AS first, (SELECT max(epoch) FROM logs) AS last""",
+    "q_index_by_runnable": f"WITH {LOGS} SELECT runnable, count(*) AS records, count(*) FILTER (level IN ('ERROR', 'FATAL')) AS errors, count(state) AS states, count(*) FILTER (state = 'STARTING') AS restarts, count(DISTINCT epoch) AS distinct_epochs, min(epoch) AS first, max(epoch) AS last FROM logs GROUP BY runnable",
+    "q_parse_totals": f"""WITH {LOGS}, k AS (SELECT seq, seq % 8 AS k, level, seq % 9 = 0 AS noise FROM logs), r AS (SELECT ['PIPE_8FIELD', 'SPRING', 'RUNNABLE_HIST', 'AGENT', 'REST_OPS', 'PLAIN_TS', 'WRAPPER'][k + 1] AS f,
+            CASE WHEN k IN (0, 3, 6) THEN level WHEN k = 1 THEN 'ERROR' WHEN k = 2 THEN 'WARN' WHEN k = 4 THEN 'INFO' ELSE 'UNKNOWN' END AS level, seq, k FROM k WHERE NOT noise AND k < 7),
+        owners AS (SELECT max(r.seq) AS seq FROM k JOIN r ON r.seq < k.seq WHERE k.k = 7 AND NOT k.noise GROUP BY k.seq)
+        SELECT (SELECT count(*) FROM k) AS total_lines, (SELECT count(*) FROM k WHERE noise) AS noise_lines, (SELECT count(*) FROM r) AS records, (SELECT count(*) FROM r WHERE level IN ('ERROR', 'FATAL')) AS errors, (SELECT count(DISTINCT seq) FROM owners) AS with_stack_trace,
+            (SELECT string_agg(f || '=' || n, ',' ORDER BY f) FROM (SELECT f, count(*) AS n FROM r GROUP BY f)) AS by_format_type, (SELECT string_agg(level || '=' || n, ',' ORDER BY level) FROM (SELECT level, count(*) AS n FROM r GROUP BY level)) AS by_level""",
     "q_catalogue": f"WITH {LOGS}, sampled AS (SELECT runnable, level, stack_trace, epoch, seq, {quoted(SAMPLES)}[seq % {len(SAMPLES)} + 1] AS message FROM logs) " + " UNION ALL ".join(f"SELECT '{i}' AS rule_id, '{s}' AS severity, runnable, epoch, seq FROM sampled WHERE {test}" for (i, s), test in TESTS.items()),
     "q_noise_filter": rf"""WITH {LINES} SELECT contains(line, 'Reusing existing ZKC instance') OR contains(line, 'Accepted login for user Clous') AS noise,
         regexp_matches(line, '^\s*$|^\s+(?:at\s|\.\.\.)|^\s*Caused by:\s|^[A-Za-z][\w.]*(?:Exception|Error|Throwable)[\s:]') AS continuation, count(*) AS n FROM lines GROUP BY 1, 2""",

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberlog import sinks
-from emberlog.operators import correlate, detect, features, iforest, narrate, report, risk, throttle, windows
+from emberlog.operators import autoencoder, correlate, detect, features, iforest, narrate, report, risk, throttle, windows
 from emberlog.operators.catalogue import DEFAULT
 from emberlog.operators.detect import Catalogue, Escalation, Rule
 from emberlog.plans import pipelines
@@ -335,13 +335,87 @@ def test_throttle_of_one_busy_key(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 50, 256])
+def test_trees_part_their_rows(n):
+    rng = np.random.default_rng(n)
+    x = np.round(rng.normal(size=(n, 4)), 1)
+    tree = iforest.grow(x, rng)
+    assert [t[0] for t in tree] == list(range(len(tree))) and tree[0][5] == n
+    seen = {0: np.arange(n)}
+    for node, feature, threshold, left, right, size, depth in tree:
+        rows = seen[node]
+        assert len(rows) == size > 0 and depth <= max(1, np.ceil(np.log2(max(n, 2))))
+        if feature < 0:
+            assert left == right == node and (depth == np.ceil(np.log2(max(n, 2))) or (x[rows] == x[rows[0]]).all())
+            continue
+        goes = x[rows, feature] <= threshold
+        seen[left], seen[right] = rows[goes], rows[~goes]
+        assert goes.any() and not goes.all()
+    assert len(seen) == len(tree)
+
+
 def test_forest_by_key(spark):
-    rows = [(k, i, [float(i % 7) + (100.0 if i == 3 else 0.0), float(i % 5)]) for k in "ab" for i in range(40)]
+    """Fifteen keys from 30 to 6,000 rows: samples and odd rows of each."""
+    rng = np.random.default_rng(1)
+    sizes = {f"k{k:02d}": n for k, n in enumerate([30, 31, 100, 255, 256, 257, 400, 639, 640, 641, 1000, 1281, 2000, 4000, 6000])}
+    rows = [(k, i, [*(rng.normal(size=3) + (9.0 if i == 3 else 0.0)).tolist()]) for k, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "runnable string, t long, z array<double>").repartition(5)
+    trees = iforest.fit_by(df, trees=40, sample=64)
+    roots = trees.where("node = 0").collect()
+    assert sorted((r.runnable, r.tree) for r in roots) == sorted((k, t) for k in sizes for t in range(40))
+    for k, n in sizes.items():
+        mine = [r.size for r in roots if r.runnable == k]
+        assert max(mine) <= 64 and (min(mine) == n if n <= 64 else np.mean(mine) > 58)
+    made = iforest.drawn(df.select("runnable", "t", F.col("z").alias("x")), "runnable", ("runnable", "t"), 40, 64, 42).groupBy("runnable").count().collect()
+    assert all(r["count"] <= 40 * 64 * 2.6 for r in made)  # however many rows a key has
+    got = iforest.score_by(df, trees, at_once=500).collect()
+    assert len(got) == len(rows) and all(-1 <= r.score <= 0 for r in got)
+    for k in sizes:
+        assert min((r for r in got if r.runnable == k), key=lambda r: r.score).t == 3
+    again = {(r.runnable, r.t): r.score for r in iforest.score_by(df.repartition(3), iforest.fit_by(df.repartition(2), trees=40, sample=64)).collect()}
+    assert all(again[(r.runnable, r.t)] == pytest.approx(r.score) for r in got)
+
+
+def test_gradients_of_the_net():
+    rng = np.random.default_rng(0)
+    x, masks = rng.normal(size=(7, 5)), (rng.random((7, autoencoder.HIDDEN[0])) > 0.2) / 0.8
+    net = autoencoder.Net.fresh((5, *autoencoder.HIDDEN, 5), rng)
+    for b in net.offsets:
+        b += rng.normal(size=b.shape) * 0.1
+    for values, grads in zip((net.weights, net.offsets), net.gradients(x, masks), strict=True):
+        for v, g in zip(values, grads, strict=True):
+            for at in np.ndindex(v.shape):
+                old, ends = v[at], []
+                for step in (1e-6, -1e-6):
+                    v[at] = old + step
+                    ends.append(float(((net.layers(x, masks)[-1] - x) ** 2).mean()))
+                v[at] = old
+                assert (ends[0] - ends[1]) / 2e-6 == pytest.approx(g[at], abs=1e-6)
+
+
+def test_autoencoder_finds_what_a_projection_misses(spark):
+    """Normal rows are rectified mixtures; odd ones are their negatives, which lie in the same directions."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in ("a", "b"):
+        mixed = np.maximum(rng.normal(size=(3000, 2)) @ rng.normal(size=(2, 13)), 0)
+        span = mixed[rng.permutation(3000)[:60]]
+        every = np.concatenate([mixed, -span])
+        rows += [(k, i, v.tolist()) for i, v in enumerate((every - mixed.mean(0)) / mixed.std(0))]
     df = spark.createDataFrame(rows, "runnable string, t long, z array<double>")
-    trees = iforest.fit_by(df, trees=4, sample=16)
-    assert {r.runnable for r in trees.select("runnable").distinct().collect()} == {"a", "b"}
-    got = iforest.score_by(df, trees).collect()
-    assert len(got) == 80 and all(-1 <= r.score <= 0 for r in got)
+    nets = autoencoder.fit_by(df.where("t < 3000"), most=2000)
+    got = {(r.runnable, r.t): r.error for r in autoencoder.errors_by(df, nets, at_once=1000).collect()}
+    assert len(got) == len(rows)
+    flat = {(r.runnable, r.t): r.error for r in risk.reconstruction(df.where("t < 3000").union(df.where("t >= 3000")), names=13).collect()}
+
+    def order(errors):
+        """How often an odd row's error is over a normal one's."""
+        odd, normal = ([e for (_, t), e in errors.items() if (t >= 3000) == which] for which in (True, False))
+        return np.mean(np.array(odd)[:, None] > np.array(normal)[None, ::7])
+
+    assert order(got) > 0.95 and order(got) > order(flat)
+    again = autoencoder.fit_by(df.where("t < 3000").repartition(5), most=2000).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, nets.collect()))
 
 
 @pytest.mark.parametrize("seed", range(3))
