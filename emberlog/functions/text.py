@@ -46,3 +46,8 @@ def after_first(c: Column, separator: str) -> Column:
     """Part after the first separator; the whole without one."""
     at = F.position(F.lit(separator), c)
     return F.when(at > 0, F.substring(c, at + F.lit(len(separator)), F.length(c))).otherwise(c)
+
+
+def json_field(c: Column, name: str, kind: str) -> Column:
+    """A field of a JSON object by its name at the top; null where the text is no JSON, lacks the field or has another kind of value there."""
+    return F.try_variant_get(F.try_parse_json(c), f"$.{name}", kind)

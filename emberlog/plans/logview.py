@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberlog.functions.text import json_field
 from emberlog.functions.times import epoch
 from emberlog.session import configure
 
@@ -28,7 +29,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """runnable, level, message, stack_trace, has_stack_trace, state, epoch, seq."""
     e = read(spark, sf_dir, "events")
-    k = F.regexp_extract("props", '"k": *([0-9]+)', 1).cast("int")
+    k = json_field(F.col("props"), "k", "int")
     at = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
     kind, n = F.col("event_type"), F.col("event_id")
     level = F.when(kind == "error", F.when(F.col("value") > 110, "FATAL").otherwise("ERROR")).when(kind == "signup", "WARN").otherwise("INFO")

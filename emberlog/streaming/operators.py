@@ -31,8 +31,8 @@ def window_counts(stream: DataFrame, length: str = "1 hour", step: str = "5 minu
     return rows.groupBy("runnable", F.window("ts", length, step)).agg(*[F.sum(f"m_{n}").alias(n) for n in flags]).select("runnable", F.col("window.end").alias("window_end"), *flags)
 
 
-def throttle(stream: DataFrame, gap: int, watermark: str = WATERMARK) -> DataFrame:
-    """Detections (rule_id, runnable, epoch, seq, ts) that the cooldown of their rule and runnable lets through."""
+def throttle(stream: DataFrame, gap: int, watermark: str = WATERMARK, force: str | None = None) -> DataFrame:
+    """Detections (rule_id, runnable, epoch, seq, ts) that the cooldown of their rule and runnable lets through, and those with a true column `force`, which move the clock too."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -41,15 +41,16 @@ def throttle(stream: DataFrame, gap: int, watermark: str = WATERMARK) -> DataFra
         last = state.get[0] if state.exists else None
         rows = pd.concat(list(batches)).sort_values(["epoch", "seq"])
         kept = []
-        for e, s in zip(rows["epoch"], rows["seq"], strict=True):
-            if last is None or e - last >= gap:
+        for e, s, forced in zip(rows["epoch"], rows["seq"], rows["forced"], strict=True):
+            if forced or last is None or e - last >= gap:
                 last = int(e)
                 kept.append((key[0], key[1], int(e), int(s)))
         state.update((last,))
         state.setTimeoutTimestamp(max((last + gap) * 1000, state.getCurrentWatermarkMs()) + 1)
         yield pd.DataFrame(kept, columns=["rule_id", "runnable", "epoch", "seq"])
 
-    rows = stream.withWatermark("ts", watermark).select("rule_id", "runnable", "epoch", "seq", "ts")
+    forced = F.coalesce(F.col(force), F.lit(False)) if force else F.lit(False)
+    rows = stream.withWatermark("ts", watermark).select("rule_id", "runnable", "epoch", "seq", "ts", forced.alias("forced"))
     return rows.groupBy("rule_id", "runnable").applyInPandasWithState(step, "rule_id string, runnable string, epoch long, seq long", "last long", "append", GroupStateTimeout.EventTimeTimeout)
 
 

@@ -1,4 +1,4 @@
-"""Streaming operators with state and event-time timers: records of several lines, state sequences, missing follow-ups.
+"""Streaming operators with state and event-time timers: records of several lines, state sequences, missing follow-ups, closed windows.
 
 Rows later than the watermark are dropped by Spark. State stands in RocksDB, so it needn't fit in an executor's memory.
 """
@@ -6,10 +6,10 @@ Rows later than the watermark are dropped by Spark. State stands in RocksDB, so
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -195,3 +195,81 @@ def sequences(stream: DataFrame, catalogue: Catalogue, watermark: str = WATERMAR
     found = rows.groupBy("runnable").transformWithStateInPandas(Sequences(rules), "runnable string, rule_order int, epoch long, seq long, detected_epoch long", "append", "EventTime")
     told = F.create_map(*[x for k, r in rules for x in (F.lit(k), F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.severity).alias("severity")))])
     return found.withColumn("__r", told[F.col("rule_order")]).select("__r.rule_id", "rule_order", "__r.severity", "runnable", "epoch", "seq", "detected_epoch")
+
+
+class ClosedWindows(StatefulProcessor):
+    """Per runnable the sums of each step's bucket, those at exactly its grid point, and the distinct values of both."""
+
+    def __init__(self, names: list[str], length: int, step: int):
+        self.names, self.length, self.step = names, length, step
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", "buckets string, next long, lo long, hi long")
+
+    def close(self) -> None:
+        pass
+
+    def _emit(self, runnable: str, buckets: dict, next_: int | None, lo: int, hi: int, watermark: int) -> pd.DataFrame | None:
+        n, empty = len(self.names), {"b": None, "a": None, "v": [], "w": []}
+        t = lo // self.step * self.step + self.step if next_ is None else next_
+        out = []
+        while t * 1000 <= watermark and t <= hi:
+            inside = [buckets[x] for x in range(t - self.length + self.step, t + 1, self.step) if x in buckets]
+            edge = buckets.get(t - self.length, empty)
+            sums = [sum(x["b"][k] for x in inside) + (edge["a"][k] if edge["a"] else 0) for k in range(n)]
+            out.append((runnable, t, *sums, len({v for x in inside for v in x["v"]} | set(edge["w"]))))
+            t += self.step
+            next_ = t
+        kept = {x: v for x, v in buckets.items() if next_ is None or x >= next_ - self.length}
+        self.known.update((json.dumps(kept), next_, lo, hi))
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+        if t <= hi:
+            self.handle.registerTimer(max(t * 1000, watermark + 1))
+        return pd.DataFrame(out, columns=["runnable", "t", *self.names, "distinct_values"]) if out else None
+
+    def _state(self) -> tuple:
+        if not self.known.exists():
+            return {}, None, None, None
+        buckets, next_, lo, hi = self.known.get()
+        return {int(k): v for k, v in json.loads(buckets).items()}, next_, lo, hi
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        buckets, next_, lo, hi = self._state()
+        for frame in rows:
+            e = frame["epoch"].astype("int64")
+            lo, hi = min(int(e.min()), lo if lo is not None else int(e.min())), max(int(e.max()), hi if hi is not None else int(e.max()))
+            up = -(-e // self.step) * self.step
+            for t, mine in frame.groupby(up, sort=False):
+                on = mine[mine["epoch"] % self.step == 0]
+                was = buckets.setdefault(int(t), {"b": [0] * len(self.names), "a": [0] * len(self.names), "v": [], "w": []})
+                was["b"] = [x + int(mine[f"m_{m}"].sum()) for x, m in zip(was["b"], self.names, strict=True)]
+                was["a"] = [x + int(on[f"m_{m}"].sum()) for x, m in zip(was["a"], self.names, strict=True)]
+                was["v"], was["w"] = sorted({*was["v"], *mine["value"].dropna()}), sorted({*was["w"], *on["value"].dropna()})
+        found = self._emit(key[0], buckets, next_, lo, hi, timerValues.getCurrentWatermarkInMs())
+        if found is not None:
+            yield found
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.known.exists():
+            found = self._emit(key[0], *self._state(), timerValues.getCurrentWatermarkInMs())
+            if found is not None:
+                yield found
+
+
+def closed_windows(stream: DataFrame, measures: Mapping[str, Column], value: Column | None = None, length: int = 3600, step: int = 300, watermark: str = WATERMARK) -> DataFrame:
+    """(runnable, t, a count per measure, distinct_values): counts over closed windows [t - length, t] at every grid point, as the batch's GridWindows gives them.
+
+    The stream has runnable, epoch, ts and what the measures need; value's distinct values (not null) are counted exactly.
+    Rows may come in any order within the watermark. A grid point is given out once the watermark has passed it, up to
+    the last row seen. State is a row of sums, and its distinct values, a step of the window.
+    """
+    if length % step:
+        raise ValueError("the window's length has to be a multiple of the step")
+    _stateful(stream)
+    names = list(measures)
+    text = F.lit(None).cast("string") if value is None else value.cast("string")
+    rows = stream.withWatermark("ts", watermark).select("runnable", "epoch", "ts", text.alias("value"), *[F.coalesce(c.cast("long"), F.lit(0)).alias(f"m_{n}") for n, c in measures.items()])
+    schema = "runnable string, t long, " + ", ".join(f"`{n}` long" for n in [*names, "distinct_values"])
+    return rows.groupBy("runnable").transformWithStateInPandas(ClosedWindows(names, length, step), schema, "append", "EventTime")

@@ -258,7 +258,10 @@ def test_top_features_prefer_the_later(spark):
 
 def test_features_as_csv(spark, tmp_path):
     v = features.thinned(features.log_vectors(records(spark, random_records(60, 2))))
-    sinks.write_features(v, str(tmp_path / "f"), "csv")
+    told = sinks.write_features(v, str(tmp_path / "f"), "csv")
+    assert told == {"vectors": v.count(), "with_errors": v.where("error_count_1h > 0").count(), "with_infrastructure": 0, **v.selectExpr("min(t) AS first", "max(t) AS last").first().asDict()}
+    some = records(spark, random_records(60, 2))
+    assert sinks.write_records(some, str(tmp_path / "r"))["records"] == 60 == spark.read.parquet(str(tmp_path / "r")).count()
     got = sinks.read_features(spark, str(tmp_path / "f"))
     assert got.columns[:27] == list(sinks.COLUMNS) and got.count() == v.count() and got.where("heap_committed_mb <> -1").count() == 0
 
@@ -454,3 +457,13 @@ def test_percent_ranks(spark, buckets):
         mine = [w for k2, _, w in rows if k2 == k and w is not None]
         want = None if v is None else 100 - (sum(w < v for w in mine) + sum(w <= v for w in mine) + 1) * 50 / len(mine)
         assert got[i] == (want if want is None else pytest.approx(want))
+
+
+def test_json_fields(spark):
+    texts = {'{"k": 3}': 3, '{ "a":{"k": 9}, "k"   :  4}': 4, '{"a": "\\"k\\": 5"}': None, '{"k": "x"}': None, '{"k": 7, "z": [1, {"k": 8}]}': 7, "not json": None, "": None, '{"k":null}': None}
+    from emberlog.functions.text import json_field
+
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    assert {r.t: r.k for r in df.select("t", json_field(F.col("t"), "k", "int").alias("k")).collect()} == {**texts, None: None}
+    back = df.select(F.to_json(F.struct(json_field(F.col("t"), "k", "int").alias("k"), F.lit(1).alias("b"))).alias("j")).select(json_field(F.col("j"), "k", "int").alias("k")).collect()
+    assert sorted((r.k for r in back), key=repr) == sorted([*texts.values(), None], key=repr)

@@ -154,3 +154,39 @@ def test_sequences_and_missing_followups(spark, tmp_path, seed):
     # What the batch tells at the end of the stream is among it.
     ends = {(r.rule_id, r.runnable, r.epoch, r.seq) for r in detect.detect(spark.createDataFrame(moved, STATE), rules).collect() if r.runnable != "agent"}
     assert ends <= {(r.rule_id, r.runnable, r.epoch, r.seq) for r in got}
+
+
+@pytest.mark.parametrize("seed, length", [(0, 3600), (1, 600)])
+def test_closed_windows(spark, tmp_path, seed, length):
+    """Counts and distinct values at every grid point are the batch's, whatever the micro-batches and the order within the watermark."""
+    from datetime import datetime, timedelta
+
+    from emberlog.operators import windows
+
+    rng = random.Random(seed)
+    rows = [(rng.choice(["zoo_s", "ces_s"]), rng.choice(["ERROR", "INFO"]), rng.choice("abcd"), None, None, t, k) for k, t in enumerate(sorted(rng.choice([rng.randrange(9000), rng.randrange(30) * 300]) for _ in range(200)))]
+    rows = [(*r[:5], r[5] + 90_000, r[6], datetime(1970, 1, 1) + timedelta(seconds=r[5] + 90_000)) for r in rows]  # a stream drops what stands at 0
+    df = spark.createDataFrame(rows, STATE)
+    measures = {"error": F.col("level") == "ERROR", "every": F.lit(1)}
+    grid = windows.time_grid(df)
+    w = windows.GridWindows(df, grid, measures)
+    counts = {(r.runnable, r.t): (r.error, r.every) for r in w.select(error=w.count("error", length), every=w.count("every", length)).collect()}
+    distinct = {(r.runnable, r.t): r.n for r in windows.distinct_in_windows(df, F.col("message"), length).collect()}
+    moved = [rows[i] for i in sorted(range(len(rows)), key=lambda i: rows[i][5] + rng.randrange(300))]
+    moved.append(("agent", "INFO", "m", None, None, 10**6, 999, datetime(1970, 1, 1) + timedelta(seconds=10**6)))
+    stream = in_parts(spark, moved, STATE, str(tmp_path / "in"), sorted(rng.sample(range(1, len(moved)), 5)))
+    got = drained(spark, stateful.closed_windows(stream, measures, F.col("message"), length), tmp_path)
+    assert len(got) == len(counts)
+    assert {(r.runnable, r.t): (r.error, r.every) for r in got} == counts
+    assert all(r.distinct_values == distinct.get((r.runnable, r.t), 0) for r in got)
+
+
+def test_forced_throttle(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    rng = random.Random(4)
+    rows = [("r", rng.choice("ab"), t, k, rng.random() < 0.1, datetime(1970, 1, 1) + timedelta(seconds=t)) for k, t in enumerate(sorted(rng.randrange(2000) for _ in range(150)))]
+    schema = "rule_id string, runnable string, epoch long, seq long, urgent boolean, ts timestamp"
+    got = drained(spark, streaming.throttle(in_parts(spark, rows, schema, str(tmp_path / "in"), [40, 90]), 100, force="urgent"), tmp_path)
+    want = batch_throttle.throttle(spark.createDataFrame(rows, schema), ["rule_id", "runnable"], 100, force="urgent").where("kept").collect()
+    assert sorted(r.seq for r in got) == sorted(r.seq for r in want)
