@@ -34,7 +34,8 @@ ANY_PRODUCT = r"[A-Z]{4}"
 STATE_CHANGE = r"(?U)State change:\s*\w+\s*->\s*(\w+)"
 #: Runnables whose instances carry their name without the suffix as prefix.
 INSTANCES = ("arcm", "abs", "copernicus", "umcadmin", "adsadmin", "ces", "ecp", "dashboarding", "octopus", "simulation", "cloudsearch", "elastic", "zoo", "cdf", "apg", "loadbalancer")
-MARK = "\u0001"
+#: What stands between fields while they are taken apart, and what stands for it and for itself in a line that holds it.
+MARK, ESCAPE, OWN_MARK, OWN_ESCAPE = "\u0001", "\u0002", "\u0003", "\u0004"
 #: Lines of a file that are folded in one task.
 PIECE = 1 << 16
 
@@ -91,9 +92,8 @@ def new_state(message: Column, format_type: Column) -> Column:
 def parse_lines(lines: DataFrame, line: str = "line", tz_mode: str = "approx") -> DataFrame:
     """Adds parsed columns to lines: format_type (null for no record), ts, level, instance_id, tenant, session_id, request_id, thread, logger, message, content_runnable, duration_ms, end_ts, bad_time.
 
-    The format is one ladder of tests; a format's fields come out of one replacement each, group by group in lines that
-    hold the mark between fields themselves. A line whose time can't be
-    read, a 13th month say, has bad_time and counts as no record.
+    The format is one ladder of tests; its fields come out of one replacement, which puts a mark between them. A line whose
+    time can't be read, a 13th month say, has bad_time and counts as no record.
     """
     raw = F.regexp_replace(F.coalesce(F.col(line), F.lit("")), r"[\r\n]+$", "")
     inner = F.regexp_replace(raw, rf"(?sU)^(?:{WRAPPER})+", "")
@@ -102,12 +102,15 @@ def parse_lines(lines: DataFrame, line: str = "line", tz_mode: str = "approx") -
     for name in reversed(FORMATS):
         ladder = F.when(F.col("__in").rlike(FORMATS[name]), F.lit(name)).otherwise(ladder)
     base = base.withColumn("__f", ladder)
-    fields = F.array().cast("array<string>")
+    # Marks that a line holds itself stand for themselves by two others, which no pattern treats in another way.
+    holds = F.contains(F.col("__in"), F.lit(MARK)) | F.contains(F.col("__in"), F.lit(ESCAPE))
+    base = base.withColumn("__safe", F.when(holds, F.replace(F.replace("__in", F.lit(ESCAPE), F.lit(ESCAPE + OWN_ESCAPE)), F.lit(MARK), F.lit(ESCAPE + OWN_MARK))).otherwise(F.col("__in")))
+    fields = F.lit(None).cast("string")
     for name, pattern in FORMATS.items():
-        at_once = F.split(F.regexp_replace("__in", pattern, MARK.join(f"${k}" for k in range(1, FIELDS[name] + 1))), MARK)
-        one_by_one = F.array(*[F.regexp_extract("__in", pattern, k) for k in range(1, FIELDS[name] + 1)])
-        fields = F.when(F.col("__f") == name, F.when(F.contains(F.col("__in"), F.lit(MARK)), one_by_one).otherwise(at_once)).otherwise(fields)
-    base = base.withColumn("__x", fields)
+        fields = F.when(F.col("__f") == name, F.regexp_replace("__safe", pattern, MARK.join(f"${k}" for k in range(1, FIELDS[name] + 1)))).otherwise(fields)
+    base = base.withColumn("__x", F.split(fields, MARK))
+    plain = lambda c: F.replace(F.replace(c, F.lit(ESCAPE + OWN_MARK), F.lit(MARK)), F.lit(ESCAPE + OWN_ESCAPE), F.lit(ESCAPE))
+    base = base.withColumn("__x", F.when(F.col("__safe") != F.col("__in"), F.transform("__x", plain)).otherwise(F.col("__x")))
     x = lambda k: F.get("__x", F.lit(k))
     f = F.col("__f")
     one_space = lambda c: F.regexp_replace(c, r"\s+", " ")
@@ -148,7 +151,7 @@ def parse_lines(lines: DataFrame, line: str = "line", tz_mode: str = "approx") -
     }
     out = base.withColumns({n: F.when(ok, c) for n, c in columns.items()})
     kind = F.when(ok, F.when(F.col("__wrapped"), "WRAPPER").when(f.isin("PLAIN", "PLAIN_Z"), "PLAIN_TS").otherwise(f))
-    return out.withColumn("format_type", kind).drop("__raw", "__in", "__wrapped", "__f", "__x", "__local", "__end")
+    return out.withColumn("format_type", kind).drop("__raw", "__in", "__safe", "__wrapped", "__f", "__x", "__local", "__end")
 
 
 def line_kind(parsed: DataFrame, line: str = "line", product: str | None = None) -> tuple[Column, Column]:

@@ -16,8 +16,8 @@ HOURLY = 3600
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
     """Lines of documents as a log: a record begins with each line that starts with a capital letter."""
-    docs = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    return docs.select(F.col("doc_id"), (F.col("n") + 1).cast("long").alias("line_number"), "line")
+    docs = read(spark, d, "documents").select("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.md5("text")).alias("file"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    return docs.select("doc_id", "file", (F.col("n") + 1).cast("long").alias("line_number"), "line")
 
 
 def q_unstructured_class(spark: SparkSession, d: str) -> DataFrame:
@@ -54,11 +54,11 @@ def q_format_ladder(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_multiline_islands(spark: SparkSession, d: str) -> DataFrame:
-    lines = _lines(spark, d).where("doc_id IS NOT NULL")
+    lines = _lines(spark, d)
     start = F.col("line").rlike("^[A-Z]")
-    shaped = lines.select(F.col("doc_id").cast("string").alias("source_file"), "line_number", "line", F.when(start, "PLAIN_TS").alias("format_type"), F.when(start, F.col("line")).alias("message"), F.lit(False).alias("bad_time"))
+    shaped = lines.select("doc_id", F.col("file").alias("source_file"), "line_number", "line", F.when(start, "PLAIN_TS").alias("format_type"), F.when(start, F.col("line")).alias("message"), F.lit(False).alias("bad_time"))
     got = parse.fold_lines(shaped)
-    return got.select(F.col("source_file").cast("long").alias("doc_id"), "line_number", F.length("message").cast("long").alias("message_chars"), "has_stack_trace")
+    return got.select("doc_id", "line_number", F.length("message").cast("long").alias("message_chars"), "has_stack_trace")
 
 
 def q_dst_utc(spark: SparkSession, d: str) -> DataFrame:
@@ -223,7 +223,7 @@ def q_recall_curve(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 
-LINES = r"lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS n FROM documents)"
+LINES = r"lines AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), md5(text)) AS file, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS n FROM documents)"
 PREFIX = f"WITH {LOGS}, {VECTORS}"
 STAND_IN = "stand_in AS (SELECT *, -(error_count_1h + distinct_errors_5m * 2 + (t % 1000) / 1000.0::DOUBLE) AS score FROM vectors)"
 NORMAL = """bounds AS (SELECT quantile_cont(-score, 0.01) AS lo, quantile_cont(-score, 0.99) AS hi FROM stand_in),
@@ -248,9 +248,9 @@ ORACLE: dict[str, str] = {
     "q_multiline_islands": rf"""WITH {LINES}, k AS (SELECT *, regexp_matches(line, '^[A-Z]') AS start, regexp_replace(line, '^\s+|\s+$', '', 'g') AS x,
             regexp_matches(line, '^\s*$|^\s+(?:at\s|\.\.\.)|^\s*Caused by:\s|^[A-Za-z][\w.]*(?:Exception|Error|Throwable)[\s:]') AS stack FROM lines),
         c AS (SELECT *, NOT start AND NOT stack AND (starts_with(x, 'BUS-') OR NOT (regexp_matches(x, '^(DEBUG|EHLO|250|220|STARTTLS|RCPT|AUTH|MAIL FROM|354|DATA)') OR regexp_matches(x, '^(Date:|From:|Reply-To:|To:|Message-ID:|Subject:|MIME-|Content-|---)')
-            OR regexp_matches(x, '^[\s_/\\|()U"''>*=]+$|^[A-Z]{{4}} version|^Spring boot'))) AS more, sum(CAST(start AS INT)) OVER (PARTITION BY doc_id ORDER BY n) AS rid FROM k)
+            OR regexp_matches(x, '^[\s_/\\|()U"''>*=]+$|^[A-Z]{{4}} version|^Spring boot'))) AS more, sum(CAST(start AS INT)) OVER (PARTITION BY file ORDER BY n) AS rid FROM k)
         SELECT doc_id, min(n) FILTER (start) AS line_number, CAST(sum(CASE WHEN start THEN length(line) WHEN more THEN 1 + length(x) ELSE 0 END) AS BIGINT) AS message_chars,
-            coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT start AND stack), '') <> '' AS has_stack_trace FROM c WHERE rid > 0 GROUP BY doc_id, rid""",
+            coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT start AND stack), '') <> '' AS has_stack_trace FROM c WHERE rid > 0 GROUP BY doc_id, file, rid""",
     "q_dst_utc": f"""WITH {LOGS}, l AS (SELECT seq, make_timestamp((epoch + seq * 86400) * 1000000) AS x, epoch + seq * 86400 AS e FROM logs),
         s AS (SELECT *, CAST(last_day(x) AS DATE) - CAST(dayofweek(last_day(x)) AS INTEGER) AS sunday FROM l)
         SELECT seq, e - CASE WHEN month(x) BETWEEN 4 AND 9 OR (month(x) = 3 AND CAST(x AS DATE) >= sunday) OR (month(x) = 10 AND CAST(x AS DATE) < sunday) THEN 7200 ELSE 3600 END AS utc FROM s""",
