@@ -28,6 +28,8 @@ NOTICES = {
     "dedicated to the public domain": "public-domain",
     "all rights reserved": "proprietary",
 }
+#: The label of a notice that says no more than that rights are reserved.
+RESERVED = "proprietary"
 TAG = "spdx license identifier"
 TAG_SIGN = "spdx-license-identifier"
 AFTER_TAG = re.compile(r"[ \t]*:[ \t]*([^\r\n]+)")
@@ -148,9 +150,11 @@ def tag_automaton():
 
 
 def tagged(raw: bytes) -> list[str]:
-    """Expressions behind identifier tags, each up to the end of its line."""
+    """Expressions behind identifier tags, each up to the end of its line or to the next tag, so that every byte is read for one tag only."""
     signs = raw.translate(ASCII_LOWER).decode("latin-1")
-    found = (AFTER_TAG.match(signs, end + 1) for end, _ in tag_automaton().iter(signs))
+    ends = [end + 1 for end, _ in tag_automaton().iter(signs)]
+    stops = [end - len(TAG_SIGN) for end in ends[1:]] + [len(signs)]
+    found = (AFTER_TAG.match(signs, end, stop) for end, stop in zip(ends, stops, strict=False))
     return [raw[m.start(1) : m.end(1)].decode("utf-8", "replace") for m in found if m]
 
 
@@ -166,7 +170,10 @@ def scan(text: str) -> tuple:
     at = np.searchsorted(spaces, [start for start, _, _ in hits]).tolist() if hits else []
     base = [place for place, (_, kind, _) in zip(at, hits, strict=True) if kind == "phrase"]
     base_labels = sorted({label for _, kind, label in hits if kind == "phrase"})
-    labels, kinds, expressions, levels = {label for _, _, label in hits if label}, {(kind, label) for _, kind, label in hits}, [], []
+    labels = {label for _, _, label in hits if label}
+    if labels - {RESERVED}:  # beside a licence, reserved rights are a part of its notice
+        labels.discard(RESERVED)
+    kinds, expressions, levels = {(kind, label) for _, kind, label in hits}, [], []
     if any(kind == "tag" for _, kind, _ in hits):
         for expression in tagged(raw):
             try:

@@ -64,6 +64,24 @@ def test_long_license_expressions_are_read_whole():
     assert got[5] == "gpl,mit" and got[8] is False and len(got[7]) == 1
 
 
+def test_many_tags_on_a_line():
+    """Each tag has its own expression, and a text of tags alone takes time by its length."""
+    import time
+
+    kinds = ["MIT", "GPL-2.0-only OR Apache-2.0", "ISC AND BSD-3-Clause"]
+    got = license_scan.scan("code " + " ".join(f"SPDX-License-Identifier: {kinds[k % 3]}" for k in range(300)))
+    assert got[5] == "apache,bsd,gpl,isc,mit" and len(got[7]) == 300 and got[7][:2] == ["MIT", "GPL-2.0-only Apache-2.0 or"]
+    assert license_scan.scan("SPDX-License-Identifier: SPDX-License-Identifier: MIT\nSPDX-License-Identifier")[5] == "mit"
+    began = time.time()
+    assert len(license_scan.scan("SPDX-License-Identifier: MIT " * 40_000)[7]) == 40_000
+    assert time.time() - began < 20
+
+
+def test_reserved_rights_beside_a_licence():
+    assert license_scan.scan("Copyright, all rights reserved.")[5] == "proprietary"
+    assert license_scan.scan("All rights reserved. Redistribution and use in source and binary forms")[5] == "bsd"
+
+
 def test_quality_statistics():
     rng = random.Random(1)
     for _ in range(200):
