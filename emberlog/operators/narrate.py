@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import queue
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +14,8 @@ from emberlog.operators.throttle import throttle
 
 COOLDOWN_MINUTES = 15
 CONFIDENCE = 0.9
+#: Seconds that an external service has for an alert.
+SECONDS = 15
 #: Channels by severity; others are only logged.
 CHANNELS = {"P1": ("email", "sms", "teams"), "CRITICAL": ("email", "sms", "teams"), "HIGH": ("email", "teams"), "MEDIUM": ("email",)}
 #: Title and narrative by rule; {placeholders} are columns. Rules without an entry take the default.
@@ -66,14 +70,14 @@ def alert_stats(detections: DataFrame, cooldown_minutes: int = COOLDOWN_MINUTES)
     return flagged.groupBy("severity").agg(F.count("*").alias("detections"), F.count_if("kept").alias("alerts"), F.count_if(~F.col("kept")).alias("suppressed"))
 
 
-def narrate_external(detections: DataFrame, call: Callable[[str], str | None], schema: str = "title string, narrative string, suggested_action string, confidence double") -> DataFrame:
-    """Alerts whose text an external service writes: call(prompt) gives JSON or None; without a valid reply the template's text stays. Off unless called."""
+def narrate_external(detections: DataFrame, call: Callable[[str], str | None], schema: str = "title string, narrative string, suggested_action string, confidence double", seconds: float = SECONDS) -> DataFrame:
+    """Alerts whose text an external service writes: call(prompt) gives JSON or None; without a valid reply within so many seconds the template's text stays. Off unless called."""
     base = narrate(detections)
     prompt = F.concat_ws("\n", "rule_id", "severity", "runnable", "title", "narrative")
 
     def run(batches):
         for pdf in batches:
-            yield pdf.assign(reply=[_safe(call, p) for p in pdf["prompt"]])
+            yield pdf.assign(reply=[_safe(call, p, seconds) for p in pdf["prompt"]])
 
     asked = base.withColumn("prompt", prompt)
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in asked.schema] + [T.StructField("reply", T.StringType(), True)])
@@ -83,8 +87,18 @@ def narrate_external(detections: DataFrame, call: Callable[[str], str | None], s
     return r.withColumns({"title": F.when(has, F.col("__r.title")).otherwise(F.col("title")), "narrative": F.when(has, F.col("__r.narrative")).otherwise(F.col("narrative")), "confidence": F.when(has, F.coalesce("__r.confidence", F.lit(0.7))).otherwise(F.col("confidence"))}).drop("__r", "prompt", "reply")
 
 
-def _safe(call: Callable[[str], str | None], prompt: str) -> str | None:
+def _safe(call: Callable[[str], str | None], prompt: str, seconds: float) -> str | None:
+    """What call gives, None if it fails or takes longer; a call that hangs is left to itself."""
+    box: queue.SimpleQueue = queue.SimpleQueue()
+
+    def ask() -> None:
+        try:
+            box.put(call(prompt))
+        except Exception:  # a service that fails must not stop alerts
+            box.put(None)
+
+    threading.Thread(target=ask, daemon=True).start()
     try:
-        return call(prompt)
-    except Exception:  # a service that fails must not stop alerts
+        return box.get(timeout=seconds)
+    except queue.Empty:
         return None

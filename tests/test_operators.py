@@ -467,3 +467,17 @@ def test_json_fields(spark):
     assert {r.t: r.k for r in df.select("t", json_field(F.col("t"), "k", "int").alias("k")).collect()} == {**texts, None: None}
     back = df.select(F.to_json(F.struct(json_field(F.col("t"), "k", "int").alias("k"), F.lit(1).alias("b"))).alias("j")).select(json_field(F.col("j"), "k", "int").alias("k")).collect()
     assert sorted((r.k for r in back), key=repr) == sorted([*texts.values(), None], key=repr)
+
+
+def test_a_service_that_hangs_keeps_no_alert(spark):
+    df = spark.createDataFrame([("C01", "arcm_s", "P1", 0, 0, 7), ("X", "zoo_s", "LOW", 0, 1, 1)], "rule_id string, runnable string, severity string, epoch long, seq long, match_count long")
+
+    def call(prompt):
+        if "C01" in prompt:
+            import time
+
+            time.sleep(30)
+        return '{"title": "T", "narrative": "N"}'
+
+    got = {r.rule_id: r.title for r in narrate.narrate_external(df, call, seconds=0.5).collect()}
+    assert got["X"] == "T" and got["C01"].endswith("arcm_s")

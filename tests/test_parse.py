@@ -156,3 +156,11 @@ def test_names_of_product_and_wrapper_reach_the_reader(spark, tmp_path):
     assert logs.discover(spark, str(tmp_path), "other.log").first().log_family == "UNKNOWN"
     lines = logs.read_lines(spark, str(tmp_path))
     assert parse.records(lines).first().message == "m" and parse.records(lines, product="ABCD").first().message == "m\nWXYZ version 7"
+
+
+def test_lines_that_hold_the_marks_between_fields(spark):
+    one, two, three, four = "\x01", "\x02", "\x03", "\x04"
+    odd = f"a{one}b{two}c{one}{three}{two}{four}{two}{three}"
+    texts = [f"2024-01-02T03:04:05,006|ERROR|{odd}|default|| r1 |t-1|Pool - m {odd}", "2024-01-02T03:04:05,006|ERROR|x|default|| r1 |t-1|Pool - m"]
+    got = parse.parse_lines(lines_of(spark, *texts)).orderBy("line_number").collect()
+    assert (got[0].instance_id, got[0].tenant, got[0].logger, got[0].message) == (odd, "default", "Pool", f"m {odd}") and got[1].message == "m"
