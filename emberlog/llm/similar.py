@@ -173,8 +173,22 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return _joined(rows, common.checkpoint(buckets), ["k"])
 
 
-def _crossed(rows: DataFrame, sets: DataFrame, level: int, similarity: float) -> DataFrame:
+def _starred(shared: DataFrame, marks: DataFrame, sets: DataFrame, level: int, similarity: float) -> DataFrame:
+    """Verified edges between members of buckets and their bucket's leader, the member with most company over all its buckets."""
+    company = common.checkpoint(shared.groupBy("item").agg(F.sum("n").alias("company")))
+    met = _joined(shared.select("item", "c", "size", "k"), company, ["item"])
+    leaders = common.checkpoint(met.groupBy("k").agg(F.max(F.struct("company", "item", "c", "size")).alias("leader")).select("k", "leader.item", "leader.c", "leader.size"))
+    leaders = leaders.select("k", F.col("item").alias("y"), F.col("c").alias("b"), F.col("size").alias("ny"))
+    stars = _joined(shared.select(F.col("item").alias("x"), F.col("c").alias("a"), F.col("size").alias("nx"), "k"), leaders, ["k"])
+    stars = stars.where("a <> b").where(_near_in_size("nx", "ny", similarity)).groupBy("x", "y").agg(F.min("a").alias("a"), F.min("b").alias("b"))
+    for i in "xy":  # a pair of a member and a leader meets their marks once, whatever the number of buckets that they share
+        stars = _joined(stars, marks.select(F.col("item").alias(i), F.col("marks").alias("s" + i)), [i])
+    return _verified(stars.where(_likely(level, similarity)), sets, similarity)
+
+
+def _crossed(rows: DataFrame, marks: DataFrame, sets: DataFrame, level: int, similarity: float) -> DataFrame:
     """Verified edges between the classes of each bucket; members of its largest class aren't compared with each other."""
+    rows = _joined(rows.select("k", "most", "item", "c", "size"), marks, ["item"])
     one, two = (rows.select("k", "most", F.col("item").alias(i), F.col("c").alias(c), F.col("size").alias("n" + i), F.col("marks").alias("s" + i)) for i, c in (("x", "a"), ("y", "b")))
     pairs = one.where("a <> most").join(two.drop("most"), "k").where("a <> b AND (b = most OR x > y)").where(_near_in_size("nx", "ny", similarity)).where(_likely(level, similarity))
     return _verified(pairs, sets, similarity)
@@ -189,36 +203,32 @@ def merge_similar(items: DataFrame, texts: DataFrame, similarity: float = 0.8, s
     common original. Then buckets that still have more than one class are compared across classes pair by pair, if that
     takes at most PAIRS_A_ROW pairs a row. Members of others get bands anew, of more min-hashes and so many more bands
     that a pair just at the similarity still meets with a probability of 1 - MISSED; so on until none is left. Rows of a
-    level are members times its bands. A pair goes by marks, bits of its min-hashes, within the join; whole sets are fetched only for
-    pairs that these don't rule out.
+    level are members times its bands, and hold neither texts nor marks. A pair goes by marks, bits of its min-hashes, which meet
+    it within the join; whole sets are fetched only for pairs that these don't rule out. Shuffles of steps that are done
+    are let go at each level.
     """
     rows = items.select("item", "c", "size", F.explode(sketch_bands()).alias("k"))
-    shared = common.checkpoint(_mixed(rows))
+    spark = items.sparkSession
+    shared = common.written(_mixed(rows), "shared")
     needed = common.checkpoint(_joined(items.select("item", "doc_id", "mark"), common.checkpoint(shared.select("item").distinct()), ["item"], "left_semi"))
-    sets = common.checkpoint(_hashes(needed, texts, shingle))
+    sets = common.written(_hashes(needed, texts, shingle), "sets")
     edges = None
     level = 0
     marks = common.checkpoint(_marks(sets, level))
     while True:
-        shared = _joined(shared.select("item", "c", "size", "k", "n"), marks, ["item"])
-        company = shared.groupBy("item").agg(F.sum("n").alias("company"))
-        met = common.checkpoint(shared.join(company, "item"))
-        leaders = met.groupBy("k").agg(F.max(F.struct("company", "item", "c", "size", "marks")).alias("leader"))
-        stars = met.join(leaders, "k").where("c <> leader.c").where(_near_in_size("size", "leader.size", similarity))
-        stars = stars.select(F.col("item").alias("x"), F.col("leader.item").alias("y"), F.col("c").alias("a"), F.col("leader.c").alias("b"), F.col("marks").alias("sx"), F.col("leader.marks").alias("sy"))
-        star_edges = _verified(stars.where(_likely(level, similarity)), sets, similarity)
-        edges = star_edges if edges is None else edges.union(star_edges)
-        left = met.where("n > 2").select("item", "c", "size", "marks", "k")
+        edges = _starred(shared, marks, sets, level, similarity) if edges is None else edges.union(_starred(shared, marks, sets, level, similarity))
+        left = shared.where("n > 2").select("item", "c", "size", "k")
         for labels in (_two_steps, connected_components):  # what small buckets link thins out the large ones
+            common.release(spark)
             now = common.checkpoint(labels(edges).select(F.col("node").alias("c"), F.col("component").alias("now")))
-            left = common.checkpoint(_mixed(_joined(left, now, ["c"], "left").withColumn("c", F.coalesce("now", "c")).drop("now")))
-            edges = edges.union(_crossed(left.where(F.col("pairs") <= PAIRS_A_ROW), sets, level, similarity))
-            left = left.where(F.col("pairs") > PAIRS_A_ROW).select("item", "c", "size", "marks", "k")
+            left = common.written(_mixed(_joined(left, now, ["c"], "left").withColumn("c", F.coalesce("now", "c")).drop("now")), "left")
+            edges = edges.union(_crossed(left.where(F.col("pairs") <= PAIRS_A_ROW), marks, sets, level, similarity))
+            left = left.where(F.col("pairs") > PAIRS_A_ROW).select("item", "c", "size", "k")
             if left.isEmpty():
                 return edges
         deep = common.checkpoint(left.groupBy("item").agg(F.min(F.struct("c", "size")).alias("r")).select("item", "r.*"))
         level += 1
-        shared = common.checkpoint(_mixed(_rebanded(deep, sets, level, similarity)))
+        shared = common.written(_mixed(_rebanded(deep, sets, level, similarity)), "shared")
         marks = common.checkpoint(_marks(_joined(sets, common.checkpoint(shared.select("item").distinct()), ["item"], "left_semi"), level))
 
 
