@@ -4,8 +4,9 @@ A page's tokens are its elements, told apart by their path of names and classes,
 and words. The occurrence vector of a token over the pages of a host says how often each page has it. Tokens with equal
 vectors form a class; the class that every page has once is the template's skeleton, nested by paths. Runs of text in it
 are the template's own words. What is left between is the pages' own text, in slots. The main slot is the innermost
-element of the skeleton that holds most of it; of an article around it the whole is taken. Word lists only tell what stands
-apart inside the slot, such as comments and adverts, and what a single page without a template of its host holds.
+element of the skeleton that holds most of it; of an article around it the whole is taken, less the template's own words in
+it. Word lists only tell what stands apart inside the slot, such as comments and adverts, and what a single page without a
+template of its host holds.
 
 No host's pages are gathered anywhere. A vector is known by sums of hashes of (page, count), which tasks add up before
 the shuffle; a template's slot is a short row, which goes to the pages, so that large hosts' pages aren't shuffled.
@@ -44,15 +45,19 @@ RAW = frozenset("script style textarea title xmp noscript iframe template".split
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements that never hold article text.
 APART = frozenset("nav footer aside form script style noscript template iframe head title button select option textarea input dialog menu svg canvas object audio video".split())
-#: Words of class, id and role that mark what isn't article text.
+#: Parts of class, id and role that mark what isn't article text, whatever stands beside them.
 APART_WORDS = frozenset(
-    "ad ads advert advertisement advertising adsbygoogle banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar sidebars aside widget rail footer masthead "
-    "notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login alert toast comment comments commentlist respond disqus replies reactions share sharing social related recommended toolbar search form complementary contentinfo".split()
+    "ad ads advert adverts advertisement advertisements advertising adsbygoogle banner sponsor sponsored promo nav navbar navigation breadcrumb breadcrumbs pagination pager sidebar sidebars footer masthead "
+    "cookie cookies consent gdpr popup modal newsletter subscribe signup login comment comments commentlist respond disqus replies toolbar complementary contentinfo".split()
 )
+#: Parts that mark it if they stand alone or beside words of layout only; an article may be on social science or related work.
+WEAK_WORDS = frozenset("menu aside widget rail promotion notice notices overlay alert toast reactions share sharing social related recommended search form".split())
+LAYOUT_WORDS = frozenset("area articles bar block bottom box button buttons center container content field group header icon icons inner input item items left links list main media message module more news outer panel post posts reading right row section site stories story tools top widget wrap wrapper".split())
+#: Beside these a mark tells of the layout around an article: with-sidebar, no-comments, content-sidebar-wrap.
+AROUND_WORDS = frozenset("has no with without".split())
+COLUMN_WORDS = frozenset("nav rail sidebar sidebars".split())
 #: Elements that are never apart by their attributes.
 WHOLE = frozenset("html body main article".split())
-#: Beside one of these, such a word only tells of the layout.
-CONTENT_WORDS = frozenset("article body content entry main post story text".split())
 #: Opening one of these closes an open paragraph.
 CLOSES_P = BLOCKS - {"body", "html", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend", "summary"} | {"p"}
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -87,11 +92,19 @@ def hints(attributes: str) -> tuple[str, bool]:
         if words and not first and kind in ("class", "id"):
             name = re.sub(r"\d+", "0", words[0]).replace("/", ":").replace("~", "-")
             first = ("." if kind == "class" else "#") + (name if len(name) <= LONGEST else name[:LONGEST] + short(name))
-        parts = {w for x in words for w in re.split(r"[-_]+", x)}
-        apart = apart or bool(parts & APART_WORDS and not parts & CONTENT_WORDS)
+        apart = apart or any(map(marks_apart, words))
     return first, apart
 
 
+def marks_apart(word: str) -> bool:
+    """Whether a class, an id or a role says that its element holds no article text."""
+    parts = {x for x in re.split(r"[-_]+|(?<=[a-z])\d+", word) if x}
+    marks = parts & APART_WORDS
+    if parts & AROUND_WORDS or (marks and marks <= COLUMN_WORDS and {"content", "main"} & parts and {"wrap", "wrapper"} & parts):
+        return False
+    return bool(marks or (parts & WEAK_WORDS and parts <= WEAK_WORDS | LAYOUT_WORDS))
+
+
 def walk(page: str, slot: str | None = None) -> Iterator[tuple[str, Element | None, str]]:
     """(kind, element, text) in page order: open and close of elements, text with the element it stands in, void for elements without content.
 
@@ -233,10 +246,9 @@ def article_of(template: list[tuple[str, int | None, bool, float]], total: float
     for name in ("article", "main"):
         around = [x for x in ancestors(slot or "") if re.search(rf"/{name}[^/]*$", x)]
         named = [t for t in elements if t[2] > 0 and re.search(rf"/{name}[^/]*$", t[0])]
-        if around:
-            return around[-1], []
-        if named:
-            return max(named, key=lambda t: (t[2], -t[0].count("/"), t[0]))[0], []
+        if around or named:
+            slot = around[-1] if around else max(named, key=lambda t: (t[2], -t[0].count("/"), t[0]))[0]
+            break
     return slot, [run for path, run, _, _ in words if slot is not None and (path == slot or path.startswith(slot + "/"))]
 
 

@@ -13,16 +13,21 @@ SALTS = 16
 ANCHOR = 16
 #: A part of a message of another conversation counts only with so many words; fewer are said by chance.
 FEW = 5
+#: A line that tells whose words the quote below it gives, up to its colon; English, German, French, Spanish and Italian.
+ATTRIBUTION = r"(?:on [^\n]*\bwrote|am [^\n]*\bschrieb[^\n:]*|le [^\n]*\ba écrit|el [^\n]*\bescribió|il [^\n]*\bha scritto)"
+#: What stands for words that a quote leaves out.
+ELISION = r"\[[ \t]*(?:\.{3}|…)[ \t]*\]"
 #: Numbers of first words that anchors may have: the greatest that a unit reaches is taken.
 ANCHORS = (1, 2, 4, 8, ANCHOR)
 
 
 def levelled(text: Column) -> Column:
-    """The text with each quoted line's marks as >>> and nothing between."""
+    """The text with each quoted line's marks as >>> and nothing between; a line that only says who wrote the quote right below it is left out."""
     lines = F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
     bare = F.regexp_replace(lines, r"(?md)^[ \t]+(?=>)", "")
     # A blank between two marks belongs to them; marks are followed from the line's start, one by one, however many there are.
-    return F.when(F.contains(text, F.lit(">")), F.regexp_replace(bare, r"(?md)(?:^|\G(?!^))>[ \t]?(?=>)", ">")).otherwise(lines)
+    marked = F.regexp_replace(bare, r"(?md)(?:^|\G(?!^))>[ \t]?(?=>)", ">")
+    return F.when(F.contains(text, F.lit(">")), F.regexp_replace(marked, rf"(?mdiu)^(>*)[ \t]*{ATTRIBUTION}[ \t]*:[ \t]*\n(?:\1[ \t]*\n)?(?=\1>)", "")).otherwise(lines)
 
 
 def normal(passage: Column) -> Column:
@@ -50,8 +55,9 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
     A passage is a run of lines of one level; it comes from the message whose own text, paragraph or line is the same in
     lower case and with white space as one space: the earliest one in the same conversation before the quoting message,
-    else the earliest one of all conversations with lesser ids. Else it comes from the message that all its paragraphs,
-    or all its lines, come from in this way. Else the same holds with any run of whole words of a message's own text, of
+    else the earliest one of all conversations with lesser ids; fewer than FEW words only if a single other conversation
+    has them. Else it comes from the message that all its paragraphs,
+    or all its lines, or the pieces between its elisions, such as [...], come from in this way. Else the same holds with any run of whole words of a message's own text, of
     another conversation only if it has at least FEW words. Null texts are empty; rows with
     a null conversation or turn are kept but neither quote nor are quoted; rows with equal conversation and turn are one
     message for linking; an empty table gives none; other columns are left out. Candidates are minima by hash, so no
@@ -104,7 +110,8 @@ def _passages(rows: DataFrame) -> DataFrame:
     texts = texts.select("conv_id", "turn", "level", "text", normal(F.col("text")).alias("p")).where("p != ''")
     texts = texts.groupBy("conv_id", "turn", "level", F.xxhash64("p").alias("q")).agg(F.min("text").alias("text"))
     units = lambda pattern: F.array_distinct(F.filter(F.transform(F.split("text", pattern), normal), lambda p: p != ""))
-    kinds = F.array(F.array(normal(F.col("text"))), units(r"(?md)^>+[ \t]*$"), units("\n"))
+    elided = F.when(F.col("text").rlike(ELISION), units(ELISION)).otherwise(F.array().cast("array<string>"))
+    kinds = F.array(F.array(normal(F.col("text"))), units(r"(?md)^>+[ \t]*$"), units("\n"), elided)
     each = texts.select("conv_id", "turn", "level", "q", F.posexplode(kinds).alias("kind", "ps")).where("kind = 0 OR size(ps) > 1").select("conv_id", "turn", "level", "q", "kind", F.explode("ps").alias("p"))
     w = word_hashes(F.col("p"))
     each = each.select("conv_id", "turn", "level", "q", "kind", F.xxhash64("p").alias("h"), w.alias("w")).withColumn("n", F.size("w"))
@@ -113,15 +120,16 @@ def _passages(rows: DataFrame) -> DataFrame:
 
 
 def _sources(quoted: DataFrame, first: DataFrame, key: str) -> DataFrame:
-    """quoted with source, the message that a unit comes from: the earliest in the conversation, else of those with lesser ids. first has a row per hash and conversation."""
+    """quoted with source, the message that a unit comes from: the earliest in the conversation, else of those with lesser ids; of few words only if one other conversation alone has them. first has a row per hash and conversation."""
     first = first.withColumnRenamed("h", key)
     inside = first.select(key, "conv_id", F.col("turn").alias("own_turn"))
-    outside = first.groupBy(key).agg(F.min(F.struct("conv_id", "turn")).alias("o")).select(key, "o", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    outside = first.groupBy(key).agg(F.min(F.struct("conv_id", "turn")).alias("o"), F.count("*").alias("convs")).select(key, "o", "convs", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salted = quoted.withColumn("salt", F.pmod(F.xxhash64("conv_id", "turn"), F.lit(SALTS)).cast("int"))
     met = salted.join(inside, [key, "conv_id"], "left").join(outside, [key, "salt"], "left")
     local = F.when(F.col("own_turn") < F.col("turn"), F.struct(F.col("conv_id").alias("conv_id"), F.col("own_turn").alias("turn")))
-    source = F.coalesce(local, F.when(F.col("o.conv_id") < F.col("conv_id"), F.col("o")))
-    return met.withColumn("source", source).drop("own_turn", "o", "salt")
+    told = (F.col("n") >= FEW) | (F.col("convs") - F.col("own_turn").isNotNull().cast("int") == 1)
+    source = F.coalesce(local, F.when((F.col("o.conv_id") < F.col("conv_id")) & told, F.col("o")))
+    return met.withColumn("source", source).drop("own_turn", "o", "convs", "salt")
 
 
 def _agreed(units: DataFrame) -> DataFrame:

@@ -577,3 +577,33 @@ def test_quote_marks(spark):
     got = {r.turn: r for r in quote_links.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
     assert got[1].text == "Own" and got[1].n_quotes == 1 and got[2].max_level == 200 and got[2].n_quotes == 2 and got[2].text == "after > this"
     assert got[3].text == "a > b" and got[3].max_level == 2 and got[3].n_linked == 1
+
+
+def test_quotes_of_few_words_attributions_and_elisions(spark):
+    rows = [
+        (1, 0, "u", "thanks"), (2, 0, "u", "thanks"), (3, 0, "u", "> thanks\nHm"), (4, 0, "u", "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu."),
+        (4, 1, "a", "On Monday Bob wrote:\n> Alpha beta gamma [...] kappa lambda mu.\n\nYes"), (4, 2, "u", "Am 3. Mai schrieb Eva:\n> On Monday Bob wrote:\n>> Alpha beta gamma delta\n> Yes\nOn the way I wrote:\nnothing"),
+        (4, 3, "a", "> Alpha beta [...] omega"), (5, 0, "u", "> Alpha beta gamma delta epsilon […] theta iota kappa lambda mu."),
+    ]
+    got = {(r.conv_id, r.turn): r for r in quote_links.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[(3, 0)].n_quotes == 1 and got[(3, 0)].n_linked == 0 and got[(4, 3)].n_linked == 0
+    assert got[(4, 1)].text == "Yes" and (got[(4, 1)].parent_conv, got[(4, 1)].parent_turn) == (4, 0)
+    assert got[(4, 2)].text == "On the way I wrote:\nnothing" and got[(4, 2)].n_quotes == got[(4, 2)].n_linked == 2 and got[(4, 2)].parent_turn == 1
+    assert (got[(5, 0)].parent_conv, got[(5, 0)].parent_turn) == (4, 0)
+
+
+@pytest.mark.parametrize("name", ["article", "main", "div"])
+def test_html_template_within_articles(spark, name):
+    """Words of the template go inside articles too; so do comments, footers and adverts, whatever stands beside these words, and no article on social science."""
+    page = f"<html><body><div class='site-menu'>Menu</div><{name} id='a'><h1>Story {{0}}</h1><p>{{1}}</p><div class='social-science'>An essay {{0}}</div><div class='related-work'>Work {{0}}</div><p>Read more from our partners site</p>"
+    page += f"<div class='post-comments'>Comment {{0}}</div><div class='article-footer'>Foot {{0}}</div><div class='content-ads'>Buy {{0}}</div><div class='related-story'>Other {{0}}</div></{name}></body></html>"
+    words = lambda k: " ".join(f"w{k}x{n}" for n in range(60))
+    df = spark.createDataFrame([(k, f"http://h/{k}", page.format(k, words(k))) for k in range(5)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(df).collect()}
+    assert got == {k: f"Story {k}\n{words(k)}\nAn essay {k}\nWork {k}" for k in range(5)}
+
+
+def test_html_marks():
+    apart = "comments post-comments comment12 article-footer content-ads related-story share-buttons sidebar sidebar-wrap widget search-box".split()
+    kept = "social-science related-work has-sidebar no-comments content-sidebar-wrap main-content entry story-body blog-widget advanced shared-values".split()
+    assert all(map(html_extract.marks_apart, apart)) and not any(map(html_extract.marks_apart, kept))
