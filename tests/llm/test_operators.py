@@ -313,9 +313,9 @@ def test_decontamination(spark):
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, item long, h int")
     for bound in (decontaminate.IN_SCAN, 3):
         got = {r.doc_id: (r.item, r.changed) for r in decontaminate.matches(df, benchmark, in_scan=bound).collect()}
-        assert got[1] == (1, False) and got[2] == (1, True) and not set(got) & {3, 4, 5, 8, 10}
+        assert got[1] == (1, False) and got[2] == (1, True) and got[8] == (5, False) and not set(got) & {3, 4, 5, 10}
     kept = decontaminate.keep_clean(df, benchmark)
-    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} >= {3, 4, 5, 8, 10} and not {1, 2} & {r.doc_id for r in kept.collect()}
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} >= {3, 4, 5, 10} and not {1, 2, 8} & {r.doc_id for r in kept.collect()}
     assert decontaminate.contamination(df, benchmark.where("false")).count() == 0 and decontaminate.contamination(empty(df), benchmark).count() == 0
 
 
@@ -329,7 +329,33 @@ def test_copies_in_other_case_or_lines_are_found(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for bound in (decontaminate.IN_SCAN, 3):
         got = {(r.doc_id, r.item, r.changed) for r in decontaminate.matches(df, benchmark, in_scan=bound).collect()}
-        assert got == {*((k, 1, False) for k in range(5)), (5, 2, False), (6, 3, False), (7, 4, False), (11, 1, False)}
+        assert got == {*((k, 1, False) for k in range(5)), (5, 2, False), (6, 3, False), (7, 4, False), (8, 5, False), (11, 1, False)}
+
+
+def test_items_of_other_scripts_and_of_numbers(spark):
+    """Unspaced scripts, formulas and rows of numbers, with what must stay clean beside them."""
+    items = ["东京是日本的首都吗", "2 + 2 = 4", "首都", "42", "3, 5, 7, 11", "何時に起きますか", "???", "7 * 8"]
+    texts = ["他问:东京是日本的首都吗?", "We know that 2+2 = 4, surely.", "日本的首都", "there are 42 of them", "the primes 3, 5, 7, 11 and so on", "首都", "42", "What ???", "12 + 2 = 4 is wrong", "大阪是日本的城市", "明日は何時に起きますか。", "7*8", "3, 5, 7, 11, 13", "2 2 4", "7 * 8 = 56"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for bound in (decontaminate.IN_SCAN, 3):
+        got = {(r.doc_id, r.item) for r in decontaminate.matches(df, benchmark, in_scan=bound).collect()}
+        assert got == {(0, 0), (1, 1), (4, 4), (5, 2), (6, 3), (10, 5), (11, 7)}
+
+
+def test_names_at_beginnings_are_slots(spark):
+    item = "Alice has 30 apples and gives 12 of them to the old man, so how many does Alice have left?"
+    twice = "Nobody knew. " + item + " Alice went home after that and slept until noon on the next day."
+    carol = item.replace("Alice", "Carol").replace("30", "50")
+    texts = [carol, carol.replace("does Carol", "does Erin"), item, "They say Carol" + carol[5:], "x. " + carol, item.lower(), twice.replace("Alice", "Carol"), twice.replace("Alice went", "Bob went").replace("Alice has", "Carol has").replace("does Alice", "does Erin")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for bound in (decontaminate.IN_SCAN, 3):
+        for text, want in ((item, {(0, True), (2, False), (3, True), (4, True), (5, False), (6, True)}), (twice, {(6, True)})):
+            benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
+            assert {(r.doc_id, r.changed) for r in decontaminate.matches(df, benchmark, in_scan=bound).collect()} == want
+    other = spark.createDataFrame([(1, "What is the capital of Spain")], "item_id long, text string")
+    asked = spark.createDataFrame([(1, "Where is the capital of Spain"), (2, "What is the capital of Spain")], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.matches(asked, other).collect()] == [2]
 
 
 def test_slots_must_be_consistent(spark):
