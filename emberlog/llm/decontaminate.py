@@ -20,41 +20,46 @@ NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
 BEGINS = "\u0004"
 #: Longs of the table of bits that the scan looks windows up in.
 BITS = 1 << 14
-#: Characters of scripts that put no spaces between words; each is a word of its own.
-UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+#: Characters of scripts that put no spaces between words (Chinese, Japanese, Thai, Lao, Burmese, Khmer); each is a word of its own.
+UNSPACED = r"\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
 UNITS = "km|kg|cm|mm|mg|ml|kwh|mph|kph|hz|khz|mhz|ghz|kb|mb|gb|tb|usd|eur|gbp|m|g|l|s|h|percent|dollars?|euros?|pounds?|cents?|meters?|metres?|miles?|feet|inches|grams?|liters?|litres?|seconds?|minutes?|hours?|days?|weeks?|months?|years?|degrees?"
-#: A capitalised word within a sentence; the start of a text, line or sentence doesn't tell names.
-A_NAME = r"(?<=[\p{L}\p{N},;)] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
 #: Loops only over sets of characters: Java's loops over groups take stack for each turn, which long texts exhaust.
 A_NUMBER = r"\p{Nd}(?:[\p{Nd}.,:/]*\p{Nd})?"
-BEGINNING = r"(?<![\p{L}\p{N}])(?=\p{Lu}\p{Ll}+(?![\p{L}\p{N}]))"
+#: A word: a capitalised one within a sentence (with the space before it, by which it's told), letters with or without a number, a number.
+TOKEN = rf" (?<=[\p{{L}}\p{{N}},;)] )\p{{Lu}}\p{{Ll}}+(?![\p{{L}}\p{{N}}])|\p{{L}}+(?:{A_NUMBER})?|{A_NUMBER}"
 #: Numbers and signs between letters.
 FORMULA = r"\p{Nd}[^\p{L}]*"
-SEPARATORS = r"[^\p{L}\p{Nd}.,:/]+|(?<![\p{Nd}.,:/])[.,:/]+|[.,:/]+(?![\p{Nd}.,:/])"
 
 
-def spaced(text: Column) -> Column:
-    """A text without our own marks, with characters of unspaced scripts set apart."""
-    return F.regexp_replace(F.regexp_replace(text, f"[{NUMBER}{NAME}{UNIT}{BEGINS}]", " "), f"[{UNSPACED}]", " $0 ")
+def tokens(text: Column) -> Column:
+    """A text's words as they are written, names within sentences with the space before them."""
+    apart = F.when(F.octet_length(text) == F.length(text), text).otherwise(F.regexp_replace(text, f"[{UNSPACED}]", " $0 "))
+    return F.regexp_extract_all(apart, F.lit(TOKEN), F.lit(0))
 
 
-def template(text: Column) -> Column:
-    """Lower-case words of a spaced text in one line, with placeholders for numbers, for units after numbers and for names.
+def template(words: Column) -> Column:
+    """Lower-case words with placeholders for numbers, for units after numbers and for names.
 
     Capitalised words at a beginning may be names or not; they are marked by BEGINS.
     """
-    t = F.regexp_replace(text, A_NAME, NAME)
-    t = F.regexp_replace(t, BEGINNING, BEGINS)
-    t = F.regexp_replace(t, A_NUMBER, NUMBER)
-    t = F.regexp_replace(t, rf"(?i){NUMBER}\s?(?:{UNITS})(?![\p{{L}}\p{{Nd}}])", f"{NUMBER} {UNIT}")
-    t = F.regexp_replace(t, rf"{NUMBER}(?=\p{{L}})", f"{NUMBER} ")
-    return F.trim(F.regexp_replace(F.lower(t), rf"[^\p{{L}}\p{{Nd}}{NUMBER}{NAME}{UNIT}{BEGINS}]+", " "))
 
+    def numbered(x: Column) -> Column:
+        """Whether a word ends in a digit; other digits than ASCII's come after all of its characters."""
+        last = F.substring(x, -1, 1)
+        return (last < "A") | ((last >= "\u0660") & x.rlike(r"\p{Nd}$"))
 
-def plain(text: Column) -> Column:
-    """The same words without placeholders, at the same places."""
-    t = F.regexp_replace(text, r"(?<=\p{Nd})(?=\p{L})", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(t), SEPARATORS, " "), " {2,}", " "))
+    def placeholder(x: Column, i: Column) -> Column:
+        low = F.lower(x)
+        unit = (i > 0) & numbered(F.get(words, i - 1)) & low.rlike(f"^(?:{UNITS})$")
+        begins = (low != x) & x.rlike(r"^\p{Lu}\p{Ll}+$")
+        return F.when(x.startswith(" "), NAME).when(numbered(x), F.regexp_replace(low, A_NUMBER, NUMBER)).when(unit, UNIT).when(begins, F.concat(F.lit(BEGINS), low)).otherwise(low)
+
+    return F.transform(words, placeholder)
+
+
+def plain(words: Column) -> Column:
+    """The same words in lower case without placeholders."""
+    return F.transform(words, lambda x: F.lower(F.ltrim(x)))
 
 
 def formulas(text: Column) -> Column:
@@ -120,12 +125,11 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     placeholders. A word that stands at a beginning is a name if it stands as one elsewhere in the item.
     """
     items = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text"))
-    text = spaced(F.col("text"))
-    rows = items.select("item", F.split(template(text), " ").alias("w"), plain(text).alias("p"), F.split(plain(text), " ").alias("r"))
+    rows = items.select("item", tokens(F.col("text")).alias("x")).select("item", template(F.col("x")).alias("w"), plain(F.col("x")).alias("r"))
     rows = rows.withColumn("names", F.filter(F.transform("w", lambda x, i: F.when(x == NAME, F.get("r", i))), lambda x: x.isNotNull()))
     rows = rows.withColumn("w", F.transform("w", lambda x, i: F.when(x.startswith(BEGINS) & F.array_contains("names", F.get("r", i)), BEGINS + NAME).otherwise(F.translate(x, BEGINS, ""))))
     # A name at a beginning is one like any other; only begun tells that it stands there.
-    rows = rows.select("item", "p", F.transform("w", lambda x: x == BEGINS + NAME).alias("begun"), F.translate(F.array_join("w", " "), BEGINS, "").alias("t")).where("t != ''")
+    rows = rows.select("item", F.array_join("r", " ").alias("p"), F.transform("w", lambda x: x == BEGINS + NAME).alias("begun"), F.translate(F.array_join("w", " "), BEGINS, "").alias("t")).where("t != ''")
     one = rows.groupBy("t").agg(F.min(F.struct("item", "p", "begun")).alias("x")).select("t", "x.begun", F.col("x.item").alias("item"), F.split("t", " ").alias("w"), F.split("x.p", " ").alias("r"))
     one = checkpoint(one.withColumns({"hw": hashed(F.col("w")), "hr": hashed(F.col("r"))}))
     literal = lambda w: F.size(F.filter(w, lambda x: ~x.rlike(f"[{NUMBER}{NAME}{UNIT}]")))
@@ -174,11 +178,11 @@ def matches(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     # A window may be of many items, so the rows that would be sent to all executors are counted as well.
     few = len(hashes) <= in_scan and known.limit(2 * in_scan + 1).count() <= 2 * in_scan
     item = F.col(item_text_col).cast("string")
-    sizes = sorted(x[0] for x in benchmark.select(F.size(F.split(plain(spaced(item)), " ")).alias("n")).where(F.col("n").between(1, WINDOW - 1)).distinct().collect())
+    sizes = sorted(x[0] for x in benchmark.select(F.size(tokens(item)).alias("n")).where(F.col("n").between(1, WINDOW - 1)).distinct().collect())
     signs = not benchmark.where(~item.rlike(r"\p{L}") & item.rlike(r"\p{Nd}")).isEmpty()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), spaced(text).alias("text"), (formulas(text) if signs else F.array().cast("array<bigint>")).alias("signs"))
-    rows = rows.select("doc_id", "mark", "signs", F.split(template(F.col("text")), " ").alias("w"), F.split(plain(F.col("text")), " ").alias("r"))
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), tokens(text).alias("x"), (formulas(text) if signs else F.array().cast("array<bigint>")).alias("signs"))
+    rows = rows.select("doc_id", "mark", "signs", template(F.col("x")).alias("w"), plain(F.col("x")).alias("r"))
     mark = lambda w: F.when(w.startswith(BEGINS), F.lit(None).cast("bigint")).otherwise(F.xxhash64(w))
     rows = rows.select("doc_id", "mark", "signs", "r", F.transform("w", mark).alias("hm"), hashed(F.col("r")).alias("hr"))
     hm, hr, hw, hb = F.col("hm"), F.col("hr"), F.col("hw"), F.col("hb")
