@@ -10,29 +10,32 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
+
 CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Characters that Python's ``\s`` and other libraries' ``\s`` take differently; a text with one is encoded whole.
 ODD = "\x1c\x1d\x1e\x1f\u180e\u200b\u2060\ufeff"
 #: A comma or stop that isn't a piece of its own.
-JOINED = re.compile(r"[\W_][,.][ \n]")
-#: Stand in a plain text for a comma and a stop before a space; no such text has them of its own.
-COMMA, STOP = "\x1c", "\x1d"
+JOINED = re.compile(r"[,.](?<=[\W_][,.])[ \n]")
+#: Stand in a plain text for a comma and a stop before a space and before its first word; no such text has them of its own.
+COMMA, STOP, FIRST = "\x1c", "\x1d", "\x1e"
+#: White space that no plain text has: other characters than space and newline, and two together.
+SPACES = (*(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"), "  ", " \n", "\n ", "\n\n")
 
 
-def plain_words(text: str) -> list[str] | None:
-    """Chunks of a text whose white space is single spaces and newlines, without the spaces before them; None for others.
+def plain_line(text: str) -> str | None:
+    """Chunks of a text whose white space is single spaces and newlines, joined by spaces without those before them; None for others.
 
     A newline stands together with what follows. A comma or stop after a letter or digit is a piece by itself, so it
-    stands alone, and a word has one entry in the table with and without it.
+    stands alone, and a word has one entry in the table with and without it. The first word, which has no space before
+    it, is marked.
     """
-    words = text.split()
-    gaps = len(words) - 1
-    if gaps < 0 or text.count(" ") + text.count("\n") != gaps or len(text) - sum(map(len, words)) != gaps:
+    if text[:1] in ("", " ", "\n") or text[-1] in " \n" or any(x in text for x in SPACES):
         return None
     lined = text.replace("\n", " \n")
     if not JOINED.search(text):
         lined = lined.replace(", ", f" {COMMA} ").replace(". ", f" {STOP} ")
-    return lined.split(" ")
+    return FIRST + lined
 
 
 class ChunkEncoder:
@@ -50,7 +53,7 @@ class ChunkEncoder:
         self.words: dict[str, bytes] = {}  # chunks without the space before them; a newline stands together with what follows
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain: dict[int, list[str]] = {}
+        plain: dict[int, str] = {}
         other: dict[int, list[str]] = {}
         odd = []
         for k, text in enumerate(texts):
@@ -58,32 +61,56 @@ class ChunkEncoder:
                 continue
             if any(c in text for c in self.odd) and (any(c in text for c in ODD) or any(x in text for x in self.special)):
                 odd.append(k)
-            elif (words := plain_words(text)) is None:
+            elif (line := plain_line(text)) is None:
                 other[k] = CHUNK.findall(text)
             else:
-                other[k] = words[:1]
-                plain[k] = words[1:]
-        self._know(self.words, set().union(*plain.values()), True)
-        self._know(self.chunks, set().union(*other.values()), False)
+                plain[k] = line
+        pieces = list(set().union(*other.values()))
+        ids = dict(zip(pieces, self._known(self.chunks, pieces, self.whole), strict=True))
         out = [b""] * len(texts)
         for k, x in zip(odd, self.whole([texts[k] for k in odd]), strict=True):
             out[k] = x
         for k, x in other.items():
-            out[k] = b"".join(map(self.chunks.__getitem__, x))
-        for k, x in plain.items():
-            out[k] += b"".join(map(self.words.__getitem__, x))
+            out[k] = b"".join(map(ids.__getitem__, x))
+        for k, x in zip(plain, self._plain(list(plain.values())), strict=True):
+            out[k] = x
         return out
 
-    def _know(self, known: dict[str, bytes], wanted: set[str], spaced: bool) -> None:
-        new = wanted.difference(known)
-        if len(known) + len(new) > self.most:
-            known.clear()
-            new = wanted
-        ordered = list(new)
-        if not spaced:
-            known.update(zip(ordered, self.whole(ordered), strict=True))
-            return
+    def forget(self) -> None:
+        """Empties the tables."""
+        self.chunks.clear()
+        self.words.clear()
+
+    def _plain(self, lines: list[str]) -> list[bytes]:
+        """Ids of plain lines. Arrow numbers their words, so that each different one is looked up once."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not lines:
+            return []
+        cut = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        numbered = cut.flatten().dictionary_encode()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = np.empty(len(words), object)
+        ids[:] = self._known(self.words, words, self._spaced)
+        at, ends = numbered.indices.to_numpy(), cut.offsets.to_numpy().tolist()
+        return [b"".join(ids[at[lo:hi]].tolist()) for lo, hi in zip(ends, ends[1:], strict=False)]
+
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of the words of a plain line, with the space or newline before them."""
         line = self.whole(["\n"])[0]
         signs = {COMMA: ",", STOP: "."}
-        ids = self.whole([x[1:] if x[:1] == "\n" else signs.get(x) or " " + x for x in ordered])
-        known.update((x, line + y if x[:1] == "\n" else y) for x, y in zip(ordered, ids, strict=True))
+        ids = self.whole([x[1:] if x[:1] in ("\n", FIRST) else signs.get(x) or " " + x for x in words])
+        return [line + y if x[:1] == "\n" else y for x, y in zip(words, ids, strict=True)]
+
+    def _known(self, known: dict[str, bytes], wanted: list[str], of: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Ids of different strings; those that the table doesn't have are added to it."""
+        ids = [*map(known.get, wanted)]
+        new = [k for k, x in enumerate(ids) if x is None]
+        for k, x in zip(new, of([wanted[k] for k in new]), strict=True):
+            ids[k] = x
+        if len(known) + len(new) > self.most:
+            known.clear()
+            new = range(min(len(wanted), self.most))
+        known.update((wanted[k], ids[k]) for k in new)
+        return ids

@@ -11,10 +11,12 @@ place at the next level is one directory entry and a count within one block. Lay
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,7 @@ END = 2
 MAGIC = b"EMBERDAC"
 #: Tokens from which a task begins another file.
 FILE_TOKENS = 4_000_000
+LETTERS = re.compile(" ?[A-Za-z]+").fullmatch
 
 
 def pack(keys: list[int | None], ends: np.ndarray, ids: np.ndarray) -> bytes:
@@ -124,14 +127,26 @@ def encoder(path: str) -> ChunkEncoder:
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     t = Tokenizer.from_file(path)
+    # Of ASCII letters with at most one space before them, a byte-level tokenizer makes one piece as it stands, so the library's model gets them without its cutting.
+    cut = t.pre_tokenizer
+    added = tuple(x.content for x in t.get_added_tokens_decoder().values())
+    model = Tokenizer(t.model) if t.normalizer is None and isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space and not any(map(LETTERS, added)) else None
+
+    def ids_of(by: Tokenizer, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() if len(e) > 64 else b"".join(map(packed.__getitem__, e.ids)) for e in by.encode_batch_fast(texts, add_special_tokens=False)]
 
     def whole(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() if len(e) > 64 else b"".join(map(packed.__getitem__, e.ids)) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+        if model is None:
+            return ids_of(t, texts)
+        one = [bool(LETTERS(x)) for x in texts]
+        words, others = iter(ids_of(model, [x.replace(" ", "Ġ") for x in compress(texts, one)])), iter(ids_of(t, [x for x, letters in zip(texts, one, strict=True) if not letters]))
+        return [next(words if letters else others) for letters in one]
 
     packed = [i.to_bytes(4, "little") for i in range(max(t.get_vocab().values()) + 1)]
-    return ChunkEncoder(whole, special=tuple(x.content for x in t.get_added_tokens_decoder().values()))
+    return ChunkEncoder(whole, special=added)
 
 
 def write_token_files(df: DataFrame, into: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end: int = END, file_tokens: int = FILE_TOKENS) -> DataFrame:

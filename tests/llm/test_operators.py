@@ -164,6 +164,28 @@ def test_chunk_table_may_overflow():
     assert [x.decode() for x in encoder.encode(texts[::-1])] == texts[::-1]
 
 
+def test_chunk_table_is_bounded_and_can_be_emptied():
+    encoder = ChunkEncoder(lambda xs: [x.encode() for x in xs], most=5)
+    for texts in (["a b c d e f g h", ", i", "j\nk, l. m"], ["k  l", "a b", "n"]):
+        assert [x.decode() for x in encoder.encode(texts)] == texts
+        assert len(encoder.words) <= 5 and len(encoder.chunks) <= 5
+    encoder.forget()
+    assert not encoder.words and not encoder.chunks
+
+
+def test_words_of_letters_equal_the_library():
+    import tokenizers
+
+    path = public_tokenizers.path(token_files.VOCABULARY)
+    lib = tokenizers.Tokenizer.from_file(path)
+    rng = random.Random(6)
+    some = ["the", "Reonen", " a", " b", ", ", ". ", "\n", "é", "  ", "12", "'s", "$$$", "\t", "\u3000", "\x1e", "<|endoftext|>"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(12))) for _ in range(3000)] + ["a" * 5000, " " + "Ab" * 400, "'re", "s"]
+    encoder = token_files.encoder(path)
+    want = [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.whole(texts) == want and encoder.encode(texts) == want
+
+
 def test_token_files(spark, docs):
     import tokenizers
 
