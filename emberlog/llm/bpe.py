@@ -266,7 +266,7 @@ def encode_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     One row per input row: doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit integers),
     decoded_sha256 (of the decoded bytes), with with_ids also ids binary. A null or empty text has no ids and the hash of
     nothing; a null key stays null; repeated rows give a row each; an empty table gives none; other columns are left out.
-    No shuffle: each task encodes its own rows, and tables of chunks are bounded.
+    No shuffle: each task encodes its own rows; its table of chunks is bounded, and goes with the task.
     """
     import public_tokenizers
 
@@ -277,14 +277,18 @@ def encode_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         import pyarrow as pa
 
         c = codec(path, pattern)
-        for batch in common.gathered(batches):
-            ids = c.encode(batch.column(1).to_pylist())
-            columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(c.decode(x)).hexdigest() for x in ids])]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns.append(pa.array(ids, pa.binary()))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
+        try:
+            for batch in common.gathered(batches):
+                ids = c.encode(batch.column(1).to_pylist())
+                columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(c.decode(x)).hexdigest() for x in ids])]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    columns.append(pa.array(ids, pa.binary()))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(columns, names)
+        finally:  # a worker lives on, in a pipeline with other steps' tasks
+            c.chunks.forget()
+            common.give_back()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
     return common.keyed(df, id_col, text_col).mapInArrow(run, schema)

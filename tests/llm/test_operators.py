@@ -173,6 +173,22 @@ def test_chunk_table_is_bounded_and_can_be_emptied():
     assert not encoder.words and not encoder.chunks
 
 
+def test_encoding_leaves_no_table_in_workers(docs, monkeypatch):
+    """Workers live on in a pipeline, so what a task has learnt goes with it."""
+    import pyarrow as pa
+
+    class Taken:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(bpe.common, "keyed", lambda *a: Taken())
+    run = bpe.encode_documents(docs)
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2], pa.int64()), "text": ["one two three", "four  five\t"]})
+    assert sum(x.num_rows for x in run(iter([rows]))) == 2
+    chunks = bpe.codec(public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN).chunks
+    assert not chunks.words and not chunks.chunks
+
+
 def test_words_of_letters_equal_the_library():
     import tokenizers
 
